@@ -13,8 +13,9 @@ def is_filled(column: Column) -> Column:
 
 
 def is_negative(column: Column) -> Column:
-    """True for numbers below zero; NULL, NaN, -0.0 and text that is no number are not negative."""
-    return F.coalesce(as_amount(column) < 0, F.lit(False))
+    """True for numbers below zero; NULL, NaN, -0.0 and text that is no number are not. Never NULL itself."""
+    amount = as_amount(column)
+    return amount.isNotNull() & (amount < 0)
 
 
 def clean_code(column: Column) -> Column:

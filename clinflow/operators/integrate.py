@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from clinflow.functions.columns import first_code
-from clinflow.operators.joins import DEFAULT_LIMITS, JoinLimits, measured_bytes, spread_join
+from clinflow.operators.joins import DEFAULT_LIMITS, JoinLimits, hot_keys, measured_bytes, spread_join
 from clinflow.schemas import CLAIM_KEY
 from clinflow.scratch import materialize
 
@@ -40,15 +40,32 @@ def expand_copies(df: DataFrame) -> DataFrame:
 
 
 def link_members(
-    claims: DataFrame, member_rows: DataFrame, size_bound: int, limits: JoinLimits = DEFAULT_LIMITS
+    claims: DataFrame,
+    member_rows: DataFrame,
+    size_bound: int,
+    keys_from: DataFrame | None = None,
+    limits: JoinLimits = DEFAULT_LIMITS,
 ) -> DataFrame:
-    """Claims left-joined to folded rows on ``member_key``; a claim without any stands for itself once."""
+    """Claims left-joined to folded rows on ``member_key``; a claim without any stands for itself once.
+
+    ``size_bound`` is the size of the unfolded rows, or of more.
+    """
+    heavy = None
     if size_bound > limits.broadcast_bytes:
-        # Used for measuring, finding hot keys and joining: compute it once.
+        # Measured, searched for hot keys and joined: computed once. Few folded rows may stand for many,
+        # so keys count as hot by the rows they expand to.
         member_rows = materialize(member_rows, "member-rows")
-        size_bound = measured_bytes(member_rows)
+        size_bound = measured_bytes(member_rows, limits.broadcast_bytes)
+        heavy = hot_keys(member_rows, ["member_key"], limits, weight=COPIES)
     linked = spread_join(
-        claims, member_rows, "member_key", spread_by=CLAIM_KEY, right_bytes=size_bound, limits=limits
+        claims,
+        member_rows,
+        "member_key",
+        spread_by=CLAIM_KEY,
+        right_bytes=size_bound,
+        right_hot=heavy,
+        keys_from=keys_from,
+        limits=limits,
     )
     return linked.drop("__piece").withColumn(COPIES, F.coalesce(COPIES, F.lit(1)))
 
@@ -77,6 +94,6 @@ def integrate(
     The encounter side is every encounter of the member, whatever its date, so measures of a claim
     repeat: sum them per claim, not over these rows.
     """
-    bound = measured_bytes(encounters.select("member_key", *ENCOUNTER_DETAIL))
-    linked = link_members(claims, fold_encounters(encounters, ENCOUNTER_DETAIL), bound, limits)
+    bound = measured_bytes(encounters.select("member_key", *ENCOUNTER_DETAIL), limits.broadcast_bytes)
+    linked = link_members(claims, fold_encounters(encounters, ENCOUNTER_DETAIL), bound, limits=limits)
     return expand_copies(add_final_codes(linked, missing_codes))

@@ -1,12 +1,13 @@
 """Joins that hold up when one key owns a large share of the rows.
 
-Three routes, all with the same result:
+Four routes, all with the same result:
 
 * the right side is measured and fits: broadcast it, the left side does not move;
 * no key is hot: a plain shuffle join, left to Catalyst and AQE;
-* some keys are hot: rows of the hot keys (NULL may be one) take a route of their own and the rest
-  shuffle as usual. Hot rows join a broadcast of the few right rows they need, so they do not move
-  either; should those right rows be too many to broadcast, both sides spread over a grid of cells.
+* some keys are hot and the caller can tell the rows of a key apart: a hot key (NULL may be one)
+  covers a grid of cells instead of one task, in the same single shuffle as all other keys;
+* some keys are hot and rows may be exact copies, which no hash can part: rows of hot keys do not move
+  but join a broadcast of the few right rows they need, and the rest shuffle as usual.
 
 Measuring looks at a sample only to choose the route; every row is joined.
 """
@@ -20,7 +21,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import BinaryType, IntegerType, StringType, StructField, StructType
 
-_ROW_OVERHEAD_BYTES = 16
+_ROW_BYTES = 16
 
 
 @dataclass(frozen=True)
@@ -36,30 +37,42 @@ class JoinLimits:
 DEFAULT_LIMITS = JoinLimits()
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Size of the frame's values, from one aggregate over them."""
+def measured_bytes(df: DataFrame, enough: int) -> int:
+    """Size of the frame's values, or some number above ``enough`` once that is certain.
+
+    Rows are counted first: on stored tables that reads file footers only, so a table far too large
+    to broadcast is recognized without reading its values.
+    """
+    rows = df.count()
+    if rows * _ROW_BYTES > enough:
+        return rows * _ROW_BYTES
     widths = [
         F.coalesce(F.octet_length(field.name), F.lit(0))
         if isinstance(field.dataType, (StringType, BinaryType))
         else F.lit(8)
         for field in df.schema
     ]
-    row = sum(widths, F.lit(_ROW_OVERHEAD_BYTES))
-    return df.agg(F.sum(row.cast("long"))).first()[0] or 0
+    values = df.agg(F.sum(sum(widths, F.lit(0)).cast("long"))).first()[0]
+    return rows * _ROW_BYTES + (values or 0)
 
 
-def _hot_keys(df: DataFrame, on: Sequence[str], limits: JoinLimits) -> dict[tuple, int]:
-    """Keys with ``hot_rows`` rows or more and their estimated counts, the largest first.
+def hot_keys(
+    df: DataFrame, on: Sequence[str], limits: JoinLimits, weight: str | None = None
+) -> dict[tuple, int]:
+    """Keys that stand for ``hot_rows`` rows or more, with that number, the largest first.
 
-    A key outside the list is below ``hot_rows`` or below the share 1 / ``max_hot_keys``.
+    Rows count once, or as often as their ``weight`` says; unweighted counts are estimated from a
+    sample. A key left out is below ``hot_rows`` or below the share 1 / ``max_hot_keys``.
     """
-    keys = df.select(*on)
-    if limits.sample_fraction < 1:
-        keys = keys.sample(limits.sample_fraction, seed=7)
-    least = max(1, int(limits.hot_rows * limits.sample_fraction))
-    counted = keys.groupBy(*on).agg(F.count(F.lit(1)).alias("__rows")).filter(F.col("__rows") >= least)
-    top = counted.orderBy(F.desc("__rows"), *on).limit(limits.max_hot_keys).collect()
-    return {tuple(row[name] for name in on): int(row["__rows"] / limits.sample_fraction) for row in top}
+    share = 1.0 if weight else limits.sample_fraction
+    keys = df.select(*on, *([weight] if weight else []))
+    if share < 1:
+        keys = keys.sample(share, seed=7)
+    size = F.sum(weight) if weight else F.count(F.lit(1))
+    sized = keys.groupBy(*on).agg(size.alias("__rows"))
+    sized = sized.filter(F.col("__rows") >= max(1, int(limits.hot_rows * share)))
+    top = sized.orderBy(F.desc("__rows"), *on).limit(limits.max_hot_keys).collect()
+    return {tuple(row[name] for name in on): int(row["__rows"] / share) for row in top}
 
 
 def _match(left: DataFrame, right: DataFrame, on: Sequence[str], prefix: str, null_safe: bool) -> Column:
@@ -82,37 +95,24 @@ def _join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str, null_s
     return joined.drop(*["__right_" + name for name in on])
 
 
-def _key_frame(df: DataFrame, on: Sequence[str], hot: dict[tuple, int]) -> DataFrame:
-    schema = StructType([StructField(name, df.schema[name].dataType) for name in on])
-    return df.sparkSession.createDataFrame(list(hot), schema)
-
-
 def _grid_join(
     left: DataFrame,
     right: DataFrame,
     on: Sequence[str],
+    how: str,
+    null_safe: bool,
     spread_by: Sequence[str],
-    left_hot: dict[tuple, int],
-    right_hot: dict[tuple, int],
-    limits: JoinLimits,
+    cells: DataFrame,
 ) -> DataFrame:
-    """Left outer join in which each hot key covers left cells x right cells instead of one task.
+    """Join in which each hot key covers left cells x right cells instead of one task.
 
     A left row lies in one left cell and visits every right cell of its key; a right row the other
     way round; so each pair meets once. Cells follow from row content, which a retried task repeats.
     """
-    sizes = [
-        (*key, ceil(left_hot.get(key, 0) / limits.hot_rows) or 1, ceil(right_hot.get(key, 0) / limits.hot_rows) or 1)
-        for key in {**left_hot, **right_hot}
-    ]
-    schema = StructType(
-        [StructField(name, left.schema[name].dataType) for name in on]
-        + [StructField("__left_cells", IntegerType()), StructField("__right_cells", IntegerType())]
-    )
-    cells = F.broadcast(left.sparkSession.createDataFrame(sizes, schema))
 
-    def counted(df: DataFrame) -> DataFrame:
-        return _join(df, cells, on, "left", null_safe=True).fillna(1, ["__left_cells", "__right_cells"])
+    def sized(df: DataFrame) -> DataFrame:
+        with_cells = _join(df, F.broadcast(cells), on, "left", null_safe=True)
+        return with_cells.fillna(1, ["__left_cells", "__right_cells"])
 
     def own(columns: Sequence[str], count: str) -> Column:
         return F.pmod(F.xxhash64(*columns), F.col(count)).cast("int")
@@ -120,15 +120,28 @@ def _grid_join(
     def every(count: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
 
-    mine = counted(left).withColumn("__left_cell", own(spread_by, "__left_cells"))
+    mine = sized(left).withColumn("__left_cell", own(spread_by, "__left_cells"))
     mine = mine.withColumn("__right_cell", every("__right_cells"))
-    theirs = counted(right).withColumn("__right_cell", own(right.columns, "__right_cells"))
+    theirs = sized(right).withColumn("__right_cell", own(right.columns, "__right_cells"))
     theirs = theirs.withColumn("__left_cell", every("__left_cells")).drop("__left_cells", "__right_cells")
     theirs = theirs.withColumn("__met", F.lit(True))
-    joined = _join(mine, theirs, [*on, "__left_cell", "__right_cell"], "left")
-    # A key with several right cells has right rows, so a left row that met none there is met elsewhere.
-    wanted = (F.col("__right_cells") == 1) | F.col("__met").isNotNull()
-    return joined.filter(wanted).drop("__left_cells", "__right_cells", "__left_cell", "__right_cell", "__met")
+    joined = _join(mine, theirs, [*on, "__left_cell", "__right_cell"], how, null_safe)
+    if how == "left":
+        # A key with several right cells has right rows, so a left row that met none there meets some elsewhere.
+        joined = joined.filter((F.col("__right_cells") == 1) | F.col("__met").isNotNull())
+    return joined.drop("__left_cells", "__right_cells", "__left_cell", "__right_cell", "__met")
+
+
+def _cells(left: DataFrame, on: Sequence[str], left_hot: dict, right_hot: dict, limits: JoinLimits) -> DataFrame:
+    """How many cells each hot key gets on either side."""
+
+    def count(hot: dict, key: tuple) -> int:
+        return max(1, ceil(hot.get(key, 0) / limits.hot_rows))
+
+    sizes = [(*key, count(left_hot, key), count(right_hot, key)) for key in {**left_hot, **right_hot}]
+    keys = [StructField(name, left.schema[name].dataType) for name in on]
+    counts = [StructField(name, IntegerType()) for name in ("__left_cells", "__right_cells")]
+    return left.sparkSession.createDataFrame(sizes, StructType(keys + counts))
 
 
 def spread_join(
@@ -141,34 +154,42 @@ def spread_join(
     null_safe: bool = False,
     spread_by: Sequence[str] = (),
     right_bytes: int | None = None,
+    right_hot: dict[tuple, int] | None = None,
+    keys_from: DataFrame | None = None,
     limits: JoinLimits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """``left`` joined to ``right`` on equal ``on`` columns, ``how`` being "left" or "left_anti".
 
-    ``unique_right`` promises at most one right row per key. Without it, ``spread_by`` names columns
-    that tell left rows of one key apart. ``right_bytes`` is an upper bound of the right side's size
-    where the caller has one; else the side is measured.
+    ``unique_right`` promises at most one right row per key. ``spread_by`` names columns that tell left
+    rows of one key apart, such as a key they were deduplicated on. What the caller knows need not be
+    measured: ``right_bytes``, an upper bound of the right side's size; ``right_hot``, its hot keys;
+    ``keys_from``, a frame with the keys of ``left`` that is cheaper to read.
     """
     on = [on] if isinstance(on, str) else list(on)
-    if (measured_bytes(right) if right_bytes is None else right_bytes) <= limits.broadcast_bytes:
+    size = measured_bytes(right, limits.broadcast_bytes) if right_bytes is None else right_bytes
+    if size <= limits.broadcast_bytes and not right_hot:
         return _join(left, F.broadcast(right), on, how, null_safe)
 
-    left_hot = _hot_keys(left, on, limits)
-    right_hot = {} if unique_right else _hot_keys(right.dropna(subset=on), on, limits)
+    left_hot = hot_keys(left if keys_from is None else keys_from, on, limits)
+    if right_hot is None:
+        right_hot = {} if unique_right else hot_keys(right.dropna(subset=on), on, limits)
     if not left_hot and not right_hot:
         return _join(left, right, on, how, null_safe)
 
-    hot = F.broadcast(_key_frame(left, on, {**left_hot, **right_hot}))
+    cells = _cells(left, on, left_hot, right_hot, limits)
+    if spread_by:
+        if how != "left" and right_hot:
+            raise ValueError("only a left join can spread hot keys of the right side")
+        return _grid_join(left, right, on, how, null_safe, spread_by, cells)
+    hot = F.broadcast(cells.select(*on))
     right_of_hot = _join(right, hot, on, "left_semi", null_safe=True)
-    if unique_right or measured_bytes(right_of_hot) <= limits.broadcast_bytes:
-        staying = _join(left, hot, on, "left_semi", null_safe=True)
-        moving = _join(left, hot, on, "left_anti", null_safe=True)
-        return _join(staying, F.broadcast(right_of_hot), on, how, null_safe).unionByName(
-            _join(moving, right, on, how, null_safe)
-        )
-    if how != "left" or null_safe or not spread_by:
-        raise ValueError("a many-to-many join over large hot keys needs how='left' and spread_by")
-    return _grid_join(left, right.dropna(subset=on), on, spread_by, left_hot, right_hot, limits)
+    if not unique_right and measured_bytes(right_of_hot, limits.broadcast_bytes) > limits.broadcast_bytes:
+        raise ValueError("hot keys match too many rows to broadcast: name spread_by columns")
+    staying = _join(left, hot, on, "left_semi", null_safe=True)
+    moving = _join(left, hot, on, "left_anti", null_safe=True)
+    return _join(staying, F.broadcast(right_of_hot), on, how, null_safe).unionByName(
+        _join(moving, right, on, how, null_safe)
+    )
 
 
 def lookup(df: DataFrame, reference: DataFrame, on: str, **options) -> DataFrame:

@@ -31,17 +31,17 @@ class KeyMapping:
     size_bound: int
 
 
-def key_mapping(patients: DataFrame, salt: str, id_column: str = "patient_id") -> KeyMapping:
+def key_mapping(
+    patients: DataFrame, salt: str, id_column: str = "patient_id", limits: JoinLimits = DEFAULT_LIMITS
+) -> KeyMapping:
     """Keys of the identifiers that occur; each is hashed once, after the identifiers are made distinct."""
     known = patients.select(id_column).filter(F.col(id_column).isNotNull())
-    room = measured_bytes(known.withColumn("__key", F.lit(" " * _KEY_DIGITS)))
+    room = measured_bytes(known.withColumn("__key", F.lit(" " * _KEY_DIGITS)), limits.broadcast_bytes)
     keyed = known.distinct().withColumn("member_key", member_key(F.col(id_column), salt))
     return KeyMapping(keyed, id_column, room)
 
 
-def replace_id(
-    df: DataFrame, id_column: str, mapping: KeyMapping, limits: JoinLimits = DEFAULT_LIMITS
-) -> DataFrame:
+def replace_id(df: DataFrame, id_column: str, mapping: KeyMapping, **options) -> DataFrame:
     """Swap ``id_column`` for the ``member_key`` of the identifier; an unknown one gets NULL."""
     reference = mapping.table.withColumnRenamed(mapping.id_column, id_column)
-    return lookup(df, reference, id_column, right_bytes=mapping.size_bound, limits=limits).drop(id_column)
+    return lookup(df, reference, id_column, right_bytes=mapping.size_bound, **options).drop(id_column)

@@ -17,7 +17,7 @@ from clinflow.operators.integrate import (
 )
 from clinflow.operators.joins import DEFAULT_LIMITS, JoinLimits, lookup, measured_bytes
 from clinflow.operators.numbering import ROWS_PER_TASK, number_rows
-from clinflow.schemas import FACT_CLAIMS
+from clinflow.schemas import CLAIM_KEY, FACT_CLAIMS
 
 
 def build_dim(
@@ -86,25 +86,22 @@ def build_dims(
     }
 
 
-def add_member_sk(df: DataFrame, dim: DataFrame, limits: JoinLimits = DEFAULT_LIMITS) -> DataFrame:
-    return lookup(df, dim.select("member_key", "member_sk"), "member_key", limits=limits)
+def add_member_sk(df: DataFrame, dim: DataFrame, **options) -> DataFrame:
+    return lookup(df, dim.select("member_key", "member_sk"), "member_key", **options)
 
 
-def add_provider_sk(df: DataFrame, dim: DataFrame, limits: JoinLimits = DEFAULT_LIMITS) -> DataFrame:
-    return lookup(df, dim.select("provider_id", "provider_sk"), "provider_id", limits=limits)
+def add_provider_sk(df: DataFrame, dim: DataFrame, **options) -> DataFrame:
+    return lookup(df, dim.select("provider_id", "provider_sk"), "provider_id", **options)
 
 
-def add_diagnosis_sk(
-    df: DataFrame, dim: DataFrame, null_safe: bool = False, limits: JoinLimits = DEFAULT_LIMITS
-) -> DataFrame:
-    """A missing diagnosis has no key, unless ``null_safe`` gives it that of the NULL row."""
-    reference = dim.select("final_diagnosis", "diagnosis_sk")
-    return lookup(df, reference, "final_diagnosis", null_safe=null_safe, limits=limits)
+def add_diagnosis_sk(df: DataFrame, dim: DataFrame, **options) -> DataFrame:
+    """A missing diagnosis has no key, unless ``null_safe=True`` gives it that of the NULL row."""
+    return lookup(df, dim.select("final_diagnosis", "diagnosis_sk"), "final_diagnosis", **options)
 
 
-def add_date_sk(df: DataFrame, dim: DataFrame, limits: JoinLimits = DEFAULT_LIMITS) -> DataFrame:
+def add_date_sk(df: DataFrame, dim: DataFrame, **options) -> DataFrame:
     reference = dim.select(F.col("date").alias("service_date"), "date_sk")
-    return lookup(df, reference, "service_date", limits=limits)
+    return lookup(df, reference, "service_date", **options)
 
 
 def build_fact(
@@ -122,12 +119,13 @@ def build_fact(
     number only in the last, narrow step.
     """
     members = dims["dim_member"].filter(F.col("member_key").isNotNull()).select("member_key", "member_sk")
-    visits = fold_encounters(encounters, ENCOUNTER_CODES)
-    bound = measured_bytes(encounters.select("member_key", *ENCOUNTER_CODES)) + measured_bytes(members)
+    visits = encounters.select("member_key", *ENCOUNTER_CODES)
+    enough = limits.broadcast_bytes
+    bound = measured_bytes(visits, enough) + measured_bytes(members, enough)
     # One side with everything a member adds: the surrogate key and the folded encounters.
-    member_rows = members.join(visits, "member_key", "full")
+    member_rows = members.join(fold_encounters(visits, ENCOUNTER_CODES), "member_key", "full")
 
-    measures = claims.select(
+    keyed = claims.select(
         "claim_id",
         "service_date",
         "provider_id",
@@ -137,8 +135,10 @@ def build_fact(
         "icd10_code",
         "cpt_code",
     )
-    keyed = add_date_sk(measures, dims["dim_date"], limits)
-    keyed = add_provider_sk(keyed, dims["dim_provider"], limits)
-    linked = add_final_codes(link_members(keyed, member_rows, bound, limits), missing_codes)
-    linked = add_diagnosis_sk(linked, dims["dim_diagnosis"], null_safe, limits)
+    by_claim = {"spread_by": CLAIM_KEY, "limits": limits}
+    keyed = add_date_sk(keyed, dims["dim_date"], keys_from=claims, **by_claim)
+    keyed = add_provider_sk(keyed, dims["dim_provider"], keys_from=claims, **by_claim)
+    linked = link_members(keyed, member_rows, bound, keys_from=claims, limits=limits)
+    linked = add_final_codes(linked, missing_codes)
+    linked = add_diagnosis_sk(linked, dims["dim_diagnosis"], null_safe=null_safe, **by_claim)
     return expand_copies(linked.select(*FACT_CLAIMS.columns.names, COPIES))

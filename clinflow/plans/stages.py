@@ -71,12 +71,12 @@ def mask(
     salt: str,
     limits: JoinLimits = DEFAULT_LIMITS,
 ) -> dict[str, DataFrame]:
-    """The three tables without identifiers or personal columns, linked by ``member_key``."""
-    mapping = key_mapping(patients, salt)
+    """The three curated tables without identifiers or personal columns, linked by ``member_key``."""
+    mapping = key_mapping(patients, salt, limits=limits)
     return {
-        "claims": replace_id(claims, "member_id", mapping, limits),
+        "claims": replace_id(claims, "member_id", mapping, spread_by=CLAIM_KEY, limits=limits),
         "patients": deidentify(patients, salt),
-        "encounters": replace_id(encounters, "patient_id", mapping, limits),
+        "encounters": replace_id(encounters, "patient_id", mapping, spread_by=ENCOUNTER_KEY, limits=limits),
     }
 
 

@@ -1,0 +1,108 @@
+from __future__ import annotations
+
+from datetime import date
+
+import pytest
+
+from clinflow import scratch
+from clinflow.operators.contract import conform, contract_violations, failed_checks
+from clinflow.schemas import CLAIMS, DIM_DATE, DIM_MEMBER, DIM_PROVIDER, FACT_CLAIMS, PATIENTS
+from clinflow.sinks import warehouse
+from clinflow.sinks.tables import Zones, write_table
+from clinflow.sources.feeds import MissingColumnsError, read_feed, read_table, require_columns
+
+HEADER = "claim_id,member_id,provider_id,service_date,paid_amount,allowed_amount,icd10_code,cpt_code"
+
+
+def test_feed_folder_with_declared_types(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(f"{HEADER}\n007,M1,P1,2025-01-02,1.5,2,I10,99213\n")
+    (tmp_path / "b.csv").write_text(f"{HEADER}\n008,,P1,never,x,2, ,\n")
+    df = read_feed(spark, str(tmp_path), CLAIMS, required=CLAIMS.names)
+    assert df.schema == CLAIMS
+    first, second = df.orderBy("claim_id").collect()
+    assert tuple(first) == ("007", "M1", "P1", date(2025, 1, 2), 1.5, 2.0, "I10", "99213")
+    assert tuple(second) == ("008", None, "P1", None, None, 2.0, " ", None)
+
+
+def test_feed_columns_follow_the_header(spark, tmp_path):
+    path = tmp_path / "patients.csv"
+    path.write_text("gender,patient_id,zip,plan\nF,M1,02139,gold\n")
+    df = read_feed(spark, str(path), PATIENTS)
+    assert df.columns == ["gender", "patient_id", "zip", "plan"]
+    assert tuple(df.first()) == ("F", "M1", "02139", "gold")
+
+
+def test_files_of_a_feed_must_agree(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("patient_id,gender\nM1,F\n")
+    (tmp_path / "b.csv").write_text("gender,patient_id\nF,M2\n")
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        read_feed(spark, str(tmp_path), PATIENTS).collect()
+
+
+def test_missing_columns_are_all_named(spark, tmp_path):
+    path = tmp_path / "claims.csv"
+    path.write_text("claim_id,member_id\nC1,M1\n")
+    with pytest.raises(MissingColumnsError, match="provider_id, service_date"):
+        read_feed(spark, str(path), CLAIMS, required=CLAIMS.names)
+    require_columns(["a"], ["a"])
+
+
+def test_empty_table_replaces_the_old_one(spark, tmp_path):
+    path = Zones(str(tmp_path)).quarantine("claims")
+    df = spark.createDataFrame([(1, "x")], "a int, reason string")
+    write_table(df, path)
+    assert read_table(spark, path).count() == 1
+    write_table(df.limit(0), path)
+    again = read_table(spark, path)
+    assert again.count() == 0 and again.schema == df.schema
+
+
+def test_scratch_goes_to_the_shared_folder(spark):
+    folder = spark.conf.get("spark.checkpoint.dir")
+    assert scratch.new_path(spark, "x").startswith(folder)
+    kept = scratch.materialize(spark.range(5), "five")
+    assert kept.count() == 5
+    assert all(f.startswith(f"file:{folder}") or folder in f for f in kept.inputFiles())
+
+
+def test_contract_counts_each_kind_of_break(spark):
+    rows = [(1, "a", "F"), (1, None, "F"), (1, "k" * 65, "much too long"), (None, "b", None)]
+    df = spark.createDataFrame(rows, "member_sk bigint, member_key string, gender string")
+    got = {(r.check_name, r.column_name): r.violations for r in contract_violations(df, DIM_MEMBER).collect()}
+    assert got == {
+        ("not_null", "member_sk"): 1,
+        ("not_null", "member_key"): 1,
+        ("max_length", "member_key"): 1,
+        ("max_length", "gender"): 1,
+        ("primary_key", "member_sk"): 2,
+    }
+    good = df.filter("gender = 'F' and member_key is not null")
+    assert failed_checks(good, DIM_MEMBER) == []
+    assert failed_checks(good.limit(0), DIM_MEMBER) == []
+    dates = spark.sql("select 1L as date_sk, date'2025-01-01' as date, 2025 as year, 1 as month, 1 as day")
+    assert failed_checks(dates.union(dates), DIM_DATE) == [("primary_key", "date_sk", 1)]
+    with pytest.raises(MissingColumnsError):
+        contract_violations(df, FACT_CLAIMS)
+
+
+def test_conform_orders_and_types(spark):
+    df = spark.createDataFrame([("P1", 3, "extra")], "provider_id string, provider_sk int, other string")
+    out = conform(df, DIM_PROVIDER)
+    assert [(f.name, f.dataType.simpleString()) for f in out.schema] == [("provider_sk", "bigint"), ("provider_id", "string")]
+
+
+def test_load_checks_first_and_hides_the_password(spark, monkeypatch):
+    """The JDBC write itself needs a database and is not run here; what would be written is checked."""
+    written = []
+    monkeypatch.setattr(warehouse, "write_jdbc", lambda df, target: written.append((df, target)))
+    target = warehouse.JdbcTarget("jdbc:postgresql://host/db", "dim_provider", "loader", "s3cret")
+    assert "s3cret" not in repr(target)
+    options = target.options()
+    assert options["dbtable"] == "dim_provider" and options["driver"] == "org.postgresql.Driver"
+    assert (options["user"], options["password"], target.mode) == ("loader", "s3cret", "append")
+    good = spark.createDataFrame([("P1", 1)], "provider_id string, provider_sk bigint")
+    warehouse.load_table(good, DIM_PROVIDER, target)
+    assert written[0][0].columns == ["provider_sk", "provider_id"]
+    with pytest.raises(warehouse.ContractError, match="primary_key on provider_sk: 1"):
+        warehouse.load_table(good.union(good), DIM_PROVIDER, target)
+    assert len(written) == 1
