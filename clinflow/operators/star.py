@@ -54,17 +54,17 @@ def dim_provider(claims: DataFrame) -> DataFrame:
 def final_diagnoses(claims: DataFrame, encounters: DataFrame, missing_codes: Sequence[str] = ()) -> DataFrame:
     """Every final diagnosis the integrated claims hold, without integrating them.
 
-    Only members with an uncoded claim look to their encounters, each member once and each of
-    its codes once, so repeated claims and encounters are gone before the join.
+    Only members with an uncoded claim look to their encounters. Codes, those members and what
+    encounters offer them are made distinct before the join, so no key has many rows left in it.
     """
     own = known_code(F.col("icd10_code"), missing_codes)
-    coded = claims.select(own.alias("final_diagnosis")).filter(F.col("final_diagnosis").isNotNull())
-    uncoded = claims.filter(own.isNull()).select("member_key").distinct()
-    offered = encounters.select(
-        "member_key", known_code(F.col("diagnosis_code"), missing_codes).alias("final_diagnosis")
+    offer = known_code(F.col("diagnosis_code"), missing_codes)
+    wanted = claims.select(
+        own.alias("own_code"), F.when(own.isNull(), F.col("member_key")).alias("member_key")
     ).distinct()
-    found = uncoded.join(offered, "member_key", "left").select("final_diagnosis")
-    return coded.unionByName(found)
+    offered = encounters.select("member_key", offer.alias("offered_code")).distinct()
+    found = F.coalesce("own_code", "offered_code").alias("final_diagnosis")
+    return wanted.join(offered, "member_key", "left").select(found)
 
 
 def dim_diagnosis(claims: DataFrame, encounters: DataFrame, missing_codes: Sequence[str] = ()) -> DataFrame:

@@ -36,9 +36,10 @@ def _safe(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return stages.mask(clean_claims, views.patients(spark, folder), clean_encounters, SALT)
 
 
-def _safe_zone(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The same as written tables, for queries that use one more than once."""
-    return {name: materialize(df, f"safe-{name}") for name, df in _safe(spark, folder).items()}
+def _safe_zone(spark: SparkSession, folder: str, *names: str) -> dict[str, DataFrame]:
+    """The named ones as written tables, for queries that use one more than once."""
+    safe = _safe(spark, folder)
+    return {name: materialize(safe[name], f"safe-{name}") for name in names or safe}
 
 
 # --- sources and sinks ---
@@ -327,7 +328,7 @@ def mask_encounters(spark, folder):
 
 @query
 def integrate_claims(spark, folder):
-    safe = _safe_zone(spark, folder)
+    safe = _safe_zone(spark, folder, "claims", "encounters")
     return integrate.integrate(safe["claims"], safe["encounters"])
 
 
@@ -343,7 +344,7 @@ def dim_provider(spark, folder):
 
 @query
 def dim_diagnosis(spark, folder):
-    safe = _safe_zone(spark, folder)
+    safe = _safe_zone(spark, folder, "claims", "encounters")
     return star.dim_diagnosis(safe["claims"], safe["encounters"])
 
 
@@ -361,21 +362,21 @@ def lookup_member(spark, folder):
 
 @query
 def lookup_provider(spark, folder):
-    claims = _safe_zone(spark, folder)["claims"]
+    claims = _safe_zone(spark, folder, "claims")["claims"]
     return star.add_provider_sk(claims.select("claim_id", "provider_id"), star.dim_provider(claims))
 
 
 @query
 def lookup_diagnosis(spark, folder):
     """The claim's own code looked up in the diagnosis dimension; a claim without one has no key."""
-    safe = _safe_zone(spark, folder)
+    safe = _safe_zone(spark, folder, "claims", "encounters")
     claims = safe["claims"].select("claim_id", F.col("icd10_code").alias("final_diagnosis"))
     return star.add_diagnosis_sk(claims, star.dim_diagnosis(safe["claims"], safe["encounters"]))
 
 
 @query
 def lookup_date(spark, folder):
-    claims = _safe_zone(spark, folder)["claims"]
+    claims = _safe_zone(spark, folder, "claims")["claims"]
     return star.add_date_sk(claims.select("claim_id", "service_date"), star.dim_date(claims))
 
 

@@ -14,24 +14,32 @@ def write_table(df: DataFrame, path: str) -> None:
 
 @dataclass(frozen=True)
 class Zones:
-    """Where each stage keeps its tables below one root."""
+    """The base folder of each zone, and where its tables lie."""
 
-    root: str
+    staging_base: str
+    curated_base: str
+    quarantine_base: str
+    safe_base: str
+    model_base: str
 
-    def _at(self, *parts: str) -> str:
-        return "/".join([self.root.rstrip("/"), *parts])
+    @classmethod
+    def under(cls, root: str) -> Zones:
+        """All zones below one root."""
+        root = root.rstrip("/")
+        safe = f"{root}/curated_safe"
+        return cls(f"{root}/staging", f"{root}/curated", f"{root}/quarantine", safe, f"{safe}/model")
 
     def staging(self, table: str) -> str:
-        return self._at("staging", table)
+        return f"{self.staging_base}/claims" if table == "claims" else f"{self.staging_base}/ehr/{table}"
 
     def curated(self, table: str) -> str:
-        return self._at("curated", f"{table}_clean")
+        return f"{self.curated_base}/{table}_clean"
 
     def quarantine(self, table: str) -> str:
-        return self._at("quarantine", table)
+        return f"{self.quarantine_base}/{table}"
 
     def safe(self, table: str) -> str:
-        return self._at("curated_safe", f"{table}_clean")
+        return f"{self.safe_base}/{table}_clean"
 
     def model(self, table: str) -> str:
-        return self._at("curated_safe", "model", table)
+        return f"{self.model_base}/{table}"

@@ -84,3 +84,15 @@ def test_claims_do_not_shuffle_for_the_fact(spark):
     """With small dimensions the claims meet broadcasts only."""
     text = plan(contract.queries()["fact_claims"](spark, FOLDER))
     assert text.count("BroadcastHashJoin LeftOuter BuildRight") == 4
+
+
+@pytest.mark.parametrize("partitions", ["1", "4", "64"])
+def test_results_do_not_depend_on_the_number_of_partitions(spark, oracle, partitions):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        for name in ("curate_claims", "dim_member", "dim_diagnosis", "fact_claims"):
+            got = contract.queries()[name](spark, FOLDER).toArrow()
+            assert rows(got) == rows(oracle.sql(contract.oracle_sql()[name]).to_arrow_table())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -48,7 +48,7 @@ def test_missing_columns_are_all_named(spark, tmp_path):
 
 
 def test_empty_table_replaces_the_old_one(spark, tmp_path):
-    path = Zones(str(tmp_path)).quarantine("claims")
+    path = Zones.under(str(tmp_path)).quarantine("claims")
     df = spark.createDataFrame([(1, "x")], "a int, reason string")
     write_table(df, path)
     assert read_table(spark, path).count() == 1

@@ -40,7 +40,7 @@ def zones(spark, tmp_path_factory):
     (root / "claims" / "claims.csv").write_text(CLAIMS)
     (root / "ehr" / "patients.csv").write_text(PATIENTS)
     (root / "ehr" / "encounters.csv").write_text(ENCOUNTERS)
-    zones = Zones(str(root / "zones"))
+    zones = Zones.under(str(root / "zones"))
     stages.run_all(spark, str(root / "claims"), str(root / "ehr"), zones, salt="pepper")
     return zones
 
@@ -90,7 +90,7 @@ def test_a_second_run_gives_the_same_tables(spark, zones):
 def test_sample_feed(spark, tmp_path):
     """Counts and sums of the public sample feed (50 claims, 20 patients, 40 encounters)."""
     source = os.environ["SAMPLE_FEED_DIR"]
-    zones = Zones(str(tmp_path))
+    zones = Zones.under(str(tmp_path))
     stages.run_all(spark, f"{source}/claims", f"{source}/ehr", zones, salt="pepper")
     count = lambda path: read_table(spark, path).count()
     assert [count(zones.curated(n)) for n in ("claims", "patients", "encounters")] == [46, 20, 40]
