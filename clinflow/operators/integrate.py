@@ -39,24 +39,20 @@ def expand_copies(df: DataFrame) -> DataFrame:
     return df.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col(COPIES)))).drop("__copy", COPIES)
 
 
+def heavy_members(visits: DataFrame, limits: JoinLimits = DEFAULT_LIMITS) -> dict[tuple, int]:
+    """Members whose folded rows stand for very many encounters, few though the folded rows may be."""
+    return hot_keys(visits, ["member_key"], limits, weight=COPIES)
+
+
 def link_members(
     claims: DataFrame,
     member_rows: DataFrame,
     size_bound: int,
+    heavy: dict[tuple, int],
     keys_from: DataFrame | None = None,
     limits: JoinLimits = DEFAULT_LIMITS,
 ) -> DataFrame:
-    """Claims left-joined to folded rows on ``member_key``; a claim without any stands for itself once.
-
-    ``size_bound`` is the size of the unfolded rows, or of more.
-    """
-    heavy = None
-    if size_bound > limits.broadcast_bytes:
-        # Measured, searched for hot keys and joined: computed once. Few folded rows may stand for many,
-        # so keys count as hot by the rows they expand to.
-        member_rows = materialize(member_rows, "member-rows")
-        size_bound = measured_bytes(member_rows, limits.broadcast_bytes)
-        heavy = hot_keys(member_rows, ["member_key"], limits, weight=COPIES)
+    """Claims left-joined to folded rows on ``member_key``; a claim without any stands for itself once."""
     linked = spread_join(
         claims,
         member_rows,
@@ -94,6 +90,12 @@ def integrate(
     The encounter side is every encounter of the member, whatever its date, so measures of a claim
     repeat: sum them per claim, not over these rows.
     """
-    bound = measured_bytes(encounters.select("member_key", *ENCOUNTER_DETAIL), limits.broadcast_bytes)
-    linked = link_members(claims, fold_encounters(encounters, ENCOUNTER_DETAIL), bound, limits=limits)
+    enough = limits.broadcast_bytes
+    bound, heavy = measured_bytes(encounters.select("member_key", *ENCOUNTER_DETAIL), enough), {}
+    visits = fold_encounters(encounters, ENCOUNTER_DETAIL)
+    if bound > enough:
+        # Measured, searched for heavy members and joined: folded once.
+        visits = materialize(visits, "visits")
+        bound, heavy = measured_bytes(visits, enough), heavy_members(visits, limits)
+    linked = link_members(claims, visits, bound, heavy, limits=limits)
     return expand_copies(add_final_codes(linked, missing_codes))

@@ -13,11 +13,13 @@ from clinflow.operators.integrate import (
     add_final_codes,
     expand_copies,
     fold_encounters,
+    heavy_members,
     link_members,
 )
 from clinflow.operators.joins import DEFAULT_LIMITS, JoinLimits, lookup, measured_bytes
 from clinflow.operators.numbering import ROWS_PER_TASK, number_rows
 from clinflow.schemas import CLAIM_KEY, FACT_CLAIMS
+from clinflow.scratch import materialize
 
 
 def build_dim(
@@ -51,37 +53,43 @@ def dim_provider(claims: DataFrame) -> DataFrame:
     return build_dim(claims, ["provider_id"], "provider_sk")
 
 
-def final_diagnoses(claims: DataFrame, encounters: DataFrame, missing_codes: Sequence[str] = ()) -> DataFrame:
+def final_diagnoses(claims: DataFrame, visits: DataFrame, missing_codes: Sequence[str] = ()) -> DataFrame:
     """Every final diagnosis the integrated claims hold, without integrating them.
 
-    Only members with an uncoded claim look to their encounters. Codes, those members and what
-    encounters offer them are made distinct before the join, so no key has many rows left in it.
+    ``visits`` are encounters, folded or not. Only members with an uncoded claim look to them. Codes,
+    those members and what visits offer them are made distinct before the join, so no key has many
+    rows left in it.
     """
     own = known_code(F.col("icd10_code"), missing_codes)
     offer = known_code(F.col("diagnosis_code"), missing_codes)
     wanted = claims.select(
         own.alias("own_code"), F.when(own.isNull(), F.col("member_key")).alias("member_key")
     ).distinct()
-    offered = encounters.select("member_key", offer.alias("offered_code")).distinct()
+    offered = visits.select("member_key", offer.alias("offered_code")).distinct()
     found = F.coalesce("own_code", "offered_code").alias("final_diagnosis")
     return wanted.join(offered, "member_key", "left").select(found)
 
 
-def dim_diagnosis(claims: DataFrame, encounters: DataFrame, missing_codes: Sequence[str] = ()) -> DataFrame:
-    return build_dim(final_diagnoses(claims, encounters, missing_codes), ["final_diagnosis"], "diagnosis_sk")
+def dim_diagnosis(claims: DataFrame, visits: DataFrame, missing_codes: Sequence[str] = ()) -> DataFrame:
+    return build_dim(final_diagnoses(claims, visits, missing_codes), ["final_diagnosis"], "diagnosis_sk")
 
 
 def dim_date(claims: DataFrame) -> DataFrame:
     return build_date_dim(claims, "service_date")
 
 
+def fold_visits(encounters: DataFrame) -> DataFrame:
+    """What dimensions and fact need of the encounters, folded and written out for both."""
+    return materialize(fold_encounters(encounters, ENCOUNTER_CODES), "visits")
+
+
 def build_dims(
-    claims: DataFrame, patients: DataFrame, encounters: DataFrame, missing_codes: Sequence[str] = ()
+    claims: DataFrame, patients: DataFrame, visits: DataFrame, missing_codes: Sequence[str] = ()
 ) -> dict[str, DataFrame]:
     return {
         "dim_member": dim_member(patients),
         "dim_provider": dim_provider(claims),
-        "dim_diagnosis": dim_diagnosis(claims, encounters, missing_codes),
+        "dim_diagnosis": dim_diagnosis(claims, visits, missing_codes),
         "dim_date": dim_date(claims),
     }
 
@@ -106,7 +114,7 @@ def add_date_sk(df: DataFrame, dim: DataFrame, **options) -> DataFrame:
 
 def build_fact(
     claims: DataFrame,
-    encounters: DataFrame,
+    visits: DataFrame,
     dims: Mapping[str, DataFrame],
     missing_codes: Sequence[str] = (),
     null_safe: bool = False,
@@ -114,16 +122,15 @@ def build_fact(
 ) -> DataFrame:
     """One row per claim and encounter of its member, claims without encounters once.
 
-    Lookups run before rows multiply: provider and date on the claims, member keys together with the
-    folded encounters so that claims shuffle on the member at most once. Rows reach their final
-    number only in the last, narrow step.
+    ``visits`` come from ``fold_visits``. Lookups run before rows multiply: provider and date on the
+    claims, member keys together with the visits so that claims shuffle on the member at most once.
+    Rows reach their final number only in the last, narrow step.
     """
     members = dims["dim_member"].filter(F.col("member_key").isNotNull()).select("member_key", "member_sk")
-    visits = encounters.select("member_key", *ENCOUNTER_CODES)
     enough = limits.broadcast_bytes
     bound = measured_bytes(visits, enough) + measured_bytes(members, enough)
-    # One side with everything a member adds: the surrogate key and the folded encounters.
-    member_rows = members.join(fold_encounters(visits, ENCOUNTER_CODES), "member_key", "full")
+    # One side with everything a member adds: the surrogate key and the visits.
+    member_rows = members.join(visits, "member_key", "full")
 
     keyed = claims.select(
         "claim_id",
@@ -138,7 +145,7 @@ def build_fact(
     by_claim = {"spread_by": CLAIM_KEY, "limits": limits}
     keyed = add_date_sk(keyed, dims["dim_date"], keys_from=claims, **by_claim)
     keyed = add_provider_sk(keyed, dims["dim_provider"], keys_from=claims, **by_claim)
-    linked = link_members(keyed, member_rows, bound, keys_from=claims, limits=limits)
+    linked = link_members(keyed, member_rows, bound, heavy_members(visits, limits), keys_from=claims, limits=limits)
     linked = add_final_codes(linked, missing_codes)
     linked = add_diagnosis_sk(linked, dims["dim_diagnosis"], null_safe=null_safe, **by_claim)
     return expand_copies(linked.select(*FACT_CLAIMS.columns.names, COPIES))

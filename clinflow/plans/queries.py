@@ -36,10 +36,18 @@ def _safe(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return stages.mask(clean_claims, views.patients(spark, folder), clean_encounters, SALT)
 
 
-def _safe_zone(spark: SparkSession, folder: str, *names: str) -> dict[str, DataFrame]:
+def _safe_zone(spark: SparkSession, folder: str, *names: str) -> list[DataFrame]:
     """The named ones as written tables, for queries that use one more than once."""
     safe = _safe(spark, folder)
-    return {name: materialize(safe[name], f"safe-{name}") for name in names or safe}
+    return [materialize(safe[name], f"safe-{name}") for name in names]
+
+
+def _star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """Dimensions and fact."""
+    claims, patients = _safe_zone(spark, folder, "claims", "patients")
+    visits = star.fold_visits(_safe(spark, folder)["encounters"])
+    dims = star.build_dims(claims, patients, visits)
+    return {**dims, "fact_claims": star.build_fact(claims, visits, dims)}
 
 
 # --- sources and sinks ---
@@ -72,9 +80,7 @@ def contract_violations(spark, folder):
 @query
 def contract_star(spark, folder):
     """The built star schema against its own contract."""
-    safe = _safe_zone(spark, folder)
-    dims = star.build_dims(**safe)
-    tables = {**dims, "fact_claims": star.build_fact(safe["claims"], safe["encounters"], dims)}
+    tables = _star(spark, folder)
     return rows.union_rows(*[contract.contract_violations(tables[name], STAR[name]) for name in STAR])
 
 
@@ -328,8 +334,8 @@ def mask_encounters(spark, folder):
 
 @query
 def integrate_claims(spark, folder):
-    safe = _safe_zone(spark, folder, "claims", "encounters")
-    return integrate.integrate(safe["claims"], safe["encounters"])
+    claims, encounters = _safe_zone(spark, folder, "claims", "encounters")
+    return integrate.integrate(claims, encounters)
 
 
 @query
@@ -344,7 +350,7 @@ def dim_provider(spark, folder):
 
 @query
 def dim_diagnosis(spark, folder):
-    safe = _safe_zone(spark, folder, "claims", "encounters")
+    safe = _safe(spark, folder)
     return star.dim_diagnosis(safe["claims"], safe["encounters"])
 
 
@@ -362,25 +368,24 @@ def lookup_member(spark, folder):
 
 @query
 def lookup_provider(spark, folder):
-    claims = _safe_zone(spark, folder, "claims")["claims"]
+    (claims,) = _safe_zone(spark, folder, "claims")
     return star.add_provider_sk(claims.select("claim_id", "provider_id"), star.dim_provider(claims))
 
 
 @query
 def lookup_diagnosis(spark, folder):
     """The claim's own code looked up in the diagnosis dimension; a claim without one has no key."""
-    safe = _safe_zone(spark, folder, "claims", "encounters")
-    claims = safe["claims"].select("claim_id", F.col("icd10_code").alias("final_diagnosis"))
-    return star.add_diagnosis_sk(claims, star.dim_diagnosis(safe["claims"], safe["encounters"]))
+    claims, encounters = _safe_zone(spark, folder, "claims", "encounters")
+    coded = claims.select("claim_id", F.col("icd10_code").alias("final_diagnosis"))
+    return star.add_diagnosis_sk(coded, star.dim_diagnosis(claims, encounters))
 
 
 @query
 def lookup_date(spark, folder):
-    claims = _safe_zone(spark, folder, "claims")["claims"]
+    (claims,) = _safe_zone(spark, folder, "claims")
     return star.add_date_sk(claims.select("claim_id", "service_date"), star.dim_date(claims))
 
 
 @query
 def fact_claims(spark, folder):
-    safe = _safe_zone(spark, folder)
-    return star.build_fact(safe["claims"], safe["encounters"], star.build_dims(**safe))
+    return _star(spark, folder)["fact_claims"]

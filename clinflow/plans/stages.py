@@ -10,7 +10,7 @@ from clinflow.operators.joins import DEFAULT_LIMITS, JoinLimits
 from clinflow.operators.masking import deidentify, key_mapping, replace_id
 from clinflow.operators.quality import apply_rules, normalize_dates, standardize_codes
 from clinflow.operators.rows import keep_one
-from clinflow.operators.star import build_dims, build_fact
+from clinflow.operators.star import build_dims, build_fact, fold_visits
 from clinflow.rules import DEFAULT_RULES, RuleSet
 from clinflow.schemas import (
     CLAIM_KEY,
@@ -97,13 +97,14 @@ def run_model(
     claims, patients, encounters = (
         read_table(spark, zones.safe(name)) for name in ("claims", "patients", "encounters")
     )
-    for name, dim in build_dims(claims, patients, encounters, missing_codes).items():
+    visits = fold_visits(encounters)
+    for name, dim in build_dims(claims, patients, visits, missing_codes).items():
         write_table(dim, zones.model(name))
     dims = {
         name: read_table(spark, zones.model(name))
         for name in ("dim_member", "dim_provider", "dim_diagnosis", "dim_date")
     }
-    fact = build_fact(claims, encounters, dims, missing_codes, limits=limits)
+    fact = build_fact(claims, visits, dims, missing_codes, limits=limits)
     write_table(fact, zones.model("fact_claims"))
 
 

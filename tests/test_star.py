@@ -70,8 +70,9 @@ def test_integrated_rows_are_claims_times_encounters(safe, limits):
 @pytest.mark.parametrize("limits", [SMALL, PLAIN, HOT])
 @pytest.mark.parametrize("null_safe", [False, True])
 def test_fact(safe, limits, null_safe):
-    dims = star.build_dims(**safe)
-    fact = star.build_fact(**{k: safe[k] for k in ("claims", "encounters")}, dims=dims, limits=limits, null_safe=null_safe)
+    visits = star.fold_visits(safe["encounters"])
+    dims = star.build_dims(safe["claims"], safe["patients"], visits)
+    fact = star.build_fact(safe["claims"], visits, dims, limits=limits, null_safe=null_safe)
     assert fact.columns == [
         "claim_id",
         "member_sk",
@@ -113,8 +114,9 @@ def test_diagnoses_without_integrating(safe):
 
 
 def test_every_fact_key_is_in_its_dimension(safe):
-    dims = star.build_dims(**safe)
-    fact = star.build_fact(safe["claims"], safe["encounters"], dims)
+    visits = star.fold_visits(safe["encounters"])
+    dims = star.build_dims(safe["claims"], safe["patients"], visits)
+    fact = star.build_fact(safe["claims"], visits, dims)
     for name, key in (("dim_member", "member_sk"), ("dim_provider", "provider_sk"), ("dim_diagnosis", "diagnosis_sk"), ("dim_date", "date_sk")):
         used = fact.filter(F.col(key).isNotNull()).select(key).distinct()
         assert used.join(dims[name], key, "left_anti").count() == 0
