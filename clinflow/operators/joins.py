@@ -197,7 +197,14 @@ def lookup(df: DataFrame, reference: DataFrame, on: str, **options) -> DataFrame
     return spread_join(df, reference, on, "left", unique_right=True, **options)
 
 
-def anti_join(df: DataFrame, keys: DataFrame, on: str | Sequence[str], **options) -> DataFrame:
+def anti_join(
+    df: DataFrame, keys: DataFrame, on: str | Sequence[str], limits: JoinLimits = DEFAULT_LIMITS, **options
+) -> DataFrame:
     """Rows of ``df`` whose key is not among ``keys``; a NULL key equals none, so its row stays."""
     names = [on] if isinstance(on, str) else list(on)
-    return spread_join(df, keys.select(*names).distinct(), names, "left_anti", unique_right=True, **options)
+    listed = keys.select(*names)
+    # Measured before the keys are made distinct: an upper bound that needs no shuffle.
+    size = measured_bytes(listed, limits.broadcast_bytes)
+    return spread_join(
+        df, listed.distinct(), names, "left_anti", unique_right=True, right_bytes=size, limits=limits, **options
+    )

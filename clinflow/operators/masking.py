@@ -34,7 +34,10 @@ class KeyMapping:
 def key_mapping(
     patients: DataFrame, salt: str, id_column: str = "patient_id", limits: JoinLimits = DEFAULT_LIMITS
 ) -> KeyMapping:
-    """Keys of the identifiers that occur; each is hashed once, after the identifiers are made distinct."""
+    """Keys of the identifiers that occur; each is hashed once, after the identifiers are made distinct.
+
+    The mapping undoes the masking, so it is never written out, not even to the scratch folder.
+    """
     known = patients.select(id_column).filter(F.col(id_column).isNotNull())
     room = measured_bytes(known.withColumn("__key", F.lit(" " * _KEY_DIGITS)), limits.broadcast_bytes)
     keyed = known.distinct().withColumn("member_key", member_key(F.col(id_column), salt))

@@ -36,17 +36,12 @@ def _safe(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return stages.mask(clean_claims, views.patients(spark, folder), clean_encounters, SALT)
 
 
-def _safe_zone(spark: SparkSession, folder: str, *names: str) -> list[DataFrame]:
-    """The named ones as written tables, for queries that use one more than once."""
-    safe = _safe(spark, folder)
-    return [materialize(safe[name], f"safe-{name}") for name in names]
-
-
 def _star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """Dimensions and fact."""
-    claims, patients = _safe_zone(spark, folder, "claims", "patients")
-    visits = star.fold_visits(_safe(spark, folder)["encounters"])
-    dims = star.build_dims(claims, patients, visits)
+    """Dimensions and fact, from written claims and visits as in the stored zones."""
+    safe = _safe(spark, folder)
+    claims = materialize(safe["claims"], "safe-claims")
+    visits = star.fold_visits(safe["encounters"])
+    dims = star.build_dims(claims, safe["patients"], visits)
     return {**dims, "fact_claims": star.build_fact(claims, visits, dims)}
 
 
@@ -334,8 +329,8 @@ def mask_encounters(spark, folder):
 
 @query
 def integrate_claims(spark, folder):
-    claims, encounters = _safe_zone(spark, folder, "claims", "encounters")
-    return integrate.integrate(claims, encounters)
+    safe = _safe(spark, folder)
+    return integrate.integrate(safe["claims"], materialize(safe["encounters"], "safe-encounters"))
 
 
 @query
@@ -368,21 +363,22 @@ def lookup_member(spark, folder):
 
 @query
 def lookup_provider(spark, folder):
-    (claims,) = _safe_zone(spark, folder, "claims")
+    claims = materialize(_safe(spark, folder)["claims"], "safe-claims")
     return star.add_provider_sk(claims.select("claim_id", "provider_id"), star.dim_provider(claims))
 
 
 @query
 def lookup_diagnosis(spark, folder):
     """The claim's own code looked up in the diagnosis dimension; a claim without one has no key."""
-    claims, encounters = _safe_zone(spark, folder, "claims", "encounters")
+    safe = _safe(spark, folder)
+    claims = materialize(safe["claims"], "safe-claims")
     coded = claims.select("claim_id", F.col("icd10_code").alias("final_diagnosis"))
-    return star.add_diagnosis_sk(coded, star.dim_diagnosis(claims, encounters))
+    return star.add_diagnosis_sk(coded, star.dim_diagnosis(claims, safe["encounters"]))
 
 
 @query
 def lookup_date(spark, folder):
-    (claims,) = _safe_zone(spark, folder, "claims")
+    claims = materialize(_safe(spark, folder)["claims"], "safe-claims")
     return star.add_date_sk(claims.select("claim_id", "service_date"), star.dim_date(claims))
 
 

@@ -9,6 +9,10 @@ import pytest
 from conftest import plan
 
 import __spark_entry__ as contract
+from clinflow.operators import star
+from clinflow.operators.joins import JoinLimits
+from clinflow.plans import queries, stages
+from clinflow.sources import views
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events".split()
@@ -96,3 +100,25 @@ def test_results_do_not_depend_on_the_number_of_partitions(spark, oracle, partit
             assert rows(got) == rows(oracle.sql(contract.oracle_sql()[name]).to_arrow_table())
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+ROUTES = {
+    "plain shuffle": JoinLimits(broadcast_bytes=-1, hot_rows=10**9, sample_fraction=1.0),
+    "hot keys": JoinLimits(broadcast_bytes=-1, hot_rows=20, sample_fraction=1.0),
+}
+
+
+@pytest.mark.parametrize("route", ROUTES)
+def test_whole_way_on_the_routes_for_large_tables(spark, oracle, route):
+    limits = ROUTES[route]
+    claims, _ = stages.curate_claims(views.claims(spark, FOLDER))
+    encounters, _ = stages.curate_encounters(views.encounters(spark, FOLDER))
+    safe = stages.mask(claims, views.patients(spark, FOLDER), encounters, queries.SALT, limits)
+    visits = star.fold_visits(safe["encounters"])
+    dims = star.build_dims(safe["claims"], safe["patients"], visits)
+    fact = star.build_fact(safe["claims"], visits, dims, limits=limits)
+    assert rows(fact.toArrow()) == rows(oracle.sql(contract.oracle_sql()["fact_claims"]).to_arrow_table())
+    if route == "hot keys":
+        assert "__left_cell" in plan(fact)
+    else:
+        assert "SortMergeJoin LeftOuter" in plan(fact)
