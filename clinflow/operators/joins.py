@@ -133,7 +133,7 @@ def _grid_join(
 
 
 def _cells(left: DataFrame, on: Sequence[str], left_hot: dict, right_hot: dict, limits: JoinLimits) -> DataFrame:
-    """How many cells each hot key gets on either side."""
+    """How many cells each hot key gets on either side: one row per hot key."""
 
     def count(hot: dict, key: tuple) -> int:
         return max(1, ceil(hot.get(key, 0) / limits.hot_rows))
@@ -144,6 +144,12 @@ def _cells(left: DataFrame, on: Sequence[str], left_hot: dict, right_hot: dict,
     return left.sparkSession.createDataFrame(sizes, StructType(keys + counts))
 
 
+def part_hot(df: DataFrame, on: Sequence[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows whose key is in ``hot``, all others), NULL being a key like any other; nothing moves."""
+    few = F.broadcast(hot.select(*on))
+    return _join(df, few, on, "left_semi", null_safe=True), _join(df, few, on, "left_anti", null_safe=True)
+
+
 def spread_join(
     left: DataFrame,
     right: DataFrame,
@@ -181,13 +187,11 @@ def spread_join(
         if how != "left" and right_hot:
             raise ValueError("only a left join can spread hot keys of the right side")
         return _grid_join(left, right, on, how, null_safe, spread_by, cells)
-    hot = F.broadcast(cells.select(*on))
-    right_of_hot = _join(right, hot, on, "left_semi", null_safe=True)
-    if not unique_right and measured_bytes(right_of_hot, limits.broadcast_bytes) > limits.broadcast_bytes:
+    hot_right, _ = part_hot(right, on, cells)
+    if not unique_right and measured_bytes(hot_right, limits.broadcast_bytes) > limits.broadcast_bytes:
         raise ValueError("hot keys match too many rows to broadcast: name spread_by columns")
-    staying = _join(left, hot, on, "left_semi", null_safe=True)
-    moving = _join(left, hot, on, "left_anti", null_safe=True)
-    return _join(staying, F.broadcast(right_of_hot), on, how, null_safe).unionByName(
+    staying, moving = part_hot(left, on, cells)
+    return _join(staying, F.broadcast(hot_right), on, how, null_safe).unionByName(
         _join(moving, right, on, how, null_safe)
     )
 

@@ -16,7 +16,7 @@ from clinflow.operators.integrate import (
     heavy_members,
     link_members,
 )
-from clinflow.operators.joins import DEFAULT_LIMITS, JoinLimits, lookup, measured_bytes
+from clinflow.operators.joins import DEFAULT_LIMITS, JoinLimits, lookup, measured_bytes, part_hot
 from clinflow.operators.numbering import ROWS_PER_TASK, number_rows
 from clinflow.schemas import CLAIM_KEY, FACT_CLAIMS
 from clinflow.scratch import materialize
@@ -112,6 +112,20 @@ def add_date_sk(df: DataFrame, dim: DataFrame, **options) -> DataFrame:
     return lookup(df, reference, "service_date", **options)
 
 
+def member_side(members: DataFrame, visits: DataFrame, heavy: Mapping[tuple, int]) -> DataFrame:
+    """Everything a member adds to a claim: the surrogate key and the visits, either of which may lack.
+
+    Visits of heavy members stay where they are and meet a broadcast of those few members.
+    """
+    if not heavy:
+        return members.join(visits, "member_key", "full")
+    keys = members.sparkSession.createDataFrame(list(heavy), "member_key string")
+    few, others = part_hot(members, ["member_key"], keys)
+    many, rest = part_hot(visits, ["member_key"], keys)
+    known = many.join(F.broadcast(few), "member_key", "left")
+    return others.join(rest, "member_key", "full").unionByName(known)
+
+
 def build_fact(
     claims: DataFrame,
     visits: DataFrame,
@@ -129,8 +143,8 @@ def build_fact(
     members = dims["dim_member"].filter(F.col("member_key").isNotNull()).select("member_key", "member_sk")
     enough = limits.broadcast_bytes
     bound = measured_bytes(visits, enough) + measured_bytes(members, enough)
-    # One side with everything a member adds: the surrogate key and the visits.
-    member_rows = members.join(visits, "member_key", "full")
+    heavy = heavy_members(visits, limits)
+    member_rows = member_side(members, visits, heavy)
 
     keyed = claims.select(
         "claim_id",
@@ -145,7 +159,7 @@ def build_fact(
     by_claim = {"spread_by": CLAIM_KEY, "limits": limits}
     keyed = add_date_sk(keyed, dims["dim_date"], keys_from=claims, **by_claim)
     keyed = add_provider_sk(keyed, dims["dim_provider"], keys_from=claims, **by_claim)
-    linked = link_members(keyed, member_rows, bound, heavy_members(visits, limits), keys_from=claims, limits=limits)
+    linked = link_members(keyed, member_rows, bound, heavy, keys_from=claims, limits=limits)
     linked = add_final_codes(linked, missing_codes)
     linked = add_diagnosis_sk(linked, dims["dim_diagnosis"], null_safe=null_safe, **by_claim)
     return expand_copies(linked.select(*FACT_CLAIMS.columns.names, COPIES))
