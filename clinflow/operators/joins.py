@@ -14,8 +14,9 @@ Measuring looks at a sample only to choose the route; every row is joined.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from math import ceil
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -37,23 +38,35 @@ class JoinLimits:
 DEFAULT_LIMITS = JoinLimits()
 
 
-def measured_bytes(df: DataFrame, enough: int) -> int:
-    """Size of the frame's values, or some number above ``enough`` once that is certain.
-
-    Rows are counted first: on stored tables that reads file footers only, so a table far too large
-    to broadcast is recognized without reading its values.
-    """
-    rows = df.count()
-    if rows * _ROW_BYTES > enough:
-        return rows * _ROW_BYTES
+def _value_bytes(df: DataFrame) -> Column:
     widths = [
         F.coalesce(F.octet_length(field.name), F.lit(0))
         if isinstance(field.dataType, (StringType, BinaryType))
         else F.lit(8)
         for field in df.schema
     ]
-    values = df.agg(F.sum(sum(widths, F.lit(0)).cast("long"))).first()[0]
-    return rows * _ROW_BYTES + (values or 0)
+    return F.coalesce(F.sum(sum(widths, F.lit(0)).cast("long")), F.lit(0))
+
+
+def measured_sizes(frames: Mapping[str, DataFrame], enough: int) -> dict[str, int]:
+    """Size of each frame's values, or some number above ``enough`` once that is certain.
+
+    Rows are counted first: on stored tables that reads file footers only, so a table far too large
+    to broadcast is recognized without reading its values. Two jobs at most, for all frames together.
+    """
+
+    def each(measure: Callable[[DataFrame], Column], names: Iterable[str]) -> dict[str, int]:
+        parts = [frames[name].agg(measure(frames[name]).alias("n")).withColumn("name", F.lit(name)) for name in names]
+        return {row["name"]: row["n"] for row in reduce(DataFrame.unionByName, parts).collect()} if parts else {}
+
+    rows = each(lambda df: F.count(F.lit(1)), frames)
+    small = [name for name, n in rows.items() if n * _ROW_BYTES <= enough]
+    values = each(_value_bytes, small)
+    return {name: n * _ROW_BYTES + values.get(name, 0) for name, n in rows.items()}
+
+
+def measured_bytes(df: DataFrame, enough: int) -> int:
+    return measured_sizes({"it": df}, enough)["it"]
 
 
 def hot_keys(

@@ -16,7 +16,7 @@ from clinflow.operators.integrate import (
     heavy_members,
     link_members,
 )
-from clinflow.operators.joins import DEFAULT_LIMITS, JoinLimits, lookup, measured_bytes, part_hot
+from clinflow.operators.joins import DEFAULT_LIMITS, JoinLimits, lookup, measured_sizes, part_hot
 from clinflow.operators.numbering import ROWS_PER_TASK, number_rows
 from clinflow.schemas import CLAIM_KEY, FACT_CLAIMS
 from clinflow.scratch import materialize
@@ -141,8 +141,8 @@ def build_fact(
     Rows reach their final number only in the last, narrow step.
     """
     members = dims["dim_member"].filter(F.col("member_key").isNotNull()).select("member_key", "member_sk")
-    enough = limits.broadcast_bytes
-    bound = measured_bytes(visits, enough) + measured_bytes(members, enough)
+    sides = {"members": members, "visits": visits, **{name: dims[name] for name in dims if name != "dim_member"}}
+    size = measured_sizes(sides, limits.broadcast_bytes)
     heavy = heavy_members(visits, limits)
     member_rows = member_side(members, visits, heavy)
 
@@ -156,10 +156,14 @@ def build_fact(
         "icd10_code",
         "cpt_code",
     )
-    by_claim = {"spread_by": CLAIM_KEY, "limits": limits}
-    keyed = add_date_sk(keyed, dims["dim_date"], keys_from=claims, **by_claim)
-    keyed = add_provider_sk(keyed, dims["dim_provider"], keys_from=claims, **by_claim)
+
+    def by_claim(side: str) -> dict:
+        return {"spread_by": CLAIM_KEY, "limits": limits, "right_bytes": size[side]}
+
+    keyed = add_date_sk(keyed, dims["dim_date"], keys_from=claims, **by_claim("dim_date"))
+    keyed = add_provider_sk(keyed, dims["dim_provider"], keys_from=claims, **by_claim("dim_provider"))
+    bound = size["members"] + size["visits"]
     linked = link_members(keyed, member_rows, bound, heavy, keys_from=claims, limits=limits)
     linked = add_final_codes(linked, missing_codes)
-    linked = add_diagnosis_sk(linked, dims["dim_diagnosis"], null_safe=null_safe, **by_claim)
+    linked = add_diagnosis_sk(linked, dims["dim_diagnosis"], null_safe=null_safe, **by_claim("dim_diagnosis"))
     return expand_copies(linked.select(*FACT_CLAIMS.columns.names, COPIES))

@@ -48,10 +48,18 @@ class RuleSet:
 
     @classmethod
     def from_mapping(cls, settings: Mapping) -> RuleSet:
-        """Read ``{"dq_rules": {"claims"|"ehr": {...}}, "standardization": {"uppercase_cols": [...]}}``."""
+        """Read ``{"dq_rules": {"claims"|"ehr": {...}}, "standardization": {"uppercase_cols": [...]}}``.
+
+        Both feeds must be there, and no unknown kind of rule: a misspelt name must not switch off a check.
+        """
 
         def rules_for(feed: str) -> list[Rule]:
-            lists = settings.get("dq_rules", {}).get(feed, {})
+            lists = settings.get("dq_rules", {}).get(feed)
+            if lists is None:
+                raise ValueError(f"no rules for feed: {feed}")
+            unknown = sorted(set(lists) - {"not_null", "non_negative"})
+            if unknown:
+                raise ValueError(f"unknown kinds of rule for feed {feed}: {', '.join(unknown)}")
             return not_null(lists.get("not_null", ())) + non_negative(lists.get("non_negative", ()))
 
         codes = settings.get("standardization", {}).get("uppercase_cols", ())

@@ -121,7 +121,7 @@ def test_an_unreadable_date_ends_in_quarantine(spark):
 
 def test_rule_file(spark, tmp_path):
     settings_ = {
-        "dq_rules": {"claims": {"not_null": ["a"], "non_negative": ["x"]}},
+        "dq_rules": {"claims": {"not_null": ["a"], "non_negative": ["x"]}, "ehr": {}},
         "standardization": {"uppercase_cols": ["code"]},
     }
     path = tmp_path / "rules.json"
@@ -129,3 +129,10 @@ def test_rule_file(spark, tmp_path):
     loaded = r.load_rules(spark, str(path))
     assert [rule.name for rule in loaded.claims] == ["not_null_a", "non_negative_x"]
     assert loaded.encounters == [] and loaded.code_columns == ("code",)
+
+
+def test_misspelt_rules_are_refused():
+    with pytest.raises(ValueError, match="no rules for feed: ehr"):
+        r.RuleSet.from_mapping({"dq_rules": {"claims": {}}})
+    with pytest.raises(ValueError, match="nonnegative"):
+        r.RuleSet.from_mapping({"dq_rules": {"claims": {"nonnegative": ["x"]}, "ehr": {}}})
