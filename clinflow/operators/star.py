@@ -165,5 +165,9 @@ def build_fact(
     bound = size["members"] + size["visits"]
     linked = link_members(keyed, member_rows, bound, heavy, keys_from=claims, limits=limits)
     linked = add_final_codes(linked, missing_codes)
-    linked = add_diagnosis_sk(linked, dims["dim_diagnosis"], null_safe=null_safe, **by_claim("dim_diagnosis"))
+    # Hot codes show on the claims and visits they come from, without running the join above.
+    codes = claims.select(F.col("icd10_code").alias("final_diagnosis")).union(visits.select("diagnosis_code"))
+    linked = add_diagnosis_sk(
+        linked, dims["dim_diagnosis"], null_safe=null_safe, keys_from=codes, **by_claim("dim_diagnosis")
+    )
     return expand_copies(linked.select(*FACT_CLAIMS.columns.names, COPIES))

@@ -31,9 +31,10 @@ def query(run: Query) -> Query:
 
 def _safe(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """Curated and de-identified claims, patients and encounters."""
-    clean_claims, _ = stages.curate_claims(views.claims(spark, folder))
-    clean_encounters, _ = stages.curate_encounters(views.encounters(spark, folder))
-    return stages.mask(clean_claims, views.patients(spark, folder), clean_encounters, SALT)
+    raw = {"claims": views.claims(spark, folder), "encounters": views.encounters(spark, folder)}
+    clean_claims, _ = stages.curate_claims(raw["claims"])
+    clean_encounters, _ = stages.curate_encounters(raw["encounters"])
+    return stages.mask(clean_claims, views.patients(spark, folder), clean_encounters, SALT, keys_from=raw)
 
 
 def _star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -330,7 +331,8 @@ def mask_encounters(spark, folder):
 @query
 def integrate_claims(spark, folder):
     safe = _safe(spark, folder)
-    return integrate.integrate(safe["claims"], materialize(safe["encounters"], "safe-encounters"))
+    claims, encounters = (materialize(safe[name], f"safe-{name}") for name in ("claims", "encounters"))
+    return integrate.integrate(claims, encounters)
 
 
 @query

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -70,13 +70,23 @@ def mask(
     encounters: DataFrame,
     salt: str,
     limits: JoinLimits = DEFAULT_LIMITS,
+    keys_from: Mapping[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
-    """The three curated tables without identifiers or personal columns, linked by ``member_key``."""
+    """The three curated tables without identifiers or personal columns, linked by ``member_key``.
+
+    Claims and encounters that are not stored but still to be computed are better not read twice:
+    ``keys_from`` may name stored tables with the same identifiers in which to look for hot ones.
+    """
     mapping = key_mapping(patients, salt, limits=limits)
+
+    def masked(name: str, df: DataFrame, id_column: str, row_key: Sequence[str]) -> DataFrame:
+        stored = (keys_from or {}).get(name)
+        return replace_id(df, id_column, mapping, spread_by=row_key, keys_from=stored, limits=limits)
+
     return {
-        "claims": replace_id(claims, "member_id", mapping, spread_by=CLAIM_KEY, limits=limits),
+        "claims": masked("claims", claims, "member_id", CLAIM_KEY),
         "patients": deidentify(patients, salt),
-        "encounters": replace_id(encounters, "patient_id", mapping, spread_by=ENCOUNTER_KEY, limits=limits),
+        "encounters": masked("encounters", encounters, "patient_id", ENCOUNTER_KEY),
     }
 
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from conftest import plan
 
 from clinflow.operators.numbering import number_rows
 from clinflow.operators.star import build_dim, build_date_dim
@@ -25,6 +26,14 @@ def test_more_ranges_than_keys_and_no_keys(spark):
     assert numbered(df.limit(0), rows_per_task=1) == {}
 
 
+def test_many_keys_pass_no_single_task(spark):
+    keys = spark.range(2000).selectExpr("cast(id as string) as k")
+    assert "SinglePartition" in plan(number_rows(keys, "k", "sk", rows_per_task=5000))
+    many = plan(number_rows(keys, "k", "sk", rows_per_task=100))
+    assert "Window" not in many and "SinglePartition" not in many
+    assert "hashpartitioning" not in many and "BroadcastHashJoin" in many
+
+
 def test_keys_do_not_change_when_read_again(spark):
     df = number_rows(spark.range(2000).selectExpr("cast(id as string) as k"), "k", "sk", rows_per_task=100)
     assert sorted(df.collect()) == sorted(df.repartition(3).collect())

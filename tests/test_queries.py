@@ -113,7 +113,8 @@ def test_whole_way_on_the_routes_for_large_tables(spark, oracle, route):
     limits = ROUTES[route]
     claims, _ = stages.curate_claims(views.claims(spark, FOLDER))
     encounters, _ = stages.curate_encounters(views.encounters(spark, FOLDER))
-    safe = stages.mask(claims, views.patients(spark, FOLDER), encounters, queries.SALT, limits)
+    raw = {"claims": views.claims(spark, FOLDER)}
+    safe = stages.mask(claims, views.patients(spark, FOLDER), encounters, queries.SALT, limits, raw)
     visits = star.fold_visits(safe["encounters"])
     dims = star.build_dims(safe["claims"], safe["patients"], visits)
     fact = star.build_fact(safe["claims"], visits, dims, limits=limits)
