@@ -13,6 +13,8 @@ from clinflow.scratch import materialize
 
 # How many encounters a row stands for; expanded to that many rows at the very end.
 COPIES = "copies"
+# Tells apart the rows that stand for equal encounters.
+PIECE = "__piece"
 # A row never stands for more, so expanding one row stays a small array.
 MAX_COPIES = 65_536
 
@@ -29,14 +31,15 @@ def fold_encounters(encounters: DataFrame, columns: Sequence[str], max_copies: i
     known = encounters.filter(F.col("member_key").isNotNull())
     folded = known.groupBy("member_key", *columns).agg(F.count(F.lit(1)).alias("__all"))
     last = F.floor((F.col("__all") - 1) / max_copies)
-    pieces = folded.withColumn("__piece", F.explode(F.sequence(F.lit(0).cast("long"), last)))
-    size = F.least(F.lit(max_copies).cast("long"), F.col("__all") - F.col("__piece") * max_copies)
-    return pieces.select("member_key", *columns, size.cast("int").alias(COPIES), "__piece")
+    pieces = folded.withColumn(PIECE, F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    size = F.least(F.lit(max_copies).cast("long"), F.col("__all") - F.col(PIECE) * max_copies)
+    return pieces.select("member_key", *columns, size.cast("int").alias(COPIES), PIECE)
 
 
 def expand_copies(df: DataFrame) -> DataFrame:
     """Each row as many times as its ``copies`` says; a narrow step."""
-    return df.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col(COPIES)))).drop("__copy", COPIES)
+    repeated = df.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col(COPIES))))
+    return repeated.drop("__copy", COPIES, PIECE)
 
 
 def heavy_members(visits: DataFrame, limits: JoinLimits = DEFAULT_LIMITS) -> dict[tuple, int]:
@@ -63,7 +66,7 @@ def link_members(
         keys_from=keys_from,
         limits=limits,
     )
-    return linked.drop("__piece").withColumn(COPIES, F.coalesce(COPIES, F.lit(1)))
+    return linked.withColumn(COPIES, F.coalesce(COPIES, F.lit(1)))
 
 
 def add_final_codes(df: DataFrame, missing_codes: Sequence[str] = ()) -> DataFrame:

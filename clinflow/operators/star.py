@@ -10,6 +10,7 @@ from clinflow.functions.columns import as_amount, calendar_parts, known_code
 from clinflow.operators.integrate import (
     COPIES,
     ENCOUNTER_CODES,
+    PIECE,
     add_final_codes,
     expand_copies,
     fold_encounters,
@@ -157,8 +158,8 @@ def build_fact(
         "cpt_code",
     )
 
-    def by_claim(side: str) -> dict:
-        return {"spread_by": CLAIM_KEY, "limits": limits, "right_bytes": size[side]}
+    def by_claim(side: str, *more: str) -> dict:
+        return {"spread_by": (*CLAIM_KEY, *more), "limits": limits, "right_bytes": size[side]}
 
     keyed = add_date_sk(keyed, dims["dim_date"], keys_from=claims, **by_claim("dim_date"))
     keyed = add_provider_sk(keyed, dims["dim_provider"], keys_from=claims, **by_claim("dim_provider"))
@@ -168,6 +169,6 @@ def build_fact(
     # Hot codes show on the claims and visits they come from, without running the join above.
     codes = claims.select(F.col("icd10_code").alias("final_diagnosis")).union(visits.select("diagnosis_code"))
     linked = add_diagnosis_sk(
-        linked, dims["dim_diagnosis"], null_safe=null_safe, keys_from=codes, **by_claim("dim_diagnosis")
+        linked, dims["dim_diagnosis"], null_safe=null_safe, keys_from=codes, **by_claim("dim_diagnosis", PIECE)
     )
     return expand_copies(linked.select(*FACT_CLAIMS.columns.names, COPIES))

@@ -126,5 +126,5 @@ def test_many_copies_are_cut_into_pieces(spark):
     visits = spark.createDataFrame([("m", "x")] * 10 + [("m", None), (None, "x")], "member_key string, code string")
     folded = i.fold_encounters(visits, ["code"], max_copies=4)
     assert sorted(row.copies for row in folded.filter("code = 'x'").collect()) == [2, 4, 4]
-    whole = i.expand_copies(folded.drop("__piece"))
+    whole = i.expand_copies(folded)
     assert bag(whole) == bag(visits.filter("member_key is not null"))
