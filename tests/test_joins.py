@@ -8,6 +8,8 @@ import pytest
 from conftest import bag, plan
 from hypothesis import HealthCheck, given, settings, strategies as st
 
+from pyspark.sql import functions as F
+
 from clinflow.operators import joins
 from clinflow.operators.joins import JoinLimits, spread_join
 
@@ -105,3 +107,50 @@ def test_measured_bytes(spark):
     assert joins.measured_bytes(df, enough=1000) == 2 * 16 + 4 + 2 * 8
     assert joins.measured_bytes(df, enough=10) > 10
     assert joins.measured_bytes(df.limit(0), enough=10) == 0
+
+
+def largest_share(df):
+    """Of all rows, the share that came out of one task of the last shuffle."""
+    sizes = [row["count"] for row in df.groupBy(F.spark_partition_id()).count().collect()]
+    return max(sizes) / sum(sizes)
+
+
+@pytest.fixture
+def fixed_partitions(spark):
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize("hot", [1, None])
+def test_a_third_of_all_rows_under_one_key_is_spread(spark, fixed_partitions, hot):
+    left = spark.createDataFrame([(i, hot if i % 3 == 0 else i) for i in range(6000)], "i int, k int")
+    right = spark.createDataFrame([(k, "v") for k in range(3000)], "k int, v string")
+    plain = JoinLimits(broadcast_bytes=-1, hot_rows=10**6, sample_fraction=1.0)
+    spread = JoinLimits(broadcast_bytes=-1, hot_rows=50, sample_fraction=1.0)
+    one_task = joins.lookup(left, right, "k", limits=plain)
+    cells = joins.lookup(left, right, "k", spread_by=["i"], limits=spread)
+    assert largest_share(one_task) > 1 / 3
+    assert largest_share(cells) < 0.12
+    assert bag(one_task) == bag(cells)
+
+
+def test_a_third_of_the_right_rows_under_one_key_is_spread(spark, fixed_partitions):
+    left = spark.createDataFrame([(i, i % 1000) for i in range(2000)], "i int, k int")
+    right = spark.createDataFrame([(1 if i % 3 == 0 else i % 1000, i) for i in range(6000)], "k int, v int")
+    plain = JoinLimits(broadcast_bytes=-1, hot_rows=10**6, sample_fraction=1.0)
+    spread = JoinLimits(broadcast_bytes=-1, hot_rows=50, sample_fraction=1.0)
+    one_task = spread_join(left, right, "k", spread_by=["i"], limits=plain)
+    cells = spread_join(left, right, "k", spread_by=["i"], limits=spread)
+    assert largest_share(one_task) > 1 / 4
+    assert largest_share(cells) < 0.12
+    assert bag(one_task) == bag(cells)
+
+
+def test_a_sample_finds_what_owns_a_third(spark):
+    df = spark.range(60_000).selectExpr("if(id % 3 = 0, -1, id) as k")
+    found = joins.hot_keys(df, ["k"], JoinLimits(hot_rows=5_000, sample_fraction=0.05))
+    assert list(found) == [(-1,)] and 15_000 < found[(-1,)] < 25_000

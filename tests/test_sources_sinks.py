@@ -106,3 +106,40 @@ def test_load_checks_first_and_hides_the_password(spark, monkeypatch):
     with pytest.raises(warehouse.ContractError, match="primary_key on provider_sk: 1"):
         warehouse.load_table(good.union(good), DIM_PROVIDER, target)
     assert len(written) == 1
+
+
+def test_jdbc_writer_gets_its_options(spark, monkeypatch):
+    calls = []
+
+    class Writer:
+        def format(self, name):
+            calls.append(("format", name))
+            return self
+
+        def options(self, **options):
+            calls.append(("options", options))
+            return self
+
+        def mode(self, name):
+            calls.append(("mode", name))
+            return self
+
+        def save(self):
+            calls.append(("save", None))
+
+    df = spark.createDataFrame([(1, "P1")], "provider_sk bigint, provider_id string")
+    monkeypatch.setattr(type(df), "write", property(lambda self: Writer()))
+    target = warehouse.JdbcTarget("jdbc:x", "t", "u", "p", driver="org.example.Driver", mode="overwrite", connections=4)
+    warehouse.write_jdbc(df, target)
+    assert [name for name, _ in calls] == ["format", "options", "mode", "save"]
+    assert calls[0][1] == "jdbc" and calls[2][1] == "overwrite"
+    assert calls[1][1] == {
+        "url": "jdbc:x",
+        "dbtable": "t",
+        "user": "u",
+        "password": "p",
+        "driver": "org.example.Driver",
+        "numPartitions": "4",
+        "batchsize": "10000",
+        "truncate": "true",
+    }
