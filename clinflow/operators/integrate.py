@@ -7,9 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from clinflow.functions.columns import first_code
-from clinflow.operators.joins import DEFAULT_LIMITS, JoinLimits, hot_keys, measured_bytes, spread_join
-from clinflow.schemas import CLAIM_KEY
-from clinflow.scratch import materialize
+from clinflow.operators.joins import DEFAULT_LIMITS, JoinLimits, hot_keys, spread_join
+from clinflow.schemas import CLAIM_KEY, ENCOUNTER_KEY
 
 # How many encounters a row stands for; expanded to that many rows at the very end.
 COPIES = "copies"
@@ -91,14 +90,10 @@ def integrate(
     """One row per claim and encounter of its member, claims without encounters once, final codes added.
 
     The encounter side is every encounter of the member, whatever its date, so measures of a claim
-    repeat: sum them per claim, not over these rows.
+    repeat: sum them per claim, not over these rows. Both sides are as deduplicated: the keys they
+    were deduplicated on tell apart the rows of a hot member.
     """
-    enough = limits.broadcast_bytes
-    bound, heavy = measured_bytes(encounters.select("member_key", *ENCOUNTER_DETAIL), enough), {}
-    visits = fold_encounters(encounters, ENCOUNTER_DETAIL)
-    if bound > enough:
-        # Measured, searched for heavy members and joined: folded once.
-        visits = materialize(visits, "visits")
-        bound, heavy = measured_bytes(visits, enough), heavy_members(visits, limits)
-    linked = link_members(claims, visits, bound, heavy, limits=limits)
-    return expand_copies(add_final_codes(linked, missing_codes))
+    visits = encounters.filter(F.col("member_key").isNotNull())
+    visits = visits.select("member_key", *ENCOUNTER_DETAIL, *ENCOUNTER_KEY)
+    linked = spread_join(claims, visits, "member_key", spread_by=CLAIM_KEY, limits=limits)
+    return add_final_codes(linked.drop(*ENCOUNTER_KEY), missing_codes)
