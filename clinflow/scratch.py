@@ -1,30 +1,51 @@
-"""Tables that cut lineage: written to the shared folder of the cluster and read back."""
+"""Tables that cut lineage: written to a shared folder of the cluster and read back."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_JOB: ContextVar[str | None] = ContextVar("clinflow_job_folder", default=None)
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder ``spark.checkpoint.dir`` names; only a local session may fall back to one of its own."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    context = spark.sparkContext
-    chosen = context.getCheckpointDir()
-    if chosen:
-        return chosen
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="clinflow-"))
-    return context.getCheckpointDir()
+    """The folder ``spark.checkpoint.dir`` names, else the session's checkpoint folder, else the warehouse.
+
+    All of them are shared by driver and executors; the session is left as it is.
+    """
+    return (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getCheckpointDir()
+        or spark.conf.get("spark.sql.warehouse.dir")
+    )
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/clinflow/{label}-{uuid.uuid4().hex}"
+    folder = _JOB.get() or f"{shared_folder(spark).rstrip('/')}/clinflow"
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a path of any file system Spark can reach."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def job_folder(spark: SparkSession, label: str) -> Iterator[str]:
+    """One scratch folder for everything a job keeps; it is removed at the end, however the job ends."""
+    path = new_path(spark, label)
+    token = _JOB.set(path)
+    try:
+        yield path
+    finally:
+        _JOB.reset(token)
+        remove(spark, path)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
