@@ -2,13 +2,15 @@
 
 A text is cut after sentence ends and line breaks; a sentence of more than ``longest`` words counts as several. From
 every sentence a span slides: the shortest run of at least ``least_sentences`` sentences with ``least_words`` words.
-Spans are compared by a 128-bit hash of their words over all documents. The first occurrence is that of least
+Spans are compared by 96 bits of hash of their words over all documents. The first occurrence is that of least
 doc_id, then place; every sentence that another occurrence covers is removed.
 
-Counts and first places combine before they travel; only spans that repeat are joined back to their places.
+Keys are counted first, so that of the many spans that occur once only the key travels; then spans of repeated keys
+find their first place, again combined before they travel. Texts travel only where they lose something.
 
-Defined results: a NULL or empty text has no sentences and stays as an empty text. Rows with the same doc_id and text
-lose the same sentences. Rows without doc_id come after all others. Extra columns are not carried.
+Defined results: a NULL or empty text has no sentences and stays as an empty text. Rows with the same doc_id are one
+document: what two of them have at the same place is no repetition. Rows without doc_id are one document after all others.
+Extra columns are not carried.
 """
 
 from __future__ import annotations
@@ -21,17 +23,23 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from clinflow.llm.text import in_slices, whole
+from clinflow.llm.text import in_slices
 from clinflow.scratch import materialize
 
+KEY = ["key_a", "key_b"]
+# What one doc_id takes in a broadcast, about.
+_ID_BYTES = 64
 _WORD = re.compile(r"\S+")
 
 
 @dataclass(frozen=True)
 class SpanSettings:
+    """``broadcast_bytes``: the ids of documents that lose something are broadcast up to this size."""
+
     least_sentences: int = 2
     least_words: int = 20
     longest: int = 12
+    broadcast_bytes: int = 32 << 20
 
 
 def sentences(text: str, longest: int) -> list[tuple[int, int, list[str]]]:
@@ -66,63 +74,89 @@ def spans(counts: list[int], least_sentences: int, least_words: int) -> Iterator
         filled -= counts[first]
 
 
+def span_key(parts: list[bytes], first: int, last: int) -> tuple[int, int]:
+    """96 bits of hash of a run of sentences, as a long and an int."""
+    digest = xxhash.xxh3_128_digest(b"\x00".join(parts[first : last + 1]))
+    return int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:12], "big", signed=True)
+
+
+def _words(found: list[tuple[int, int, list[str]]]) -> list[bytes]:
+    return [" ".join(words).encode() for _, _, words in found]
+
+
 def span_table(docs: DataFrame, settings: SpanSettings) -> DataFrame:
-    """(doc_id, mark, first, last, key_a, key_b) of every span of every text."""
+    """(doc_id, first, key_a, key_b) of every span of every text."""
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches):
-            rows, firsts, lasts, keys = [], [], [], []
+            rows, firsts, keys = [], [], []
             for i, text in enumerate(batch.column("text").to_pylist()):
                 found = sentences(text or "", settings.longest)
-                parts = [" ".join(words).encode() for _, _, words in found]
+                parts = _words(found)
                 for first, last in spans([len(words) for _, _, words in found], settings.least_sentences, settings.least_words):
                     rows.append(i)
                     firsts.append(first)
-                    lasts.append(last)
-                    keys.append(xxhash.xxh3_128_digest(b"\x00".join(parts[first : last + 1])))
-            halves = [[int.from_bytes(k[a : a + 8], "big", signed=True) for k in keys] for a in (0, 8)]
-            at = pa.array(rows, pa.int64())
-            columns = [batch.column("doc_id").take(at), batch.column("mark").take(at), pa.array(firsts, pa.int32()), pa.array(lasts, pa.int32()), *(pa.array(h, pa.int64()) for h in halves)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "mark", "first", "last", "key_a", "key_b"])
+                    keys.append(span_key(parts, first, last))
+            ids = batch.column("doc_id").take(pa.array(rows, pa.int64()))
+            columns = [ids, pa.array(firsts, pa.int32()), pa.array([a for a, _ in keys], pa.int64()), pa.array([b for _, b in keys], pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "first", *KEY])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    texts = docs.select("doc_id", F.xxhash64(whole("text")).alias("mark"), "text")
-    return texts.mapInArrow(cut, f"doc_id {id_type}, mark long, first int, last int, key_a long, key_b long")
+    return docs.select("doc_id", "text").mapInArrow(cut, f"doc_id {id_type}, first int, key_a long, key_b int")
 
 
-def removed_sentences(docs: DataFrame, settings: SpanSettings = SpanSettings()) -> DataFrame:
-    """(doc_id, mark, spans): the runs of sentences (first, last) each text loses."""
+def removed_spans(docs: DataFrame, settings: SpanSettings = SpanSettings()) -> DataFrame:
+    """(doc_id, spans): place and key of the spans each document loses."""
     table = materialize(span_table(docs, settings), "spans")
-    place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "mark", "first")
-    least = table.groupBy("key_a", "key_b").agg(F.min(place).alias("least"), F.max(place).alias("greatest"))
-    repeated = least.filter(~F.col("least").eqNullSafe(F.col("greatest"))).drop("greatest")
-    lost = table.join(repeated, ["key_a", "key_b"]).filter(~place.eqNullSafe(F.col("least")))
-    return lost.groupBy("doc_id", "mark").agg(F.collect_set(F.struct("first", "last")).alias("spans"))
+    counted = table.groupBy(*KEY).count().filter(F.col("count") > 1)
+    repeated = materialize(counted.select(*KEY), "repeated-spans")
+    rows = materialize(table.join(repeated, KEY, "left_semi"), "span-rows")
+    place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "first")
+    least = rows.groupBy(*KEY).agg(F.min(place).alias("least"))
+    lost = rows.join(least, KEY).filter(~place.eqNullSafe(F.col("least")))
+    return lost.groupBy("doc_id").agg(F.collect_set(F.struct("first", *KEY)).alias("spans"))
 
 
 def drop_repeated_spans(docs: DataFrame, settings: SpanSettings = SpanSettings()) -> DataFrame:
     """doc_id, n_sentences, n_removed, removed (character ranges, "start:end" joined by commas) and text, what is left of it."""
-    lost = removed_sentences(docs, settings).select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark"), "spans")
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64(whole("text")) == F.col("__mark"))
-    found = docs.select("doc_id", "text").join(lost.hint("shuffle_hash"), same, "left").select("doc_id", "text", "spans")
+    lost = materialize(removed_spans(docs, settings).withColumnRenamed("doc_id", "__id"), "lost-spans")
+    texts = docs.select("doc_id", "text")
+    same = F.col("doc_id").eqNullSafe(F.col("__id"))
+    if lost.count() * _ID_BYTES <= settings.broadcast_bytes:
+        # Documents that lose nothing stay where they are.
+        ids = F.broadcast(lost.select("__id"))
+        losing = texts.join(ids, same, "left_semi").join(lost.hint("shuffle_hash"), same, "left")
+        none = F.lit(None).cast(lost.schema["spans"].dataType)
+        found = losing.select("doc_id", "text", "spans").unionByName(texts.join(ids, same, "left_anti").withColumn("spans", none))
+    else:
+        found = texts.join(lost.hint("shuffle_hash"), same, "left").select("doc_id", "text", "spans")
 
     def taken_out(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches):
             counts, gone, ranges, texts = [], [], [], []
             for text, runs in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
                 parts = sentences(text or "", settings.longest)
-                covered = set()
-                reach = -1
-                for run in sorted(runs or [], key=lambda r: (r["first"], r["last"])):
-                    covered.update(range(max(run["first"], reach + 1), run["last"] + 1))
-                    reach = max(reach, run["last"])
+                covered = _covered(parts, {(r["first"], r["key_a"], r["key_b"]) for r in runs or []}, settings)
                 counts.append(len(parts))
                 gone.append(len(covered))
-                ranges.append(",".join(f"{parts[i][0]}:{parts[i][1]}" for i in sorted(covered)))
-                lead = (text or "")[: parts[0][0]] if parts else text or ""
-                texts.append(lead + "".join(text[s:e] for i, (s, e, _) in enumerate(parts) if i not in covered))
+                ranges.append(",".join(f"{parts[i][0]}:{parts[i][1]}" for i in covered))
+                hidden = set(covered)
+                texts.append("".join(text[s:e] for i, (s, e, _) in enumerate(parts) if i not in hidden) if parts else text or "")
             columns = [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(gone, pa.int64()), pa.array(ranges, pa.string()), pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_sentences", "n_removed", "removed", "text"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return found.mapInArrow(taken_out, f"doc_id {id_type}, n_sentences long, n_removed long, removed string, text string")
+
+
+def _covered(parts: list[tuple[int, int, list[str]]], lost: set[tuple[int, int, int]], settings: SpanSettings) -> list[int]:
+    """Sentences within the spans that this text loses, in order."""
+    if not lost:
+        return []
+    words = _words(parts)
+    firsts = {first for first, _, _ in lost}
+    covered: list[int] = []
+    for first, last in spans([len(w) for _, _, w in parts], settings.least_sentences, settings.least_words):
+        if first in firsts and (first, *span_key(words, first, last)) in lost:
+            covered.extend(range(max(first, covered[-1] + 1 if covered else 0), last + 1))
+    return covered
