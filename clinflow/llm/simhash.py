@@ -209,7 +209,7 @@ def keep_one_of_each(docs: DataFrame, shingle: int = 3, radius: int = 2) -> Data
 
 def _without_id(docs: DataFrame, found: DataFrame, shingle: int) -> DataFrame:
     """Rows without doc_id whose fingerprint lies in a component without any doc_id."""
-    nameless = found.filter(F.col("component_id").isNull()).select("fp").distinct()
+    nameless = found.filter(F.col("component_id").isNull()).select(F.col("fp").alias("__near")).distinct()
     rows = docs.filter(F.col("doc_id").isNull())
 
     def with_print(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,4 +218,4 @@ def _without_id(docs: DataFrame, found: DataFrame, shingle: int) -> DataFrame:
             yield batch.append_column("__fp", pa.array(prints, pa.int64()))
 
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return rows.mapInArrow(with_print, f"{types}, `__fp` long").join(nameless, F.col("__fp") == F.col("fp"), "left_semi").drop("__fp")
+    return rows.mapInArrow(with_print, f"{types}, `__fp` long").join(nameless, F.col("__fp") == F.col("__near"), "left_semi").drop("__fp")

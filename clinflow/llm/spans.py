@@ -112,7 +112,8 @@ def removed_spans(docs: DataFrame, settings: SpanSettings = SpanSettings()) -> D
     repeated = materialize(counted.select(*KEY), "repeated-spans")
     rows = materialize(table.join(repeated, KEY, "left_semi"), "span-rows")
     place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "first")
-    least = rows.groupBy(*KEY).agg(F.min(place).alias("least"))
+    # Stored, so that the join has a shuffle of its own, in which the rows of a hot key can be split.
+    least = materialize(rows.groupBy(*KEY).agg(F.min(place).alias("least")), "first-places")
     lost = rows.join(least, KEY).filter(~place.eqNullSafe(F.col("least")))
     return lost.groupBy("doc_id").agg(F.collect_set(F.struct("first", *KEY)).alias("spans"))
 

@@ -9,7 +9,8 @@ shard come back, and the best of them are kept. All scores are exact integers.
 Defined results: vectors that are NULL, hold NULL or a component that is not finite times the scale, or have no vec_id,
 take no part. Only vectors of the same number of components meet; no components score zero. Of rows that repeat
 the vec_id of a query the greatest vector asks, once; rows with that vec_id are its own and no candidates. Other
-repeated rows are candidates each. Scores beyond a long are held at its ends. Fewer candidates give fewer rows.
+repeated rows are candidates each. Scores beyond a long are held at its ends before they
+are compared. Fewer candidates give fewer rows.
 """
 
 from __future__ import annotations
@@ -49,7 +50,7 @@ def quantised(vectors: list, scale: int) -> np.ndarray:
     """floor(scale * x) of every component: longs where products of such vectors fit, else Python integers."""
     scaled = np.floor(np.array([np.asarray(v, float) for v in vectors]).reshape(len(vectors), -1) * scale)
     width = max(1, scaled.shape[1])
-    if not scaled.size or np.abs(scaled).max() ** 2 * width < 2.0**62:
+    if not scaled.size or np.abs(scaled).max() < (2.0**62 / width) ** 0.5:
         return scaled.astype(np.int64)
     out = np.empty(scaled.shape, object)
     out[:] = [[floor(x) for x in row] for row in scaled.tolist()]
@@ -73,7 +74,8 @@ class BallTree:
         node = len(self.radii)
         own = rows[members]
         centre = own.mean(axis=0)
-        away = np.linalg.norm(own - centre, axis=1)
+        with np.errstate(all="ignore"):  # huge components give infinite radii, which never prune
+            away = np.nan_to_num(np.linalg.norm(own - centre, axis=1), nan=np.inf)
         self.centres.append(centre)
         self.radii.append(float(away.max()))
         self.children.append(None)
@@ -81,8 +83,8 @@ class BallTree:
         if len(members) > leaf:
             # Along the line from the farthest row to the row farthest from that; halves of equal size.
             one = own[away.argmax()]
-            other = own[np.linalg.norm(own - one, axis=1).argmax()]
             with np.errstate(all="ignore"):
+                other = own[np.linalg.norm(own - one, axis=1).argmax()]
                 side = np.argsort(np.nan_to_num(own @ (other - one)), kind="stable")
             half = len(members) // 2
             self.children[node] = (self._build(rows, members[side[:half]], leaf), self._build(rows, members[side[half:]], leaf))
@@ -95,7 +97,7 @@ class BallTree:
             size = np.linalg.norm(asked)
             found = self.centre @ asked + size * self.radius
             slack = 1e-9 * size * (np.linalg.norm(self.centre, axis=1) + self.radius) + 1e-6
-            return np.nan_to_num(found + slack, nan=np.inf)
+            return np.maximum(np.nan_to_num(found + slack, nan=np.inf), -_LONG - 1)
 
     def search(self, rows: np.ndarray, ids: np.ndarray, own: int, query: np.ndarray, k: int, least: int | None) -> list[tuple[int, int]]:
         """The best k (score, id), not counting ``own``, among those with a score of ``least`` or more."""
@@ -115,6 +117,7 @@ class BallTree:
                 continue
             members = self.members[node]
             for score, other in zip((rows[members] @ query).tolist(), ids[members].tolist()):
+                score = max(-_LONG - 1, min(_LONG, score))
                 if other == own or (floor_now is not None and score < floor_now):
                     continue
                 if len(best) < k:
@@ -137,7 +140,7 @@ def _searched(queries: DataFrame, vectors: DataFrame, settings: SearchSettings)
             for i, (own, least) in enumerate(zip(asked["vec_id"].tolist(), asked["least"].tolist())):
                 least = None if pd.isna(least) else int(least)
                 found = tree.search(rows, ids, own, mine[i], settings.k, least)
-                out += [(own, other, max(-_LONG - 1, min(_LONG, score))) for score, other in found]
+                out += [(own, other, score) for score, other in found]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"], dtype="int64")
 
     on = ["shard", "block", "width"]

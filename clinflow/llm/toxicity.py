@@ -11,7 +11,7 @@ all significant segments adds up (sum statistics) and a logistic curve fitted to
 The model learns from a bounded sample of labelled rows; scoring is one narrow pass over all whole texts.
 
 Defined results: a NULL or empty text holds no segment and gets the score of no evidence; without labels of both
-kinds there is no evidence anywhere and every score is the smoothed share of toxic labels. Repeated rows score alike.
+kinds there is no evidence anywhere and no text is rejected. Repeated rows score alike.
 """
 
 from __future__ import annotations
@@ -117,7 +117,7 @@ class ToxicityModel:
     rate: float = 1.0
     constant: float = 1.0
     slope: float = 0.0
-    offset: float = 0.0
+    offset: float = -2.0
 
     def scan(self, text: str | None, scores: TokenScores) -> tuple[int, list[tuple[int, int, float]]]:
         """Number of tokens, and all maximal segments in tokens."""
@@ -223,6 +223,9 @@ def _calibrate(model: ToxicityModel, halves: list[ToxicityModel], rows: list[dic
         model.constant = min(1.0, max(1e-4, exp(float(np.mean(best)) - _EULER)))
     x = [min(model.evidence(r["tokens"], [(0, 0, s) for s in r["sums"]])[0], 50.0) for r in seen]
     model.slope, model.offset = _logistic(np.array(x, float), np.array([r["y"] for r in seen], float))
+    # Without any evidence a text is never rejected, whatever the share of toxic labels.
+    least = settings.threshold * 2 / 3
+    model.offset = min(model.offset, log(least / (1 - least)))
     return model
 
 
