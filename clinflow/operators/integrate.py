@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from clinflow.functions.columns import first_code
 from clinflow.operators.joins import DEFAULT_LIMITS, JoinLimits, hot_keys, spread_join
+from clinflow.operators.rows import fold_copies, unfold_copies
 from clinflow.schemas import CLAIM_KEY, ENCOUNTER_KEY
 
 # How many encounters a row stands for; expanded to that many rows at the very end.
@@ -22,23 +23,14 @@ ENCOUNTER_CODES = ("diagnosis_code", "procedure_code")
 
 
 def fold_encounters(encounters: DataFrame, columns: Sequence[str], max_copies: int = MAX_COPIES) -> DataFrame:
-    """Equal encounters of a member become one row with their number in ``copies``.
-
-    Partial aggregation folds them before the shuffle. A very large number is cut into several
-    rows, so that neither the join nor the expansion depends on how often a row repeats.
-    """
+    """Equal encounters of a member become one row with their number in ``copies``, very large numbers several."""
     known = encounters.filter(F.col("member_key").isNotNull())
-    folded = known.groupBy("member_key", *columns).agg(F.count(F.lit(1)).alias("__all"))
-    last = F.floor((F.col("__all") - 1) / max_copies)
-    pieces = folded.withColumn(PIECE, F.explode(F.sequence(F.lit(0).cast("long"), last)))
-    size = F.least(F.lit(max_copies).cast("long"), F.col("__all") - F.col(PIECE) * max_copies)
-    return pieces.select("member_key", *columns, size.cast("int").alias(COPIES), PIECE)
+    return fold_copies(known, ["member_key", *columns], COPIES, PIECE, max_copies)
 
 
 def expand_copies(df: DataFrame) -> DataFrame:
     """Each row as many times as its ``copies`` says; a narrow step."""
-    repeated = df.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col(COPIES))))
-    return repeated.drop("__copy", COPIES, PIECE)
+    return unfold_copies(df, COPIES).drop(COPIES, PIECE)
 
 
 def heavy_members(visits: DataFrame, limits: JoinLimits = DEFAULT_LIMITS) -> dict[tuple, int]:
@@ -97,3 +89,19 @@ def integrate(
     visits = visits.select("member_key", *ENCOUNTER_DETAIL, *ENCOUNTER_KEY)
     linked = spread_join(claims, visits, "member_key", spread_by=CLAIM_KEY, limits=limits)
     return add_final_codes(linked.drop(*ENCOUNTER_KEY), missing_codes)
+
+
+def nearest_encounter(claims: DataFrame, encounters: DataFrame, limits: JoinLimits = DEFAULT_LIMITS) -> DataFrame:
+    """(claim key, codes of the encounter): of a member's encounters the one nearest to the claim in days, ties by id.
+
+    One row per claim that has any. Pairs are formed by the spread join and reduced at once, the least
+    per claim combining before the shuffle; a claim without a date takes the encounter of least id.
+    """
+    visits = encounters.filter(F.col("member_key").isNotNull()).select("member_key", *ENCOUNTER_DETAIL, *ENCOUNTER_KEY)
+    narrow = claims.filter(F.col("member_key").isNotNull()).select(*CLAIM_KEY, "member_key")
+    pairs = spread_join(narrow, visits, "member_key", spread_by=CLAIM_KEY, limits=limits)
+    days = F.abs(F.datediff("service_date", "encounter_date"))
+    far = F.coalesce(days, F.lit(1 << 30))
+    pick = F.min(F.struct(far.alias("days"), *ENCOUNTER_KEY, *ENCOUNTER_CODES)).alias("pick")
+    met = pairs.filter(F.col(ENCOUNTER_KEY[0]).isNotNull()).groupBy(*CLAIM_KEY).agg(pick)
+    return met.select(*CLAIM_KEY, *[F.col(f"pick.{name}") for name in ENCOUNTER_CODES])

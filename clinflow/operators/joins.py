@@ -1,13 +1,14 @@
 """Joins that hold up when one key owns a large share of the rows.
 
-Four routes, all with the same result:
+Routes, all with the same result:
 
 * the right side is measured and fits: broadcast it, the left side does not move;
 * no key is hot: a plain shuffle join, left to Catalyst and AQE;
 * some keys are hot and the caller can tell the rows of a key apart: a hot key (NULL may be one)
   covers a grid of cells instead of one task, in the same single shuffle as all other keys;
 * some keys are hot and rows may be exact copies, which no hash can part: rows of hot keys do not move
-  but join a broadcast of the few right rows they need, and the rest shuffle as usual.
+  but join a broadcast of the few right rows they need, and the rest shuffle as usual; if those right rows are
+  too many, equal left rows are folded into counted pieces first, which hashes can part, and unfolded after.
 
 Measuring looks at a sample only to choose the route; every row is joined.
 """
@@ -20,18 +21,22 @@ from functools import reduce
 from math import ceil
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import BinaryType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, MapType, StringType, StructField, StructType
+
+from clinflow.operators.rows import fold_copies, unfold_copies
 
 _ROW_BYTES = 16
+_COPIES = "__copies"
+_PIECE = "__piece"
 
 
 @dataclass(frozen=True)
 class JoinLimits:
-    """When to broadcast, and when a key counts as hot."""
+    """When to broadcast, and when a key counts as hot: from ``hot_rows`` rows on, or from a quarter of the rows of
+    an average shuffle partition if that is more. So there are never more hot keys than four per partition."""
 
     broadcast_bytes: int = 64 << 20
     hot_rows: int = 2_000_000
-    max_hot_keys: int = 10_000
     sample_fraction: float = 0.001
 
 
@@ -39,12 +44,14 @@ DEFAULT_LIMITS = JoinLimits()
 
 
 def _value_bytes(df: DataFrame) -> Column:
-    widths = [
-        F.coalesce(F.octet_length(field.name), F.lit(0))
-        if isinstance(field.dataType, (StringType, BinaryType))
-        else F.lit(8)
-        for field in df.schema
-    ]
+    def width(field: StructField) -> Column:
+        if isinstance(field.dataType, (StringType, BinaryType)):
+            return F.coalesce(F.octet_length(field.name), F.lit(0))
+        if isinstance(field.dataType, (ArrayType, MapType, StructType)):
+            return F.coalesce(F.octet_length(F.to_json(F.struct(field.name))), F.lit(0))
+        return F.lit(8)
+
+    widths = [width(field) for field in df.schema]
     return F.coalesce(F.sum(sum(widths, F.lit(0)).cast("long")), F.lit(0))
 
 
@@ -72,20 +79,25 @@ def measured_bytes(df: DataFrame, enough: int) -> int:
 def hot_keys(
     df: DataFrame, on: Sequence[str], limits: JoinLimits, weight: str | None = None
 ) -> dict[tuple, int]:
-    """Keys that stand for ``hot_rows`` rows or more, with that number, the largest first.
+    """Keys that own ``hot_rows`` rows or more, and a quarter of an average shuffle partition, with that number.
 
     Rows count once, or as often as their ``weight`` says; unweighted counts are estimated from a
-    sample. A key left out is below ``hot_rows`` or below the share 1 / ``max_hot_keys``.
+    sample. What comes to the driver is bounded by four keys per shuffle partition; both sides of a
+    join must see the same keys, also when a part of them is computed again.
     """
     share = 1.0 if weight else limits.sample_fraction
     keys = df.select(*on, *([weight] if weight else []))
     if share < 1:
         keys = keys.sample(share, seed=7)
     size = F.sum(weight) if weight else F.count(F.lit(1))
-    sized = keys.groupBy(*on).agg(size.alias("__rows"))
-    sized = sized.filter(F.col("__rows") >= max(1, int(limits.hot_rows * share)))
-    top = sized.orderBy(F.desc("__rows"), *on).limit(limits.max_hot_keys).collect()
-    return {tuple(row[name] for name in on): int(row["__rows"] / share) for row in top}
+    total = keys.agg(size.alias("n")).first()["n"] or 0
+    least = max(1, int(limits.hot_rows * share), total / _most_cells(df))
+    sized = keys.groupBy(*on).agg(size.alias("__rows")).filter(F.col("__rows") >= least)
+    return {tuple(row[name] for name in on): int(row["__rows"] / share) for row in sized.collect()}
+
+
+def _most_cells(df: DataFrame) -> int:
+    return 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _match(left: DataFrame, right: DataFrame, on: Sequence[str], prefix: str, null_safe: bool) -> Column:
@@ -149,7 +161,7 @@ def _cells(left: DataFrame, on: Sequence[str], left_hot: dict, right_hot: dict,
     """How many cells each hot key gets on either side: one row per hot key."""
 
     def count(hot: dict, key: tuple) -> int:
-        return max(1, ceil(hot.get(key, 0) / limits.hot_rows))
+        return max(1, min(_most_cells(left), ceil(hot.get(key, 0) / limits.hot_rows)))
 
     sizes = [(*key, count(left_hot, key), count(right_hot, key)) for key in {**left_hot, **right_hot}]
     keys = [StructField(name, left.schema[name].dataType) for name in on]
@@ -180,33 +192,37 @@ def spread_join(
     """``left`` joined to ``right`` on equal ``on`` columns, ``how`` being "left" or "left_anti".
 
     ``unique_right`` promises at most one right row per key. ``spread_by`` names columns that tell left
-    rows of one key apart, such as a key they were deduplicated on. What the caller knows need not be
-    measured: ``right_bytes``, an upper bound of the right side's size; ``right_hot``, its hot keys;
+    rows of one key apart, such as a key they were deduplicated on; without it, and with a map among the
+    columns of ``left``, equal rows cannot be found, which is refused. What the caller knows need not be measured: ``right_bytes``, an upper bound of the right side's size; ``right_hot``, its hot keys;
     ``keys_from``, a frame with the keys of ``left`` that is cheaper to read.
     """
     on = [on] if isinstance(on, str) else list(on)
+    if not spread_by and any(isinstance(field.dataType, MapType) for field in left.schema):
+        raise TypeError("rows with a map column need spread_by")
     size = measured_bytes(right, limits.broadcast_bytes) if right_bytes is None else right_bytes
     if size <= limits.broadcast_bytes and not right_hot:
         return _join(left, F.broadcast(right), on, how, null_safe)
 
+    if how == "left_anti" and not unique_right:
+        # Whether a key is there does not depend on how often.
+        right, unique_right, right_hot = right.select(*on).distinct(), True, {}
     left_hot = hot_keys(left if keys_from is None else keys_from, on, limits)
     if right_hot is None:
-        right_hot = {} if unique_right else hot_keys(right.dropna(subset=on), on, limits)
+        right_hot = {} if unique_right else hot_keys(right if null_safe else right.dropna(subset=on), on, limits)
     if not left_hot and not right_hot:
         return _join(left, right, on, how, null_safe)
 
     cells = _cells(left, on, left_hot, right_hot, limits)
     if spread_by:
-        if how != "left" and right_hot:
-            raise ValueError("only a left join can spread hot keys of the right side")
         return _grid_join(left, right, on, how, null_safe, spread_by, cells)
     hot_right, _ = part_hot(right, on, cells)
-    if not unique_right and measured_bytes(hot_right, limits.broadcast_bytes) > limits.broadcast_bytes:
-        raise ValueError("hot keys match too many rows to broadcast: name spread_by columns")
     staying, moving = part_hot(left, on, cells)
-    return _join(staying, F.broadcast(hot_right), on, how, null_safe).unionByName(
-        _join(moving, right, on, how, null_safe)
-    )
+    others = _join(moving, right, on, how, null_safe)
+    if measured_bytes(hot_right, limits.broadcast_bytes) <= limits.broadcast_bytes:
+        return _join(staying, F.broadcast(hot_right), on, how, null_safe).unionByName(others)
+    folded = fold_copies(staying, left.columns, _COPIES, _PIECE, limits.hot_rows)
+    met = _grid_join(folded, hot_right, on, how, null_safe, [*left.columns, _PIECE], cells)
+    return unfold_copies(met, _COPIES).drop(_COPIES, _PIECE).unionByName(others)
 
 
 def lookup(df: DataFrame, reference: DataFrame, on: str, **options) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from itertools import accumulate
 from math import ceil
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clinflow.scratch import materialize
 
@@ -17,27 +18,30 @@ _POSITION = "__position"
 _ROW_BITS = 33
 
 
-def number_rows(keys: DataFrame, natural_key: str, key_name: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Add ``key_name``: 1..n in the order of ``natural_key``, NULL last.
+def number_rows(
+    keys: DataFrame, natural_key: str | Sequence[str], key_name: str, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """Add ``key_name``: 1..n in the order of ``natural_key``, one column or several, NULL last.
 
     ``keys`` holds each natural key once. It is written out first: the numbers are then given once,
     to a fixed set of rows, and the row count that picks the route comes from the file footers.
     """
     kept = materialize(keys, f"keys-{key_name}")
     rows = kept.count()
-    order = F.col(natural_key).asc_nulls_last()
+    columns = [natural_key] if isinstance(natural_key, str) else natural_key
+    order = [F.col(name).asc_nulls_last() for name in columns]
     if rows <= rows_per_task:
-        return kept.withColumn(key_name, F.row_number().over(Window.orderBy(order)).cast("long"))
+        return kept.withColumn(key_name, F.row_number().over(Window.orderBy(*order)).cast("long"))
     return _number_ranges(kept, order, key_name, ceil(rows / rows_per_task))
 
 
-def _number_ranges(keys: DataFrame, order, key_name: str, ranges: int) -> DataFrame:
+def _number_ranges(keys: DataFrame, order: Sequence[Column], key_name: str, ranges: int) -> DataFrame:
     """Sort in ranges, number within each, then shift each range by the rows before it.
 
     Range bounds are sampled, so a second run could cut elsewhere: positions are written out
     before anything is derived from them. Only one count per range reaches the driver.
     """
-    ordered = keys.repartitionByRange(ranges, order).sortWithinPartitions(order)
+    ordered = keys.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
     placed = materialize(ordered.withColumn(_POSITION, F.monotonically_increasing_id()), f"order-{key_name}")
     part = F.shiftright(_POSITION, _ROW_BITS).cast("int")
     sizes = sorted(tuple(r) for r in placed.groupBy(part.alias("part")).count().collect())

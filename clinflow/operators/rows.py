@@ -38,3 +38,21 @@ def union_rows(*frames: DataFrame) -> DataFrame:
     for frame in rest:
         first = first.unionByName(frame)
     return first
+
+
+def fold_copies(df: DataFrame, columns: Sequence[str], copies: str, piece: str, most: int) -> DataFrame:
+    """Rows equal in ``columns`` become one row with their number in ``copies``.
+
+    Partial aggregation folds them before the shuffle. A number above ``most`` is cut into several rows,
+    which ``piece`` tells apart, so nothing after depends on how often a row repeats.
+    """
+    folded = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("__all"))
+    last = F.floor((F.col("__all") - 1) / most)
+    pieces = folded.withColumn(piece, F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    size = F.least(F.lit(most).cast("long"), F.col("__all") - F.col(piece) * most)
+    return pieces.select(*columns, size.cast("int").alias(copies), piece)
+
+
+def unfold_copies(df: DataFrame, copies: str) -> DataFrame:
+    """Each row as many times as ``copies`` says; a narrow step."""
+    return df.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), F.col(copies)))).drop("__copy")

@@ -16,6 +16,7 @@ from clinflow.operators.integrate import (
     fold_encounters,
     heavy_members,
     link_members,
+    nearest_encounter,
 )
 from clinflow.operators.joins import DEFAULT_LIMITS, JoinLimits, lookup, measured_sizes, part_hot
 from clinflow.operators.numbering import ROWS_PER_TASK, number_rows
@@ -24,17 +25,24 @@ from clinflow.scratch import materialize
 
 
 def build_dim(
-    df: DataFrame, columns: Sequence[str], key_name: str, rows_per_task: int = ROWS_PER_TASK
+    df: DataFrame,
+    columns: Sequence[str],
+    key_name: str,
+    rows_per_task: int = ROWS_PER_TASK,
+    natural: int = 1,
 ) -> DataFrame:
-    """One row per value of the first column, with a dense key in its order; NULL is a value of its own.
+    """One row per value of the first ``natural`` columns, with a dense key in their order; NULL is a value of its own.
 
-    Of the further columns each natural key keeps its least value, so it cannot appear twice.
+    The further columns are those of the natural key's least row, filled values before NULLs, so that no
+    row is put together from several.
     """
-    natural_key, *attributes = columns
+    natural_key, attributes = list(columns[:natural]), columns[natural:]
     if attributes:
-        keys = df.groupBy(natural_key).agg(*[F.min(name).alias(name) for name in attributes])
+        ranked = [part for name in attributes for part in (F.col(name).isNull().alias(f"no_{name}"), F.col(name))]
+        keys = df.groupBy(*natural_key).agg(F.min(F.struct(*ranked)).alias("__least"))
+        keys = keys.select(*natural_key, *[F.col(f"__least.{name}") for name in attributes])
     else:
-        keys = df.select(natural_key).distinct()
+        keys = df.select(*natural_key).distinct()
     return number_rows(keys, natural_key, key_name, rows_per_task)
 
 
@@ -45,8 +53,10 @@ def build_date_dim(df: DataFrame, column: str) -> DataFrame:
     return dim.select("date", "year", "month", "day", "date_sk")
 
 
-def dim_member(patients: DataFrame) -> DataFrame:
-    return build_dim(patients, ["member_key", "gender"], "member_sk")
+def dim_member(patients: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Members that have a key; the warehouse refuses any other."""
+    known = patients.filter(F.col("member_key").isNotNull())
+    return build_dim(known, ["member_key", "gender"], "member_sk", rows_per_task)
 
 
 def dim_provider(claims: DataFrame) -> DataFrame:
@@ -163,7 +173,8 @@ def build_fact(
 
     keyed = add_date_sk(keyed, dims["dim_date"], keys_from=claims, **by_claim("dim_date"))
     keyed = add_provider_sk(keyed, dims["dim_provider"], keys_from=claims, **by_claim("dim_provider"))
-    bound = size["members"] + size["visits"]
+    # Every visit also gets its member's key, 8 bytes, where its size counts 16 a row at least.
+    bound = size["members"] + size["visits"] + size["visits"] // 2
     linked = link_members(keyed, member_rows, bound, heavy, keys_from=claims, limits=limits)
     linked = add_final_codes(linked, missing_codes)
     # Hot codes show on the claims and visits they come from, without running the join above.
@@ -172,3 +183,26 @@ def build_fact(
         linked, dims["dim_diagnosis"], null_safe=null_safe, keys_from=codes, **by_claim("dim_diagnosis", PIECE)
     )
     return expand_copies(linked.select(*FACT_CLAIMS.columns.names, COPIES))
+
+
+def build_fact_by_claim(
+    claims: DataFrame,
+    encounters: DataFrame,
+    dims: Mapping[str, DataFrame],
+    missing_codes: Sequence[str] = (),
+    null_safe: bool = False,
+    limits: JoinLimits = DEFAULT_LIMITS,
+) -> DataFrame:
+    """One row per claim: codes it lacks come from the nearest encounter of its member, if there is one."""
+    keys = [F.col(name).alias(f"__{name}") for name in CLAIM_KEY]
+    found = nearest_encounter(claims, encounters, limits).select(*keys, *ENCOUNTER_CODES)
+    same = [claims[name].eqNullSafe(found[f"__{name}"]) for name in CLAIM_KEY]
+    linked = claims.join(found, same, "left").drop(*[f"__{name}" for name in CLAIM_KEY])
+    linked = linked.withColumns({name: as_amount(F.col(name)) for name in ("paid_amount", "allowed_amount")})
+    keyed = add_final_codes(linked, missing_codes)
+    members = dims["dim_member"].filter(F.col("member_key").isNotNull())
+    keyed = add_member_sk(keyed, members, spread_by=CLAIM_KEY, keys_from=claims, limits=limits)
+    keyed = add_provider_sk(keyed, dims["dim_provider"], spread_by=CLAIM_KEY, keys_from=claims, limits=limits)
+    keyed = add_date_sk(keyed, dims["dim_date"], spread_by=CLAIM_KEY, keys_from=claims, limits=limits)
+    keyed = add_diagnosis_sk(keyed, dims["dim_diagnosis"], null_safe=null_safe, spread_by=CLAIM_KEY, limits=limits)
+    return keyed.select(*FACT_CLAIMS.columns.names)

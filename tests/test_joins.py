@@ -68,8 +68,41 @@ def test_many_to_many_without_row_identity(spark):
     left, right = frames(spark, LEFT, MANY + [(100 + i, "cold") for i in range(50)])
     roomy = JoinLimits(broadcast_bytes=600, hot_rows=3, sample_fraction=1.0)
     assert bag(spread_join(left, right, "k", limits=roomy)) == expected(LEFT, MANY, "left")
-    with pytest.raises(ValueError, match="spread_by"):
-        spread_join(left, right, "k", limits=HOT)
+    assert bag(spread_join(left, right, "k", limits=HOT)) == expected(LEFT, MANY, "left")
+
+
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_copies_on_both_sides_without_row_identity(spark, null_safe):
+    """Hot keys on both sides, rows that nothing tells apart, NULL among the keys, and no room to broadcast."""
+    left_rows = [(0, 1)] * 30 + [(0, None)] * 20 + [(5, 2)]
+    right_rows = [(1, "a")] * 8 + [(None, "n")] * 9 + [(2, "c"), (3, "d")]
+    left, right = frames(spark, left_rows, right_rows)
+    got = spread_join(left, right, "k", null_safe=null_safe, limits=HOT)
+    assert bag(got) == expected(left_rows, right_rows, "left", null_safe)
+    assert "NestedLoop" not in plan(got) and "CartesianProduct" not in plan(got)
+
+
+def test_anti_join_with_a_hot_right_side_that_repeats(spark):
+    left, right = frames(spark, LEFT, MANY)
+    got = spread_join(left, right.select("k"), "k", "left_anti", spread_by=["i"], limits=HOT)
+    assert bag(got) == expected(LEFT, MANY, "left_anti")
+
+
+def test_more_keys_than_any_bound_have_many_rows(spark):
+    """All keys pass ``hot_rows``; none owns enough of the whole to be worth a route of its own."""
+    left_rows = [(i, i % 500) for i in range(2500)]
+    right_rows = [(k, v) for k in range(0, 500, 2) for v in ("a", "b", "c", "d")]
+    left, right = frames(spark, left_rows, right_rows)
+    assert len(joins.hot_keys(left, ["k"], HOT)) <= 4 * 8
+    for spread_by in ((), ("i",)):
+        assert bag(spread_join(left, right, "k", spread_by=spread_by, limits=HOT)) == expected(left_rows, right_rows, "left")
+
+
+def test_map_columns_need_row_identity_whatever_the_size(spark):
+    left = spark.createDataFrame([(1, {"a": 1})], "k int, m map<string,int>")
+    right = spark.createDataFrame([(1, "x")], "k int, v string")
+    with pytest.raises(TypeError, match="spread_by"):
+        spread_join(left, right, "k")
 
 
 def test_copies_of_one_row_do_not_move(spark):
@@ -97,7 +130,6 @@ def test_hot_keys_by_rows_and_by_weight(spark):
     left, _ = frames(spark, LEFT, MANY)
     limits = JoinLimits(hot_rows=5, sample_fraction=1.0)
     assert joins.hot_keys(left, ["k"], limits) == {(1,): 12, (None,): 7, (9,): 5}
-    assert joins.hot_keys(left, ["k"], JoinLimits(hot_rows=5, sample_fraction=1.0, max_hot_keys=1)) == {(1,): 12}
     weighted = spark.createDataFrame([(1, 4), (1, 4), (2, 3)], "k int, copies int")
     assert joins.hot_keys(weighted, ["k"], limits, weight="copies") == {(1,): 8}
 
@@ -109,6 +141,14 @@ def test_measured_bytes(spark):
     assert joins.measured_bytes(df.limit(0), enough=10) == 0
 
 
+def test_wide_nested_columns_are_measured(spark):
+    wide = spark.createDataFrame([(i, list(range(2000))) for i in range(3)], "k int, v array<int>")
+    assert joins.measured_bytes(wide, enough=1 << 20) > 3 * 2000
+    left = spark.createDataFrame([(i % 3, i) for i in range(9)], "k int, i int")
+    got = spread_join(left, wide, "k", spread_by=["i"], limits=JoinLimits(broadcast_bytes=10_000))
+    assert "SortMergeJoin" in plan(got) or "ShuffledHashJoin" in plan(got)
+
+
 def largest_share(df):
     """Of all rows, the share that came out of one task of the last shuffle."""
     sizes = [row["count"] for row in df.groupBy(F.spark_partition_id()).count().collect()]
