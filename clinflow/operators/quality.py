@@ -6,8 +6,9 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DateType, DoubleType, StringType, StructType
 
-from clinflow.functions.columns import as_date, clean_code
+from clinflow.functions.columns import as_amount, as_date, clean_code, is_filled
 from clinflow.rules import Rule
 from clinflow.sources.feeds import require_columns
 
@@ -23,6 +24,35 @@ def normalize_dates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({name: as_date(F.col(name)) for name in columns})
 
 
+_READERS = {DateType(): as_date, DoubleType(): as_amount}
+
+
+def text_columns(df: DataFrame, schema: StructType) -> list[str]:
+    """Columns that hold text but are dates or numbers by the schema."""
+    held = {field.name: field.dataType for field in df.schema}
+    return [f.name for f in schema if f.dataType in _READERS and held.get(f.name) == StringType()]
+
+
+def with_types(df: DataFrame, schema: StructType, suffix: str | None = None) -> DataFrame:
+    """Read text columns as the dates and numbers the schema says; what cannot be read becomes NULL.
+
+    With a ``suffix``, the text stays beside its value under the name with the suffix.
+    """
+    names = text_columns(df, schema)
+    kept = {name + suffix: F.col(name) for name in names} if suffix else {}
+    read = {name: _READERS[schema[name].dataType](F.col(name)) for name in names}
+    return df.withColumns({**kept, **read}) if names else df
+
+
+def unread_values(df: DataFrame, schema: StructType) -> DataFrame:
+    """One row: per text column, how many values were given that cannot be read as the schema says."""
+    counts = [
+        F.count_if(is_filled(F.col(name)) & _READERS[schema[name].dataType](F.col(name)).isNull()).alias(f"unread_{name}")
+        for name in text_columns(df, schema)
+    ]
+    return df.agg(F.count(F.lit(1)).alias("rows_in"), *counts)
+
+
 def applicable(df: DataFrame, rules: Sequence[Rule]) -> list[Rule]:
     """Not-null rules need their column; non-negative rules on an absent column fall away."""
     require_columns(df, [rule.column for rule in rules if rule.kind == "not_null"])

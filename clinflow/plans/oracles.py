@@ -30,6 +30,28 @@ PATIENTS = """
            case when c_custkey % 2 = 0 then 'F' else 'M' end as gender
     from customer"""
 
+# Some patients again with the other gender, and some records without an id.
+GAPPY_PATIENTS = f"""
+    select * from ({PATIENTS})
+    union all
+    select * replace (case when gender = 'F' then 'M' else 'F' end as gender) from ({PATIENTS})
+    where cast(patient_id as bigint) % 30 = 1
+    union all
+    select * replace (cast(null as varchar) as patient_id) from ({PATIENTS}) where cast(patient_id as bigint) % 40 = 0"""
+
+# What is left of the claims once their text is read: some amounts and dates cannot be.
+READ_CLAIMS = f"""
+    select * replace (
+        case when cast(claim_id as bigint) % 31 <> 5 then paid_amount end as paid_amount,
+        case when cast(claim_id as bigint) % 37 <> 3 then service_date end as service_date)
+    from ({CLAIMS})"""
+_DATE_TEXT = """case when cast(claim_id as bigint) % 37 = 3 then 'on ' || strftime(service_date, '%Y-%m-%d')
+                     else strftime(service_date, '%Y-%m-%d') end"""
+READ_WITH_TEXT = f"""
+    select r.*, t.service_date_text
+    from ({READ_CLAIMS}) r join (select claim_id as id, {_DATE_TEXT} as service_date_text from ({CLAIMS})) t
+    on r.claim_id = t.id"""
+
 ENCOUNTERS = """
     select cast(event_id as varchar) as encounter_id,
            cast(user_id as varchar) as patient_id,
@@ -103,8 +125,8 @@ TIDY_VISITS = _tidy(ENCOUNTERS, "diagnosis_code", "procedure_code")
 TIDY_GAPPY = _tidy(GAPPY, "diagnosis_code", "procedure_code")
 
 
-def _clean_claims() -> str:
-    good = f"select * from ({TIDY_CLAIMS}) where not ({MISSING}) and not ({NEGATIVE})"
+def _clean_claims(tidy: str = TIDY_CLAIMS) -> str:
+    good = f"select * from ({tidy}) where not ({MISSING}) and not ({NEGATIVE})"
     return _one_per(good, ["claim_id", "service_date"], CLAIM_OTHERS)
 
 
@@ -118,6 +140,7 @@ def _key(column: str) -> str:
 
 MAPPING = f"select distinct patient_id, {_key('patient_id')} as member_key from ({PATIENTS}) where patient_id is not null"
 SAFE_PATIENTS = f"select gender, {_key('patient_id')} as member_key from ({PATIENTS})"
+SAFE_GAPPY_PATIENTS = f"select gender, {_key('patient_id')} as member_key from ({GAPPY_PATIENTS})"
 
 
 def _masked(view: str, id_column: str) -> str:
@@ -127,9 +150,10 @@ def _masked(view: str, id_column: str) -> str:
 
 
 # The whole way to the star schema as common table expressions; each query selects from the end it needs.
-STAR = f"""
-with claims as ({_masked(_clean_claims(), "member_id")}),
-     patients as ({SAFE_PATIENTS}),
+def _star(claims: str = _clean_claims(), same_diagnosis: str = "=") -> str:
+    return f"""
+with claims as ({_masked(claims, "member_id")}),
+     patients as ({SAFE_GAPPY_PATIENTS}),
      visits as ({_masked(_clean_visits(TIDY_VISITS), "patient_id")}),
      integrated as (
          select c.*, v.diagnosis_code, v.procedure_code, v.encounter_date,
@@ -138,7 +162,7 @@ with claims as ({_masked(_clean_claims(), "member_id")}),
          from claims c left join visits v on c.member_key = v.member_key),
      dim_member as (
          select member_key, gender, cast(row_number() over (order by member_key nulls last) as bigint) as member_sk
-         from (select member_key, min(gender) as gender from patients group by member_key)),
+         from (select member_key, min(gender) as gender from patients where member_key is not null group by member_key)),
      dim_provider as (
          select provider_id, cast(row_number() over (order by provider_id nulls last) as bigint) as provider_sk
          from (select distinct provider_id from integrated)),
@@ -159,11 +183,33 @@ with claims as ({_masked(_clean_claims(), "member_id")}),
          from integrated i
          left join dim_member m on i.member_key = m.member_key
          left join dim_provider p on i.provider_id = p.provider_id
-         left join dim_diagnosis g on i.final_diagnosis = g.final_diagnosis
+         left join dim_diagnosis g on i.final_diagnosis {same_diagnosis} g.final_diagnosis
          left join dim_date d on i.service_date = d.date)
 """
 
 
+STAR = _star()
+FED_STAR = _star(_clean_claims(_tidy(READ_CLAIMS, "icd10_code", "cpt_code")))
+
+_NEAREST = """
+    select * from (
+        select c.* exclude (procedure_code), v.diagnosis_code, v.procedure_code,
+               row_number() over (
+                   partition by c.claim_id, c.service_date
+                   order by v.encounter_id is null, coalesce(abs(c.service_date - v.encounter_date), 1 << 30), v.encounter_id
+               ) as place
+        from (select *, null as procedure_code from claims) c left join visits v on c.member_key = v.member_key)
+    where place = 1"""
+FACT_BY_CLAIM = STAR + f"""
+    select n.claim_id, m.member_sk, p.provider_sk, g.diagnosis_sk, d.date_sk, n.paid_amount, n.allowed_amount,
+           coalesce(n.cpt_code, n.procedure_code) as final_procedure
+    from ({_NEAREST}) n
+    left join dim_member m on n.member_key = m.member_key
+    left join dim_provider p on n.provider_id = p.provider_id
+    left join dim_diagnosis g on coalesce(n.icd10_code, n.diagnosis_code) = g.final_diagnosis
+    left join dim_date d on n.service_date = d.date"""
+
+
 def _count_if(condition: str) -> str:
     return f"count(*) filter (where {condition})"
 
@@ -289,4 +335,30 @@ ORACLES: dict[str, str] = {
     + """select c.claim_id, c.service_date, d.date_sk
          from claims c left join dim_date d on c.service_date = d.date""",
     "fact_claims": STAR + "select * from fact_claims",
+    "csv_claims": f"""
+        select *, cast(claim_id as bigint) % 31 = 5 as paid_unread from ({READ_WITH_TEXT})""",
+    "csv_unread_values": f"""
+        select count(*) as rows_in, {_count_if('cast(claim_id as bigint) % 37 = 3 and service_date is not null')} as unread_service_date,
+               {_count_if('cast(claim_id as bigint) % 31 = 5')} as unread_paid_amount, cast(0 as bigint) as unread_allowed_amount
+        from ({CLAIMS})""",
+    "pipeline_quarantine": f"""
+        select *, 'claims_dq_failed' as reason, {_reasons(CLAIMS_FILLED, ["paid_amount"])} as reasons
+        from ({_tidy(READ_WITH_TEXT, "icd10_code", "cpt_code")}) where {MISSING} or {_below_zero("paid_amount")}""",
+    "pipeline_safe_claims": FED_STAR + "select * from claims",
+    "pipeline_fact": FED_STAR + "select * from fact_claims",
+    "split_no_rules": CLAIMS,
+    "rules_on_absent_column": f"""
+        select * exclude (allowed_amount) from ({CLAIMS}) where not ({MISSING}) and not ({_below_zero("paid_amount")})""",
+    "dim_member_ranges": STAR + "select * from dim_member",
+    "dim_two_columns": f"""
+        select zip, gender, last_name, first_name,
+               cast(row_number() over (order by zip nulls last, gender nulls last) as bigint) as patient_group_sk
+        from (select *, row_number() over (partition by zip, gender order by last_name nulls last, first_name nulls last) as place
+              from ({GAPPY_PATIENTS}))
+        where place = 1""",
+    "fact_claims_null_safe": _star(same_diagnosis="is not distinct from") + "select * from fact_claims",
+    "fact_claims_by_claim": FACT_BY_CLAIM,
+}
+ORACLES |= {
+    f"{name}_spread": ORACLES[name] for name in ("integrate_claims", "fact_claims", "mask_claims", "join_left_anti")
 }

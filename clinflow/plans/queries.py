@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -9,12 +10,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from clinflow import rules as r
 from clinflow.functions import columns as c
 from clinflow.operators import contract, integrate, joins, masking, quality, rows, star
+from clinflow.operators.joins import DEFAULT_LIMITS, JoinLimits
 from clinflow.plans import stages
-from clinflow.schemas import CLAIMS_REASON, DIM_MEMBER, STAR
+from clinflow.schemas import CLAIMS, CLAIMS_REASON, DIM_MEMBER, STAR
 from clinflow.scratch import materialize, new_path
-from clinflow.sinks.tables import write_table
+from clinflow.sinks.tables import Zones, write_table
 from clinflow.sources import views
-from clinflow.sources.feeds import read_table
+from clinflow.sources.feeds import read_feed, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,16 +36,49 @@ def _safe(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     raw = {"claims": views.claims(spark, folder), "encounters": views.encounters(spark, folder)}
     clean_claims, _ = stages.curate_claims(raw["claims"])
     clean_encounters, _ = stages.curate_encounters(raw["encounters"])
-    return stages.mask(clean_claims, views.patients(spark, folder), clean_encounters, SALT, keys_from=raw)
+    return stages.mask(clean_claims, views.patients_with_gaps(spark, folder), clean_encounters, SALT, keys_from=raw)
 
 
-def _star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+def _star(
+    spark: SparkSession, folder: str, limits: JoinLimits = DEFAULT_LIMITS, null_safe: bool = False
+) -> dict[str, DataFrame]:
     """Dimensions and fact, from written claims and visits as in the stored zones."""
     safe = _safe(spark, folder)
     claims = materialize(safe["claims"], "safe-claims")
     visits = star.fold_visits(safe["encounters"])
     dims = star.build_dims(claims, safe["patients"], visits)
-    return {**dims, "fact_claims": star.build_fact(claims, visits, dims)}
+    return {**dims, "fact_claims": star.build_fact(claims, visits, dims, null_safe=null_safe, limits=limits)}
+
+
+# Limits so low that every side is too large to broadcast and every frequent key hot.
+SPREAD = JoinLimits(broadcast_bytes=-1, hot_rows=20, sample_fraction=1.0)
+
+
+def _write_feed(df: DataFrame, path: str) -> None:
+    """One folder of headed CSV, the header in capitals, values as they are."""
+    loud = df.toDF(*[name.upper() for name in df.columns])
+    loud.write.csv(path, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+
+
+RULES = {
+    "dq_rules": {
+        "claims": {"not_null": ["claim_id", "member_id", "provider_id", "service_date"], "non_negative": ["paid_amount"]},
+        "ehr": {"not_null": ["patient_id", "encounter_id", "encounter_date"]},
+    },
+    "standardization": {"uppercase_cols": ["icd10_code", "cpt_code", "diagnosis_code", "procedure_code"]},
+}
+
+
+def _zones(spark: SparkSession, folder: str) -> Zones:
+    """The given tables as CSV feeds, and the whole way to the star schema by the job functions users call."""
+    root = new_path(spark, "jobs")
+    _write_feed(views.feed_claims(spark, folder), f"{root}/raw/claims")
+    _write_feed(views.patients_with_gaps(spark, folder), f"{root}/raw/ehr/patients.csv")
+    _write_feed(views.encounters(spark, folder), f"{root}/raw/ehr/encounters.csv")
+    spark.createDataFrame([(json.dumps(RULES),)], "value string").coalesce(1).write.text(f"{root}/rules")
+    zones = Zones.under(f"{root}/zones")
+    stages.run_all(spark, f"{root}/raw/claims", f"{root}/raw/ehr", zones, SALT, r.load_rules(spark, f"{root}/rules"))
+    return zones
 
 
 # --- sources and sinks ---
@@ -61,6 +96,38 @@ def parquet_roundtrip(spark, folder):
     return read_table(spark, path)
 
 
+@query
+def csv_claims(spark, folder):
+    """Claims written as text with a header in capitals and read back; unreadable values keep their text."""
+    path = new_path(spark, "feed")
+    _write_feed(views.feed_claims(spark, folder), path)
+    feed = read_feed(spark, path, CLAIMS, required=CLAIMS.names)
+    typed = quality.with_types(feed, CLAIMS, "_text")
+    unread = F.col("paid_amount").isNull() & F.col("paid_amount_text").isNotNull()
+    return typed.withColumn("paid_unread", unread).drop("paid_amount_text", "allowed_amount_text")
+
+
+@query
+def csv_unread_values(spark, folder):
+    return quality.unread_values(views.feed_claims(spark, folder), CLAIMS)
+
+
+@query
+def pipeline_quarantine(spark, folder):
+    found = read_table(spark, _zones(spark, folder).quarantine("claims"))
+    return found.drop("paid_amount_text", "allowed_amount_text").withColumn("reasons", F.array_join("reasons", ","))
+
+
+@query
+def pipeline_safe_claims(spark, folder):
+    return read_table(spark, _zones(spark, folder).safe("claims"))
+
+
+@query
+def pipeline_fact(spark, folder):
+    return read_table(spark, _zones(spark, folder).model("fact_claims"))
+
+
 @query
 def contract_violations(spark, folder):
     """Raw claims offered as a member dimension break every kind of check."""
@@ -305,6 +372,20 @@ def curate_encounters(spark, folder):
     return stages.curate_encounters(views.encounters_with_gaps(spark, folder))[0]
 
 
+@query
+def split_no_rules(spark, folder):
+    """Without rules every row is good, and the rejected side is an empty frame."""
+    good, bad = quality.split_rows(views.claims(spark, folder), [])
+    return rows.union_rows(good, bad)
+
+
+@query
+def rules_on_absent_column(spark, folder):
+    """A rule on the sign of a column that is not there falls away; the others hold."""
+    claims = views.claims(spark, folder).drop("allowed_amount")
+    return quality.split_rows(claims, r.DEFAULT_RULES.claims)[0]
+
+
 # --- masking ---
 
 
@@ -337,7 +418,20 @@ def integrate_claims(spark, folder):
 
 @query
 def dim_member(spark, folder):
-    return star.dim_member(masking.deidentify(views.patients(spark, folder), SALT))
+    return star.dim_member(masking.deidentify(views.patients_with_gaps(spark, folder), SALT))
+
+
+@query
+def dim_member_ranges(spark, folder):
+    """Numbered in many ranges instead of one window."""
+    return star.dim_member(masking.deidentify(views.patients_with_gaps(spark, folder), SALT), rows_per_task=100)
+
+
+@query
+def dim_two_columns(spark, folder):
+    """A natural key of two columns; the others are those of its least row."""
+    patients = views.patients_with_gaps(spark, folder)
+    return star.build_dim(patients, ["zip", "gender", "last_name", "first_name"], "patient_group_sk", natural=2)
 
 
 @query
@@ -387,3 +481,46 @@ def lookup_date(spark, folder):
 @query
 def fact_claims(spark, folder):
     return _star(spark, folder)["fact_claims"]
+
+
+@query
+def fact_claims_null_safe(spark, folder):
+    """A fact without a diagnosis refers to the NULL row of the dimension."""
+    return _star(spark, folder, null_safe=True)["fact_claims"]
+
+
+@query
+def fact_claims_by_claim(spark, folder):
+    """One row per claim, with the codes of the nearest encounter."""
+    safe = _safe(spark, folder)
+    claims, encounters = (materialize(safe[name], f"safe-{name}") for name in ("claims", "encounters"))
+    dims = star.build_dims(claims, safe["patients"], star.fold_visits(encounters))
+    return star.build_fact_by_claim(claims, encounters, dims)
+
+
+# --- the routes for large tables, forced on small ones ---
+
+
+@query
+def integrate_claims_spread(spark, folder):
+    safe = _safe(spark, folder)
+    claims, encounters = (materialize(safe[name], f"safe-{name}") for name in ("claims", "encounters"))
+    return integrate.integrate(claims, encounters, limits=SPREAD)
+
+
+@query
+def fact_claims_spread(spark, folder):
+    return _star(spark, folder, SPREAD)["fact_claims"]
+
+
+@query
+def mask_claims_spread(spark, folder):
+    mapping = masking.key_mapping(views.patients(spark, folder), SALT, limits=SPREAD)
+    claims = views.claims_with_strangers(spark, folder)
+    return masking.replace_id(claims, "member_id", mapping, spread_by=("claim_id",), limits=SPREAD)
+
+
+@query
+def join_left_anti_spread(spark, folder):
+    seen = views.encounters(spark, folder).select(F.col("patient_id").alias("member_id"))
+    return joins.anti_join(views.claims(spark, folder), seen, "member_id", limits=SPREAD, spread_by=("claim_id",))

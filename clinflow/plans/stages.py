@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from clinflow.operators.joins import DEFAULT_LIMITS, JoinLimits
 from clinflow.operators.masking import deidentify, key_mapping, replace_id
-from clinflow.operators.quality import apply_rules, normalize_dates, standardize_codes
+from clinflow.operators.quality import apply_rules, normalize_dates, standardize_codes, text_columns, with_types
 from clinflow.operators.rows import keep_one
-from clinflow.operators.star import build_dims, build_fact, fold_visits
+from clinflow.operators.star import build_dims, build_fact, build_fact_by_claim, fold_visits
 from clinflow.rules import DEFAULT_RULES, RuleSet
 from clinflow.schemas import (
     CLAIM_KEY,
@@ -22,6 +22,7 @@ from clinflow.schemas import (
     PATIENTS,
     TableContract,
 )
+from clinflow.scratch import job_folder
 from clinflow.sinks.tables import Zones, write_table
 from clinflow.sinks.warehouse import JdbcTarget, load_table
 from clinflow.sources.feeds import read_feed, read_table
@@ -37,27 +38,36 @@ def ingest_ehr(spark: SparkSession, source: str, zones: Zones) -> None:
         write_table(read_feed(spark, f"{source.rstrip('/')}/{name}.csv", schema), zones.staging(name))
 
 
+# The text of a date or amount lies beside its value in quarantine.
+TEXT = "_text"
+
+
+def _curate(df, schema, dates, rules, codes, reason, key) -> tuple[DataFrame, DataFrame]:
+    texts = [name + TEXT for name in text_columns(df, schema)]
+    tidy = standardize_codes(normalize_dates(with_types(df, schema, TEXT), dates), codes)
+    good, quarantine = apply_rules(tidy, rules, reason)
+    return keep_one(good.drop(*texts), key), quarantine
+
+
 def curate_claims(claims: DataFrame, rules: RuleSet = DEFAULT_RULES) -> tuple[DataFrame, DataFrame]:
-    """(clean, quarantine) of a claims feed."""
-    tidy = standardize_codes(normalize_dates(claims, ["service_date"]), rules.code_columns)
-    good, quarantine = apply_rules(tidy, rules.claims, CLAIMS_REASON)
-    return keep_one(good, CLAIM_KEY), quarantine
+    """(clean, quarantine) of a claims feed, typed or as text; of text, quarantine also keeps what was written."""
+    return _curate(claims, CLAIMS, ["service_date"], rules.claims, rules.code_columns, CLAIMS_REASON, CLAIM_KEY)
 
 
 def curate_encounters(encounters: DataFrame, rules: RuleSet = DEFAULT_RULES) -> tuple[DataFrame, DataFrame]:
-    """(clean, quarantine) of an encounters feed."""
-    tidy = standardize_codes(normalize_dates(encounters, ["encounter_date"]), rules.code_columns)
-    good, quarantine = apply_rules(tidy, rules.encounters, EHR_REASON)
-    return keep_one(good, ENCOUNTER_KEY), quarantine
+    """(clean, quarantine) of an encounters feed, typed or as text; of text, quarantine also keeps what was written."""
+    return _curate(
+        encounters, ENCOUNTERS, ["encounter_date"], rules.encounters, rules.code_columns, EHR_REASON, ENCOUNTER_KEY
+    )
 
 
 def run_quality(spark: SparkSession, zones: Zones, rules: RuleSet = DEFAULT_RULES) -> None:
-    """Staging to curated and quarantine; patients pass through.
+    """Staging to curated and quarantine; patients only get their types.
 
     The two sides of a split are two scans of staging: both are narrow up to the dedup, and a second
     read of columnar files costs less than caching a whole feed.
     """
-    write_table(read_table(spark, zones.staging("patients")), zones.curated("patients"))
+    write_table(with_types(read_table(spark, zones.staging("patients")), PATIENTS), zones.curated("patients"))
     for name, curate in (("claims", curate_claims), ("encounters", curate_encounters)):
         clean, quarantine = curate(read_table(spark, zones.staging(name)), rules)
         write_table(clean, zones.curated(name))
@@ -102,20 +112,33 @@ def run_model(
     zones: Zones,
     missing_codes: Sequence[str] = (),
     limits: JoinLimits = DEFAULT_LIMITS,
+    null_safe: bool = False,
+    grain: str = "encounter",
 ) -> None:
-    """Safe to star schema. The fact reads the written dimensions, so its keys are the stored ones."""
+    """Safe to star schema. The fact reads the written dimensions, so its keys are the stored ones.
+
+    ``grain`` is what a row of the fact stands for: "encounter", a claim and an encounter of its member, or
+    "claim", with the codes of the nearest encounter. ``null_safe`` refers facts without a diagnosis to the
+    NULL row of its dimension. What the job keeps meanwhile is gone at its end.
+    """
+    if grain not in ("encounter", "claim"):
+        raise ValueError(f"unknown grain: {grain}")
     claims, patients, encounters = (
         read_table(spark, zones.safe(name)) for name in ("claims", "patients", "encounters")
     )
-    visits = fold_visits(encounters)
-    for name, dim in build_dims(claims, patients, visits, missing_codes).items():
-        write_table(dim, zones.model(name))
-    dims = {
-        name: read_table(spark, zones.model(name))
-        for name in ("dim_member", "dim_provider", "dim_diagnosis", "dim_date")
-    }
-    fact = build_fact(claims, visits, dims, missing_codes, limits=limits)
-    write_table(fact, zones.model("fact_claims"))
+    with job_folder(spark, "model"):
+        visits = fold_visits(encounters)
+        for name, dim in build_dims(claims, patients, visits, missing_codes).items():
+            write_table(dim, zones.model(name))
+        dims = {
+            name: read_table(spark, zones.model(name))
+            for name in ("dim_member", "dim_provider", "dim_diagnosis", "dim_date")
+        }
+        if grain == "claim":
+            fact = build_fact_by_claim(claims, encounters, dims, missing_codes, null_safe, limits)
+        else:
+            fact = build_fact(claims, visits, dims, missing_codes, null_safe, limits)
+        write_table(fact, zones.model("fact_claims"))
 
 
 def load_to_warehouse(spark: SparkSession, path: str, contract: TableContract, target: JdbcTarget) -> None:
@@ -131,10 +154,13 @@ def run_all(
     salt: str,
     rules: RuleSet = DEFAULT_RULES,
     limits: JoinLimits = DEFAULT_LIMITS,
+    missing_codes: Sequence[str] = (),
+    null_safe: bool = False,
+    grain: str = "encounter",
 ) -> None:
     """Raw feeds to star schema, stage by stage; a failed run can restart at any stage from its zone."""
     ingest_claims(spark, claims_source, zones)
     ingest_ehr(spark, ehr_source, zones)
     run_quality(spark, zones, rules)
     run_masking(spark, zones, salt, limits)
-    run_model(spark, zones, limits=limits)
+    run_model(spark, zones, missing_codes, limits, null_safe, grain)

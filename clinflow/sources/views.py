@@ -53,6 +53,29 @@ def patients(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def patients_with_gaps(spark: SparkSession, folder: str) -> DataFrame:
+    """All patients; some a second time with the other gender, and some more records without an id."""
+    known = patients(spark, folder)
+    number = F.col("patient_id").cast("long")
+    other = known.filter(number % 30 == 1).withColumn("gender", F.when(F.col("gender") == "F", "M").otherwise("F"))
+    nameless = known.filter(number % 40 == 0).withColumn("patient_id", F.lit(None).cast("string"))
+    return known.unionByName(other).unionByName(nameless)
+
+
+def feed_claims(spark: SparkSession, folder: str) -> DataFrame:
+    """Claims as the text of a feed, with amounts and dates that cannot be read."""
+    number = F.col("claim_id").cast("long")
+    amount = F.col("paid_amount").cast("string")
+    day = F.date_format("service_date", "yyyy-MM-dd")
+    return claims(spark, folder).withColumns(
+        {
+            "paid_amount": F.when(number % 31 == 5, F.concat(F.lit("USD "), amount)).otherwise(amount),
+            "allowed_amount": F.col("allowed_amount").cast("string"),
+            "service_date": F.when(number % 37 == 3, F.concat(F.lit("on "), day)).otherwise(day),
+        }
+    )
+
+
 def encounters(spark: SparkSession, folder: str) -> DataFrame:
     """One encounter per event."""
     event = F.col("event_id")

@@ -1,27 +1,57 @@
 from __future__ import annotations
 
 from datetime import date
+from types import SimpleNamespace
 
 import pytest
 
 from clinflow import scratch
 from clinflow.operators.contract import conform, contract_violations, failed_checks
+from clinflow.operators.quality import unread_values, with_types
 from clinflow.schemas import CLAIMS, DIM_DATE, DIM_MEMBER, DIM_PROVIDER, FACT_CLAIMS, PATIENTS
 from clinflow.sinks import warehouse
 from clinflow.sinks.tables import Zones, write_table
-from clinflow.sources.feeds import MissingColumnsError, read_feed, read_table, require_columns
+from clinflow.sources.feeds import MissingColumnsError, RepeatedColumnsError, read_feed, read_table, require_columns
 
 HEADER = "claim_id,member_id,provider_id,service_date,paid_amount,allowed_amount,icd10_code,cpt_code"
 
 
-def test_feed_folder_with_declared_types(spark, tmp_path):
-    (tmp_path / "a.csv").write_text(f"{HEADER}\n007,M1,P1,2025-01-02,1.5,2,I10,99213\n")
-    (tmp_path / "b.csv").write_text(f"{HEADER}\n008,,P1,never,x,2, ,\n")
+def test_feed_keeps_what_was_written(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(f'{HEADER}\n007,M1,P1,2025-01-02,"1,234.50",2,I10,99213\n')
+    (tmp_path / "b.csv").write_text(f"{HEADER}\n008,,P1,01/02/2025,x,2, ,\n")
     df = read_feed(spark, str(tmp_path), CLAIMS, required=CLAIMS.names)
-    assert df.schema == CLAIMS
+    assert {f.dataType.simpleString() for f in df.schema} == {"string"}
     first, second = df.orderBy("claim_id").collect()
-    assert tuple(first) == ("007", "M1", "P1", date(2025, 1, 2), 1.5, 2.0, "I10", "99213")
-    assert tuple(second) == ("008", None, "P1", None, None, 2.0, " ", None)
+    assert tuple(first) == ("007", "M1", "P1", "2025-01-02", "1,234.50", "2", "I10", "99213")
+    assert tuple(second) == ("008", None, "P1", "01/02/2025", "x", "2", " ", None)
+    typed = with_types(df, CLAIMS, "_text").orderBy("claim_id")
+    assert typed.select(*CLAIMS.names).schema == CLAIMS
+    first, second = typed.collect()
+    assert (first.service_date, first.paid_amount, first.paid_amount_text) == (date(2025, 1, 2), None, "1,234.50")
+    assert (second.service_date, second.service_date_text, second.allowed_amount) == (None, "01/02/2025", 2.0)
+    assert unread_values(df, CLAIMS).first().asDict() == {
+        "rows_in": 2,
+        "unread_service_date": 1,
+        "unread_paid_amount": 2,
+        "unread_allowed_amount": 0,
+    }
+
+
+def test_header_case_does_not_matter_but_names_come_once(spark, tmp_path):
+    loud = tmp_path / "loud.csv"
+    loud.write_text(f"{HEADER.upper()}\n007,M1,P1,2025-01-02,1,2,I10,99213\n")
+    df = read_feed(spark, str(loud), CLAIMS, required=CLAIMS.names)
+    assert df.columns == CLAIMS.names and df.first().claim_id == "007"
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        with pytest.raises(MissingColumnsError):
+            read_feed(spark, str(loud), CLAIMS, required=CLAIMS.names)
+    finally:
+        spark.conf.unset("spark.sql.caseSensitive")
+    twice = tmp_path / "twice.csv"
+    twice.write_text("patient_id,gender,Gender\nM1,F,M\n")
+    with pytest.raises(RepeatedColumnsError, match="gender"):
+        read_feed(spark, str(twice), PATIENTS)
 
 
 def test_feed_columns_follow_the_header(spark, tmp_path):
@@ -65,6 +95,28 @@ def test_scratch_goes_to_the_shared_folder(spark):
     assert all(f.startswith(f"file:{folder}") or folder in f for f in kept.inputFiles())
 
 
+def test_scratch_is_shared_whatever_is_set():
+    """The setting, else the session's checkpoint folder, else the warehouse; never a folder of this machine alone."""
+
+    def session(settings, checkpoint):
+        conf = SimpleNamespace(get=lambda name, default=None: settings.get(name, default))
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(getCheckpointDir=lambda: checkpoint))
+
+    warehouse_dir = {"spark.sql.warehouse.dir": "s3://w"}
+    assert scratch.shared_folder(session({**warehouse_dir, "spark.checkpoint.dir": "s3://c"}, "s3://old")) == "s3://c"
+    assert scratch.shared_folder(session(warehouse_dir, "s3://old")) == "s3://old"
+    assert scratch.shared_folder(session(warehouse_dir, None)) == "s3://w"
+
+
+def test_a_job_leaves_nothing_behind(spark):
+    with scratch.job_folder(spark, "job") as folder:
+        kept = scratch.materialize(spark.range(5), "five")
+        assert all(folder in f for f in kept.inputFiles())
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        spark.read.parquet(folder)
+    assert folder not in scratch.new_path(spark, "after")
+
+
 def test_contract_counts_each_kind_of_break(spark):
     rows = [(1, "a", "F"), (1, None, "F"), (1, "k" * 65, "much too long"), (None, "b", None)]
     df = spark.createDataFrame(rows, "member_sk bigint, member_key string, gender string")

@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 import os
+import random
+from collections import Counter
+from datetime import date
+from pathlib import Path
 
 import pytest
 
@@ -55,6 +59,9 @@ def test_quality_zone(spark, zones):
         "C5": ["non_negative_paid_amount"],
         "C7": ["not_null_member_id", "non_negative_allowed_amount"],
     }
+    texts = {r.claim_id: (r.service_date, r.service_date_text) for r in read_table(spark, zones.quarantine("claims")).collect()}
+    assert texts["C4"] == (None, "not-a-date")
+    assert dict(clean.dtypes)["paid_amount"] == "double" and dict(clean.dtypes)["service_date"] == "date"
     assert read_table(spark, zones.curated("encounters")).count() == 2
     assert [r.encounter_id for r in read_table(spark, zones.quarantine("encounters")).collect()] == ["E3"]
     assert read_table(spark, zones.curated("patients")).count() == 2
@@ -86,6 +93,92 @@ def test_a_second_run_gives_the_same_tables(spark, zones):
     assert sorted(read_table(spark, zones.model("fact_claims")).collect(), key=str) == before
 
 
+def test_the_model_job_leaves_no_scratch(spark, zones):
+    folder = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:")) / "clinflow"
+    before = set(folder.iterdir())
+    stages.run_model(spark, zones, null_safe=True, missing_codes=("UNKNOWN",))
+    assert set(folder.iterdir()) == before
+    fact = read_table(spark, zones.model("fact_claims"))
+    assert fact.filter("diagnosis_sk is null").count() == 0
+    stages.run_model(spark, zones, grain="claim")
+    assert read_table(spark, zones.model("fact_claims")).count() == 3
+    with pytest.raises(ValueError, match="grain"):
+        stages.run_model(spark, zones, grain="month")
+    stages.run_model(spark, zones)
+
+
+def _invented_feed(root):
+    """Claims, patients and encounters with every kind of defect; returns the rows as written."""
+    draw = random.Random(11)
+    members = [f"M{i}" for i in range(12)]
+    pick = lambda *values: draw.choice(values)
+    claims = [
+        [f"C{draw.randrange(60)}", pick(*members, "M99", "", " "), pick("P1", "P2", ""), pick("2025-01-02", "2025-02-03", "2025-03-04", "soon", ""),
+         pick("10.5", "20", "-1", "n/a", ""), pick("11", "0", "30.25"), pick("i10", " E11 ", "UNKNOWN", "", ""), pick("99213", "", "")]
+        for _ in range(150)
+    ]
+    visits = [
+        [f"E{draw.randrange(30)}", pick(*members[:8], ""), "P1", pick("2025-01-01", "2025-02-01", "never"), pick("j45", "", "Z00"), pick("80053", "")]
+        for _ in range(45)
+    ]
+    people = [[m, "Ann", "Lee", "1980-01-01", "02139", pick("F", "M")] for m in members]
+    for name, header, rows in (
+        ("claims/claims.csv", "claim_id,member_id,provider_id,service_date,paid_amount,allowed_amount,icd10_code,cpt_code", claims),
+        ("ehr/encounters.csv", "encounter_id,patient_id,provider_id,encounter_date,diagnosis_code,procedure_code", visits),
+        ("ehr/patients.csv", "patient_id,first_name,last_name,dob,zip,gender", people),
+    ):
+        path = root / name
+        path.parent.mkdir(exist_ok=True)
+        path.write_text("\n".join([header, *map(",".join, rows)]) + "\n")
+    return claims, people, visits
+
+
+def _read(value, kind):
+    """A value as the job reads it: blank is None, and so is what is no date or number."""
+    value = value or None
+    if value is None or kind is None:
+        return value
+    try:
+        return kind(value)
+    except ValueError:
+        return None
+
+
+def test_an_invented_feed_against_plain_python(spark, tmp_path):
+    claims, people, visits = _invented_feed(tmp_path)
+    zones = Zones.under(str(tmp_path / "zones"))
+    stages.run_all(spark, str(tmp_path / "claims"), str(tmp_path / "ehr"), zones, salt="pepper")
+    day, code = date.fromisoformat, lambda c: c.strip().upper()
+    kinds = {"claims": [None, None, None, day, float, float, code, code], "visits": [None, None, None, day, code, code]}
+    least = lambda v: (v is not None, v if v is not None else 0)
+    filled = lambda v: v is not None and str(v).strip() != ""
+
+    def curated(rows, kinds, needed, amounts, key):
+        kept = {}
+        for row in ([_read(v, k) for v, k in zip(r, kinds)] for r in rows):
+            if all(filled(row[i]) for i in needed) and not any(row[i] is not None and row[i] < 0 for i in amounts):
+                name = tuple(row[i] for i in key)
+                rank = [least(v) for i, v in enumerate(row) if i not in key]
+                if name not in kept or rank > kept[name][0]:
+                    kept[name] = (rank, row)
+        return [row for _, row in kept.values()]
+
+    clean = curated(claims, kinds["claims"], [0, 1, 2, 3], [4, 5], (0, 3))
+    seen = curated(visits, kinds["visits"], [0, 1, 3], [], (0,))
+    assert read_table(spark, zones.curated("claims")).count() == len(clean)
+    assert read_table(spark, zones.curated("encounters")).count() == len(seen)
+    known = {p[0] for p in people}
+    want = Counter()
+    for claim, member, _, _, paid, allowed, icd, cpt in clean:
+        met = [v for v in seen if v[1] == member and member in known]
+        for v in met or [[None] * 6]:
+            want[claim, paid, allowed, icd if icd is not None else v[4], cpt if cpt is not None else v[5], member in known] += 1
+    codes = {r.diagnosis_sk: r.final_diagnosis for r in read_table(spark, zones.model("dim_diagnosis")).collect()}
+    fact = read_table(spark, zones.model("fact_claims")).collect()
+    got = Counter((r.claim_id, r.paid_amount, r.allowed_amount, codes.get(r.diagnosis_sk), r.final_procedure, r.member_sk is not None) for r in fact)
+    assert got == want
+
+
 @pytest.mark.skipif("SAMPLE_FEED_DIR" not in os.environ, reason="needs a folder with claims/ and ehr/ CSV files")
 def test_sample_feed(spark, tmp_path):
     """Counts and sums of the public sample feed (50 claims, 20 patients, 40 encounters)."""
