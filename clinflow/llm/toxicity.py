@@ -75,10 +75,8 @@ class TokenScores(dict):
         if len(self) >= 500_000:
             self.clear()
         word = bare(token)
-        found = self.words.get(word)
-        if found is None:
-            found = self.classes.get(word[: self.settings.letters], 0.0)
-        self[token] = found - self.settings.drift
+        shared = self.classes.get(word[: self.settings.letters], 0.0)
+        self[token] = self.words.get(word, shared) - self.settings.drift
         return self[token]
 
 
@@ -172,38 +170,43 @@ def fit(docs: DataFrame, labels: DataFrame, settings: ToxicitySettings = Toxicit
     parts = texts.mapInArrow(held, "word string, class boolean, n array<long>").groupBy("word", "class")
     sums = parts.agg(F.array(*[F.sum(F.get("n", F.lit(i))) for i in range(4)]).alias("n"))
     size = F.aggregate("n", F.lit(0).cast("long"), lambda s, x: s + x)
-    top = sums.orderBy(F.desc(size), "class", "word").limit(2 * settings.words).toArrow().to_pylist()
-    halves = [_model(top, [half], settings) for half in (0, 1)]
-    model = _model(top, [0, 1], settings)
-    return _calibrate(model, halves, top, texts)
+    # A word of one document alone never outweighs its standard error.
+    top = sums.filter(size > 1).orderBy(F.desc(size), "class", "word").limit(2 * settings.words).toArrow().combine_chunks()
+    words, of_class = top["word"].to_pylist(), top["class"].to_pylist()
+    counts = np.array(top["n"].combine_chunks().flatten(), np.int64).reshape(-1, 2, 2)  # by half and label
+    halves = [_model(words, of_class, counts[:, half], settings) for half in (0, 1)]
+    model = _model(words, of_class, counts.sum(axis=1), settings)
+    plain = [i for i, word in enumerate(words) if word is not None and not of_class[i]]
+    return _calibrate(model, halves, [words[i] for i in plain], counts[plain].sum(axis=1)[:, 0], texts)
 
 
-def _model(rows: list[dict], halves: list[int], settings: ToxicitySettings) -> ToxicityModel:
-    """Word and class scores from the documents of the given halves."""
-
-    def counts(row: dict) -> tuple[int, int]:
-        return sum(row["n"][2 * h + 1] for h in halves), sum(row["n"][2 * h] for h in halves)
+def _model(words: list[str | None], of_class: list[bool], counts: np.ndarray, settings: ToxicitySettings) -> ToxicityModel:
+    """Scores of classes, and of the words that tell more than their class, from documents (clean, toxic) with each.
 
+    The entry without a word counts all documents.
+    """
     model = ToxicityModel({}, {}, settings)
-    everything = next((counts(r) for r in rows if r["word"] is None), (0, 0))
-    if not all(everything):
+    all_clean, all_toxic = next((n.tolist() for word, n in zip(words, counts) if word is None), (0, 0))
+    if not all_clean or not all_toxic:
         return model
-    known = [(r["word"], r["class"], *counts(r)) for r in rows if r["word"] is not None]
-    scored = {(word, of_class): log_odds(toxic, clean, *everything, settings) for word, of_class, toxic, clean in known if toxic + clean}
-    model.classes = {word: score for (word, of_class), score in scored.items() if of_class}
-    for (word, of_class), own in scored.items():
-        if not of_class:
-            shared = model.classes.get(word[: settings.letters], 0.0)
-            model.words[word] = own if own * shared < 0 or abs(own) >= abs(shared) else shared
+    own: dict[str, float] = {}
+    for word, shared, (clean, toxic) in zip(words, of_class, counts.tolist()):
+        if word is not None and clean + toxic:
+            (model.classes if shared else own)[word] = log_odds(toxic, clean, all_toxic, all_clean, settings)
+    for word, score in own.items():
+        shared = model.classes.get(word[: settings.letters], 0.0)
+        if score * shared < 0 or abs(score) > abs(shared):
+            model.words[word] = score
     return model
 
 
-def _calibrate(model: ToxicityModel, halves: list[ToxicityModel], rows: list[dict], texts: DataFrame) -> ToxicityModel:
+def _calibrate(
+    model: ToxicityModel, halves: list[ToxicityModel], words: list[str], clean: np.ndarray, texts: DataFrame
+) -> ToxicityModel:
     """Fit the extreme-value law to clean text and the logistic curve to all labelled texts."""
     settings = model.settings
-    words = [r for r in rows if r["word"] is not None and not r["class"]]
-    clean = np.array([r["n"][0] + r["n"][2] for r in words], float)
-    steps = np.array([model.words.get(r["word"], 0.0) - settings.drift for r in words])
+    scores = TokenScores(model.words, model.classes, settings)
+    steps = np.array([scores[word] for word in words])
     if clean.sum() and (steps > 0).any():
         model.rate = _rate(clean / clean.sum(), steps)
 
