@@ -328,6 +328,13 @@ def test_random_keys_are_added_and_long_words_are_not(spark):
     assert not any(got[i] for i in range(120, 180))
 
 
+def test_short_runs_of_letters_are_left_alone(spark):
+    draw = random.Random(12)
+    words = ["".join(draw.choices("aeinrst", k=20)) for _ in range(200)] + random_tokens(50, 24, "abcdefghijklmnopqrstuvwxyz")
+    rows = [(i, f"a {w} b", "en", "a", 0, *["x"] * 7) for i, w in enumerate(words)]
+    assert not any(r["added"] for r in secrets.scan(frame(spark, rows)).collect())
+
+
 # --- pipeline ---
 
 
