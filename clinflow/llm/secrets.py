@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clinflow.llm.text import whole
 from clinflow.scratch import materialize
@@ -65,35 +65,26 @@ class SecretSettings:
     lengths: tuple[int, ...] = (24, 32, 48, 64, 128)
 
 
-def matches(text: Column, pattern: str) -> Column:
-    """[(start, end, token)] of all matches, left to right: what lies between matches and the matches themselves alternate."""
-    spans = "array<struct<start:int,end:int,token:string>>"
-    between = F.transform(F.split(text, pattern, -1), lambda x: F.char_length(x))
-    pairs = F.zip_with(between, F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda gap, token: F.struct(gap.alias("gap"), token.alias("token")))
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast(spans).alias("spans"))
+_MATCHES = "array<struct<kind:int,place:int,gap:int,token:string>>"
 
-    def step(state: Column, pair: Column) -> Column:
-        start = state["at"] + pair["gap"]
-        end = start + F.char_length(pair["token"])
-        span = F.struct(start.alias("start"), end.alias("end"), pair["token"].alias("token"))
-        return F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
 
+def matches(text: Column, kind: str, pattern: str) -> Column:
+    """[(kind, place, gap, token)] of all matches, left to right; ``gap`` is the length of what lies before the match."""
+    between = F.transform(F.split(text, pattern, -1), lambda x: F.char_length(x))
+    tokens = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    pairs = F.zip_with(between, tokens, lambda gap, token: F.struct(gap.alias("gap"), token.alias("token")))
     # The piece after the last match has no match beside it.
-    found = F.aggregate(F.filter(pairs, lambda p: p["token"].isNotNull()), begin, step, lambda state: state["spans"])
-    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(spans))
-
+    met = F.filter(pairs, lambda p: p["token"].isNotNull())
+    rank = F.lit(KINDS.index(kind))
+    placed = F.transform(met, lambda p, i: F.struct(rank.alias("kind"), i.alias("place"), p["gap"].alias("gap"), p["token"].alias("token")))
+    return F.when(text.rlike(pattern), placed.cast(_MATCHES)).otherwise(F.array().cast(_MATCHES))
 
-def _kind(spans: Column, kind: str) -> Column:
-    """Spans that sort by start, then kind as listed."""
-    rank = KINDS.index(kind)
-    return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(rank).alias("kind"), s["end"].alias("end")))
 
-
-def base_spans(text: Column) -> Column:
-    """Spans of the fixed patterns; a match that is too short goes, with the text it took."""
-    assigned = F.filter(matches(text, ASSIGN), lambda s: F.char_length(F.regexp_extract(s["token"], ASSIGN, 2)) >= 8)
-    access = F.filter(matches(text, ACCESS), lambda s: s["end"] - s["start"] >= 16)
-    return F.array_sort(F.concat(_kind(assigned, "assign"), _kind(access, "access"), _kind(matches(text, HEX), "hex")))
+def _long_enough() -> Column:
+    """Whether a match of a fixed pattern counts; the text that a short one took stays taken."""
+    assigned = F.char_length(F.regexp_extract("token", ASSIGN, 2)) >= 8
+    access = F.char_length("token") >= 16
+    return F.when(F.col("kind") == KINDS.index("assign"), assigned).when(F.col("kind") == KINDS.index("access"), access).otherwise(True)
 
 
 def _above(z: Column) -> Column:
@@ -188,27 +179,39 @@ def _bars(runs: DataFrame, settings: SecretSettings) -> dict[int, int]:
 
 
 def scan(docs: DataFrame, settings: SecretSettings = SecretSettings()) -> DataFrame:
-    """(doc_id, base, added): spans (start, kind, end) of the patterns, and of random runs that lie in none of them."""
+    """(doc_id, base, added): spans (start, kind, end) of the patterns, and of random runs that lie in none of them.
+
+    The text is read once. Every match becomes a narrow row of its own, and every document one more; where a match
+    starts follows from the lengths before it, summed up within the document.
+    """
     text = F.col("text")
+    patterns = {"assign": ASSIGN, "access": ACCESS, "hex": HEX, "random": _KEYLIKE}
+    marker = F.array(F.struct(F.lit(-1), F.lit(0), F.lit(0), F.lit(""))).cast(_MATCHES)
+    every = F.concat(marker, *[matches(text, kind, pattern) for kind, pattern in patterns.items()])
     found = docs.select("doc_id", whole("text").alias("text"))
-    found = found.select("doc_id", base_spans(text).alias("base"), matches(text, _KEYLIKE).alias("runs"))
-    found = found.withColumn("number", F.monotonically_increasing_id())
-    # One row per document and one more per key-like run, so that a run's tests are columns; the text is read once.
-    rows = found.select("doc_id", "base", "number", F.explode(F.concat(F.array(F.lit(None).cast("struct<start:int,end:int,token:string>")), "runs")).alias("run"))
-    inside = F.exists("base", lambda b: (b["start"] <= F.col("run.start")) & (F.col("run.end") <= b["end"]))
-    rows = rows.select("number", "doc_id", F.when(F.col("run").isNull(), F.col("base")).alias("base"), inside.alias("inside"), "run.*")
-    scanned = materialize(_classed(rows, settings).select("number", "doc_id", "base", "inside", "start", "end", "class", "bin"), "secrets")
-    documents = scanned.filter(F.col("start").isNull()).select("number", "doc_id", "base")
-    runs = scanned.filter(F.col("start").isNotNull())
-    bars = _bars(runs, settings)
-    passing = F.lit(False)
+    found = found.select("doc_id", F.monotonically_increasing_id().alias("number"), every.alias("found"))
+    rows = found.select("number", "doc_id", F.inline("found"))
+    random = F.col("kind") == KINDS.index("random")
+    rows = rows.withColumns({"length": F.char_length("token"), "counted": _long_enough()})
+    rows = _classed(rows.withColumn("token", F.when(random, F.col("token"))), settings)
+    scanned = materialize(rows.select("number", "doc_id", "kind", "place", "gap", "length", "counted", "class", "bin"), "secrets")
+
+    bars = _bars(scanned, settings)
+    random_enough = F.lit(False)
     if bars:
         least = F.create_map(*[F.lit(x) for pair in sorted(bars.items()) for x in pair])
-        passing = F.coalesce(F.col("bin") >= F.try_element_at(least, F.col("class")), F.lit(False)) & ~F.col("inside")
-    span = F.struct("start", F.lit(KINDS.index("random")).alias("kind"), "end")
-    added = runs.filter(passing).groupBy("number").agg(F.collect_list(span).alias("added"))
-    none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
-    return documents.join(added, "number", "left").select("doc_id", "base", F.coalesce("added", none).alias("added"))
+        random_enough = F.coalesce(F.col("bin") >= F.try_element_at(least, F.col("class")), F.lit(False))
+    before = Window.partitionBy("number", "kind").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = scanned.repartition("number").withColumn("end", F.sum(F.col("gap") + F.col("length")).over(before).cast("int"))
+    placed = placed.withColumn("start", F.col("end") - F.col("length"))
+    base = F.col("kind").between(0, 2) & F.col("counted")
+    # A run lies in a span of a pattern if one that starts no later ends no earlier.
+    sofar = Window.partitionBy("number").orderBy("start").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = placed.withColumn("reach", F.max(F.when(base, F.col("end"))).over(sofar))
+    added = random & random_enough & (F.col("reach").isNull() | (F.col("reach") < F.col("end")))
+    span = F.struct("start", "kind", "end")
+    spans = [F.array_sort(F.collect_list(F.when(chosen, span))).alias(name) for name, chosen in (("base", base), ("added", added))]
+    return placed.groupBy("number").agg(F.first("doc_id").alias("doc_id"), *spans).drop("number")
 
 
 def listed(spans: Column) -> Column:
