@@ -57,7 +57,9 @@ def line_table(docs: DataFrame, least_length: int) -> DataFrame:
         lambda line, i: F.struct(i.alias("at"), line_key(line).alias("key")),
     )
     long_enough = F.filter(keys, lambda x: F.char_length(x["key"]) >= least_length)
-    lines = docs.select("doc_id", text_mark().alias("mark"), F.explode(long_enough).alias("line"))
+    # First columns of their own, so that no line carries the text it comes from.
+    cut = docs.select("doc_id", text_mark().alias("mark"), long_enough.alias("lines"))
+    lines = cut.select("doc_id", "mark", F.explode("lines").alias("line"))
     key = F.col("line.key")
     return lines.select("doc_id", "mark", "line.at", F.xxhash64(key).alias("key_a"), F.xxhash64(F.lit(1), key).alias("key_b"))
 
