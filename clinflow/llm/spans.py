@@ -1,6 +1,7 @@
 """Substring dedup: sentences covered by a repeated run of consecutive sentences go, but for its first occurrence.
 
-A text is cut after sentence ends and line breaks; a sentence of more than ``longest`` words counts as several. From
+A text is cut after sentence ends and line breaks; a sentence of more than ``longest`` words counts as several, cut where
+its words say so and not where it begins, so that a passage within different sentences is cut alike. From
 every sentence a span slides: the shortest run of at least ``least_sentences`` sentences with ``least_words`` words.
 Spans are compared by 96 bits of hash of their words over all documents. The first occurrence is that of least
 doc_id, then place; every sentence that another occurrence covers is removed.
@@ -18,6 +19,8 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import islice
+from zlib import crc32
 
 import pyarrow as pa
 import xxhash
@@ -30,6 +33,8 @@ KEY = ["key_a", "key_b"]
 # What one doc_id takes in a broadcast, about.
 _ID_BYTES = 64
 _WORD = re.compile(r"\S+")
+# What stands between two sentences, from a sentence end or line break on.
+_GAP = re.compile(r"(?<=[.!?])\s+|\n\s*")
 
 
 @dataclass(frozen=True)
@@ -38,27 +43,58 @@ class SpanSettings:
 
     least_sentences: int = 2
     least_words: int = 20
-    longest: int = 12
+    longest: int = 8
     broadcast_bytes: int = 32 << 20
 
 
-def sentences(text: str, longest: int) -> list[tuple[int, int, list[str]]]:
-    """(start, end, words) of consecutive sentences that cover the text; the space after one belongs to it."""
-    out: list[tuple[int, int, list[str]]] = []
-    words: list[str] = []
+def _turns(words: list[str], window: int) -> list[int]:
+    """Where pieces of a long sentence begin: the word of least hash in every ``window`` words, the last of equal ones.
+
+    What a window picks depends on its own words alone, so a passage is cut alike wherever it stands, but for its ends;
+    no piece is longer than the window.
+    """
+    hashes = list(map(crc32, map(str.encode, words)))
+    picked = [0]
+    at = -1
+    for last in range(window - 1, len(words)):
+        if at <= last - window:
+            part = hashes[last : last - window if last >= window else None : -1]
+            at = last - part.index(min(part))
+        elif hashes[last] <= hashes[at]:
+            at = last
+        else:
+            continue
+        if at:
+            picked.append(at)
+    return picked
+
+
+def sentences(text: str, longest: int) -> list[list[str]]:
+    """Words of consecutive sentences."""
+    return [words for _, _, words in _cut(text, longest, False)]
+
+
+def placed_sentences(text: str, longest: int) -> list[tuple[int, int, list[str]]]:
+    """(start, end, words) of the sentences, which cover the text; the space after one belongs to it."""
+    return list(_cut(text, longest, True))
+
+
+def _cut(text: str, longest: int, placed: bool) -> Iterator[tuple[int, int, list[str]]]:
+    cuts = [*(gap.end() for gap in _GAP.finditer(text) if gap.end() < len(text)), len(text)]
     start = 0
-    previous_end = 0
-    for match in _WORD.finditer(text):
-        gap = text[previous_end : match.start()]
-        ends = words and (words[-1][-1] in ".!?" or "\n" in gap or len(words) >= longest)
-        if ends:
-            out.append((start, match.start(), words))
-            start, words = match.start(), []
-        words.append(match.group())
-        previous_end = match.end()
-    if words:
-        out.append((start, len(text), words))
-    return out
+    for end in cuts:
+        words = text[start:end].split()
+        if not words:  # space before the first word
+            continue
+        if len(words) <= longest:
+            yield start, end, words
+            start = end
+            continue
+        turns = [*_turns(words, longest), len(words)]
+        places = [start, *(word.start() for word in islice(_WORD.finditer(text, start, end), 1, None)), end] if placed else None
+        for a, b in zip(turns, turns[1:]):
+            yield (places[a], places[b], words[a:b]) if places else (start, end, words[a:b])
+        start = end
 
 
 def spans(counts: list[int], least_sentences: int, least_words: int) -> Iterator[tuple[int, int]]:
@@ -80,8 +116,8 @@ def span_key(parts: list[bytes], first: int, last: int) -> tuple[int, int]:
     return int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:12], "big", signed=True)
 
 
-def _words(found: list[tuple[int, int, list[str]]]) -> list[bytes]:
-    return [" ".join(words).encode() for _, _, words in found]
+def _words(found: list[list[str]]) -> list[bytes]:
+    return [" ".join(words).encode() for words in found]
 
 
 def span_table(docs: DataFrame, settings: SpanSettings) -> DataFrame:
@@ -93,7 +129,7 @@ def span_table(docs: DataFrame, settings: SpanSettings) -> DataFrame:
             for i, text in enumerate(batch.column("text").to_pylist()):
                 found = sentences(text or "", settings.longest)
                 parts = _words(found)
-                for first, last in spans([len(words) for _, _, words in found], settings.least_sentences, settings.least_words):
+                for first, last in spans([len(words) for words in found], settings.least_sentences, settings.least_words):
                     rows.append(i)
                     firsts.append(first)
                     keys.append(span_key(parts, first, last))
@@ -138,11 +174,12 @@ def drop_repeated_spans(docs: DataFrame, settings: SpanSettings = SpanSettings()
             for text, runs in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
                 parts = sentences(text or "", settings.longest)
                 covered = _covered(parts, {(r["first"], r["key_a"], r["key_b"]) for r in runs or []}, settings)
+                placed = placed_sentences(text, settings.longest) if covered else []
                 counts.append(len(parts))
                 gone.append(len(covered))
-                ranges.append(",".join(f"{parts[i][0]}:{parts[i][1]}" for i in covered))
+                ranges.append(",".join(f"{placed[i][0]}:{placed[i][1]}" for i in covered))
                 hidden = set(covered)
-                texts.append("".join(text[s:e] for i, (s, e, _) in enumerate(parts) if i not in hidden) if parts else text or "")
+                texts.append("".join(text[s:e] for i, (s, e, _) in enumerate(placed) if i not in hidden) if covered else text or "")
             columns = [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(gone, pa.int64()), pa.array(ranges, pa.string()), pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_sentences", "n_removed", "removed", "text"])
 
@@ -150,14 +187,14 @@ def drop_repeated_spans(docs: DataFrame, settings: SpanSettings = SpanSettings()
     return found.mapInArrow(taken_out, f"doc_id {id_type}, n_sentences long, n_removed long, removed string, text string")
 
 
-def _covered(parts: list[tuple[int, int, list[str]]], lost: set[tuple[int, int, int]], settings: SpanSettings) -> list[int]:
+def _covered(parts: list[list[str]], lost: set[tuple[int, int, int]], settings: SpanSettings) -> list[int]:
     """Sentences within the spans that this text loses, in order."""
     if not lost:
         return []
     words = _words(parts)
     firsts = {first for first, _, _ in lost}
     covered: list[int] = []
-    for first, last in spans([len(w) for _, _, w in parts], settings.least_sentences, settings.least_words):
+    for first, last in spans([len(w) for w in parts], settings.least_sentences, settings.least_words):
         if first in firsts and (first, *span_key(words, first, last)) in lost:
             covered.extend(range(max(first, covered[-1] + 1 if covered else 0), last + 1))
     return covered

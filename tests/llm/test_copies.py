@@ -130,7 +130,7 @@ def _spans_by_hand(rows, settings):
     """doc_id -> kept text, by a dictionary of all spans."""
     first, found = {}, {}
     for doc_id, text in sorted(rows, key=lambda r: (r[0] is None, r[0])):
-        parts = spans.sentences(text or "", settings.longest)
+        parts = spans.placed_sentences(text or "", settings.longest)
         own = list(spans.spans([len(w) for _, _, w in parts], settings.least_sentences, settings.least_words))
         found[doc_id] = (text or "", parts, own)
         for a, b in own:
@@ -158,6 +158,34 @@ def test_spans_take_all_rows_and_repeated_rows(spark):
     assert Counter(r["doc_id"] for r in got.collect()) == Counter(r[0] for r in AWKWARD)
 
 
+@pytest.mark.parametrize("text", ["", "  ", " \n\n a b.  c\n", "one. \n two \n" + "x y z " * 40, "a\n" * 50, "\u00e9t\u00e9\u00a0d'or ! " * 30])
+def test_sentences_cover_the_text(text):
+    placed = spans.placed_sentences(text, 8)
+    assert "".join(text[s:e] for s, e, _ in placed) == (text if placed else "")
+    assert [words for _, _, words in placed] == spans.sentences(text, 8)
+    assert [w for words in spans.sentences(text, 8) for w in words] == text.split()
+    assert all(len(words) <= 8 for words in spans.sentences(text, 8))
+
+
+def test_spans_find_a_passage_within_any_sentence(spark):
+    """A passage without sentence ends loses all but three pieces at its ends, however many words stand before and after it."""
+    rng = random.Random(3)
+
+    def words(n):
+        return " ".join("".join(rng.choices("abcdefghij", k=4)) for _ in range(n))
+
+    rows, passages = [], {}
+    for i in range(0, 120, 2):
+        passages[i + 1] = words(51)
+        rows += [(d, f"{words(rng.randrange(40))} {passages[i + 1]} {words(rng.randrange(40))}", "en", "a", 5, *["x"] * 7) for d in (i, i + 1)]
+    got = {r["doc_id"]: r for r in spans.drop_repeated_spans(frame(spark, rows)).collect()}
+    for d, passage in passages.items():
+        whole = next(r[1] for r in rows if r[0] == d)
+        gone = len(whole.split()) - len(got[d]["text"].split())
+        # Up to a piece before the first common cut, one after the last, and one that no span ends with.
+        assert 51 - 3 * 8 <= gone <= 51 and got[d - 1]["n_removed"] == 0
+
+
 def test_spans_query(spark):
     got = {r["doc_id"]: r["text"] for r in queries.op7_spans(spark, FOLDER).collect()}
     assert got == _spans_by_hand([(r["doc_id"], r["text"]) for r in given()], spans.SpanSettings())
