@@ -19,10 +19,12 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import islice
+from itertools import accumulate, islice
 from zlib import crc32
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
@@ -110,14 +112,20 @@ def spans(counts: list[int], least_sentences: int, least_words: int) -> Iterator
         filled -= counts[first]
 
 
-def span_key(parts: list[bytes], first: int, last: int) -> tuple[int, int]:
-    """96 bits of hash of a run of sentences, as a long and an int."""
-    digest = xxhash.xxh3_128_digest(b"\x00".join(parts[first : last + 1]))
-    return int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:12], "big", signed=True)
+_DIGEST = np.dtype([(KEY[0], ">i8"), (KEY[1], ">i4"), ("rest", ">i4")])
 
 
-def _words(found: list[list[str]]) -> list[bytes]:
-    return [" ".join(words).encode() for words in found]
+def span_keys(parts: list[list[str]], found: list[tuple[int, int]]) -> np.ndarray:
+    """96 bits of hash of each run of sentences, as a long and an int."""
+    words = [" ".join(part).encode() for part in parts]
+    ends = [0, *accumulate(len(part) + 1 for part in words)]
+    joined = b"\x00".join(words)
+    digest = xxhash.xxh3_128_digest
+    return np.frombuffer(b"".join([digest(joined[ends[first] : ends[last + 1] - 1]) for first, last in found]), _DIGEST)
+
+
+def _own_spans(parts: list[list[str]], settings: SpanSettings) -> list[tuple[int, int]]:
+    return list(spans([len(words) for words in parts], settings.least_sentences, settings.least_words))
 
 
 def span_table(docs: DataFrame, settings: SpanSettings) -> DataFrame:
@@ -125,16 +133,17 @@ def span_table(docs: DataFrame, settings: SpanSettings) -> DataFrame:
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches):
-            rows, firsts, keys = [], [], []
-            for i, text in enumerate(batch.column("text").to_pylist()):
-                found = sentences(text or "", settings.longest)
-                parts = _words(found)
-                for first, last in spans([len(words) for words in found], settings.least_sentences, settings.least_words):
-                    rows.append(i)
-                    firsts.append(first)
-                    keys.append(span_key(parts, first, last))
-            ids = batch.column("doc_id").take(pa.array(rows, pa.int64()))
-            columns = [ids, pa.array(firsts, pa.int32()), pa.array([a for a, _ in keys], pa.int64()), pa.array([b for _, b in keys], pa.int32())]
+            counts, keys = [], [np.empty(0, _DIGEST)]
+            for text in batch.column("text").to_pylist():
+                parts = sentences(text or "", settings.longest)
+                found = _own_spans(parts, settings)
+                counts.append(len(found))
+                keys.append(span_keys(parts, found))
+            digests = np.concatenate(keys)
+            # One span starts at each sentence, from the first on.
+            firsts = np.concatenate([np.arange(n, dtype=np.int32) for n in counts])
+            ids = batch.column("doc_id").take(pa.array(np.repeat(np.arange(len(counts)), counts)))
+            columns = [ids, pa.array(firsts), pa.array(digests[KEY[0]].astype(np.int64)), pa.array(digests[KEY[1]].astype(np.int32))]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "first", *KEY])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
@@ -171,10 +180,11 @@ def drop_repeated_spans(docs: DataFrame, settings: SpanSettings = SpanSettings()
     def taken_out(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches):
             counts, gone, ranges, texts = [], [], [], []
-            for text, runs in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
-                parts = sentences(text or "", settings.longest)
-                covered = _covered(parts, {(r["first"], r["key_a"], r["key_b"]) for r in runs or []}, settings)
-                placed = placed_sentences(text, settings.longest) if covered else []
+            for text, runs in zip(batch.column("text").to_pylist(), _listed(batch.column("spans"))):
+                lost = set(zip(*(runs[name].tolist() for name in ("first", *KEY)))) if len(runs) else set()
+                placed = placed_sentences(text or "", settings.longest) if lost else []
+                parts = [words for _, _, words in placed] if lost else sentences(text or "", settings.longest)
+                covered = _covered(parts, lost, settings)
                 counts.append(len(parts))
                 gone.append(len(covered))
                 ranges.append(",".join(f"{placed[i][0]}:{placed[i][1]}" for i in covered))
@@ -187,14 +197,25 @@ def drop_repeated_spans(docs: DataFrame, settings: SpanSettings = SpanSettings()
     return found.mapInArrow(taken_out, f"doc_id {id_type}, n_sentences long, n_removed long, removed string, text string")
 
 
+def _listed(column: pa.ListArray) -> Iterator[np.ndarray]:
+    """The spans of each row, as records; none where there are none."""
+    fields = column.flatten()
+    rows = np.empty(len(fields), [("first", "i4"), (KEY[0], "i8"), (KEY[1], "i4")])
+    for name in rows.dtype.names:
+        rows[name] = fields.field(name).to_numpy(zero_copy_only=False)
+    end = 0
+    for size in pc.fill_null(pc.list_value_length(column), 0).to_pylist():
+        yield rows[end : end + size]
+        end += size
+
+
 def _covered(parts: list[list[str]], lost: set[tuple[int, int, int]], settings: SpanSettings) -> list[int]:
     """Sentences within the spans that this text loses, in order."""
-    if not lost:
-        return []
-    words = _words(parts)
     firsts = {first for first, _, _ in lost}
+    some = [span for span in _own_spans(parts, settings) if span[0] in firsts] if lost else []
+    keys = span_keys(parts, some)
     covered: list[int] = []
-    for first, last in spans([len(w) for w in parts], settings.least_sentences, settings.least_words):
-        if first in firsts and (first, *span_key(words, first, last)) in lost:
+    for (first, last), a, b in zip(some, keys[KEY[0]].tolist(), keys[KEY[1]].tolist()):
+        if (first, a, b) in lost:
             covered.extend(range(max(first, covered[-1] + 1 if covered else 0), last + 1))
     return covered
