@@ -150,15 +150,15 @@ def _searched(queries: DataFrame, vectors: DataFrame, settings: SearchSettings)
 def top_k(vectors: DataFrame, is_query: Column, settings: SearchSettings = SearchSettings()) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row that ``is_query`` picks, its best k other rows, ties to smaller ids."""
     usable_rows = vectors.filter(F.col("vec_id").isNotNull() & usable(F.col("embedding"), settings.scale))
-    rows = usable_rows.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", is_query.alias("asks"))
-    count = rows.count()
-    shards, blocks = max(1, ceil(count / settings.shard)), 1
-    asking = rows.filter(F.col("asks")).groupBy("vec_id").agg(F.max("embedding").alias("embedding"))
-    asking = materialize(asking.withColumn("width", F.size("embedding")), "queries")
+    rows = usable_rows.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", F.size("embedding").alias("width"), is_query.alias("asks"))
+    # Rows of one vec_id must not share a shard for their number, so a number of their own counts too; stored, since
+    # the vectors are read several times and a row must lie in the same shard each time.
+    rows = materialize(rows.withColumn("number", F.monotonically_increasing_id()), "vectors")
+    shards = max(1, ceil(rows.count() / settings.shard))
+    asking = rows.filter(F.col("asks")).groupBy("vec_id").agg(F.max(F.struct("embedding", "width")).alias("asked"))
+    asking = materialize(asking.select("vec_id", "asked.embedding", "asked.width"), "queries")
     blocks = max(1, ceil(asking.count() / settings.block))
-    held = rows.select("vec_id", "embedding", F.size("embedding").alias("width"))
-    # Rows of one vec_id must not share a shard for their number, so their place in the table counts too.
-    held = held.withColumn("shard", F.pmod(F.xxhash64("vec_id", F.spark_partition_id()), F.lit(shards)).cast("int"))
+    held = rows.select("vec_id", "embedding", "width", F.pmod(F.xxhash64("vec_id", "number"), F.lit(shards)).cast("int").alias("shard"))
     held = held.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     asked = asking.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
 
