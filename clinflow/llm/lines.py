@@ -22,7 +22,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from clinflow.llm.text import SPACE, ascii_lower, whole
-from clinflow.scratch import materialize, new_path
+from clinflow.scratch import materialize, new_path, remove
 
 KEY = ["key_a", "key_b"]
 
@@ -66,13 +66,14 @@ def line_table(docs: DataFrame, least_length: int) -> DataFrame:
 
 @dataclass
 class LineRuns:
-    """The runs so far. ``first``: (key, documents, keeper), each key once over all runs; ``again``: (key, documents)
+    """The runs so far, until they are dropped. ``first``: (key, documents, keeper), each key once over all runs; ``again``: (key, documents)
     that later batches added to known keys."""
 
     spark: SparkSession
     fan: int = 2
     first: dict[int, list[DataFrame]] = field(default_factory=dict)
     again: list[DataFrame] = field(default_factory=list)
+    tables: dict[str, str] = field(default_factory=dict)
 
     def _run(self, rows: DataFrame, label: str) -> DataFrame:
         """Write rows as one run: bucketed and sorted by key, in shared storage."""
@@ -80,6 +81,7 @@ class LineRuns:
         name = f"clinflow_{label}_{uuid.uuid4().hex}"
         path = new_path(self.spark, label)
         rows.write.bucketBy(buckets, *KEY).sortBy(*KEY).option("path", path).saveAsTable(name)
+        self.tables[name] = path
         return self.spark.table(name)
 
     def seen(self) -> DataFrame | None:
@@ -121,6 +123,14 @@ class LineRuns:
         return summed.filter(F.col("documents") >= least_documents).select(*KEY, "keeper")
 
 
+    def drop(self) -> None:
+        """Take all runs out of the catalog and the shared folder; what was read from them must have been stored."""
+        for name, path in self.tables.items():
+            self.spark.sql(f"drop table if exists {name}")
+            remove(self.spark, path)
+        self.tables.clear()
+
+
 def _batches(lines: DataFrame, count: int) -> list[Column]:
     """Conditions that cut the documents into batches by falling doc_id; rows without doc_id come last."""
     shares = [i / count for i in range(1, count)]
@@ -145,9 +155,12 @@ def repeated_lines(docs: DataFrame, settings: LineSettings = LineSettings()) ->
     spark = docs.sparkSession
     lines = materialize(line_table(docs, settings.least_length), "lines")
     runs = LineRuns(spark, settings.fan)
-    for condition in _batches(lines, settings.batches):
-        runs.add(lines.filter(condition).select("doc_id", *KEY))
-    repeated = materialize(runs.repeated(settings.least_documents), "repeated")
+    try:
+        for condition in _batches(lines, settings.batches):
+            runs.add(lines.filter(condition).select("doc_id", *KEY))
+        repeated = materialize(runs.repeated(settings.least_documents), "repeated")
+    finally:
+        runs.drop()
     lost = lines.join(repeated, KEY).filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
     return lost.groupBy("doc_id", "mark").agg(F.collect_set("at").alias("dropped"))
 

@@ -142,6 +142,12 @@ def _spans_by_hand(rows, settings):
     return out
 
 
+def test_line_runs_leave_no_tables(spark):
+    before = {t.name for t in spark.catalog.listTables()}
+    assert lines.drop_repeated_lines(frame(spark)).count()
+    assert {t.name for t in spark.catalog.listTables()} == before
+
+
 @pytest.mark.parametrize("broadcast_bytes", [0, 1 << 20])
 def test_spans_on_awkward_rows(spark, broadcast_bytes):
     settings = spans.SpanSettings(broadcast_bytes=broadcast_bytes)
