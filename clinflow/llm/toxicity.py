@@ -5,8 +5,11 @@ standard error; a word that tells little by itself scores like its class, the wo
 lowered by a drift, so that ordinary text sums to less than nothing. A linear scan then finds all maximal
 segments of a document. The best sum of ordinary text follows an extreme-value law whose
 rate solves sum p(w) exp(rate * s(w)) = 1 and whose constant is fitted to clean labelled documents; a segment
-is significant if fewer than ``expected`` such segments are due to chance in a text of that length. The evidence of
-all significant segments adds up (sum statistics) and a logistic curve fitted to the labels makes it a probability.
+is significant if fewer than ``expected`` such segments are due to chance in a text of that length. Segments that are not
+significant alone may be so together: the evidence of the best r of all segments adds up (sum statistics), so that it grows
+with the mentions in a long text as its bar does. Small sums are more frequent in ordinary text than the law says; for those the
+chance is the share counted in clean labelled documents. A logistic curve fitted to the labels makes the evidence a
+probability.
 
 The model learns from a bounded sample of labelled rows; scoring is one narrow pass over all whole texts.
 
@@ -18,8 +21,8 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
-from math import exp, lgamma, log
+from dataclasses import dataclass, field
+from math import exp, log
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +33,17 @@ from clinflow.llm.text import held_out, in_slices
 
 _EDGE = "\"'`()[]{}<>.,;:!?*&$%#|-_"
 _EULER = 0.5772156649
+# Width of the classes in which sums of ordinary text are counted.
+_STEP = 0.05
 
 
 @dataclass(frozen=True)
 class ToxicitySettings:
     """``sample``: labelled rows learnt from, at most; ``words``: the model's vocabulary, at most (the most frequent
     of the sample; others are judged by their class). ``prior``: documents the prior counts for; ``errors``: standard errors
-    by which log-odds shrink; ``expected``: chance segments a document may hold before one is significant."""
+    by which log-odds shrink; ``expected``: chance segments a document may hold before one is significant. ``reach``: tokens
+    after which a word said before is told anew; ``spread``: log of how many times as often as on average an ordinary
+    document may hold segments of some sum."""
 
     sample: int = 8192
     words: int = 200_000
@@ -45,6 +52,8 @@ class ToxicitySettings:
     errors: float = 1.0
     drift: float = 0.4
     expected: float = 0.05
+    reach: int = 100
+    spread: float = 1.5
     threshold: float = 0.3
 
 
@@ -114,6 +123,8 @@ class ToxicityModel:
     settings: ToxicitySettings
     rate: float = 1.0
     constant: float = 1.0
+    # Log of the segments a token of clean text that sum to 0, _STEP, 2 * _STEP and so on, or more.
+    common: np.ndarray = field(default_factory=lambda: np.array([-np.inf]))
     slope: float = 0.0
     offset: float = -2.0
 
@@ -121,27 +132,37 @@ class ToxicityModel:
         """Number of tokens, and all maximal segments in tokens."""
         tokens = (text or "").split()
         found = np.fromiter(map(scores.__getitem__, tokens), float, len(tokens))
-        # Log-odds are those of holding a word at all: said again and again, it is no more evidence.
-        said = set()
+        # Log-odds are those of holding a word: said again in the same passage, it is no more evidence; in another one it is.
+        told: dict[str, int] = {}
         for at in np.flatnonzero(found > 0).tolist():
-            if tokens[at] in said:
+            if at - told.get(tokens[at], -self.settings.reach) < self.settings.reach:
                 found[at] = -self.settings.drift
-            said.add(tokens[at])
+            else:
+                told[tokens[at]] = at
         return len(tokens), segments(found)
 
+    def chance(self, sums: np.ndarray) -> np.ndarray:
+        """Log of the segments of at least these sums that a token of ordinary text is expected to hold."""
+        place = np.minimum((sums / _STEP).astype(np.int64), len(self.common) - 1)
+        return np.maximum(log(self.constant) - self.rate * sums, self.common[place])
+
     def evidence(self, tokens: int, found: list[tuple[int, int, float]]) -> tuple[float, list[tuple[int, int, float]]]:
-        """Evidence of the significant segments together, and those segments."""
-        if not tokens:
+        """Evidence of all segments together, and those segments that are significant alone or together."""
+        if not tokens or not found:
             return 0.0, []
-        chance = log(self.constant * tokens)
-        passages = [s for s in found if self.rate * s[2] - chance > -log(self.settings.expected)]
-        best = sum_so_far = 0.0
-        for r, s in enumerate(sorted((s[2] for s in passages), reverse=True), start=1):
-            sum_so_far += self.rate * s - chance
-            best = max(best, sum_so_far + lgamma(r + 1))
-        # Segments that are not significant alone still tell a little: the best of them counts below the bar.
-        top = max((self.rate * s[2] - chance for s in found), default=0.0)
-        return max(best, top, 0.0), passages
+        sums = np.array([s[2] for s in found])
+        alone = self.rate * sums - log(self.constant * tokens)
+        order = np.argsort(-sums, kind="stable")
+        ranks = np.arange(len(sums))
+        # Of r segments: log r! less what is expected of each; the first need not stand out from other documents.
+        together = np.cumsum(np.log(ranks + 1) - self.chance(sums[order]) - log(tokens)) - self.settings.spread * ranks
+        best = int(together.argmax())
+        bar = -log(self.settings.expected)
+        telling = alone > bar
+        if together[best] > bar:
+            telling[order[: best + 1]] = True
+        # Segments that are not significant still tell a little: the best of them counts below the bar.
+        return max(float(together[best]), float(alone.max()), 0.0), [found[i] for i in np.flatnonzero(telling).tolist()]
 
     def probability(self, evidence: float) -> float:
         return 1 / (1 + exp(-min(max(self.slope * min(evidence, 50.0) + self.offset, -30.0), 30.0)))
@@ -215,16 +236,26 @@ def _calibrate(
         for batch in in_slices(batches):
             pairs = zip(batch.column("text").to_pylist(), batch.column("half").to_pylist())
             found = [model.scan(text, scores[1 - half]) for text, half in pairs]
-            sums = pa.array([[s[2] for s in segs] for _, segs in found], pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array([n for n, _ in found], pa.int64()), sums], ["y", "tokens", "sums"])
-
-    seen = texts.mapInArrow(scanned, "y int, tokens long, sums array<double>").toArrow().to_pylist()
-    seen.sort(key=lambda r: (r["y"], r["tokens"], r["sums"]))
+            # Sums by class, so that a text gives few numbers however long it is.
+            classes = [Counter(int(s[2] / _STEP) for s in segs) for _, segs in found]
+            columns = [batch.column("y"), pa.array([n for n, _ in found], pa.int64()), pa.array([max((s[2] for s in segs), default=None) for _, segs in found], pa.float64())]
+            columns += [pa.array([sorted(c) for c in classes], pa.list_(pa.int64())), pa.array([[c[i] for i in sorted(c)] for c in classes], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["y", "tokens", "best", "classes", "counts"])
+
+    seen = texts.mapInArrow(scanned, "y int, tokens long, best double, classes array<long>, counts array<long>").toArrow().to_pylist()
+    seen.sort(key=lambda r: (r["y"], r["tokens"], r["classes"], r["counts"]))
+    plain = [r for r in seen if r["y"] == 0]
     # Mean of the best sum less its growth with length, over clean texts that have a segment: moments of the law.
-    best = [model.rate * max(r["sums"]) - log(r["tokens"]) for r in seen if r["y"] == 0 and r["sums"]]
+    best = [model.rate * r["best"] - log(r["tokens"]) for r in plain if r["best"] is not None]
     if best:
         model.constant = min(1.0, max(1e-4, exp(float(np.mean(best)) - _EULER)))
-    x = [min(model.evidence(r["tokens"], [(0, 0, s) for s in r["sums"]])[0], 50.0) for r in seen]
+        of_class = Counter()
+        for r in plain:
+            of_class.update(dict(zip(r["classes"], r["counts"])))
+        counts = np.array([of_class[i] for i in range(max(of_class) + 2)], float)  # none in the last
+        with np.errstate(divide="ignore"):
+            model.common = np.log(counts[::-1].cumsum()[::-1] / sum(r["tokens"] for r in plain))
+    x = [min(model.evidence(r["tokens"], [(0, 0, (i + 0.5) * _STEP) for i, n in zip(r["classes"], r["counts"]) for _ in range(n)])[0], 50.0) for r in seen]
     model.slope, model.offset = _logistic(np.array(x, float), np.array([r["y"] for r in seen], float))
     # Without any evidence a text is never rejected, whatever the share of toxic labels.
     least = settings.threshold * 2 / 3

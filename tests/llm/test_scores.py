@@ -109,6 +109,35 @@ def test_a_repeated_word_is_no_more_evidence():
     assert [s[2] for s in once] == [s[2] for s in often]
 
 
+def test_long_toxic_documents_are_found(spark):
+    """Held-out clean documents joined to 50,000 tokens and more, as they are and with insults among their words."""
+    docs, known = (spark.read.parquet(f"{LARGER}/{name}.parquet") for name in ("documents", "labels"))
+    model = toxicity.fit(docs, known)
+    scores = toxicity.TokenScores(model.words, model.classes, model.settings)
+    clean = {r["doc_id"] for r in known.filter("toxic = 0").collect() if held_out(r["doc_id"])}
+    texts = [r["text"].split() for r in sorted(given(LARGER), key=lambda r: r["doc_id"]) if r["doc_id"] in clean and r["text"]]
+    rng = np.random.default_rng(3)
+
+    def rejected(size, insults, share):
+        count = 0
+        for _ in range(10):
+            tokens = []
+            while len(tokens) < size:
+                tokens += texts[rng.integers(len(texts))]
+            tokens = [insults[rng.integers(len(insults))] if rng.random() < share else token for token in tokens]
+            evidence, passages = model.evidence(*model.scan(" ".join(tokens), scores))
+            assert len(passages) >= min(share, 0.01) * size / 4
+            count += model.probability(evidence) >= model.settings.threshold
+        return count
+
+    insults = "idiot trash pathetic moron stupid worthless disgusting scum clown".split()
+    for size in (50_000, 150_000):
+        assert rejected(size, insults, 0.01) == 10
+        assert rejected(size, insults[:1], 0.001) == 10
+        assert rejected(size, insults, 0.1) == 10
+        assert rejected(size, insults, 0) <= 1
+
+
 def test_slices_keep_all_rows():
     import pyarrow as pa
 
