@@ -4,7 +4,7 @@ Patterns find assignments of secrets, access keys and long hexadecimal runs. Bes
 is taken as written in the smallest alphabet that holds it, and tested against uniformly random symbols of that
 alphabet: chi-squared uniformity of the counts, number of runs above and below the middle, and correlation of
 neighbours. The three p-values are combined (Fisher). Random runs spread evenly over the p-values, others pile up near
-zero; so in every class of alphabet and length, counted over all documents, the share of others above a bar is known, and
+zero; so in every class of alphabet and length, counted over the distinct runs of all documents, the share of others above a bar is known, and
 the bar is set where it falls below the allowed rate of false discoveries. Short runs, which tests can hardly tell
 apart, thus face a higher bar than long ones; runs of letters alone, as words are written, are tested only from a length
 at which words no longer pass for random. DataFrame functions only.
@@ -55,7 +55,7 @@ ALPHABETS = {
 
 @dataclass(frozen=True)
 class SecretSettings:
-    """``false_rate``: share of false spans allowed among those the tests add. ``bins``: of the p-values.
+    """``false_rate``: share of false runs allowed among the distinct ones the tests add. ``bins``: of the p-values.
     ``lengths``: where one class of lengths ends and the next begins. ``letters_from``: least length of runs of letters
     alone; at 32 the uneven letters of words lie over three standard errors off an even alphabet."""
 
@@ -160,9 +160,13 @@ def _classed(runs: DataFrame, settings: SecretSettings) -> DataFrame:
     return tested.withColumns({"class": group.cast("int"), "bin": F.when(telling, place)})
 
 
-def _bars(runs: DataFrame, settings: SecretSettings) -> dict[int, int]:
-    """class -> least bin that counts as random. Classes are few and fixed; only their counts reach the driver."""
-    each = runs.filter(F.col("bin").isNotNull()).groupBy("class", "bin").count()
+def _bars(runs: DataFrame, settings: SecretSettings) -> dict[int, float]:
+    """class -> least p that counts as random. Classes are few and fixed; only their counts reach the driver.
+
+    A run counts once, however often it is copied: copies are no further tests. Where the bar lets everything in, it
+    still keeps out what is too far off to be one of that many random runs.
+    """
+    each = runs.filter(F.col("bin").isNotNull()).select("class", "bin", "mark").distinct().groupBy("class", "bin").count()
     counts: dict[int, list[int]] = {}
     for row in each.collect():
         counts.setdefault(row["class"], [0] * settings.bins)[row["bin"]] = row["count"]
@@ -173,7 +177,7 @@ def _bars(runs: DataFrame, settings: SecretSettings) -> dict[int, int]:
             found = sum(bins[bar:])
             false = found - random * (1 - bar / settings.bins)
             if found and false <= settings.false_rate * found:
-                bars[group] = bar
+                bars[group] = bar / settings.bins or min(settings.false_rate / max(random, 1), 1 / settings.bins)
                 break
     return bars
 
@@ -194,13 +198,13 @@ def scan(docs: DataFrame, settings: SecretSettings = SecretSettings()) -> DataFr
     random = F.col("kind") == KINDS.index("random")
     rows = rows.withColumns({"length": F.char_length("token"), "counted": _long_enough()})
     rows = _classed(rows.withColumn("token", F.when(random, F.col("token"))), settings)
-    scanned = materialize(rows.select("number", "doc_id", "kind", "place", "gap", "length", "counted", "class", "bin"), "secrets")
+    scanned = materialize(rows.select("number", "doc_id", "kind", "place", "gap", "length", "counted", "class", "bin", "p", F.xxhash64("token").alias("mark")), "secrets")
 
     bars = _bars(scanned, settings)
     random_enough = F.lit(False)
     if bars:
         least = F.create_map(*[F.lit(x) for pair in sorted(bars.items()) for x in pair])
-        random_enough = F.coalesce(F.col("bin") >= F.try_element_at(least, F.col("class")), F.lit(False))
+        random_enough = F.coalesce(F.col("bin").isNotNull() & (F.col("p") >= F.try_element_at(least, F.col("class"))), F.lit(False))
     before = Window.partitionBy("number", "kind").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = scanned.repartition("number").withColumn("end", F.sum(F.col("gap") + F.col("length")).over(before).cast("int"))
     placed = placed.withColumn("start", F.col("end") - F.col("length"))

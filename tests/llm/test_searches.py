@@ -335,6 +335,22 @@ def test_short_runs_of_letters_are_left_alone(spark):
     assert not any(r["added"] for r in secrets.scan(frame(spark, rows)).collect())
 
 
+@pytest.mark.parametrize("least, most", [(0.3, 0.35), (0.6, 0.9)])
+def test_copies_do_not_move_the_bar(spark, least, most):
+    """Structured runs and keys of one class, alone and with one run of middling or high p copied very often."""
+    draw = random.Random(4)
+    keys = random_tokens(150, 40)
+    names = ["".join(draw.choices(["Haus", "Tor9", "Baum", "Weg7"], k=10)) for _ in range(600)]
+    copied = next(t for t in random_tokens(5000, 40)[200:] if least <= randomness_by_hand(t) < most)
+    rows = [(i, f"text with {t} inside", "en", "a", 0, *["x"] * 7) for i, t in enumerate(keys + names)]
+    copies = [(10_000 + i, f"text with {copied} inside", "en", "a", 0, *["x"] * 7) for i in range(5000)]
+    added = [{r["doc_id"] for r in secrets.scan(frame(spark, x)).collect() if r["added"]} for x in (rows, rows + copies)]
+    assert len({i for i in added[1] if i < 150}) >= 0.8 * 150
+    assert not {i for i in added[1] if 150 <= i < 10_000}
+    assert len({i for i in added[0] ^ added[1] if i < 10_000}) <= 10
+    assert {i for i in added[1] if i >= 10_000} == {r[0] for r in copies}
+
+
 # --- pipeline ---
 
 
