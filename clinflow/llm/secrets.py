@@ -1,7 +1,7 @@
 """Secret scans: fixed patterns, and a battery of randomness tests on long runs of key-like characters.
 
 Patterns find assignments of secrets, access keys and long hexadecimal runs. Besides, every run of key-like characters
-is taken as written in the smallest alphabet that holds it, and tested against uniformly random symbols of that
+is taken as written in the smallest alphabet that holds it (a run that none holds is taken apart at its separators), and tested against uniformly random symbols of that
 alphabet: chi-squared uniformity of the counts, number of runs above and below the middle, and correlation of
 neighbours. The three p-values are combined (Fisher). Random runs spread evenly over the p-values, others pile up near
 zero; so in every class of alphabet and length, counted over the distinct runs of all documents, the share of others above a bar is known, and
@@ -33,7 +33,8 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{32,}"
 KINDS = ("assign", "access", "hex", "random")
 
-_KEYLIKE = r"[A-Za-z0-9+/_-]{20,}={0,2}"
+_LEAST = 20
+_KEYLIKE = rf"[A-Za-z0-9+/_-]{{{_LEAST},}}={{0,2}}"
 _DIGITS = "0123456789"
 _SMALL = "abcdefghijklmnopqrstuvwxyz"
 # Alphabets from the smallest to the largest: what a run is taken to be written in.
@@ -80,6 +81,47 @@ def matches(text: Column, kind: str, pattern: str) -> Column:
     return F.when(text.rlike(pattern), placed.cast(_MATCHES)).otherwise(F.array().cast(_MATCHES))
 
 
+def in_parts(rows: DataFrame) -> DataFrame:
+    """Put the parts of every run that no alphabet holds beside it: between its ``+/``, between its ``-_``, between all of them.
+
+    Adds ``step``, what the row takes of the text from where the one before it ended, and ``back``, how far before the end
+    of the run it starts. Parts take nothing; they carry the place of their run and follow it by ``part``.
+    """
+    token = F.col("token")
+    mixed = token.rlike("[+/]") & token.rlike("[-_]")
+    out = rows.withColumn("chars", F.when(mixed, F.filter(F.split(token, ""), lambda c: c != "")))
+    # Bounds of parts: (where, 1 for +/, 2 for -_, 3 for either end of the run).
+    bound = lambda at, side: F.struct(at.cast("int").alias("at"), F.lit(side).cast("int").alias("side"))
+    cuts = F.transform("chars", lambda c, i: F.when(c.isin("+", "/"), bound(i, 1)).when(c.isin("-", "_"), bound(i, 2)))
+    cuts = F.filter(cuts, lambda b: b.isNotNull())
+    out = out.withColumn("bounds", F.concat(F.array(bound(F.lit(-1), 3)), cuts, F.array(bound(F.size("chars"), 3))))
+    outer = F.filter("bounds", lambda b: b["side"] != 2)
+    inner = F.filter("bounds", lambda b: b["side"] != 1)
+    out = out.withColumns({"outer": outer, "inner": inner})
+
+    def between(bounds: str, all_of_them: bool) -> Column:
+        pairs = F.zip_with(
+            F.slice(bounds, F.lit(1), F.size(bounds) - 1), F.slice(bounds, F.lit(2), F.size(bounds) - 1),
+            lambda a, b: F.struct((a["at"] + 1).alias("from"), (b["at"] - a["at"] - 1).alias("length"), a["side"].bitwiseAND(b["side"]).alias("same")),
+        )
+        # A part between two bounds of one side is found by that side.
+        return F.filter(pairs, lambda x: (x["length"] >= _LEAST) & (F.lit(not all_of_them) | (x["same"] == 0)))
+
+    out = out.withColumn("places", F.concat(between("outer", False), between("inner", False), between("bounds", True)))
+    parts = F.transform(
+        "places",
+        lambda x, i: F.struct(
+            (i + 1).alias("part"), F.lit(0).alias("step"), (F.col("length") - x["from"]).alias("back"), x["length"].alias("length"),
+            F.array_join(F.slice("chars", x["from"] + 1, x["length"]), "").alias("token"),
+        ),
+    )
+    itself = F.struct(F.lit(0).alias("part"), (F.col("gap") + F.col("length")).alias("step"), F.col("length").alias("back"), F.col("length"), token)
+    type_ = "array<struct<part:int,step:int,back:int,length:int,token:string>>"
+    every = F.concat(F.array(itself).cast(type_), F.coalesce(parts.cast(type_), F.array().cast(type_)))
+    kept = [name for name in rows.columns if name not in ("gap", "length", "token")]
+    return out.select(*kept, F.inline(every))
+
+
 def _long_enough() -> Column:
     """Whether a match of a fixed pattern counts; the text that a short one took stays taken."""
     assigned = F.char_length(F.regexp_extract("token", ASSIGN, 2)) >= 8
@@ -197,22 +239,26 @@ def scan(docs: DataFrame, settings: SecretSettings = SecretSettings()) -> DataFr
     rows = found.select("number", "doc_id", F.inline("found"))
     random = F.col("kind") == KINDS.index("random")
     rows = rows.withColumns({"length": F.char_length("token"), "counted": _long_enough()})
-    rows = _classed(rows.withColumn("token", F.when(random, F.col("token"))), settings)
-    scanned = materialize(rows.select("number", "doc_id", "kind", "place", "gap", "length", "counted", "class", "bin", "p", F.xxhash64("token").alias("mark")), "secrets")
+    rows = _classed(in_parts(rows.withColumn("token", F.when(random, F.col("token")))), settings)
+    scanned = materialize(rows.select("number", "doc_id", "kind", "place", "part", "step", "back", "length", "counted", "class", "bin", "p", F.xxhash64("token").alias("mark")), "secrets")
 
     bars = _bars(scanned, settings)
     random_enough = F.lit(False)
     if bars:
         least = F.create_map(*[F.lit(x) for pair in sorted(bars.items()) for x in pair])
         random_enough = F.coalesce(F.col("bin").isNotNull() & (F.col("p") >= F.try_element_at(least, F.col("class"))), F.lit(False))
-    before = Window.partitionBy("number", "kind").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = scanned.repartition("number").withColumn("end", F.sum(F.col("gap") + F.col("length")).over(before).cast("int"))
-    placed = placed.withColumn("start", F.col("end") - F.col("length"))
+    before = Window.partitionBy("number", "kind").orderBy("place", "part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = scanned.repartition("number").withColumn("start", (F.sum("step").over(before) - F.col("back")).cast("int"))
+    placed = placed.withColumn("end", F.col("start") + F.col("length"))
     base = F.col("kind").between(0, 2) & F.col("counted")
     # A run lies in a span of a pattern if one that starts no later ends no earlier.
     sofar = Window.partitionBy("number").orderBy("start").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     placed = placed.withColumn("reach", F.max(F.when(base, F.col("end"))).over(sofar))
-    added = random & random_enough & (F.col("reach").isNull() | (F.col("reach") < F.col("end")))
+    # Nor is a part of a run added where a larger part of it is.
+    larger = Window.partitionBy("number").orderBy("start", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
+    placed = placed.withColumn("within", F.max(F.when(random & random_enough, F.col("end"))).over(larger))
+    free = [F.col(name).isNull() | (F.col(name) < F.col("end")) for name in ("reach", "within")]
+    added = random & random_enough & free[0] & free[1]
     span = F.struct("start", "kind", "end")
     spans = [F.array_sort(F.collect_list(F.when(chosen, span))).alias(name) for name, chosen in (("base", base), ("added", added))]
     return placed.groupBy("number").agg(F.first("doc_id").alias("doc_id"), *spans).drop("number")

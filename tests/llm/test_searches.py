@@ -351,6 +351,28 @@ def test_copies_do_not_move_the_bar(spark, least, most):
     assert {i for i in added[1] if i >= 10_000} == {r[0] for r in copies}
 
 
+def test_keys_glued_to_paths_are_found(spark):
+    """Runs that no alphabet holds: a key behind a path, before a name, a key of base64 signs behind a dash, two keys in one run."""
+    url = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"
+    plain, signed = random_tokens(180, 40), random_tokens(60, 64, url)
+    texts, want = [], []
+    for i, key in enumerate(plain[:120]):
+        before, after = [("api/v1-beta/", ""), ("", "/some-name=="), ("a_b+", "+c-d/e"), ("api/v1-beta/", f"/x-y/{plain[120 + i % 60]}")][i % 4]
+        texts.append(f"é {before}{key}{after} and api/v1-beta/other/path-to/thing")
+        want.append([(2 + len(before), 42 + len(before))] + [(texts[-1].index(k), texts[-1].index(k) + 40) for k in plain[120:] if k in after])
+    for key in signed:
+        texts.append(f"see api/v1/{key} here")
+        want.append([(11, 75)])
+    got = {r["doc_id"]: r["added"] for r in secrets.scan(frame(spark, [(i, t, "en", "a", 0, *["x"] * 7) for i, t in enumerate(texts)])).collect()}
+    found = [{(s["start"], s["end"]) for s in got[i]} for i in range(len(texts))]
+    # A span may hold a short word beside the key, never half of the key.
+    covered = [all(any(a <= x and y <= b and b - a < y - x + 20 for a, b in spans) for x, y in keys) for spans, keys in zip(found, want)]
+    assert sum(covered[:120]) >= 0.75 * 120 and sum(covered[120:]) >= 0.75 * 60
+    assert any(spans & set(keys) for spans, keys in zip(found, want))
+    for spans in found:
+        assert not any(a != b and a[0] <= b[0] and b[1] <= a[1] for a in spans for b in spans)
+
+
 # --- pipeline ---
 
 
