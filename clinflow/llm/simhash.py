@@ -197,25 +197,44 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, most: in
 def keep_one_of_each(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
     """The rows of ``docs`` without all but the document of least doc_id of each component.
 
-    Of rows that repeat the doc_id that stays, one stays. Rows without doc_id stay if no row of their component has one.
+    Of rows that repeat the doc_id that stays, one stays, of a component which that doc_id names: the one of least
+    fingerprint. Rows without doc_id stay if no row of their component has one.
     """
     found = near_duplicates(docs, shingle, radius)
-    stays = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__stays")).distinct()
-    kept = docs.join(stays.hint("shuffle_hash"), F.col("doc_id") == F.col("__stays"), "left_semi")
+    stays = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    ids = stays.select(F.col("doc_id").alias("__stays")).distinct()
+    kept = docs.join(ids.hint("shuffle_hash"), F.col("doc_id") == F.col("__stays"), "left_semi")
+    # Ids of texts that differ: only these rows have to be matched by their fingerprints too.
+    differ = found.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg((F.min("fp") != F.max("fp")).alias("differ"))
+    differ = materialize(differ.filter("differ").select(F.col("doc_id").alias("__differs")), "differing")
+    if differ.isEmpty():
+        kept = kept.dropDuplicates(["doc_id"])
+    else:
+        same = F.col("doc_id") == F.col("__differs")
+        chosen = stays.groupBy("doc_id").agg(F.min("fp").alias("__near")).select(F.col("doc_id").alias("__stays"), "__near")
+        several = _with_print(kept.join(differ, same, "left_semi"), shingle)
+        several = several.join(chosen, (F.col("doc_id") == F.col("__stays")) & (F.col("__fp") == F.col("__near")), "left_semi")
+        several = several.dropDuplicates(["doc_id"]).drop("__fp")
+        kept = kept.join(differ, same, "left_anti").dropDuplicates(["doc_id"]).unionByName(several)
     if not found.filter(F.col("doc_id").isNull()).isEmpty():
-        return kept.dropDuplicates(["doc_id"]).unionByName(_without_id(docs, found, shingle))
-    return kept.dropDuplicates(["doc_id"])
+        return kept.unionByName(_without_id(docs, found, shingle))
+    return kept
 
 
-def _without_id(docs: DataFrame, found: DataFrame, shingle: int) -> DataFrame:
-    """Rows without doc_id whose fingerprint lies in a component without any doc_id."""
-    nameless = found.filter(F.col("component_id").isNull()).select(F.col("fp").alias("__near")).distinct()
-    rows = docs.filter(F.col("doc_id").isNull())
+def _with_print(rows: DataFrame, shingle: int) -> DataFrame:
+    """The rows with their fingerprint as ``__fp``."""
 
     def with_print(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches):
             prints = [signed(fingerprint(text, shingle)) for text in batch.column("text").to_pylist()]
             yield batch.append_column("__fp", pa.array(prints, pa.int64()))
 
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return rows.mapInArrow(with_print, f"{types}, `__fp` long").join(nameless, F.col("__fp") == F.col("__near"), "left_semi").drop("__fp")
+    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    return rows.mapInArrow(with_print, f"{types}, `__fp` long")
+
+
+def _without_id(docs: DataFrame, found: DataFrame, shingle: int) -> DataFrame:
+    """Rows without doc_id whose fingerprint lies in a component without any doc_id."""
+    nameless = found.filter(F.col("component_id").isNull()).select(F.col("fp").alias("__near")).distinct()
+    rows = _with_print(docs.filter(F.col("doc_id").isNull()), shingle)
+    return rows.join(nameless, F.col("__fp") == F.col("__near"), "left_semi").drop("__fp")

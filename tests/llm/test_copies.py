@@ -75,6 +75,19 @@ def test_one_of_each_group_stays(spark):
     assert [r["text"] for r in kept.filter("doc_id is null").collect()] == ["nobody else says this"]
 
 
+def test_the_text_that_stays_is_no_copy_of_another(spark):
+    """Ids of two texts, one of them a copy of a lesser document: the other one stays, wherever the rows lie."""
+    copies = [f"text {i} {i * i} that another document holds as well" for i in range(1, 9)]
+    rows = [(i, t) for i, t in enumerate(copies)] + [(100 + i, t) for i, t in enumerate(copies)]
+    lone = [(100 + i, f"nothing else {i * 7} is like {i * 31} this one {i * 101} at all") for i in range(len(copies))]
+    found = dict.fromkeys(simhash(t) for _, t in rows + lone)
+    assert all((a ^ b).bit_count() > 2 for a in found for b in found if a != b) and len(found) == 16
+    for parts in (1, 4):
+        docs = frame(spark, [(i, t, "en", "a", 0, *["x"] * 7) for i, t in rows + lone]).repartition(parts)
+        kept = sh.keep_one_of_each(docs).collect()
+        assert sorted((r["doc_id"], r["text"]) for r in kept) == sorted(rows[: len(copies)] + lone)
+
+
 @pytest.mark.parametrize("batches, fan", [(1, 2), (4, 2), (5, 3)])
 def test_lines_on_awkward_rows(spark, batches, fan):
     settings = lines.LineSettings(batches=batches, fan=fan)
