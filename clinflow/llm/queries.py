@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clinflow.llm import exact, lines, mixing, packing, quality, secrets, simhash, spans, topk, toxicity
+from clinflow.llm import audit, exact, lines, mixing, packing, quality, secrets, simhash, spans, topk, toxicity, tries, urls
 from clinflow.sources.feeds import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,6 +94,21 @@ def op10_secrets(spark, folder):
     return found.select("doc_id", *counts, digest, secrets.listed(F.concat("base", "added")).alias("spans"))
 
 
+@query
+def op11_urls(spark, folder):
+    return urls.judge_urls(read_table(spark, f"{folder}/pages.parquet"))
+
+
+@query
+def op12_audit(spark, folder):
+    return audit.audit(_documents(spark, folder), _labels(spark, folder))
+
+
+@query
+def op13_trie(spark, folder):
+    return tries.conversation_trie(read_table(spark, f"{folder}/conversations.parquet"))
+
+
 _LINES_SQL = """
 with
 pieces as (
@@ -193,9 +209,163 @@ ranked as (
 select query_id, rank, vec_id, score from ranked where rank <= 5
 """
 
+
+
+def _glob_regex(glob: str) -> str:
+    """The glob as a regular expression, for SQL."""
+    letters, runs = urls.parsed(glob)
+    out = []
+    for place in range(len(letters) + 1):
+        if place in runs:
+            out.append(".*" if runs[place] else "[^/]*")
+        if place < len(letters):
+            out.append("[^/]" if letters[place] is None else re.escape(letters[place]))
+    return "(?s)" + "".join(out)
+
+
+def _urls_sql() -> str:
+    rules = urls.UrlSettings().ordered()
+
+    def fits(rule: urls.HostRule) -> str:
+        return f"(host = '{rule.host}' or ends_with(host, '.{rule.host}')) and starts_with(path, '{rule.path}')"
+
+    def choice(value: str) -> str:
+        return "case " + " ".join(f"when {fits(rule)} then '{getattr(rule, value)}'" for rule in rules) + " end"
+
+    globs = ", ".join(f"case when regexp_full_match(host || path, '{_glob_regex(glob)}') then '{glob}' end" for glob in urls.GLOBS)
+    return f"""
+with rests as (
+    select page_id, case when contains(url, '://') then substr(url, strpos(url, '://') + 3) end as rest from pages
+),
+parts as (
+    select page_id,
+           coalesce(translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') as host,
+           coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') as path
+    from rests
+),
+judged as (
+    select *, {choice("text")} as rule, {choice("action")} as action, concat_ws(' ', {globs}) as globs from parts
+)
+select page_id, host, path, rule, coalesce(action, case when globs <> '' then 'block' else 'allow' end) as verdict, globs from judged
+"""
+
+
+_AUDIT_SQL = """
+with texts as (
+    select doc_id, coalesce(source, '') as part, coalesce(text, '') as text from documents
+),
+worded as (
+    select *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as words from texts
+),
+marked as (
+    select doc_id, coalesce(max(quality) = 1, false) as good, coalesce(max(toxic) = 1, false) as toxic from labels group by doc_id
+),
+masked as (
+    select w.doc_id, part, coalesce(good, false) as good, coalesce(toxic, false) as toxic,
+           (case when len(words) < 200 then 1 else 0 end)
+           + (case when 100 * len(list_distinct(words)) < 50 * len(words) then 2 else 0 end)
+           + (case when 100 * len(regexp_extract_all(text, '[A-Z]')) > 2 * length(text) then 4 else 0 end)
+           + (case when regexp_matches(text, '[#$%&*|]') then 8 else 0 end)
+           + (case when w.doc_id > min(w.doc_id) over (partition by text) then 16 else 0 end) as mask
+    from worded w left join marked m on w.doc_id = m.doc_id
+),
+counted as (
+    select part, mask, count(*) as n, count(*) filter (good) as good, count(*) filter (toxic) as toxic from masked group by part, mask
+),
+letters as (
+    select * from (values ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) as l(letter, bit)
+),
+orders as (
+    select a.letter || b.letter || c.letter || d.letter || e.letter as filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] as bits
+    from letters a, letters b, letters c, letters d, letters e
+    where len(list_distinct([a.letter, b.letter, c.letter, d.letter, e.letter])) = 5
+),
+steps as (
+    select filter_order, step::int as step, bits[step] as bit, coalesce(list_sum(bits[1:step - 1]), 0)::int as earlier
+    from orders, range(1, 6) r(step)
+),
+found as (
+    select part, filter_order, step, bit,
+           coalesce(sum(n) filter (mask & (earlier | bit) = 0), 0)::bigint as kept,
+           coalesce(sum(n) filter (mask & earlier = 0 and mask & bit > 0), 0)::bigint as removed,
+           coalesce(sum(n) filter (mask & earlier > 0 and mask & bit > 0), 0)::bigint as redundant,
+           coalesce(sum(n) filter (mask = bit), 0)::bigint as unique_fails,
+           coalesce(sum(good) filter (mask & earlier = 0 and mask & bit > 0), 0)::bigint as good_lost,
+           coalesce(sum(toxic) filter (mask & earlier = 0 and mask & bit > 0), 0)::bigint as toxic_lost
+    from steps, counted group by part, filter_order, step, bit
+)
+select * exclude bit, (sum(removed) over (partition by part, bit))::bigint as shapley from found
+"""
+
+
+def _crc_nibbles() -> str:
+    """The 16 entries of CRC-32 for four bits at a time."""
+    table = []
+    for value in range(16):
+        for _ in range(4):
+            value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+        table.append(value)
+    return "[" + ", ".join(f"{value}::bigint" for value in table) + "]"
+
+
+def _trie_sql() -> str:
+    def half(crc: str) -> str:
+        return f"xor({crc} >> 4, {_crc_nibbles()}[({crc} & 15) + 1])"
+
+    crc = half("(" + half("xor(c, b)") + ")")
+    return f"""
+with keyed as (
+    select conv_id, turn, md5(coalesce(role, '') || chr(31) || coalesce(text, '')) as id,
+           len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as words
+    from conversations where conv_id is not null
+),
+lists as (
+    select conv_id, list({{'id': id, 'words': words}} order by turn nulls first, id) as turns from keyed group by conv_id
+),
+opened as (
+    select *, (xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(conv_id::varchar, ''), lambda x: ascii(x)::bigint)),
+                               lambda c, b: {crc}), 4294967295::bigint) % 4)::bigint as h
+    from lists
+),
+rebuilt as (
+    select o.conv_id, list_concat(coalesce(b.turns[1:o.h], []), o.turns[o.h + 1:]) as turns
+    from opened o left join lists b on b.conv_id = o.conv_id - o.conv_id % 20
+),
+members as (
+    select conv_id, d, md5(list_transform(turns[1:d], lambda t: t.id)::varchar) as key,
+           case when d > 0 then md5(list_transform(turns[1:d - 1], lambda t: t.id)::varchar) end as parent,
+           case when d > 0 then turns[d].words else 0 end as words, d = len(turns) as last
+    from (select conv_id, turns, unnest(range(0, len(turns) + 1)) as d from rebuilt)
+),
+nodes as (
+    select d, key, any_value(parent) as parent, any_value(words) as words, min(conv_id) as conv_id, count(*) as n_convs,
+           sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (last), '')) as ends_sha256
+    from members group by d, key
+),
+children as (
+    select d - 1 as d, parent as key, count(*) as n_children from nodes where d > 0 group by 1, 2
+),
+known as (
+    select n.*, coalesce(c.n_children, 0) as n_children from nodes n left join children c on n.d = c.d and n.key = c.key
+),
+below as (
+    select distinct a.d, a.key, b.d as below_d, b.key as below_key from members a join members b on a.conv_id = b.conv_id and b.d >= a.d
+),
+summed as (
+    select b.d, b.key, count(*) filter (k.n_children = 0) as n_leaves, sum((k.n_convs - 1) * k.words)::bigint as saved_tokens
+    from below b join known k on k.d = b.below_d and k.key = b.below_key group by b.d, b.key
+)
+select k.conv_id, k.d::bigint as depth, p.conv_id as parent_conv_id, k.n_convs, k.n_children, s.n_leaves, s.saved_tokens, k.ends_sha256
+from known k join summed s on k.d = s.d and k.key = s.key left join nodes p on p.d = k.d - 1 and p.key = k.parent
+"""
+
+
 ORACLES: dict[str, str] = {
     "op3_lines": _LINES_SQL,
     "op4_mixing": _MIXING_SQL,
     "op6_exact": _EXACT_SQL,
     "op8_topk": _TOPK_SQL,
+    "op11_urls": _urls_sql(),
+    "op12_audit": _AUDIT_SQL,
+    "op13_trie": _trie_sql(),
 }
