@@ -43,7 +43,7 @@ class TrieSettings:
     container: int = 16_384
     counted: int = 128
     most_heads: int = 65_536
-    chunk: int = 50_000
+    chunk: int = 1_000
     broadcast_bytes: int = 32 << 20
 
 
@@ -139,9 +139,10 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 def placed(sequences: DataFrame, settings: TrieSettings) -> DataFrame:
     """``sequences`` with ``heads``, the number of heads above the container of each: the root and so on downwards."""
     weight = F.least(F.size("turns"), F.lit(settings.counted)) + 1
-    total = sequences.agg(F.sum(weight).alias("n")).first()["n"] or 0
+    size = sequences.agg(F.sum(weight).alias("total"), F.count(F.lit(1)).alias("n")).first()
+    total = size["total"] or 0
     limit = max(settings.container, total // settings.most_heads)
-    if total <= limit:
+    if total <= limit or size["n"] < 2:
         return sequences.withColumn("heads", F.lit(0))
     # The root bursts. Each round counts the prefixes of the next depths, of sequences that are under heads so far.
     start, width, found = 1, 2, []
@@ -151,9 +152,10 @@ def placed(sequences: DataFrame, settings: TrieSettings) -> DataFrame:
         keys = F.transform(depths, lambda d: F.struct(d.alias("depth"), *[k.alias(n) for n, k in zip("ab", prefix_key(d))]))
         long_enough = open_rows.filter(F.size("turns") >= start)
         prefixes = long_enough.select("conv_id", weight.alias("weight"), F.explode(keys).alias("at")).select("conv_id", "weight", "at.*")
-        sizes = prefixes.groupBy("depth", "a", "b").agg(F.sum("weight").alias("weight"))
-        # At most total / limit of them a depth: bounded by most_heads, whatever the size of the table.
-        heads = materialize(sizes.filter(F.col("weight") > limit).drop("weight"), "trie-heads")
+        sizes = prefixes.groupBy("depth", "a", "b").agg(F.sum("weight").alias("weight"), F.count(F.lit(1)).alias("n"))
+        # At most total / limit of them a depth: bounded by most_heads, whatever the size of the table. A sequence by
+        # itself has nothing to part, so every head has a child.
+        heads = materialize(sizes.filter((F.col("weight") > limit) & (F.col("n") > 1)).drop("weight", "n"), "trie-heads")
         if heads.isEmpty():
             break
         under = prefixes.join(F.broadcast(heads), ["depth", "a", "b"], "left_semi")
@@ -331,15 +333,15 @@ def _heads(tops: DataFrame, stopped: DataFrame, settings: TrieSettings) -> tuple
     children = children.groupBy("depth", "a", "b").agg(F.count(F.lit(1)).alias("n_children"))
     above = heads.select((F.col("depth") + 1).alias("depth"), F.col("a").alias("pa"), F.col("b").alias("pb"), F.col("conv_id").alias("parent_conv_id"))
     above = materialize(above, "trie-parents")
-    whole_heads = heads.join(saved, ["depth", "a", "b"]).join(children, ["depth", "a", "b"], "left")
+    whole_heads = heads.join(saved, ["depth", "a", "b"]).join(children, ["depth", "a", "b"])
     whole_heads = whole_heads.withColumns({"pa": parent["a"], "pb": parent["b"]}).join(small(above), ["depth", "pa", "pb"], "left")
     whole_heads = whole_heads.select(
         "conv_id",
         F.col("depth").cast("long").alias("depth"),
         "parent_conv_id",
         "n_convs",
-        F.coalesce("n_children", zero).alias("n_children"),
-        F.when(F.coalesce("n_children", zero) == 0, 1).otherwise(F.col("n_leaves")).cast("long").alias("n_leaves"),
+        "n_children",
+        "n_leaves",
         (F.col("below") + F.col("saved")).alias("saved_tokens"),
         F.coalesce("ends", F.lit(_EMPTY)).alias("ends_sha256"),
     )
