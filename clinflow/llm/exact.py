@@ -5,11 +5,12 @@ where its content lies (file and row). The state is held by RocksDB, on disk and
 watermark, so nothing is forgotten, and a later run on the same checkpoint goes on where this one ended. Copies
 combine before they reach the state, so a group of any size costs a row per task.
 
-Digests that were hit more than once are then checked on the full bytes: if texts behind one digest differ, its rows
-are grouped by the texts themselves.
+Digests that were hit more than once are then checked on the full bytes: their rows, and no others, are read again by
+the locators of file and row (see ``places``), and if texts behind one digest differ, its rows are grouped by the texts themselves.
 
 Defined results: NULL counts as an empty text. A row without doc_id stays only if no copy of it has one. Of repeated rows
-(same doc_id and text) one stays, that of the last file and row. An empty table gives an empty result.
+(same doc_id and text) one stays, that of the last file and row. Texts of any length are hashed and compared whole. An empty
+table gives an empty result. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from clinflow.llm.places import FILE, MARKED, ROW, by_mark, with_place
 from clinflow.llm.text import whole
 from clinflow.scratch import materialize, new_path
 
@@ -27,10 +29,10 @@ _PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStorePro
 
 @dataclass(frozen=True)
 class ExactSettings:
-    """``bytes_per_batch``: input of one micro-batch; ``broadcast_bytes``: digests are broadcast up to this size."""
+    """``bytes_per_batch``: input of one micro-batch; ``mark_bytes``: bits of the hit rows that are broadcast at once."""
 
     bytes_per_batch: int = 64 << 30
-    broadcast_bytes: int = 32 << 20
+    mark_bytes: int = 64 << 20
 
 
 def sha256(text: Column) -> Column:
@@ -49,6 +51,8 @@ def update_state(spark: SparkSession, path: str, checkpoint: str, settings: Exac
     session = spark.newSession()  # the state's settings do not touch the caller's session
     session.conf.set("spark.sql.streaming.stateStore.providerClass", _PROVIDER)
     session.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
+    # Else every state partition reserves megabytes of disk before it holds a row.
+    session.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
     session.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
     files = session.readStream.schema(spark.read.parquet(path).schema).option("maxBytesPerTrigger", str(settings.bytes_per_batch))
     # A pattern that matches the path alone: a stream takes a folder or a pattern, but not a single file.
@@ -67,28 +71,34 @@ def read_state(spark: SparkSession, checkpoint: str) -> DataFrame:
     return state.select(F.col("key")[state.schema["key"].dataType.names[0]].alias("digest"), values[0].alias("group_size"), values[1].alias("stays"))
 
 
-def colliding(rows: DataFrame, groups: DataFrame, settings: ExactSettings) -> DataFrame:
-    """Digests behind which the bytes of texts differ. Equal texts combine before they travel."""
-    hits = groups.filter(F.col("group_size") > 1).select("digest")
-    if hits.count() * 64 <= settings.broadcast_bytes:
-        rows = rows.join(F.broadcast(hits), "digest", "left_semi")
-    ends = rows.groupBy("digest").agg(F.min("text").alias("least"), F.max("text").alias("greatest"))
-    return ends.filter(F.col("least") != F.col("greatest")).select("digest")
+def colliding(texts: DataFrame, found: DataFrame, settings: ExactSettings, digest: Callable[[Column], Column]) -> DataFrame:
+    """Digests behind which the bytes of texts differ. Only texts that were hit travel, equal ones combined."""
+    hits = found.filter(F.col("group_size") > 1).select(F.xxhash64("at.file").alias(FILE), F.col("at.row").alias(ROW))
+
+    def ends(rows: DataFrame) -> DataFrame:
+        again = rows.filter(MARKED).select("text").withColumn("digest", digest(F.col("text")))
+        return again.groupBy("digest").agg(F.min("text").alias("least"), F.max("text").alias("greatest"))
+
+    per_group = by_mark(with_place(texts), hits, ends, settings.mark_bytes)
+    both = per_group.groupBy("digest").agg(F.min("least").alias("least"), F.max("greatest").alias("greatest"))
+    return both.filter(F.col("least") != F.col("greatest")).select("digest")
 
 
 def exact_duplicates(spark: SparkSession, path: str, settings: ExactSettings = ExactSettings(), digest: Callable[[Column], Column] = sha256) -> DataFrame:
     """doc_id, keep_id, group_size, kept and text_sha256 of every row of the parquet table at ``path``."""
     checkpoint = new_path(spark, "exact-state")
     update_state(spark, path, checkpoint, settings, digest)
-    rows = located(spark.read.parquet(path), digest)
+    table = spark.read.parquet(path)
+    rows = located(table, digest)
     if not _has_state(spark, path):
         groups = rows.select("digest", F.lit(0).cast("long").alias("group_size"), F.struct("doc_id", "file", "row").alias("stays")).limit(0)
     else:
         groups = materialize(read_state(spark, checkpoint), "groups")
-    bad = materialize(colliding(rows, groups, settings), "colliding")
     at = F.struct("doc_id", "file", "row")
     narrow = rows.select("doc_id", at.alias("at"), "digest", F.sha2("text", 256).alias("text_sha256"))
-    found = narrow.join(groups, "digest")
+    # Stored: where the hit rows lie is read from it, and the result.
+    found = materialize(narrow.join(groups, "digest"), "located")
+    bad = materialize(colliding(table.select(whole("text").alias("text")), found, settings, digest), "colliding")
     if not bad.isEmpty():
         found = found.join(bad, "digest", "left_anti")
         apart = rows.join(bad, "digest", "left_semi").withColumn("at", at)
