@@ -7,11 +7,12 @@ Spans are compared by 96 bits of hash of their words over all documents. The fir
 doc_id, then place; every sentence that another occurrence covers is removed.
 
 Keys are counted first, so that of the many spans that occur once only the key travels; then spans of repeated keys
-find their first place, again combined before they travel. Texts travel only where they lose something.
+find their first place, again combined before they travel. What is lost is gathered per row, and texts travel only where
+they lose something: their rows are found by place (see ``places``), whatever the number of them.
 
 Defined results: a NULL or empty text has no sentences and stays as an empty text. Rows with the same doc_id are one
 document: what two of them have at the same place is no repetition. Rows without doc_id are one document after all others.
-Extra columns are not carried.
+Texts of any length are cut whole. An empty table gives an empty result. Extra columns are not carried.
 """
 
 from __future__ import annotations
@@ -28,12 +29,11 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from clinflow.llm.places import FILE, MARKED, PLACE, ROW, by_mark, with_place
 from clinflow.llm.text import in_slices
 from clinflow.scratch import materialize
 
 KEY = ["key_a", "key_b"]
-# What one doc_id takes in a broadcast, about.
-_ID_BYTES = 64
 _WORD = re.compile(r"\S+")
 # What stands between two sentences, from a sentence end or line break on.
 _GAP = re.compile(r"(?<=[.!?])\s+|\n\s*")
@@ -41,12 +41,12 @@ _GAP = re.compile(r"(?<=[.!?])\s+|\n\s*")
 
 @dataclass(frozen=True)
 class SpanSettings:
-    """``broadcast_bytes``: the ids of documents that lose something are broadcast up to this size."""
+    """``mark_bytes``: bits of the rows that lose something are broadcast up to this size at once."""
 
     least_sentences: int = 2
     least_words: int = 20
     longest: int = 8
-    broadcast_bytes: int = 32 << 20
+    mark_bytes: int = 64 << 20
 
 
 def _turns(words: list[str], window: int) -> list[int]:
@@ -129,7 +129,7 @@ def _own_spans(parts: list[list[str]], settings: SpanSettings) -> list[tuple[int
 
 
 def span_table(docs: DataFrame, settings: SpanSettings) -> DataFrame:
-    """(doc_id, first, key_a, key_b) of every span of every text."""
+    """(doc_id, place, first, key_a, key_b) of every span of every text; ``docs`` have places."""
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches):
@@ -142,16 +142,17 @@ def span_table(docs: DataFrame, settings: SpanSettings) -> DataFrame:
             digests = np.concatenate(keys)
             # One span starts at each sentence, from the first on.
             firsts = np.concatenate([np.arange(n, dtype=np.int32) for n in counts])
-            ids = batch.column("doc_id").take(pa.array(np.repeat(np.arange(len(counts)), counts)))
-            columns = [ids, pa.array(firsts), pa.array(digests[KEY[0]].astype(np.int64)), pa.array(digests[KEY[1]].astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "first", *KEY])
+            rows = pa.array(np.repeat(np.arange(len(counts)), counts))
+            ids = [batch.column(name).take(rows) for name in ("doc_id", *PLACE)]
+            columns = [*ids, pa.array(firsts), pa.array(digests[KEY[0]].astype(np.int64)), pa.array(digests[KEY[1]].astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", *PLACE, "first", *KEY])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(cut, f"doc_id {id_type}, first int, key_a long, key_b int")
+    return docs.select("doc_id", "text", *PLACE).mapInArrow(cut, f"doc_id {id_type}, {FILE} long, {ROW} long, first int, key_a long, key_b int")
 
 
 def removed_spans(docs: DataFrame, settings: SpanSettings = SpanSettings()) -> DataFrame:
-    """(doc_id, spans): place and key of the spans each document loses."""
+    """(place, spans): first sentence and key of the spans each row of ``docs``, which have places, loses."""
     table = materialize(span_table(docs, settings), "spans")
     counted = table.groupBy(*KEY).count().filter(F.col("count") > 1)
     repeated = materialize(counted.select(*KEY), "repeated-spans")
@@ -160,22 +161,14 @@ def removed_spans(docs: DataFrame, settings: SpanSettings = SpanSettings()) -> D
     # Stored, so that the join has a shuffle of its own, in which the rows of a hot key can be split.
     least = materialize(rows.groupBy(*KEY).agg(F.min(place).alias("least")), "first-places")
     lost = rows.join(least, KEY).filter(~place.eqNullSafe(F.col("least")))
-    return lost.groupBy("doc_id").agg(F.collect_set(F.struct("first", *KEY)).alias("spans"))
+    return lost.groupBy(*PLACE).agg(F.collect_set(F.struct("first", *KEY)).alias("spans"))
 
 
 def drop_repeated_spans(docs: DataFrame, settings: SpanSettings = SpanSettings()) -> DataFrame:
     """doc_id, n_sentences, n_removed, removed (character ranges, "start:end" joined by commas) and text, what is left of it."""
-    lost = materialize(removed_spans(docs, settings).withColumnRenamed("doc_id", "__id"), "lost-spans")
-    texts = docs.select("doc_id", "text")
-    same = F.col("doc_id").eqNullSafe(F.col("__id"))
-    if lost.count() * _ID_BYTES <= settings.broadcast_bytes:
-        # Documents that lose nothing stay where they are.
-        ids = F.broadcast(lost.select("__id"))
-        losing = texts.join(ids, same, "left_semi").join(lost.hint("shuffle_hash"), same, "left")
-        none = F.lit(None).cast(lost.schema["spans"].dataType)
-        found = losing.select("doc_id", "text", "spans").unionByName(texts.join(ids, same, "left_anti").withColumn("spans", none))
-    else:
-        found = texts.join(lost.hint("shuffle_hash"), same, "left").select("doc_id", "text", "spans")
+    texts = with_place(docs.select("doc_id", "text"))
+    lost = materialize(removed_spans(texts, settings), "lost-spans")
+    none = F.lit(None).cast(lost.schema["spans"].dataType)
 
     def taken_out(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches):
@@ -194,7 +187,13 @@ def drop_repeated_spans(docs: DataFrame, settings: SpanSettings = SpanSettings()
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_sentences", "n_removed", "removed", "text"])
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return found.mapInArrow(taken_out, f"doc_id {id_type}, n_sentences long, n_removed long, removed string, text string")
+
+    def made(rows: DataFrame) -> DataFrame:
+        losing = rows.filter(MARKED).join(lost.hint("shuffle_hash"), list(PLACE)).select("doc_id", "text", "spans")
+        others = rows.filter(~F.col(MARKED)).select("doc_id", "text", none.alias("spans"))
+        return losing.unionByName(others).mapInArrow(taken_out, f"doc_id {id_type}, n_sentences long, n_removed long, removed string, text string")
+
+    return by_mark(texts, lost.select(*PLACE), made, settings.mark_bytes)
 
 
 def _listed(column: pa.ListArray) -> Iterator[np.ndarray]:
