@@ -13,12 +13,13 @@ fingerprints of all documents may not pass through the driver.
 
 Defined results: a NULL or empty text has fingerprint zero, like any text without words, and links like any other.
 Rows without doc_id take part, but name no component: its id is the least doc_id there is in it, NULL if there is none.
-Repeated rows are rows of the same component. An empty table gives an empty result.
+Repeated rows are rows of the same component. Texts of any length are hashed whole, in blocks of words. An empty table gives
+an empty result. Of extra columns none is read; ``keep_one_of_each`` passes them through.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from itertools import combinations
 from math import ceil
 
@@ -29,6 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from clinflow.llm.components import connected_components
+from clinflow.llm.places import FILE, MARKED, PLACE, ROW, by_mark, with_place
 from clinflow.llm.text import in_slices
 from clinflow.scratch import materialize
 
@@ -61,16 +63,17 @@ def signed(value: int) -> int:
     return value - (1 << BITS) if value >> (BITS - 1) else value
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp) of every row, fp being the fingerprint as a long."""
+def fingerprints(docs: DataFrame, shingle: int = 3, carried: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, carried columns, fp) of every row, fp being the fingerprint as a long."""
+    names = ["doc_id", *carried]
 
     def hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches):
             found = [signed(fingerprint(text, shingle)) for text in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*map(batch.column, names), pa.array(found, pa.int64())], [*names, "fp"])
 
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(hashed, f"doc_id {id_type}, fp long")
+    types = ", ".join(f"`{name}` {docs.schema[name].dataType.simpleString()}" for name in names)
+    return docs.select(*names, "text").mapInArrow(hashed, f"{types}, fp long")
 
 
 class BKTree:
@@ -181,60 +184,32 @@ def link_edges(distinct: DataFrame, radius: int = 2, most: int = 2048) -> DataFr
     return out
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, most: int = 2048) -> DataFrame:
-    """(doc_id, fp, component_id) of every row; ``most`` is the number of fingerprints a shard aims at."""
-    prints = materialize(fingerprints(docs, shingle), "fingerprints")
+def grouped_rows(docs: DataFrame, shingle: int, radius: int, most: int, carried: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, carried columns, fp, label, component_id) of every row; ``label`` is the least fingerprint of the component."""
+    prints = materialize(fingerprints(docs, shingle, carried), "fingerprints")
     distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fp")
     labels = materialize(connected_components(link_edges(distinct.select("fp"), radius, most)), "labels")
     named = distinct.join(labels.withColumnRenamed("node", "fp"), "fp", "left")
     grouped = named.filter(F.col("label").isNotNull())
     least = grouped.groupBy("label").agg(F.min("least").alias("component_id"))
-    of_group = grouped.join(least, "label").select("fp", "component_id")
-    alone = named.filter(F.col("label").isNull()).select("fp", F.col("least").alias("component_id"))
-    return prints.join(alone.union(of_group), "fp", "left").select("doc_id", "fp", "component_id")
+    of_group = grouped.join(least, "label").select("fp", "label", "component_id")
+    alone = named.filter(F.col("label").isNull()).select("fp", F.col("fp").alias("label"), F.col("least").alias("component_id"))
+    return prints.join(alone.unionByName(of_group), "fp", "left").select("doc_id", *carried, "fp", "label", "component_id")
 
 
-def keep_one_of_each(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
-    """The rows of ``docs`` without all but the document of least doc_id of each component.
-
-    Of rows that repeat the doc_id that stays, one stays, of a component which that doc_id names: the one of least
-    fingerprint. Rows without doc_id stay if no row of their component has one.
-    """
-    found = near_duplicates(docs, shingle, radius)
-    stays = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    ids = stays.select(F.col("doc_id").alias("__stays")).distinct()
-    kept = docs.join(ids.hint("shuffle_hash"), F.col("doc_id") == F.col("__stays"), "left_semi")
-    # Ids of texts that differ: only these rows have to be matched by their fingerprints too.
-    differ = found.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg((F.min("fp") != F.max("fp")).alias("differ"))
-    differ = materialize(differ.filter("differ").select(F.col("doc_id").alias("__differs")), "differing")
-    if differ.isEmpty():
-        kept = kept.dropDuplicates(["doc_id"])
-    else:
-        same = F.col("doc_id") == F.col("__differs")
-        chosen = stays.groupBy("doc_id").agg(F.min("fp").alias("__near")).select(F.col("doc_id").alias("__stays"), "__near")
-        several = _with_print(kept.join(differ, same, "left_semi"), shingle)
-        several = several.join(chosen, (F.col("doc_id") == F.col("__stays")) & (F.col("__fp") == F.col("__near")), "left_semi")
-        several = several.dropDuplicates(["doc_id"]).drop("__fp")
-        kept = kept.join(differ, same, "left_anti").dropDuplicates(["doc_id"]).unionByName(several)
-    if not found.filter(F.col("doc_id").isNull()).isEmpty():
-        return kept.unionByName(_without_id(docs, found, shingle))
-    return kept
-
-
-def _with_print(rows: DataFrame, shingle: int) -> DataFrame:
-    """The rows with their fingerprint as ``__fp``."""
-
-    def with_print(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_slices(batches):
-            prints = [signed(fingerprint(text, shingle)) for text in batch.column("text").to_pylist()]
-            yield batch.append_column("__fp", pa.array(prints, pa.int64()))
+def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, most: int = 2048) -> DataFrame:
+    """(doc_id, fp, component_id) of every row; ``most`` is the number of fingerprints a shard aims at."""
+    return grouped_rows(docs, shingle, radius, most).select("doc_id", "fp", "component_id")
 
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    return rows.mapInArrow(with_print, f"{types}, `__fp` long")
 
+def keep_one_of_each(docs: DataFrame, shingle: int = 3, radius: int = 2, most: int = 2048, mark_bytes: int = 64 << 20) -> DataFrame:
+    """One row of ``docs`` per component: that of least doc_id, rows without one last.
 
-def _without_id(docs: DataFrame, found: DataFrame, shingle: int) -> DataFrame:
-    """Rows without doc_id whose fingerprint lies in a component without any doc_id."""
-    nameless = found.filter(F.col("component_id").isNull()).select(F.col("fp").alias("__near")).distinct()
-    rows = _with_print(docs.filter(F.col("doc_id").isNull()), shingle)
-    return rows.join(nameless, F.col("__fp") == F.col("__near"), "left_semi").drop("__fp")
+    Of rows that share this doc_id the one of least fingerprint stays, and of those the first of the table. Kept rows are
+    found by their place, so no text moves.
+    """
+    placed = with_place(docs)
+    rows = grouped_rows(placed, shingle, radius, most, PLACE)
+    order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "fp", *PLACE)
+    stays = rows.groupBy("label").agg(F.min(order).alias("stays")).select(f"stays.{FILE}", f"stays.{ROW}")
+    return by_mark(placed, stays, lambda found: found.filter(MARKED).drop(*PLACE, MARKED), mark_bytes)
