@@ -2,25 +2,30 @@
 
 A line's key is the line stripped of spaces and in lower case; keys of enough code points that enough documents
 hold lose their lines everywhere but in the document of largest doc_id. Batches of documents arrive by falling
-doc_id. Each batch is sorted by key and merge-anti-joined with the runs: keys the runs lack are new and, with
+doc_id. Each batch is sorted by key and merge-joined with each run: keys that no run has are new and, with
 the batch's largest doc_id as keeper, become a run of their own; for the others the batch only adds to the count. Runs
-are tables bucketed and sorted by key, so these joins merge without a shuffle; when a level holds ``fan`` runs, they
-are compacted to one run of the next level. DataFrame functions only.
+are tables bucketed by key with one sorted file a bucket, so these joins neither shuffle nor sort a run; when a level
+holds ``fan`` runs, they are merged, bucket by bucket, to one run of the next level, which is sorted likewise. DataFrame
+functions only.
 
 Keys are compared by 128 bits of hash. Hot keys combine before they travel; what reaches one task is one row per task.
+Lines carry the place of their row (see ``places``): only texts that lose a line move, whatever their number.
 
 Defined results: a NULL or empty text is one empty line, and stays as an empty text. Rows with the same doc_id are one
 document for counting. Rows without doc_id together are one document, ordered before all others; it keeps a line
-only if no other document holds it. An empty table gives an empty result. Extra columns pass through.
+only if no other document holds it. Texts of any length are split whole. An empty table gives an empty result. Extra columns
+pass through.
 """
 
 from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from clinflow.llm.places import MARKED, PLACE, by_mark, with_place
 from clinflow.llm.text import SPACE, ascii_lower, whole
 from clinflow.scratch import materialize, new_path, remove
 
@@ -29,12 +34,14 @@ KEY = ["key_a", "key_b"]
 
 @dataclass(frozen=True)
 class LineSettings:
-    """``batches``: how many batches a whole table is fed in; ``fan``: runs of one level before they are compacted."""
+    """``batches``: how many batches a whole table is fed in; ``fan``: runs of one level before they are compacted;
+    ``mark_bytes``: bits of the rows that lose lines are broadcast up to this size at once."""
 
     least_length: int = 20
     least_documents: int = 3
     batches: int = 4
     fan: int = 2
+    mark_bytes: int = 64 << 20
 
 
 def split_lines(text: str | Column = "text") -> Column:
@@ -45,28 +52,23 @@ def line_key(line: Column) -> Column:
     return F.btrim(line, F.lit(SPACE))
 
 
-def text_mark(text: str | Column = "text") -> Column:
-    """Tells texts of rows with the same doc_id apart."""
-    return F.xxhash64(whole(text))
-
-
 def line_table(docs: DataFrame, least_length: int) -> DataFrame:
-    """(doc_id, mark, at, key_a, key_b): every line long enough, at its place in the text."""
+    """(doc_id, place, at, key_a, key_b): every line long enough, at its place in the text; ``docs`` have places."""
     keys = F.transform(
         F.split(ascii_lower(whole("text")), "\n", -1),
         lambda line, i: F.struct(i.alias("at"), line_key(line).alias("key")),
     )
     long_enough = F.filter(keys, lambda x: F.char_length(x["key"]) >= least_length)
     # First columns of their own, so that no line carries the text it comes from.
-    cut = docs.select("doc_id", text_mark().alias("mark"), long_enough.alias("lines"))
-    lines = cut.select("doc_id", "mark", F.explode("lines").alias("line"))
+    cut = docs.select("doc_id", *PLACE, long_enough.alias("lines"))
+    lines = cut.select("doc_id", *PLACE, F.explode("lines").alias("line"))
     key = F.col("line.key")
-    return lines.select("doc_id", "mark", "line.at", F.xxhash64(key).alias("key_a"), F.xxhash64(F.lit(1), key).alias("key_b"))
+    return lines.select("doc_id", *PLACE, "line.at", F.xxhash64(key).alias("key_a"), F.xxhash64(F.lit(1), key).alias("key_b"))
 
 
 @dataclass
 class LineRuns:
-    """The runs so far, until they are dropped. ``first``: (key, documents, keeper), each key once over all runs; ``again``: (key, documents)
+    """The runs so far, until they are dropped. A run has (key, documents, keeper), each key once over all runs; ``again``: (key, documents)
     that later batches added to known keys."""
 
     spark: SparkSession
@@ -75,53 +77,79 @@ class LineRuns:
     again: list[DataFrame] = field(default_factory=list)
     tables: dict[str, str] = field(default_factory=dict)
 
+    def __post_init__(self) -> None:
+        """A session of their own, in which a bucket is a task from the shuffle to the file, and a file is known to be sorted."""
+        self.buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        self.session = self.spark.newSession()
+        for name, value in {
+            "spark.sql.adaptive.enabled": "false",
+            "spark.sql.shuffle.partitions": str(self.buckets),
+            "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
+            "spark.sql.sources.bucketing.autoBucketedScan.enabled": "false",
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+        }.items():
+            self.session.conf.set(name, value)
+
     def _run(self, rows: DataFrame, label: str) -> DataFrame:
-        """Write rows as one run: bucketed and sorted by key, in shared storage."""
-        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        """Write rows, which are dealt by key to as many tasks as there are buckets, as one sorted file a bucket."""
         name = f"clinflow_{label}_{uuid.uuid4().hex}"
         path = new_path(self.spark, label)
-        rows.write.bucketBy(buckets, *KEY).sortBy(*KEY).option("path", path).saveAsTable(name)
+        rows.write.bucketBy(self.buckets, *KEY).sortBy(*KEY).option("path", path).saveAsTable(name)
         self.tables[name] = path
-        return self.spark.table(name)
+        return self.session.table(name)
 
-    def seen(self) -> DataFrame | None:
-        runs = [run for level in sorted(self.first) for run in self.first[level]]
-        out = None
-        for run in runs:
-            out = run if out is None else out.unionByName(run)
-        return out
+    def runs(self) -> list[DataFrame]:
+        return [run for level in sorted(self.first) for run in self.first[level]]
 
-    def add(self, lines: DataFrame) -> None:
-        """Take in one batch of lines (doc_id, key_a, key_b); documents must come by falling doc_id from batch to batch."""
+    def joined(self, lines_path: str, condition: Column) -> DataFrame:
+        """A batch of the lines at ``lines_path``, one row per key, merge-joined with every run; ``known`` tells keys of a run."""
+        lines = self.session.read.parquet(lines_path).filter(condition)
         document = F.struct(F.col("doc_id"))
-        counted = lines.groupBy(*KEY).agg(F.count_distinct(document).alias("documents"), F.max("doc_id").alias("keeper"))
-        batch = self._run(counted, "batch")
-        new = batch
-        runs = [run for level in sorted(self.first) for run in self.first[level]]
-        for run in runs:
-            new = new.join(run.select(*KEY).hint("merge"), KEY, "left_anti")
-            self.again.append(batch.join(run.select(*KEY).hint("merge"), KEY, "left_semi").select(*KEY, "documents"))
-        self.first.setdefault(0, []).append(self._run(new, "run") if runs else batch)
+        batch = lines.groupBy(*KEY).agg(F.count_distinct(document).alias("documents"), F.max("doc_id").alias("keeper"))
+        known = F.lit(False)
+        for i, run in enumerate(self.runs()):
+            there = run.select(*KEY, F.lit(True).alias(f"in_{i}"))
+            batch = batch.join(there.hint("merge"), KEY, "left")
+            known = known | F.coalesce(f"in_{i}", F.lit(False))
+        return batch.select(*KEY, "documents", "keeper", known.alias("known"))
+
+    def add(self, lines_path: str, condition: Column) -> None:
+        """Take in one batch of lines (doc_id, key_a, key_b); documents must come by falling doc_id from batch to batch."""
+        batch = self._run(self.joined(lines_path, condition), "batch")
+        if self.first:
+            self.again.append(batch.filter("known").select(*KEY, "documents"))
+        self.first.setdefault(0, []).append(batch.filter("not known").select(*KEY, "documents", "keeper"))
         self._compact()
 
+    def merged(self, one: DataFrame, other: DataFrame) -> DataFrame:
+        """Two runs, which share no key, merged bucket by bucket."""
+        theirs = other.toDF(*KEY, "documents_2", "keeper_2")
+        both = one.hint("merge").join(theirs, KEY, "full")
+        return both.select(*KEY, *[F.coalesce(name, f"{name}_2").alias(name) for name in ("documents", "keeper")])
+
     def _compact(self) -> None:
         level = 0
         while len(self.first.get(level, [])) >= self.fan:
-            merged = self.first[level][0]
-            for run in self.first[level][1:]:
-                merged = merged.unionByName(run)
+            one, *others = self.first[level]
+            for other in others:
+                one = self._run(self.merged(one, other), "run")
             self.first[level] = []
-            self.first.setdefault(level + 1, []).append(self._run(merged, "run"))
+            self.first.setdefault(level + 1, []).append(one)
             level += 1
 
     def repeated(self, least_documents: int) -> DataFrame:
         """(key, keeper) of the keys that enough documents hold."""
-        total = self.seen()
-        for more in self.again:
-            total = total.unionByName(more.withColumn("keeper", F.lit(None).cast(total.schema["keeper"].dataType)))
-        summed = total.groupBy(*KEY).agg(F.sum("documents").alias("documents"), F.max("keeper").alias("keeper"))
-        return summed.filter(F.col("documents") >= least_documents).select(*KEY, "keeper")
-
+        again = None
+        if self.again:
+            again = reduce(DataFrame.unionByName, self.again).groupBy(*KEY).agg(F.sum("documents").alias("more"))
+            again = self._run(again, "again")
+        found = []
+        for run in self.runs():
+            total = F.col("documents")
+            if again is not None:
+                run, total = run.hint("merge").join(again, KEY, "left"), total + F.coalesce("more", F.lit(0))
+            found.append(run.filter(total >= least_documents).select(*KEY, "keeper"))
+        return reduce(DataFrame.unionByName, found)
 
     def drop(self) -> None:
         """Take all runs out of the catalog and the shared folder; what was read from them must have been stored."""
@@ -151,32 +179,40 @@ def _batches(lines: DataFrame, count: int) -> list[Column]:
 
 
 def repeated_lines(docs: DataFrame, settings: LineSettings = LineSettings()) -> DataFrame:
-    """(doc_id, mark, dropped): the places of the lines each row loses; rows that lose none are absent."""
+    """(place, dropped): the lines each row of ``docs``, which have places, loses; rows that lose none are absent."""
     spark = docs.sparkSession
-    lines = materialize(line_table(docs, settings.least_length), "lines")
+    path = new_path(spark, "lines")
+    line_table(docs, settings.least_length).write.parquet(path)
+    lines = spark.read.parquet(path)
     runs = LineRuns(spark, settings.fan)
     try:
         for condition in _batches(lines, settings.batches):
-            runs.add(lines.filter(condition).select("doc_id", *KEY))
-        repeated = materialize(runs.repeated(settings.least_documents), "repeated")
+            runs.add(path, condition)
+        kept = new_path(spark, "repeated")
+        runs.repeated(settings.least_documents).write.parquet(kept)
     finally:
         runs.drop()
-    lost = lines.join(repeated, KEY).filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
-    return lost.groupBy("doc_id", "mark").agg(F.collect_set("at").alias("dropped"))
+    lost = lines.join(spark.read.parquet(kept), KEY).filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
+    return lost.groupBy(*PLACE).agg(F.collect_set("at").alias("__dropped"))
 
 
 def drop_repeated_lines(docs: DataFrame, settings: LineSettings = LineSettings(), counts: bool = True) -> DataFrame:
     """``docs`` with repeated lines taken out of ``text``, and with ``counts`` n_lines (before) and n_dropped beside it."""
-    lost = repeated_lines(docs, settings).select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark"), F.col("dropped").alias("__dropped"))
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (text_mark() == F.col("__mark"))
-    found = docs.join(lost.hint("shuffle_hash"), same, "left")
-    # A column of its own: within a lambda, an expression would split the text again for every line.
-    found = found.withColumn("__lines", split_lines())
-    places = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__dropped"))
-    kept = F.array_join(F.transform(places, lambda i: F.get("__lines", i)), "\n")
-    lost_some = F.col("__dropped").isNotNull()
-    columns = {"text": F.when(lost_some, kept).otherwise(whole("text"))}
-    if counts:
-        columns["n_lines"] = F.size("__lines").cast("long")
-        columns["n_dropped"] = F.when(lost_some, F.size("__dropped")).otherwise(0).cast("long")
-    return found.withColumns(columns).drop("__id", "__mark", "__dropped", "__lines")
+    placed = with_place(docs)
+    lost = materialize(repeated_lines(placed, settings), "lost-lines")
+    none = F.lit(0).cast("long")
+    columns = [F.col(f"`{name}`") for name in docs.columns if name not in ("text", *(["n_lines", "n_dropped"] if counts else []))]
+
+    def made(rows: DataFrame) -> DataFrame:
+        whole_text = whole("text").alias("text")
+        others = rows.filter(~F.col(MARKED)).select(*columns, whole_text, *([F.size(split_lines()).cast("long").alias("n_lines"), none.alias("n_dropped")] if counts else []))
+        losing = rows.filter(MARKED).join(lost.hint("shuffle_hash"), list(PLACE))
+        # A column of its own: within a lambda, an expression would split the text again for every line.
+        losing = losing.withColumn("__lines", split_lines())
+        places = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__dropped"))
+        kept = F.array_join(F.transform(places, lambda i: F.get("__lines", i)), "\n").alias("text")
+        numbers = [F.size("__lines").cast("long").alias("n_lines"), F.size("__dropped").cast("long").alias("n_dropped")] if counts else []
+        return others.unionByName(losing.select(*columns, kept, *numbers))
+
+    names = [*docs.columns, *(name for name in ("n_lines", "n_dropped") if counts and name not in docs.columns)]
+    return by_mark(placed, lost.select(*PLACE), made, settings.mark_bytes).select(*[f"`{name}`" for name in names])

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import random
+import re
 from collections import Counter
 from hashlib import sha256
+from pathlib import Path
 
 import pytest
 from conftest import bag, plan
@@ -13,6 +15,7 @@ from fixtures import AWKWARD, FOLDER, LONG, PASSAGE, SCHEMA, frame, given, group
 from pyspark.sql import functions as F
 
 from clinflow.llm import components, exact, lines, queries, simhash as sh, spans
+from clinflow.llm.places import by_mark, marked, with_place
 
 
 def expected_components(rows):
@@ -69,10 +72,39 @@ def test_long_paths_become_one_component(spark):
 def test_one_of_each_group_stays(spark):
     kept = sh.keep_one_of_each(frame(spark))
     assert kept.columns == frame(spark).columns
-    found = expected_components([r[:2] for r in AWKWARD])
-    want = {component for _, _, component in found if component is not None}
-    assert Counter(r["doc_id"] for r in kept.filter("doc_id is not null").collect()) == Counter(want)
-    assert [r["text"] for r in kept.filter("doc_id is null").collect()] == ["nobody else says this"]
+    assert sorted(map(staying, kept.collect()), key=repr) == sorted(one_of_each(AWKWARD), key=repr)
+    again = sh.keep_one_of_each(frame(spark), mark_bytes=0)
+    assert sorted(map(staying, again.collect()), key=repr) == sorted(one_of_each(AWKWARD), key=repr)
+
+
+def staying(row):
+    return row["doc_id"], simhash(row["text"])
+
+
+def one_of_each(rows):
+    """(doc_id, fingerprint) of the row that stays of every component, ids first, then lesser fingerprints."""
+    prints = [(doc_id, simhash(text)) for doc_id, text, *_ in rows]
+    top = groups({fp for _, fp in prints}, lambda a, b: (a ^ b).bit_count() <= 2)
+    best = {}
+    for doc_id, fp in prints:
+        order = (doc_id is None, doc_id or 0, sh.signed(fp))
+        best[top[fp]] = min(best.get(top[fp], (order, (doc_id, fp))), (order, (doc_id, fp)), key=lambda x: x[0])
+    return [row for _, row in best.values()]
+
+
+def test_unlike_texts_of_one_id_all_stay(spark):
+    """Every component keeps a row, though one doc_id names several; extra columns stay with their row."""
+    texts = [f"text {i} {i * i} of words {i * 31} that are {i * 101} like no other {i * 7}" for i in range(5)]
+    rows = [(7, t, f"lang{i}", "a", 0, *["x"] * 7) for i, t in enumerate(texts[:3])]
+    rows += [(9, texts[3], "lang3", "a", 0, *["x"] * 7), (9, texts[0], "copy", "a", 0, *["x"] * 7)]
+    kept = sh.keep_one_of_each(frame(spark, rows)).collect()
+    assert sorted((r["doc_id"], r["text"], r["lang"]) for r in kept) == sorted((r[0], r[1], r[2]) for r in rows[:4])
+
+
+def test_texts_without_a_copy_do_not_move(spark):
+    """Kept rows are found where they lie: the plan of the result has no exchange but the broadcast of bits."""
+    text = plan(sh.keep_one_of_each(spark.read.parquet(f"{FOLDER}/documents.parquet")))
+    assert "hashpartitioning" not in text and "BroadcastHashJoin" in text
 
 
 def test_the_text_that_stays_is_no_copy_of_another(spark):
@@ -88,9 +120,9 @@ def test_the_text_that_stays_is_no_copy_of_another(spark):
         assert sorted((r["doc_id"], r["text"]) for r in kept) == sorted(rows[: len(copies)] + lone)
 
 
-@pytest.mark.parametrize("batches, fan", [(1, 2), (4, 2), (5, 3)])
-def test_lines_on_awkward_rows(spark, batches, fan):
-    settings = lines.LineSettings(batches=batches, fan=fan)
+@pytest.mark.parametrize("batches, fan, mark_bytes", [(1, 2, 1 << 20), (4, 2, 0), (5, 3, 1 << 20)])
+def test_lines_on_awkward_rows(spark, batches, fan, mark_bytes):
+    settings = lines.LineSettings(batches=batches, fan=fan, mark_bytes=mark_bytes)
     got = lines.drop_repeated_lines(frame(spark), settings)
     want = kept_lines([r[:2] for r in AWKWARD])
     assert Counter((r["doc_id"], r["n_lines"], r["n_dropped"], r["text"]) for r in got.collect()) == Counter(
@@ -103,22 +135,44 @@ def test_lines_run_without_python(spark):
     assert "Python" not in text and "Arrow" not in text and "Pandas" not in text
 
 
-def test_line_runs_hold_each_key_once(spark):
+def test_line_runs_are_sorted_and_hold_each_key_once(spark, tmp_path):
     """Whatever the batches, the runs together have every key once, and no more runs than levels allow."""
-    table = lines.line_table(spark.read.parquet(f"{FOLDER}/documents.parquet"), 5)
+    path = str(tmp_path / "lines")
+    lines.line_table(with_place(spark.read.parquet(f"{FOLDER}/documents.parquet")), 5).write.parquet(path)
+    table = spark.read.parquet(path)
     runs = lines.LineRuns(spark, fan=2)
-    for part in (3, 2, 1, 0):
-        runs.add(table.filter(F.col("doc_id") % 4 == part).select("doc_id", *lines.KEY))
-    assert all(len(level) < 2 for level in runs.first.values())
-    assert runs.seen().count() == table.select(*lines.KEY).distinct().count()
-
-
-def test_exact_on_awkward_rows(spark, tmp_path):
+    try:
+        for part in (3, 2, 1, 0):
+            condition = F.col("doc_id") % 4 == part
+            if part == 0:
+                # A batch against a run: neither a shuffle nor a sort of the run, only those of the batch.
+                text = plan(runs.joined(path, condition))
+                # Two exchanges count the distinct documents of the batch, before any join.
+                assert text.count("Arguments: hashpartitioning") == 2 and text.count("SortMergeJoin LeftOuter") == len(runs.runs()) == 2
+                assert len(re.findall(r"^\(\d+\) Sort ", text, re.M)) == 1 and "Bucketed: true" in text
+            runs.add(path, condition)
+        assert all(len(level) < 2 for level in runs.first.values())
+        found = [run.collect() for run in runs.runs()]
+        keys = [tuple(r[k] for k in lines.KEY) for run in found for r in run]
+        assert len(keys) == len(set(keys)) == table.select(*lines.KEY).distinct().count()
+        for name, folder in runs.tables.items():
+            files = Counter(f.name.split("_")[-1] for f in Path(folder).glob("*.parquet"))
+            assert set(files.values()) == {1}, name  # one file a bucket at every level
+        one, other = runs.first[2][0], runs.first[2][0]
+        text = plan(runs.merged(one, other))
+        assert "Exchange" not in text and not re.search(r"^\(\d+\) Sort ", text, re.M)
+    finally:
+        runs.drop()
+
+
+@pytest.mark.parametrize("mark_bytes", [0, 5_000, 64 << 20])
+def test_exact_on_awkward_rows(spark, tmp_path, mark_bytes):
+    """With the bits of all files at once, of some files at a time, and joined by a shuffle."""
     path = str(tmp_path / "documents.parquet")
     frame(spark).write.parquet(path)
     for digest in (exact.sha256, lambda text: F.substring(exact.sha256(text), 1, 1) == F.unhex(F.lit("00"))):
         # The second digest lets nearly all texts collide: only their bytes tell them apart.
-        got = exact.exact_duplicates(spark, path, digest=digest).collect()
+        got = exact.exact_duplicates(spark, path, exact.ExactSettings(mark_bytes=mark_bytes), digest=digest).collect()
         texts = [(r[0], r[1] or "") for r in AWKWARD]
         size = Counter(t for _, t in texts)
         keep = {t: max((d for d, u in texts if u == t and d is not None), default=None) for t in size}
@@ -129,6 +183,34 @@ def test_exact_on_awkward_rows(spark, tmp_path):
         assert Counter(r["text_sha256"] for r in kept) == Counter(sha256(t.encode()).hexdigest() for t in size)
 
 
+@pytest.mark.parametrize("most_bytes", [0, 5_000, 1 << 20])
+def test_marked_rows_are_those_of_the_marks(spark, tmp_path, most_bytes):
+    """Any subset of the rows of many files, group by group, each file in one group."""
+    path = str(tmp_path / "rows")
+    spark.range(70_000).repartition(7).write.parquet(path)
+    rows = with_place(spark.read.parquet(path))
+    marks = rows.filter("id % 3 = 0 or id > 69000")
+    groups = marked(rows, marks, most_bytes)
+    assert len(groups) == 1 if most_bytes > 100_000 else len(groups) > 3
+    found = by_mark(rows, marks, lambda r: r.select("id", "__marked"), most_bytes).collect()
+    assert Counter((r[0], r[1]) for r in found) == Counter((i, i % 3 == 0 or i > 69_000) for i in range(70_000))
+
+
+def test_state_takes_little_disk_in_many_partitions(spark, tmp_path):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    path = str(tmp_path / "documents.parquet")
+    frame(spark).write.parquet(path)
+    local = Path(spark.conf.get("spark.local.dir", "/tmp"))
+    used = lambda: sum(f.lstat().st_blocks for d in local.glob("spark*") for f in d.rglob("*.log") if f.is_file()) * 512
+    start = used()
+    spark.conf.set("spark.sql.shuffle.partitions", "211")
+    try:
+        exact.update_state(spark, path, str(tmp_path / "state"), exact.ExactSettings(), exact.sha256)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert used() - start < 100 << 20
+
+
 def test_state_goes_on_where_it_ended(spark, tmp_path):
     path, checkpoint = str(tmp_path / "documents.parquet"), str(tmp_path / "state")
     settings = exact.ExactSettings()
@@ -161,9 +243,9 @@ def test_line_runs_leave_no_tables(spark):
     assert {t.name for t in spark.catalog.listTables()} == before
 
 
-@pytest.mark.parametrize("broadcast_bytes", [0, 1 << 20])
-def test_spans_on_awkward_rows(spark, broadcast_bytes):
-    settings = spans.SpanSettings(broadcast_bytes=broadcast_bytes)
+@pytest.mark.parametrize("mark_bytes", [0, 1 << 20])
+def test_spans_on_awkward_rows(spark, mark_bytes):
+    settings = spans.SpanSettings(mark_bytes=mark_bytes)
     unique = {r[0]: r for r in AWKWARD}
     got = {r["doc_id"]: r for r in spans.drop_repeated_spans(frame(spark, list(unique.values())), settings).collect()}
     want = _spans_by_hand([r[:2] for r in unique.values()], settings)
@@ -177,6 +259,20 @@ def test_spans_take_all_rows_and_repeated_rows(spark):
     assert Counter(r["doc_id"] for r in got.collect()) == Counter(r[0] for r in AWKWARD)
 
 
+@pytest.mark.parametrize("mark_bytes", [0, 1 << 20])
+def test_spans_of_repeated_ids_and_of_many_rows_without_one(spark, mark_bytes):
+    """Rows of one doc_id keep a span they have at the same place; of rows without doc_id each loses what it repeats."""
+    rows = [(1, f"{PASSAGE} Own end one."), (1, f"{PASSAGE} Own end two."), (2, f"Start here. {PASSAGE}")]
+    rows += [(None, f"Nameless row {i} of many. {PASSAGE}") for i in range(200)]
+    docs = spark.createDataFrame([(*r, "en", "a", 0, *["x"] * 7) for r in rows], SCHEMA).repartition(3)
+    got = spans.drop_repeated_spans(docs, spans.SpanSettings(mark_bytes=mark_bytes)).collect()
+    assert len(got) == len(rows)
+    assert sorted(r["text"] for r in got if r["doc_id"] == 1) == sorted(r[1] for r in rows[:2])
+    losing = [r for r in got if r["doc_id"] != 1]
+    assert all("It looked at the rain" not in r["text"] for r in losing) and len(losing) == 201
+    assert {r["text"][:15] for r in losing if r["doc_id"] is None} == {f"Nameless row {i} of"[:15] for i in range(200)}
+
+
 @pytest.mark.parametrize("text", ["", "  ", " \n\n a b.  c\n", "one. \n two \n" + "x y z " * 40, "a\n" * 50, "\u00e9t\u00e9\u00a0d'or ! " * 30])
 def test_sentences_cover_the_text(text):
     placed = spans.placed_sentences(text, 8)
