@@ -6,13 +6,14 @@ in the order of the keys -ln(u) / quality of its documents, where u follows from
 Prefix sums say how far that reaches; one more document, the one whose size comes nearest to what is left, closes the gap if
 that brings the source nearer to its target.
 
-Prefix sums run in three steps, none of which holds a whole source: keys are cut into ranges of bounded size,
-ranges are summed, and a row adds the sum of the ranges before its own to its place within the range. Only the
-table of sources (one row each) is ever in one task.
+Prefix sums run in three steps, none of which holds a whole source: rows are dealt to ranges of about equal number by source
+and key, from a sample of both, so whatever the weights no range is much larger than another; ranges are summed, and a row adds the
+sum of the ranges before its own to its place within the range. Only the table of sources (one row each) is ever in one task.
 
 Defined results: a NULL or empty text has size zero and is taken zero words. A NULL source is a source like any
 other, the last. Rows without doc_id share one key and are ordered by their size. Repeated rows are documents of their
-own. An empty table, or one without words, gives targets of zero.
+own. Texts of any length are counted whole. An empty table, or one without words, gives targets of zero. Extra columns pass
+through ``mixed_documents``, each row keeping its own, and are not read otherwise.
 """
 
 from __future__ import annotations
@@ -22,18 +23,21 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from clinflow.llm.places import PLACE, with_place
 from clinflow.llm.text import count_words
 from clinflow.scratch import materialize
 
 
 @dataclass(frozen=True)
 class MixSettings:
-    """``share``: words of the mix per word there is; ``range_rows``: rows a prefix-sum range aims at."""
+    """``share``: words of the mix per word there is; ``range_rows``: rows a prefix-sum range aims at, as long as that makes
+    no more than ``most_ranges`` ranges."""
 
     weights: Sequence[int] = (5, 2, 1)
     most: int = 3
     share: float = 1.0
-    range_rows: int = 50_000
+    range_rows: int = 8_192
+    most_ranges: int = 20_000
 
 
 def uniform(doc_id: str | Column) -> Column:
@@ -75,17 +79,15 @@ def mix(rows: DataFrame, settings: MixSettings = MixSettings()) -> DataFrame:
     aims = materialize(targets(sizes, settings), "targets")
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     aims = aims.withColumn("epochs", epochs.cast("long")).withColumn("budget", F.col("target") - F.col("epochs") * F.col("source_size"))
-    aims = aims.withColumn("ranges", F.ceil(F.col("documents") / settings.range_rows))
     keyed = _with(rows, aims.withColumnRenamed("source", "__source"), ["source"])
     weight = F.greatest(F.coalesce(F.col("quality"), F.lit(1.0)), F.lit(1e-9))
     keyed = keyed.withColumn("key", -F.log(uniform("doc_id")) / weight)
-    # exp is monotone, so ranges keep the order of the keys.
-    keyed = keyed.withColumn("range", F.floor((1 - F.exp(-F.col("key"))) * F.col("ranges")))
+    keyed = in_ranges(keyed, rows.count(), settings)
     sums = keyed.groupBy("source", "range").agg(F.sum("size").alias("sum"))
     earlier = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select(F.col("source").alias("__source"), F.col("range").alias("__range"), F.coalesce(F.sum("sum").over(earlier), F.lit(0)).alias("start"))
     placed = _with(keyed, starts, ["source", "range"])
-    order = Window.partitionBy("source", "range").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    order = Window.partitionBy("source", "range").orderBy("key", "doc_id", "size", "number").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = placed.withColumn("upto", F.col("start") + F.sum("size").over(order))
     placed = materialize(placed.withColumn("inside", F.col("upto") <= F.col("budget")), "placed")
 
@@ -103,6 +105,15 @@ def mix(rows: DataFrame, settings: MixSettings = MixSettings()) -> DataFrame:
     return out.select(*rows.columns, "source_size", "target", "copies", "taken")
 
 
+def in_ranges(keyed: DataFrame, count: int, settings: MixSettings) -> DataFrame:
+    """``keyed``, of ``count`` rows, stored with ``range``, which rises with source and key; ranges hold about as many rows each."""
+    ranges = min(settings.most_ranges, max(1, -(-count // settings.range_rows)))
+    # All that orders rows, so that many equal keys can be parted too.
+    dealt = keyed.repartitionByRange(ranges, F.col("source").asc_nulls_last(), "key", "doc_id", "size", "number")
+    # Bounds are sampled: a second run could cut elsewhere, so the rows are stored with their range.
+    return materialize(dealt.withColumn("range", F.spark_partition_id()), "ranged")
+
+
 def _with(rows: DataFrame, found: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
     """Join on columns of which ``found`` has twins named with two underscores, NULLs being equal."""
     condition = F.lit(True)
@@ -111,12 +122,12 @@ def _with(rows: DataFrame, found: DataFrame, on: Sequence[str], how: str = "inne
     return rows.join(found, condition, how).drop(*["__" + name for name in on])
 
 
-def sized_rows(docs: DataFrame, quality: DataFrame | None = None) -> DataFrame:
-    """(doc_id, source, size, mark, quality, number), stored. ``quality``: (doc_id, quality), positive weights; 1 if not given.
+def sized_rows(docs: DataFrame, quality: DataFrame | None = None, carried: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, source, size, quality, number, carried columns), stored. ``quality``: (doc_id, quality), positive weights; 1 if not given.
 
-    ``number`` tells all rows apart; ``mark`` is a hash of the text.
+    ``number`` tells all rows apart.
     """
-    rows = docs.select("doc_id", "source", count_words(F.col("text")).alias("size"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("mark"))
+    rows = docs.select("doc_id", "source", count_words(F.col("text")).alias("size"), *carried)
     if quality is None:
         rows = rows.withColumn("quality", F.lit(1.0))
     else:
@@ -133,12 +144,8 @@ def label_weights(labels: DataFrame) -> DataFrame:
 
 def mixed_documents(docs: DataFrame, quality: DataFrame | None = None, settings: MixSettings = MixSettings()) -> DataFrame:
     """The documents of the mix, each as often as it is taken, with the columns of ``docs``."""
-    counted = mix(sized_rows(docs, quality), settings).groupBy("doc_id", "source", "mark").agg(F.sum("copies").alias("copies"))
-    counted = counted.filter(F.col("copies") > 0)
-    counted = counted.select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("mark").alias("__mark"), F.col("copies").alias("__copies"))
-    mark = F.xxhash64(F.coalesce("text", F.lit("")))
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__source")) & (mark == F.col("__mark"))
-    found = docs.join(counted.hint("shuffle_hash"), same)
-    once = found.dropDuplicates(["__id", "__source", "__mark"])
-    repeated = once.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
+    placed = with_place(docs)
+    counted = mix(sized_rows(placed, quality, PLACE), settings).filter(F.col("copies") > 0).select(*PLACE, F.col("copies").alias("__copies"))
+    found = placed.join(counted.hint("shuffle_hash"), list(PLACE))
+    repeated = found.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
     return repeated.select(*[F.col(f"`{name}`") for name in docs.columns])
