@@ -8,24 +8,26 @@ import random
 import re
 from collections import Counter, defaultdict
 from hashlib import sha256
+from pathlib import Path
 from zlib import crc32
 
 import duckdb
 import numpy as np
 import pytest
-from conftest import plan
+from conftest import bag, plan
 from fixtures import AWKWARD, FOLDER, SCHEMA, WORD, frame, given, imports, kept_lines, simhash, groups  # noqa: F401
 
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from clinflow.llm import mixing, packing, queries, secrets, topk, toxicity
+from clinflow.scratch import materialize
 
 
 @pytest.fixture(scope="module")
 def oracle():
     connection = duckdb.connect()
-    for name in ("documents", "labels", "embeddings"):
+    for name in ("documents", "labels", "embeddings", "pages", "conversations"):
         connection.sql(f"create view {name} as select * from '{FOLDER}/{name}.parquet'")
     return connection
 
@@ -157,16 +159,36 @@ def test_good_documents_come_early(spark):
 
 def test_mixed_documents_repeat_as_taken(spark):
     docs = frame(spark)
-    counts = Counter((r["doc_id"], r["source"], r["mark"]) for r in [])
+    counts = Counter()
     for r in mixing.mix(mixing.sized_rows(docs)).collect():
-        counts[r["doc_id"], r["source"], r["mark"]] += r["copies"]
+        counts[r["doc_id"], r["source"], r["size"]] += r["copies"]
     got = mixing.mixed_documents(docs)
     assert got.columns == docs.columns
-    found = got.withColumn("m", F.xxhash64(F.coalesce("text", F.lit(""))))
-    assert Counter((r["doc_id"], r["source"], r["m"]) for r in found.collect()) == +counts
+    assert Counter((r["doc_id"], r["source"], len(WORD.findall(r["text"] or ""))) for r in got.collect()) == +counts
     assert mixing.mixed_documents(frame(spark, [])).count() == 0
 
 
+def test_rows_alike_but_for_other_columns_stay_apart(spark):
+    """Rows of one id, source and text are taken each with its own columns, the same in every run."""
+    rows = [(1, "w w w", f"lang{i}", "a", i, *["x"] * 7) for i in range(40)] + [(2, "w " * 900, "en", "b", 0, *["x"] * 7)]
+    got = mixing.mixed_documents(frame(spark, rows))
+    assert len({r["lang"] for r in got.filter("doc_id = 1").collect()}) == 40
+
+
+@pytest.mark.parametrize("weight", [0.05, 1.0, 20.0])
+def test_ranges_are_even_whatever_the_weight(spark, weight):
+    """A hot source, many rows without doc_id (one key), and weights far from one: no range above twice its aim."""
+    rows = spark.range(40_000).selectExpr("if(id % 5 = 0, null, id) doc_id", "if(id % 3 = 0, concat('s', id % 50), 'hot') source", "3L size", "id number")
+    rows = materialize(rows.withColumn("quality", F.lit(weight)), "rows")
+    keyed = rows.withColumn("key", -F.log(mixing.uniform("doc_id")) / F.col("quality"))
+    ranged = mixing.in_ranges(keyed, 40_000, mixing.MixSettings(range_rows=1000))
+    sizes = [r["count"] for r in ranged.groupBy("range").count().collect()]
+    assert max(sizes) <= 2000 and sum(sizes) == 40_000
+    bounds = ranged.groupBy("source", "range").agg(F.min("key"), F.max("key")).orderBy("source", "range").collect()
+    for one, other in zip(bounds, bounds[1:]):
+        assert one[0] != other[0] or one[3] <= other[2]
+
+
 # --- packing ---
 
 
@@ -416,3 +438,27 @@ def test_pipeline_on_awkward_rows(spark, tmp_path):
         stage(spark, docs, str(tmp_path)).write.parquet(str(tmp_path / name))
         docs = spark.read.parquet(str(tmp_path / name))
     assert docs.count() > 0
+
+
+@pytest.mark.parametrize("rows", [AWKWARD, []])
+def test_pipeline_leaves_its_result_alone(spark, tmp_path, rows):
+    """The whole run, on awkward rows and on an empty table; afterwards the shared folder holds what it returns."""
+    frame(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    labels = [(1, 1, 0), (2, 0, 1)] if rows else []
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.rglob("*.parquet"))
+    got = corpus_pipeline.run(spark, str(tmp_path))
+    assert (got.count() > 0) == bool(rows)
+    assert {path.parent.name for path in set(shared.rglob("*.parquet")) - before} <= {"packing"}
+
+
+@pytest.mark.parametrize("name", ["op3_lines", "op4_mixing", "op6_exact", "op13_trie"])
+def test_many_partitions_give_the_same_rows(spark, name):
+    want = bag(queries.REGISTERED[name](spark, FOLDER))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "211")
+    try:
+        assert bag(queries.REGISTERED[name](spark, FOLDER)) == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
