@@ -1,7 +1,11 @@
 """The corpus pipeline: documents without toxic ones, repeated lines and near copies, mixed by source and packed.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again for the next.
-All stages but the last return the columns of documents.
+All stages but the last return the columns of documents. At the end the shared folder holds the result alone.
+
+Defined results, for every stage: a NULL text is empty; rows without doc_id and repeated rows take part as rows of their own,
+and what ties decide is told in the modules of the operators; texts of any length are read whole; extra columns pass through all
+stages but the last; an empty table goes through and stays empty.
 """
 
 from __future__ import annotations
@@ -12,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clinflow.llm import lines, mixing, packing, simhash, toxicity
 from clinflow.llm.queries import tokenizer_path
-from clinflow.scratch import new_path
+from clinflow.scratch import job_folder, new_path, remove
 from clinflow.sources.feeds import read_table
 
 
@@ -64,10 +68,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of ``sf_dir``. What a stage keeps goes when its result is stored, and that when the next one's is."""
     docs = read_table(spark, f"{sf_dir}/documents.parquet")
     folder = new_path(spark, f"pipeline-{uuid.uuid4().hex[:8]}")
+    before = None
     for name, stage in STAGES:
         path = f"{folder}/{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = read_table(spark, path)
+        with job_folder(spark, f"stage-{name}"):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before is not None:
+            remove(spark, before)
+        docs, before = read_table(spark, path), path
     return docs
