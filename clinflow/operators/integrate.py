@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from clinflow.functions.columns import first_code
+from clinflow.operators.asof import as_of
 from clinflow.operators.joins import DEFAULT_LIMITS, JoinLimits, hot_keys, spread_join
 from clinflow.operators.rows import fold_copies, unfold_copies
 from clinflow.schemas import CLAIM_KEY, ENCOUNTER_KEY
@@ -91,17 +92,18 @@ def integrate(
     return add_final_codes(linked.drop(*ENCOUNTER_KEY), missing_codes)
 
 
-def nearest_encounter(claims: DataFrame, encounters: DataFrame, limits: JoinLimits = DEFAULT_LIMITS) -> DataFrame:
-    """(claim key, codes of the encounter): of a member's encounters the one nearest to the claim in days, ties by id.
+def with_nearest_encounter(claims: DataFrame, encounters: DataFrame, ranges: int | None = None) -> DataFrame:
+    """Claims, each once, with the codes of the encounter of the member nearest in days, ties by id; NULLs if there is none.
 
-    One row per claim that has any. Pairs are formed by the spread join and reduced at once, the least
-    per claim combining before the shuffle; a claim without a date takes the encounter of least id.
+    Claims without a date meet no encounter, and encounters without one are met by none. Linear in both, see ``asof``.
     """
-    visits = encounters.filter(F.col("member_key").isNotNull()).select("member_key", *ENCOUNTER_DETAIL, *ENCOUNTER_KEY)
-    narrow = claims.filter(F.col("member_key").isNotNull()).select(*CLAIM_KEY, "member_key")
-    pairs = spread_join(narrow, visits, "member_key", spread_by=CLAIM_KEY, limits=limits)
-    days = F.abs(F.datediff("service_date", "encounter_date"))
-    far = F.coalesce(days, F.lit(1 << 30))
-    pick = F.min(F.struct(far.alias("days"), *ENCOUNTER_KEY, *ENCOUNTER_CODES)).alias("pick")
-    met = pairs.filter(F.col(ENCOUNTER_KEY[0]).isNotNull()).groupBy(*CLAIM_KEY).agg(pick)
-    return met.select(*CLAIM_KEY, *[F.col(f"pick.{name}") for name in ENCOUNTER_CODES])
+    found = as_of(
+        claims,
+        encounters,
+        by="member_key",
+        on=("service_date", "encounter_date"),
+        values=[*ENCOUNTER_KEY, *ENCOUNTER_CODES],
+        direction="nearest",
+        ranges=ranges,
+    )
+    return found.drop(*ENCOUNTER_KEY)

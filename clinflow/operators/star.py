@@ -16,7 +16,7 @@ from clinflow.operators.integrate import (
     fold_encounters,
     heavy_members,
     link_members,
-    nearest_encounter,
+    with_nearest_encounter,
 )
 from clinflow.operators.joins import DEFAULT_LIMITS, JoinLimits, lookup, measured_sizes, part_hot
 from clinflow.operators.numbering import ROWS_PER_TASK, number_rows
@@ -36,27 +36,39 @@ def build_dim(
     The further columns are those of the natural key's least row, filled values before NULLs, so that no
     row is put together from several.
     """
+    return number_rows(dim_rows(df, columns, natural), list(columns[:natural]), key_name, rows_per_task)
+
+
+def dim_rows(df: DataFrame, columns: Sequence[str], natural: int = 1) -> DataFrame:
+    """The rows of a dimension without their surrogate key."""
     natural_key, attributes = list(columns[:natural]), columns[natural:]
-    if attributes:
-        ranked = [part for name in attributes for part in (F.col(name).isNull().alias(f"no_{name}"), F.col(name))]
-        keys = df.groupBy(*natural_key).agg(F.min(F.struct(*ranked)).alias("__least"))
-        keys = keys.select(*natural_key, *[F.col(f"__least.{name}") for name in attributes])
-    else:
-        keys = df.select(*natural_key).distinct()
-    return number_rows(keys, natural_key, key_name, rows_per_task)
+    if not attributes:
+        return df.select(*natural_key).distinct()
+    ranked = [part for name in attributes for part in (F.col(name).isNull().alias(f"no_{name}"), F.col(name))]
+    keys = df.groupBy(*natural_key).agg(F.min(F.struct(*ranked)).alias("__least"))
+    return keys.select(*natural_key, *[F.col(f"__least.{name}") for name in attributes])
+
+
+def dates_of(df: DataFrame, column: str) -> DataFrame:
+    return df.select(F.col(column).alias("date")).filter(F.col("date").isNotNull())
+
+
+def with_calendar(dates: DataFrame) -> DataFrame:
+    return dates.withColumns(calendar_parts(F.col("date"))).select("date", "year", "month", "day", "date_sk")
 
 
 def build_date_dim(df: DataFrame, column: str) -> DataFrame:
     """The dates that occur, with their calendar parts; no gaps are filled."""
-    dates = df.select(F.col(column).alias("date")).filter(F.col("date").isNotNull())
-    dim = build_dim(dates, ["date"], "date_sk").withColumns(calendar_parts(F.col("date")))
-    return dim.select("date", "year", "month", "day", "date_sk")
+    return with_calendar(build_dim(dates_of(df, column), ["date"], "date_sk"))
+
+
+def known_members(patients: DataFrame) -> DataFrame:
+    return patients.filter(F.col("member_key").isNotNull())
 
 
 def dim_member(patients: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Members that have a key; the warehouse refuses any other."""
-    known = patients.filter(F.col("member_key").isNotNull())
-    return build_dim(known, ["member_key", "gender"], "member_sk", rows_per_task)
+    return build_dim(known_members(patients), ["member_key", "gender"], "member_sk", rows_per_task)
 
 
 def dim_provider(claims: DataFrame) -> DataFrame:
@@ -194,10 +206,7 @@ def build_fact_by_claim(
     limits: JoinLimits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """One row per claim: codes it lacks come from the nearest encounter of its member, if there is one."""
-    keys = [F.col(name).alias(f"__{name}") for name in CLAIM_KEY]
-    found = nearest_encounter(claims, encounters, limits).select(*keys, *ENCOUNTER_CODES)
-    same = [claims[name].eqNullSafe(found[f"__{name}"]) for name in CLAIM_KEY]
-    linked = claims.join(found, same, "left").drop(*[f"__{name}" for name in CLAIM_KEY])
+    linked = with_nearest_encounter(claims, encounters)
     linked = linked.withColumns({name: as_amount(F.col(name)) for name in ("paid_amount", "allowed_amount")})
     keyed = add_final_codes(linked, missing_codes)
     members = dims["dim_member"].filter(F.col("member_key").isNotNull())
@@ -206,3 +215,11 @@ def build_fact_by_claim(
     keyed = add_date_sk(keyed, dims["dim_date"], spread_by=CLAIM_KEY, keys_from=claims, limits=limits)
     keyed = add_diagnosis_sk(keyed, dims["dim_diagnosis"], null_safe=null_safe, spread_by=CLAIM_KEY, limits=limits)
     return keyed.select(*FACT_CLAIMS.columns.names)
+
+
+def add_names(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+    """The fact with provider, diagnosis, date and its calendar parts beside their surrogate keys."""
+    named = fact
+    for name, key in (("dim_provider", "provider_sk"), ("dim_diagnosis", "diagnosis_sk"), ("dim_date", "date_sk")):
+        named = lookup(named, dims[name], key, spread_by=("claim_id", "date_sk"))
+    return named

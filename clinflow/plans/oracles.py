@@ -210,6 +210,58 @@ FACT_BY_CLAIM = STAR + f"""
     left join dim_date d on n.service_date = d.date"""
 
 
+def _asof(columns: str, sign: str, far: str) -> str:
+    """One encounter per member and day, the least by id, joined as of the day of the claim."""
+    return STAR + f"""
+    , days as (
+        select * from (select *, row_number() over (partition by member_key, encounter_date order by encounter_id) as place from visits
+                       where member_key is not null and encounter_date is not null)
+        where place = 1)
+    select c.claim_id, c.service_date, c.member_key, {columns.format(far=far)}
+    from claims c asof left join days v on c.member_key = v.member_key and c.service_date {sign} v.encounter_date"""
+
+
+def _two_days(table: str, key: str, first: str, every: str) -> str:
+    """Numbers given on a first day in order, and behind them those that the second day adds."""
+    return f"""{table} as (
+        select {key}, cast(row_number() over (order by not early, {key} nulls last) as bigint) as sk
+        from (select e.{key}, exists (select 1 from ({first}) f where f.{key} is not distinct from e.{key}) as early
+              from (select distinct {key} from ({every})) e))"""
+
+
+_DAY_ONE = "service_date < date '1995-01-01'"
+_NEAREST_FINAL = f"select *, coalesce(icd10_code, diagnosis_code) as final_diagnosis from ({_NEAREST})"
+# The dimension holds the diagnoses of every encounter of a member, not only of the nearest.
+DAILY_FACT = STAR + f""",
+    {_two_days("two_providers", "provider_id", f"select provider_id from claims where {_DAY_ONE}", "select provider_id from claims")},
+    {_two_days("two_diagnoses", "final_diagnosis", f"select final_diagnosis from integrated where {_DAY_ONE}", "select final_diagnosis from integrated")},
+    {_two_days("two_dates", "service_date", f"select service_date from claims where {_DAY_ONE}", "select service_date from claims")}
+    select n.claim_id, m.member_sk, p.sk as provider_sk, g.sk as diagnosis_sk, d.sk as date_sk, n.paid_amount, n.allowed_amount,
+           coalesce(n.cpt_code, n.procedure_code) as final_procedure
+    from ({_NEAREST_FINAL}) n
+    left join dim_member m on n.member_key = m.member_key
+    left join two_providers p on n.provider_id = p.provider_id
+    left join two_diagnoses g on n.final_diagnosis = g.final_diagnosis
+    left join two_dates d on n.service_date = d.service_date"""
+
+
+def _totals(dims: list[str], grouping: str, measures: list[str]) -> str:
+    """Totals over distinct claims: within each group a claim's amounts are taken once."""
+    amounts = ", ".join(f"'{m}': cast(f.{m} as decimal(18, 2))" for m in measures)
+    sums = ", ".join(f"cast(list_sum(list_transform(found, lambda x: x.{m})) as double) as {m}" for m in measures)
+    return STAR + f"""
+    , named as (
+        select f.*, p.provider_id, g.final_diagnosis, d.year, d.month from fact_claims f
+        left join dim_provider p on f.provider_sk = p.provider_sk
+        left join dim_diagnosis g on f.diagnosis_sk = g.diagnosis_sk
+        left join dim_date d on f.date_sk = d.date_sk),
+    grouped as (
+        select {', '.join(dims)}, cast(grouping({', '.join(dims)}) as integer) as level,
+               list(distinct {{'claim': f.claim_id, 'date': f.date_sk, {amounts}}}) as found
+        from named f group by {grouping} ({', '.join(dims)}))
+    select {', '.join(dims)}, level, cast(len(found) as bigint) as claims, {sums} from grouped"""
+
+
 def _count_if(condition: str) -> str:
     return f"count(*) filter (where {condition})"
 
@@ -358,6 +410,21 @@ ORACLES: dict[str, str] = {
         where place = 1""",
     "fact_claims_null_safe": _star(same_diagnosis="is not distinct from") + "select * from fact_claims",
     "fact_claims_by_claim": FACT_BY_CLAIM,
+    "asof_encounter": _asof(
+        "case when {far} then v.encounter_id end as encounter_id, case when {far} then v.encounter_date end as encounter_date, "
+        "case when {far} then v.diagnosis_code end as diagnosis_code",
+        ">=",
+        "c.service_date - v.encounter_date <= 30",
+    ),
+    "asof_next_encounter": _asof("v.encounter_id, v.encounter_date", "<=", ""),
+    "daily_dim_member": STAR
+    + f"""
+    select d.member_key, gender, cast(row_number() over (order by d.member_key >= '8', d.member_key) as bigint) as member_sk
+    from dim_member d""",
+    "daily_fact": DAILY_FACT,
+    "load_only_new": CLAIMS,
+    "paid_by_diagnosis_and_month": _totals(["final_diagnosis", "year", "month"], "rollup", ["paid_amount", "allowed_amount"]),
+    "paid_cube": _totals(["final_diagnosis", "provider_id", "final_procedure"], "cube", ["paid_amount"]),
 }
 ORACLES |= {
     f"{name}_spread": ORACLES[name] for name in ("integrate_claims", "fact_claims", "mask_claims", "join_left_anti")

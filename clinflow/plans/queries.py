@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clinflow import rules as r
 from clinflow.functions import columns as c
-from clinflow.operators import contract, integrate, joins, masking, quality, rows, star
+from clinflow.operators import asof, contract, incremental, integrate, joins, masking, quality, rollup, rows, star
 from clinflow.operators.joins import DEFAULT_LIMITS, JoinLimits
 from clinflow.plans import stages
-from clinflow.schemas import CLAIMS, CLAIMS_REASON, DIM_MEMBER, STAR
+from clinflow.schemas import CLAIM_KEY, CLAIMS, CLAIMS_REASON, DIM_MEMBER, STAR
 from clinflow.scratch import materialize, new_path
 from clinflow.sinks.tables import Zones, write_table
 from clinflow.sources import views
@@ -498,6 +498,84 @@ def fact_claims_by_claim(spark, folder):
     return star.build_fact_by_claim(claims, encounters, dims)
 
 
+# --- as-of, daily loads, subtotals ---
+
+
+def _stored_safe(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    return {name: materialize(table, f"safe-{name}") for name, table in _safe(spark, folder).items()}
+
+
+@query
+def asof_encounter(spark, folder):
+    """The last encounter on or before the day of the claim, at most 30 days back."""
+    safe = _stored_safe(spark, folder)
+    claims = safe["claims"].select(*CLAIM_KEY, "member_key")
+    values = ["encounter_id", "encounter_date", "diagnosis_code"]
+    return asof.as_of(claims, safe["encounters"], "member_key", ("service_date", "encounter_date"), values, tolerance=30)
+
+
+@query
+def asof_next_encounter(spark, folder):
+    """The first encounter on or after the day of the claim, however late, with ranges that cut members."""
+    safe = _stored_safe(spark, folder)
+    claims = safe["claims"].select(*CLAIM_KEY, "member_key")
+    values = ["encounter_id", "encounter_date"]
+    on = ("service_date", "encounter_date")
+    return asof.as_of(claims, safe["encounters"], "member_key", on, values, direction="forward", ranges=199)
+
+
+@query
+def daily_dim_member(spark, folder):
+    """Two days of patients, the second one sent twice: members of the first day keep their numbers."""
+    path = new_path(spark, "registry")
+    patients = masking.deidentify(views.patients_with_gaps(spark, folder), SALT)
+    members = star.dim_rows(star.known_members(patients), ["member_key", "gender"])
+    for day in (members.filter(F.col("member_key") < "8"), members, members):
+        incremental.extend_registry(spark, path, day, ["member_key"], "member_sk")
+    return read_table(spark, path)
+
+
+@query
+def daily_fact(spark, folder):
+    """Claims up to 1995 on the first day, all of them on the second, which is then run again; one row per claim."""
+    safe = _stored_safe(spark, folder)
+    zones = Zones.under(new_path(spark, "daily"))
+    first = safe["claims"].filter(F.col("service_date") < "1995-01-01")
+    for claims in (first, safe["claims"], safe["claims"]):
+        stages.run_daily(spark, claims, safe["patients"], safe["encounters"], zones, grain="claim")
+    return read_table(spark, zones.model("fact_claims"))
+
+
+@query
+def load_only_new(spark, folder):
+    """Claims loaded in three overlapping parts end up once each."""
+    path = new_path(spark, "load")
+    claims = views.claims(spark, folder)
+    number = F.col("claim_id").cast("long")
+    for part in (claims.filter(number % 3 != 0), claims.filter(number % 3 != 1), claims):
+        incremental.load_once(spark, path, part, ["claim_id", "service_date"])
+    return read_table(spark, path)
+
+
+@query
+def paid_by_diagnosis_and_month(spark, folder):
+    """Paid against allowed with all subtotals, from the fact that repeats claims; each claim once in every group."""
+    tables = _star(spark, folder)
+    fact = star.add_names(tables["fact_claims"], tables)
+    dims = ["final_diagnosis", "year", "month"]
+    sets = rollup.rollup_sets(dims)
+    return rollup.totals_once(fact, dims, sets, ["claim_id", "date_sk"], ["paid_amount", "allowed_amount"])
+
+
+@query
+def paid_cube(spark, folder):
+    """Every combination of diagnosis, provider and procedure, each claim once in every group."""
+    tables = _star(spark, folder)
+    fact = star.add_names(tables["fact_claims"], tables)
+    dims = ["final_diagnosis", "provider_id", "final_procedure"]
+    return rollup.totals_once(fact, dims, rollup.cube_sets(dims), ["claim_id", "date_sk"], ["paid_amount"])
+
+
 # --- the routes for large tables, forced on small ones ---
 
 

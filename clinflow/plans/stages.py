@@ -6,11 +6,22 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clinflow.operators.joins import DEFAULT_LIMITS, JoinLimits
+from clinflow.operators.incremental import extend_registry
+from clinflow.operators.joins import DEFAULT_LIMITS, JoinLimits, anti_join
 from clinflow.operators.masking import deidentify, key_mapping, replace_id
 from clinflow.operators.quality import apply_rules, normalize_dates, standardize_codes, text_columns, with_types
 from clinflow.operators.rows import keep_one
-from clinflow.operators.star import build_dims, build_fact, build_fact_by_claim, fold_visits
+from clinflow.operators.star import (
+    build_dims,
+    build_fact,
+    build_fact_by_claim,
+    dates_of,
+    dim_rows,
+    final_diagnoses,
+    fold_visits,
+    known_members,
+    with_calendar,
+)
 from clinflow.rules import DEFAULT_RULES, RuleSet
 from clinflow.schemas import (
     CLAIM_KEY,
@@ -22,7 +33,7 @@ from clinflow.schemas import (
     PATIENTS,
     TableContract,
 )
-from clinflow.scratch import job_folder
+from clinflow.scratch import exists, job_folder, materialize
 from clinflow.sinks.tables import Zones, write_table
 from clinflow.sinks.warehouse import JdbcTarget, load_table
 from clinflow.sources.feeds import read_feed, read_table
@@ -141,6 +152,50 @@ def run_model(
         write_table(fact, zones.model("fact_claims"))
 
 
+def run_daily(
+    spark: SparkSession,
+    claims: DataFrame,
+    patients: DataFrame,
+    encounters: DataFrame,
+    zones: Zones,
+    missing_codes: Sequence[str] = (),
+    limits: JoinLimits = DEFAULT_LIMITS,
+    null_safe: bool = False,
+    grain: str = "encounter",
+) -> None:
+    """Safe tables of a day, which may hold earlier days again, added to the star schema that the zones hold.
+
+    Keys given before stay as they are; new members, providers, diagnoses and dates follow. Claims that the fact has are
+    left out, whatever their encounters are now, so running a day again adds nothing.
+    """
+    with job_folder(spark, "daily"):
+        claims = materialize(claims, "claims")
+        fact_path = zones.model("fact_claims")
+        if exists(spark, fact_path):
+            dates = read_table(spark, zones.model("dim_date"))
+            loaded = read_table(spark, fact_path).select("claim_id", "date_sk").distinct().join(dates, "date_sk")
+            loaded = loaded.select("claim_id", loaded["date"].alias("service_date"))
+            claims = materialize(anti_join(claims, loaded, list(CLAIM_KEY), limits, spread_by=CLAIM_KEY), "new-claims")
+        visits = fold_visits(encounters)
+
+        def registry(name: str, rows: DataFrame, natural: str, key: str) -> DataFrame:
+            return extend_registry(spark, zones.model(name), rows, [natural], key)
+
+        dims = {
+            "dim_member": registry("dim_member", dim_rows(known_members(patients), ["member_key", "gender"]), "member_key", "member_sk"),
+            "dim_provider": registry("dim_provider", dim_rows(claims, ["provider_id"]), "provider_id", "provider_sk"),
+            "dim_diagnosis": registry(
+                "dim_diagnosis", final_diagnoses(claims, visits, missing_codes).distinct(), "final_diagnosis", "diagnosis_sk"
+            ),
+            "dim_date": with_calendar(registry("dim_date", dates_of(claims, "service_date").distinct(), "date", "date_sk")),
+        }
+        if grain == "claim":
+            fact = build_fact_by_claim(claims, encounters, dims, missing_codes, null_safe, limits)
+        else:
+            fact = build_fact(claims, visits, dims, missing_codes, null_safe, limits)
+        fact.write.mode("append").parquet(fact_path)
+
+
 def load_to_warehouse(spark: SparkSession, path: str, contract: TableContract, target: JdbcTarget) -> None:
     """One parquet table to one warehouse table."""
     load_table(read_table(spark, path), contract, target)

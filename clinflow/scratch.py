@@ -29,6 +29,11 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{folder}/{label}-{uuid.uuid4().hex}"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a path of any file system Spark can reach."""
     jvm = spark.sparkContext._jvm
