@@ -52,7 +52,7 @@ def _value_bytes(df: DataFrame) -> Column:
         return F.lit(8)
 
     widths = [width(field) for field in df.schema]
-    return F.coalesce(F.sum(sum(widths, F.lit(0)).cast("long")), F.lit(0))
+    return sum(widths, F.lit(0)).cast("long")
 
 
 def measured_sizes(frames: Mapping[str, DataFrame], enough: int) -> dict[str, int]:
@@ -63,10 +63,15 @@ def measured_sizes(frames: Mapping[str, DataFrame], enough: int) -> dict[str, in
     """
 
     def each(measure: Callable[[DataFrame], Column], names: Iterable[str]) -> dict[str, int]:
-        parts = [frames[name].agg(measure(frames[name]).alias("n")).withColumn("name", F.lit(name)) for name in names]
-        return {row["name"]: row["n"] for row in reduce(DataFrame.unionByName, parts).collect()} if parts else {}
-
-    rows = each(lambda df: F.count(F.lit(1)), frames)
+        parts = [frames[name].select(F.lit(name).alias("name"), measure(frames[name]).alias("n")) for name in names]
+        if not parts:
+            return {}
+        # One aggregate over all frames: a single shuffle of a row per frame and task.
+        sums = reduce(DataFrame.unionByName, parts).groupBy("name").agg(F.sum("n").alias("n"))
+        return {row["name"]: row["n"] for row in sums.collect()}
+
+    counted = each(lambda df: F.lit(1).cast("long"), frames)
+    rows = {name: counted.get(name, 0) for name in frames}  # an empty frame has no group
     small = [name for name, n in rows.items() if n * _ROW_BYTES <= enough]
     values = each(_value_bytes, small)
     return {name: n * _ROW_BYTES + values.get(name, 0) for name, n in rows.items()}
@@ -92,6 +97,8 @@ def hot_keys(
     size = F.sum(weight) if weight else F.count(F.lit(1))
     total = keys.agg(size.alias("n")).first()["n"] or 0
     least = max(1, int(limits.hot_rows * share), total / _most_cells(df))
+    if total < least:
+        return {}  # not even all rows together would make one
     sized = keys.groupBy(*on).agg(size.alias("__rows")).filter(F.col("__rows") >= least)
     return {tuple(row[name] for name in on): int(row["__rows"] / share) for row in sized.collect()}
 

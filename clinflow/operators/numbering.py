@@ -8,7 +8,7 @@ from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from clinflow.scratch import materialize
+from clinflow.scratch import materialize, materialize_counted
 
 # Up to this many rows one ordered window in a single task numbers them; beyond it, this many per task.
 ROWS_PER_TASK = 1_000_000
@@ -24,10 +24,9 @@ def number_rows(
     """Add ``key_name``: 1..n in the order of ``natural_key``, one column or several, NULL last.
 
     ``keys`` holds each natural key once. It is written out first: the numbers are then given once,
-    to a fixed set of rows, and the row count that picks the route comes from the file footers.
+    to a fixed set of rows, and the row count that picks the route comes from the write.
     """
-    kept = materialize(keys, f"keys-{key_name}")
-    rows = kept.count()
+    kept, rows = materialize_counted(keys, f"keys-{key_name}")
     columns = [natural_key] if isinstance(natural_key, str) else natural_key
     order = [F.col(name).asc_nulls_last() for name in columns]
     if rows <= rows_per_task:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 _ORIGIN = "__in_removed"
 _KEPT = "__kept"
@@ -32,6 +32,32 @@ def except_rows(df: DataFrame, removed: DataFrame) -> DataFrame:
     return seen.filter(~F.col(_ORIGIN)).drop(_ORIGIN)
 
 
+def except_all_rows(df: DataFrame, removed: DataFrame) -> DataFrame:
+    """Rows of ``df`` as often as it has them more than ``removed``, NULLs equal."""
+    return _unfolded(_counted(df, removed), F.col("__mine") - F.col("__theirs"))
+
+
+def intersect_all_rows(df: DataFrame, other: DataFrame) -> DataFrame:
+    """Rows as often as both have them, NULLs equal."""
+    return _unfolded(_counted(df, other), F.least("__mine", "__theirs"))
+
+
+def _counted(df: DataFrame, other: DataFrame) -> DataFrame:
+    """How often each row is in either frame: one aggregate, in which copies combine before they travel."""
+    mine = df.withColumns({"__mine": F.lit(1).cast("long"), "__theirs": F.lit(0).cast("long")})
+    theirs = other.select(*df.columns).withColumns({"__mine": F.lit(0).cast("long"), "__theirs": F.lit(1).cast("long")})
+    return mine.unionByName(theirs).groupBy(*df.columns).agg(F.sum("__mine").alias("__mine"), F.sum("__theirs").alias("__theirs"))
+
+
+def _unfolded(counted: DataFrame, copies: Column, most: int = 65_536) -> DataFrame:
+    """Each row as often as ``copies`` says; very large numbers in pieces, so that no array is large."""
+    names = [name for name in counted.columns if name not in ("__mine", "__theirs")]
+    folded = counted.select(*names, copies.alias("__all")).filter("__all > 0")
+    pieces = folded.withColumn("__piece", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("__all") - 1) / most))))
+    sized = pieces.withColumn("__n", F.least(F.lit(most).cast("long"), F.col("__all") - F.col("__piece") * most).cast("int"))
+    return unfold_copies(sized, "__n").select(*names)
+
+
 def union_rows(*frames: DataFrame) -> DataFrame:
     """All rows of all frames, columns matched by name, copies kept."""
     first, *rest = frames

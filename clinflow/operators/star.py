@@ -21,7 +21,7 @@ from clinflow.operators.integrate import (
 from clinflow.operators.joins import DEFAULT_LIMITS, JoinLimits, lookup, measured_sizes, part_hot
 from clinflow.operators.numbering import ROWS_PER_TASK, number_rows
 from clinflow.schemas import CLAIM_KEY, FACT_CLAIMS
-from clinflow.scratch import materialize
+from clinflow.scratch import materialize, side_by_side
 
 
 def build_dim(
@@ -109,12 +109,15 @@ def fold_visits(encounters: DataFrame) -> DataFrame:
 def build_dims(
     claims: DataFrame, patients: DataFrame, visits: DataFrame, missing_codes: Sequence[str] = ()
 ) -> dict[str, DataFrame]:
-    return {
-        "dim_member": dim_member(patients),
-        "dim_provider": dim_provider(claims),
-        "dim_diagnosis": dim_diagnosis(claims, visits, missing_codes),
-        "dim_date": dim_date(claims),
-    }
+    """The four dimensions; none needs another, so their jobs run at the same time."""
+    return side_by_side(
+        {
+            "dim_member": lambda: dim_member(patients),
+            "dim_provider": lambda: dim_provider(claims),
+            "dim_diagnosis": lambda: dim_diagnosis(claims, visits, missing_codes),
+            "dim_date": lambda: dim_date(claims),
+        }
+    )
 
 
 def add_member_sk(df: DataFrame, dim: DataFrame, **options) -> DataFrame:

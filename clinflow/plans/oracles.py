@@ -150,11 +150,11 @@ def _masked(view: str, id_column: str) -> str:
 
 
 # The whole way to the star schema as common table expressions; each query selects from the end it needs.
-def _star(claims: str = _clean_claims(), same_diagnosis: str = "=") -> str:
+def _star(claims: str = _clean_claims(), same_diagnosis: str = "=", visits: str = TIDY_VISITS) -> str:
     return f"""
 with claims as ({_masked(claims, "member_id")}),
      patients as ({SAFE_GAPPY_PATIENTS}),
-     visits as ({_masked(_clean_visits(TIDY_VISITS), "patient_id")}),
+     visits as ({_masked(_clean_visits(visits), "patient_id")}),
      integrated as (
          select c.*, v.diagnosis_code, v.procedure_code, v.encounter_date,
                 coalesce(c.icd10_code, v.diagnosis_code) as final_diagnosis,
@@ -189,6 +189,11 @@ with claims as ({_masked(claims, "member_id")}),
 
 
 STAR = _star()
+# With the encounters dealt over the years of the claims.
+YEARS_STAR = _star(
+    visits=f"""select * replace (cast(date '1992-01-01' + cast(cast(encounter_id as bigint) * 37 % 2500 as integer) as date) as encounter_date)
+               from ({TIDY_VISITS})"""
+)
 FED_STAR = _star(_clean_claims(_tidy(READ_CLAIMS, "icd10_code", "cpt_code")))
 
 _NEAREST = """
@@ -212,7 +217,7 @@ FACT_BY_CLAIM = STAR + f"""
 
 def _asof(columns: str, sign: str, far: str) -> str:
     """One encounter per member and day, the least by id, joined as of the day of the claim."""
-    return STAR + f"""
+    return YEARS_STAR + f"""
     , days as (
         select * from (select *, row_number() over (partition by member_key, encounter_date order by encounter_id) as place from visits
                        where member_key is not null and encounter_date is not null)
@@ -232,7 +237,7 @@ def _two_days(table: str, key: str, first: str, every: str) -> str:
 _DAY_ONE = "service_date < date '1995-01-01'"
 _NEAREST_FINAL = f"select *, coalesce(icd10_code, diagnosis_code) as final_diagnosis from ({_NEAREST})"
 # The dimension holds the diagnoses of every encounter of a member, not only of the nearest.
-DAILY_FACT = STAR + f""",
+DAILY_FACT = YEARS_STAR + f""",
     {_two_days("two_providers", "provider_id", f"select provider_id from claims where {_DAY_ONE}", "select provider_id from claims")},
     {_two_days("two_diagnoses", "final_diagnosis", f"select final_diagnosis from integrated where {_DAY_ONE}", "select final_diagnosis from integrated")},
     {_two_days("two_dates", "service_date", f"select service_date from claims where {_DAY_ONE}", "select service_date from claims")}
@@ -245,6 +250,24 @@ DAILY_FACT = STAR + f""",
     left join two_dates d on n.service_date = d.service_date"""
 
 
+_THRICE = " union all ".join([f"select icd10_code, cpt_code, provider_id from ({CLAIMS}) where paid_amount < 0"] * 3)
+
+
+def _episodes(gap: int) -> str:
+    """Days of a member that follow one another within the gap, by lag and running sum."""
+    return f""",
+    days as (
+        select member_key, encounter_date as day, count(*) as encounters from visits
+        where member_key is not null and encounter_date is not null group by 1, 2),
+    started as (
+        select *, case when day - lag(day) over (partition by member_key order by day) <= {gap} then 0 else 1 end as start from days),
+    numbered as (select *, sum(start) over (partition by member_key order by day) as episode from started),
+    episodes as (
+        select member_key, min(day) as first_day, max(day) as last_day, count(*) as days, cast(sum(encounters) as bigint) as encounters
+        from numbered group by member_key, episode)
+    """
+
+
 def _totals(dims: list[str], grouping: str, measures: list[str]) -> str:
     """Totals over distinct claims: within each group a claim's amounts are taken once."""
     amounts = ", ".join(f"'{m}': cast(f.{m} as decimal(18, 2))" for m in measures)
@@ -256,9 +279,9 @@ def _totals(dims: list[str], grouping: str, measures: list[str]) -> str:
         left join dim_diagnosis g on f.diagnosis_sk = g.diagnosis_sk
         left join dim_date d on f.date_sk = d.date_sk),
     grouped as (
-        select {', '.join(dims)}, cast(grouping({', '.join(dims)}) as integer) as level,
+        select {', '.join(dims)}, {f"cast(grouping({', '.join(dims)}) as integer)" if grouping else "0"} as level,
                list(distinct {{'claim': f.claim_id, 'date': f.date_sk, {amounts}}}) as found
-        from named f group by {grouping} ({', '.join(dims)}))
+        from named f group by {f"{grouping} ({', '.join(dims)})" if grouping else ', '.join(dims)})
     select {', '.join(dims)}, level, cast(len(found) as bigint) as claims, {sums} from grouped"""
 
 
@@ -424,6 +447,41 @@ ORACLES: dict[str, str] = {
     "daily_fact": DAILY_FACT,
     "load_only_new": CLAIMS,
     "paid_by_diagnosis_and_month": _totals(["final_diagnosis", "year", "month"], "rollup", ["paid_amount", "allowed_amount"]),
+    "top_providers": f"""
+        select * exclude (level, place), cast(place as integer) as rank from (
+            select *, row_number() over (partition by year, month order by paid_amount desc, provider_id nulls last) as place
+            from ({_totals(["year", "month", "provider_id"], "", ["paid_amount"])}))
+        where place <= 3""",
+    "except_all_rows": f"select icd10_code, cpt_code, provider_id from ({CLAIMS}) except all ({_THRICE})",
+    "intersect_all_rows": f"select icd10_code, cpt_code, provider_id from ({CLAIMS}) intersect all ({_THRICE})",
+    "episodes_of_care": YEARS_STAR + _episodes(7) + "select * from episodes",
+    "episodes_of_care_in_ranges": YEARS_STAR + _episodes(3) + "select * from episodes",
+    "episodes_streamed": YEARS_STAR + _episodes(7) + "select * exclude (days) from episodes",
+    "claims_in_episodes": YEARS_STAR
+    + _episodes(30)
+    + """select c.claim_id, c.service_date, c.member_key, e.first_day, e.last_day, e.encounters
+         from claims c join episodes e on c.member_key = e.member_key and c.service_date between e.first_day and e.last_day""",
+    "claims_in_long_periods": YEARS_STAR
+    + """, periods as (
+             select member_key, cast(min(encounter_date) + 300 as date) as first_day, cast(max(encounter_date) - 300 as date) as last_day
+             from visits where member_key is not null group by member_key)
+         select c.claim_id, c.service_date, c.member_key, p.first_day, p.last_day
+         from claims c left join periods p on c.member_key = p.member_key and c.service_date between p.first_day and p.last_day""",
+    "stream_good": _clean_claims(_tidy(
+        f"""select * from ({CLAIMS}) union all
+            select * replace (paid_amount + 1 as paid_amount) from ({CLAIMS}) where cast(claim_id as bigint) % 3 = 0""",
+        "icd10_code",
+        "cpt_code",
+    )),
+    "stream_quarantine": f"""
+        with tidy as (select * from ({TIDY_CLAIMS})),
+             good as (select * from tidy where not ({MISSING}) and not ({NEGATIVE}))
+        select *, 'claims_dq_failed' as reason, {_reasons(CLAIMS_FILLED, CLAIMS_AMOUNTS)} as reasons
+        from tidy where {MISSING} or {NEGATIVE}
+        union all
+        select *, 'claims_dq_failed' as reason, 'late' as reasons from good
+        where cast(claim_id as bigint) % 2 = 1
+          and service_date < (select max(service_date) from good where cast(claim_id as bigint) % 2 = 0) - 365""",
     "paid_cube": _totals(["final_diagnosis", "provider_id", "final_procedure"], "cube", ["paid_amount"]),
 }
 ORACLES |= {

@@ -9,14 +9,29 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clinflow import rules as r
 from clinflow.functions import columns as c
-from clinflow.operators import asof, contract, incremental, integrate, joins, masking, quality, rollup, rows, star
+from clinflow.operators import (
+    asof,
+    contract,
+    episodes,
+    incremental,
+    integrate,
+    intervals,
+    joins,
+    masking,
+    quality,
+    rollup,
+    rows,
+    star,
+    top,
+)
 from clinflow.operators.joins import DEFAULT_LIMITS, JoinLimits
 from clinflow.plans import stages
 from clinflow.schemas import CLAIM_KEY, CLAIMS, CLAIMS_REASON, DIM_MEMBER, STAR
-from clinflow.scratch import materialize, new_path
+from clinflow.scratch import materialize, new_path, side_by_side
 from clinflow.sinks.tables import Zones, write_table
 from clinflow.sources import views
 from clinflow.sources.feeds import read_feed, read_table
+from clinflow.streaming import episodes as episode_stream, quality as quality_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,9 +46,9 @@ def query(run: Query) -> Query:
     return run
 
 
-def _safe(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+def _safe(spark: SparkSession, folder: str, encounters: Callable = views.encounters) -> dict[str, DataFrame]:
     """Curated and de-identified claims, patients and encounters."""
-    raw = {"claims": views.claims(spark, folder), "encounters": views.encounters(spark, folder)}
+    raw = {"claims": views.claims(spark, folder), "encounters": encounters(spark, folder)}
     clean_claims, _ = stages.curate_claims(raw["claims"])
     clean_encounters, _ = stages.curate_encounters(raw["encounters"])
     return stages.mask(clean_claims, views.patients_with_gaps(spark, folder), clean_encounters, SALT, keys_from=raw)
@@ -44,8 +59,13 @@ def _star(
 ) -> dict[str, DataFrame]:
     """Dimensions and fact, from written claims and visits as in the stored zones."""
     safe = _safe(spark, folder)
-    claims = materialize(safe["claims"], "safe-claims")
-    visits = star.fold_visits(safe["encounters"])
+    stored = side_by_side(
+        {
+            "claims": lambda: materialize(safe["claims"], "safe-claims"),
+            "visits": lambda: star.fold_visits(safe["encounters"]),
+        }
+    )
+    claims, visits = stored["claims"], stored["visits"]
     dims = star.build_dims(claims, safe["patients"], visits)
     return {**dims, "fact_claims": star.build_fact(claims, visits, dims, null_safe=null_safe, limits=limits)}
 
@@ -434,9 +454,14 @@ def dim_two_columns(spark, folder):
     return star.build_dim(patients, ["zip", "gender", "last_name", "first_name"], "patient_group_sk", natural=2)
 
 
+def _curated_claims(spark: SparkSession, folder: str) -> DataFrame:
+    """Masking changes members alone, so providers and dates need not wait for it."""
+    return stages.curate_claims(views.claims(spark, folder))[0]
+
+
 @query
 def dim_provider(spark, folder):
-    return star.dim_provider(_safe(spark, folder)["claims"])
+    return star.dim_provider(_curated_claims(spark, folder))
 
 
 @query
@@ -447,7 +472,7 @@ def dim_diagnosis(spark, folder):
 
 @query
 def dim_date(spark, folder):
-    return star.dim_date(_safe(spark, folder)["claims"])
+    return star.dim_date(_curated_claims(spark, folder))
 
 
 @query
@@ -502,7 +527,8 @@ def fact_claims_by_claim(spark, folder):
 
 
 def _stored_safe(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {name: materialize(table, f"safe-{name}") for name, table in _safe(spark, folder).items()}
+    """Safe tables with encounters over the years of the claims."""
+    return {name: materialize(table, f"safe-{name}") for name, table in _safe(spark, folder, views.encounters_over_years).items()}
 
 
 @query
@@ -576,6 +602,119 @@ def paid_cube(spark, folder):
     return rollup.totals_once(fact, dims, rollup.cube_sets(dims), ["claim_id", "date_sk"], ["paid_amount"])
 
 
+@query
+def top_providers(spark, folder):
+    """The three providers of a month with the greatest paid amount, each claim counted once."""
+    tables = _star(spark, folder)
+    fact = star.add_names(tables["fact_claims"], tables)
+    dims = ["year", "month", "provider_id"]
+    paid = rollup.totals_once(fact, dims, [dims], ["claim_id", "date_sk"], ["paid_amount"]).drop("level")
+    return top.top_k(paid, ["year", "month"], "paid_amount", ["provider_id"], 3)
+
+
+# --- bags, episodes, intervals ---
+
+
+def _coded(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Code pairs of all claims, copies kept, and those of the negative ones sent again three times."""
+    claims = views.claims(spark, folder)
+    codes = claims.select("icd10_code", "cpt_code", "provider_id")
+    negative = claims.filter(c.is_negative(F.col("paid_amount"))).select("provider_id", "icd10_code", "cpt_code")
+    return codes, rows.union_rows(negative, negative, negative)
+
+
+@query
+def except_all_rows(spark, folder):
+    return rows.except_all_rows(*_coded(spark, folder))
+
+
+@query
+def intersect_all_rows(spark, folder):
+    return rows.intersect_all_rows(*_coded(spark, folder))
+
+
+@query
+def episodes_of_care(spark, folder):
+    return episodes.episodes(_safe(spark, folder, views.encounters_over_years)["encounters"], "member_key", "encounter_date", gap_days=7)
+
+
+@query
+def episodes_of_care_in_ranges(spark, folder):
+    """Ranges so small that most members are cut."""
+    return episodes.episodes(_safe(spark, folder, views.encounters_over_years)["encounters"], "member_key", "encounter_date", gap_days=3, ranges=331)
+
+
+@query
+def episodes_streamed(spark, folder):
+    """Encounters in three drops by time; a last row far ahead closes what is open."""
+    root = new_path(spark, "episode-stream")
+    visits = materialize(_safe(spark, folder, views.encounters_over_years)["encounters"].select("member_key", "encounter_date"), "visits")
+    ends = visits.agg(F.min("encounter_date").alias("first"), F.max("encounter_date").alias("last")).first()
+    third = (ends["last"] - ends["first"]).days // 3
+    part = F.least(F.floor(F.datediff("encounter_date", F.lit(ends["first"])) / (third + 1)), F.lit(2))
+    flush = visits.limit(1).select(F.lit(None).cast("string").alias("member_key"), F.lit(ends["last"]).alias("encounter_date"))
+    flush = flush.withColumn("encounter_date", F.date_add("encounter_date", 1000))
+    for drop in (*[visits.filter(part == i) for i in range(3)], flush):
+        drop.write.mode("append").parquet(f"{root}/feed")
+        episode_stream.run_episode_stream(spark, f"{root}/feed", f"{root}/out", f"{root}/checkpoint", "member_key", "encounter_date", 7, 1)
+    return spark.read.parquet(f"{root}/out").drop("batch")
+
+
+@query
+def claims_in_episodes(spark, folder):
+    """Claims whose day lies in an episode of their member."""
+    safe = _stored_safe(spark, folder)
+    periods = episodes.episodes(safe["encounters"], "member_key", "encounter_date", gap_days=30).drop("days")
+    return intervals.within(safe["claims"].select("claim_id", "service_date", "member_key"), periods, "member_key", "service_date", ("first_day", "last_day"))
+
+
+@query
+def claims_in_long_periods(spark, folder):
+    """From the first to the last encounter of a member, which may be years, and claims outside kept."""
+    safe = _stored_safe(spark, folder)
+    known = safe["encounters"].filter(F.col("member_key").isNotNull())
+    periods = known.groupBy("member_key").agg(
+        F.date_add(F.min("encounter_date"), 300).alias("first_day"), F.date_sub(F.max("encounter_date"), 300).alias("last_day")
+    )
+    claims = safe["claims"].select("claim_id", "service_date", "member_key")
+    return intervals.within(claims, periods, "member_key", "service_date", ("first_day", "last_day"), width=7, how="left")
+
+
+# --- quality as a stream ---
+
+
+def _streamed(spark: SparkSession, drops: list[DataFrame], delay_days: int) -> tuple[quality_stream.StreamFeed, quality_stream.StreamTarget]:
+    """Run the quality stream after each drop of files."""
+    root = new_path(spark, "quality-stream")
+    rules = r.DEFAULT_RULES
+    feed = quality_stream.StreamFeed(CLAIMS, rules.claims, CLAIM_KEY, "service_date", CLAIMS_REASON, rules.code_columns, delay_days)
+    target = quality_stream.StreamTarget(f"{root}/good", f"{root}/quarantine", f"{root}/checkpoint")
+    for drop in drops:
+        drop.write.mode("append").parquet(f"{root}/feed")
+        quality_stream.run_stream(spark, f"{root}/feed", feed, target)
+    return feed, target
+
+
+@query
+def stream_good(spark, folder):
+    """Claims in three drops, the second with claims of the first at another amount: what the batch job makes of all."""
+    claims = views.claims(spark, folder)
+    number = F.col("claim_id").cast("long") % 3
+    again = claims.filter(number == 0).withColumn("paid_amount", F.col("paid_amount") + 1)
+    drops = [claims.filter(number == 0), rows.union_rows(claims.filter(number == 1), again), claims.filter(number == 2)]
+    feed, target = _streamed(spark, drops, delay_days=100_000)
+    return quality_stream.good_rows(spark, feed, target)
+
+
+@query
+def stream_quarantine(spark, folder):
+    """Two drops; claims of the second that lie more than a year before the first one's end are late."""
+    claims = views.claims(spark, folder)
+    number = F.col("claim_id").cast("long") % 2
+    _, target = _streamed(spark, [claims.filter(number == 0), claims.filter(number == 1)], delay_days=365)
+    return quality_stream.rejected_rows(spark, target).withColumn("reasons", F.array_join("reasons", ","))
+
+
 # --- the routes for large tables, forced on small ones ---
 
 

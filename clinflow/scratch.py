@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
-from contextvars import ContextVar
+from contextvars import ContextVar, copy_context
+from typing import TypeVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+
+T = TypeVar("T")
 
 _JOB: ContextVar[str | None] = ContextVar("clinflow_job_folder", default=None)
 
@@ -61,3 +65,17 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialize_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """As ``materialize``, with the number of rows, which the write itself counts."""
+    rows = Observation()
+    kept = materialize(df.observe(rows, F.count(F.lit(1)).alias("n")), label)
+    return kept, rows.get.get("n", 0)
+
+
+def side_by_side(tasks: Mapping[str, Callable[[], T]]) -> dict[str, T]:
+    """Results of tasks that run Spark jobs and do not depend on one another, all started at once."""
+    with ThreadPoolExecutor(len(tasks)) as pool:
+        started = {name: pool.submit(copy_context().run, task) for name, task in tasks.items()}
+        return {name: task.result() for name, task in started.items()}

@@ -89,6 +89,12 @@ def encounters(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def encounters_over_years(spark: SparkSession, folder: str) -> DataFrame:
+    """All encounters, dealt over the years of the claims."""
+    days = (F.col("encounter_id").cast("long") * 37 % 2500).cast("int")
+    return encounters(spark, folder).withColumn("encounter_date", F.date_add(F.lit("1992-01-01").cast("date"), days))
+
+
 def encounters_with_gaps(spark: SparkSession, folder: str) -> DataFrame:
     """Encounters of which some lack their patient."""
     known = F.col("encounter_id").cast("long") % 30 != 0
