@@ -253,6 +253,35 @@ DAILY_FACT = YEARS_STAR + f""",
 _THRICE = " union all ".join([f"select icd10_code, cpt_code, provider_id from ({CLAIMS}) where paid_amount < 0"] * 3)
 
 
+def _profile(view: str, columns: list[str]) -> str:
+    """Values that fit each type, counted; a type fits if it fits all filled values."""
+
+    def one(name: str) -> str:
+        text = name == "zip" or name.endswith(("_id", "_code"))
+        kinds = {
+            "date": "regexp_matches(v, '^[0-9]{4}-[0-9]{2}-[0-9]{2}$') and try_cast(v as date) is not null",
+            "bigint": "regexp_matches(v, '^-?(0|[1-9][0-9]{0,17})$')",
+            "double": "try_cast(v as double) is not null and not regexp_matches(v, '^-?0[0-9]') and regexp_matches(v, '[0-9]')",
+        }
+        cases = " ".join(f"when count(v) > 0 and bool_and({test}) then '{kind}'" for kind, test in kinds.items())
+        return f"""select '{name}' as column_name, count(v) as filled, count(*) - count(v) as empty,
+                          cast(coalesce(max(length(x)), 0) as integer) as longest,
+                          {"'string'" if text else f"case {cases} else 'string' end"} as type
+                   from (select {name} as x, case when trim({name}) <> '' then trim({name}) end as v from ({view}))"""
+
+    return " union all ".join(map(one, columns))
+
+
+_FEED = f"""
+    select claim_id, member_id, provider_id,
+           case when cast(claim_id as bigint) % 37 = 3 then 'on ' || strftime(service_date, '%Y-%m-%d')
+                else strftime(service_date, '%Y-%m-%d') end as service_date,
+           icd10_code, cpt_code
+    from ({CLAIMS})"""
+_PATIENT_TEXT = f"select patient_id, zip, strftime(dob, '%Y-%m-%d') as dob, gender from ({GAPPY_PATIENTS})"
+_YEARS = YEARS_STAR + ", days as (select *, cast(year(service_date) as integer) as year from claims where service_date is not null)"
+
+
 def _episodes(gap: int) -> str:
     """Days of a member that follow one another within the gap, by lag and running sum."""
     return f""",
@@ -447,6 +476,18 @@ ORACLES: dict[str, str] = {
     "daily_fact": DAILY_FACT,
     "load_only_new": CLAIMS,
     "paid_by_diagnosis_and_month": _totals(["final_diagnosis", "year", "month"], "rollup", ["paid_amount", "allowed_amount"]),
+    "profile_claims": _profile(_FEED, ["claim_id", "member_id", "provider_id", "service_date", "icd10_code", "cpt_code"]),
+    "profile_patients": _profile(_PATIENT_TEXT, ["patient_id", "zip", "dob", "gender"]),
+    "paid_quantiles": _YEARS
+    + """
+        select year, share, list_sort(list(paid_amount))[greatest(cast(ceil(share * count(*)) as bigint), 1)] as paid, true as within
+        from days, (select unnest([0.1::double, 0.5::double, 0.9::double, 0.99::double]) as share) group by year, share""",
+    "members_per_year": _YEARS + "select year, count(distinct member_key) as members, true as within from days group by year",
+    "fact_by_month": STAR
+    + """
+        select f.* replace (case when strftime(d.date, '%Y-%m') = '1995-03' then paid_amount * 2 else paid_amount end as paid_amount),
+               coalesce(strftime(d.date, '%Y-%m'), 'none') as month
+        from fact_claims f left join dim_date d on f.date_sk = d.date_sk""",
     "top_providers": f"""
         select * exclude (level, place), cast(place as integer) as rank from (
             select *, row_number() over (partition by year, month order by paid_amount desc, provider_id nulls last) as place

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -21,6 +22,7 @@ from clinflow.operators import (
     quality,
     rollup,
     rows,
+    sketches,
     star,
     top,
 )
@@ -28,8 +30,9 @@ from clinflow.operators.joins import DEFAULT_LIMITS, JoinLimits
 from clinflow.plans import stages
 from clinflow.schemas import CLAIM_KEY, CLAIMS, CLAIMS_REASON, DIM_MEMBER, STAR
 from clinflow.scratch import materialize, new_path, side_by_side
+from clinflow.sinks import partitioned
 from clinflow.sinks.tables import Zones, write_table
-from clinflow.sources import views
+from clinflow.sources import profile, views
 from clinflow.sources.feeds import read_feed, read_table
 from clinflow.streaming import episodes as episode_stream, quality as quality_stream
 
@@ -715,6 +718,61 @@ def stream_quarantine(spark, folder):
     return quality_stream.rejected_rows(spark, target).withColumn("reasons", F.array_join("reasons", ","))
 
 
+# --- sketches, layout, types ---
+
+
+@query
+def profile_claims(spark, folder):
+    """The type each column of the feed allows; some dates of it cannot be read, so that column stays text."""
+    return profile.profile(views.feed_claims(spark, folder).drop("paid_amount", "allowed_amount"))
+
+
+@query
+def profile_patients(spark, folder):
+    return profile.profile(views.patients_with_gaps(spark, folder).select([F.col(n).cast("string") for n in ("patient_id", "zip", "dob", "gender")]))
+
+
+def _days(spark: SparkSession, folder: str) -> DataFrame:
+    claims = _stored_safe(spark, folder)["claims"].filter(F.col("service_date").isNotNull())
+    return claims.withColumn("year", F.year("service_date"))
+
+
+@query
+def paid_quantiles(spark, folder):
+    """Quantiles of the paid amount per year, merged from sketches per day, each within 1% of the true one."""
+    daily = materialize(sketches.quantile_sketches(_days(spark, folder), ["year", "service_date"], "paid_amount"), "daily-quantiles")
+    shares = [0.1, 0.5, 0.9, 0.99]
+    found = sketches.merged_quantiles(daily, ["year"], shares)
+    exact = _days(spark, folder).groupBy("year").agg(F.sort_array(F.collect_list("paid_amount")).alias("all"))
+    both = found.join(exact, "year")
+    true = F.element_at("all", F.greatest(F.ceil(F.col("share") * F.size("all")), F.lit(1)).cast("int"))
+    return both.select("year", "share", true.alias("paid"), (F.abs(F.col("value") - true) <= F.abs(true) * 0.0100001).alias("within"))
+
+
+@query
+def members_per_year(spark, folder):
+    """Distinct members per year, merged from sketches per day, beside the exact number and whether four errors hold them apart."""
+    claims = _days(spark, folder)
+    daily = materialize(sketches.distinct_sketches(claims, ["year", "service_date"], "member_key"), "daily-members")
+    found = sketches.merged_distinct(daily, ["year"])
+    exact = claims.groupBy("year").agg(F.count_distinct("member_key").alias("members"))
+    apart = F.abs(F.col("estimate") - F.col("members")) <= 4 * sketches.DISTINCT_ERROR * F.col("members") + 1
+    return found.join(exact, "year").select("year", "members", apart.alias("within"))
+
+
+@query
+def fact_by_month(spark, folder):
+    """The fact by month and member bucket, of which one month is then computed again with other amounts."""
+    tables = _star(spark, folder)
+    fact = star.lookup(tables["fact_claims"], tables["dim_date"].select("date_sk", "date"), "date_sk", spread_by=("claim_id", "date_sk"))
+    fact = materialize(fact.withColumn("month", partitioned.month_of(F.col("date"))).drop("date"), "fact")
+    name, path = f"fact_{uuid.uuid4().hex}", new_path(spark, "fact-by-month")
+    partitioned.write_by_month(fact, name, path, "member_sk", 8)
+    again = fact.filter("month = '1995-03'").withColumn("paid_amount", F.col("paid_amount") * 2)
+    partitioned.replace_months(spark, name, again, "member_sk", 8)
+    return spark.table(name)
+
+
 # --- the routes for large tables, forced on small ones ---
 
 
