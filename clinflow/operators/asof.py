@@ -78,12 +78,15 @@ def as_of(
     upwards = within.orderBy(_DAY, F.desc(_RIGHT)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     downwards = within.orderBy(F.desc(_DAY), F.desc(_RIGHT)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     found = rows.join(F.broadcast(_carried(rows)), [_KEY, _RANGE], "left")
-    sides = {}
-    if direction != "forward":
-        sides["__before"] = F.coalesce(F.last(at, ignorenulls=True).over(upwards), "__carried_before")
+    found = found.withColumn("__before", F.coalesce(F.last(at, ignorenulls=True).over(upwards), "__carried_before"))
+    sides = ["__before"]
     if direction != "backward":
-        sides["__after"] = F.coalesce(F.last(at, ignorenulls=True).over(downwards), "__carried_after")
-    found = found.withColumns(sides).filter(~F.col(_RIGHT))
+        after = F.coalesce(F.last(at, ignorenulls=True).over(downwards), "__carried_after")
+        # Right rows of a day stand before the left ones, maybe in the range before.
+        same_day = F.when(F.col(f"__before.{_DAY}") == F.col(_DAY), F.col("__before"))
+        found = found.withColumn("__after", F.coalesce(same_day, after))
+        sides = ["__before", "__after"] if direction == "nearest" else ["__after"]
+    found = found.filter(~F.col(_RIGHT))
 
     def candidate(side: str) -> Column:
         days = F.abs(F.datediff(_DAY, f"{side}.{_DAY}"))

@@ -1,0 +1,186 @@
+"""Registries, repeated loads, streams of quality and episodes, the fact by month."""
+
+from __future__ import annotations
+
+import shutil
+from collections import Counter
+from datetime import date
+from pathlib import Path
+
+import pytest
+from conftest import bag, plan
+
+from pyspark.sql import functions as F
+
+from clinflow.operators import incremental
+from clinflow.plans import queries, stages
+from clinflow.rules import DEFAULT_RULES
+from clinflow.schemas import CLAIM_KEY, CLAIMS, CLAIMS_REASON
+from clinflow.scratch import side_by_side
+from clinflow.sinks import partitioned
+from clinflow.sinks.tables import Zones
+from clinflow.sources import views
+from clinflow.streaming import episodes, quality
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def keyed(spark, names):
+    return spark.createDataFrame([(n,) for n in names], "name string")
+
+
+@pytest.mark.parametrize("rows_per_task", [2, 1_000_000])
+def test_known_keys_stay(spark, tmp_path, rows_per_task):
+    path = str(tmp_path / "registry")
+    days = [["d", "b"], ["a", "b", None, "e"], ["a", "b", None, "e"], [], ["c", None]]
+    for names in days:
+        table = incremental.extend_registry(spark, path, keyed(spark, names), ["name"], "sk", rows_per_task)
+    assert {r["name"]: r["sk"] for r in table.collect()} == {"b": 1, "d": 2, "a": 3, "e": 4, None: 5, "c": 6}
+
+
+def test_keys_of_two_columns(spark, tmp_path):
+    path = str(tmp_path / "registry")
+    schema = "a string, b int, more string"
+    incremental.extend_registry(spark, path, spark.createDataFrame([("x", 1, "first"), ("x", None, "first")], schema), ["a", "b"], "sk")
+    got = incremental.extend_registry(spark, path, spark.createDataFrame([("x", None, "later"), ("x", 0, "later"), (None, 1, "later")], schema), ["a", "b"], "sk")
+    assert Counter(map(tuple, got.collect())) == Counter([("x", 1, "first", 1), ("x", None, "first", 2), ("x", 0, "later", 3), (None, 1, "later", 4)])
+
+
+def test_a_second_load_adds_only_what_is_new(spark, tmp_path):
+    path = str(tmp_path / "load")
+    schema = "k string, n int, v int"
+    for rows in ([("a", 1, 1), ("a", 1, 1), (None, 2, 2)], [("a", 1, 9), (None, 2, 9), ("b", None, 3)], [("b", None, 9)]):
+        incremental.load_once(spark, path, spark.createDataFrame(rows, schema), ["k", "n"])
+    assert Counter(map(tuple, spark.read.parquet(path).collect())) == Counter({("a", 1, 1): 2, (None, 2, 2): 1, ("b", None, 3): 1})
+
+
+@pytest.mark.parametrize("grain", ["claim", "encounter"])
+def test_daily_runs_grow_the_star(spark, tmp_path, grain):
+    """Keys of the first day stay, every fact row refers to its dimensions, a repeated day adds nothing."""
+    safe = queries._safe(spark, FOLDER)
+    zones = Zones.under(str(tmp_path))
+    first = safe["claims"].filter("service_date < '1994-06-01'")
+    stages.run_daily(spark, first, safe["patients"].filter("member_key < 'a'"), safe["encounters"], zones, grain=grain)
+    names = ("dim_member", "dim_provider", "dim_diagnosis", "dim_date", "fact_claims")
+    before = {name: bag(spark.read.parquet(zones.model(name))) for name in names}
+    for _ in range(2):
+        stages.run_daily(spark, safe["claims"], safe["patients"], safe["encounters"], zones, grain=grain)
+        after = {name: bag(spark.read.parquet(zones.model(name))) for name in names}
+        for name in names:
+            assert not before[name] - after[name]
+        before = after
+    fact = spark.read.parquet(zones.model("fact_claims"))
+    assert fact.select("claim_id", "date_sk").distinct().count() == safe["claims"].count()
+    for name, key in zip(names, ("member_sk", "provider_sk", "diagnosis_sk", "date_sk")):
+        dim = spark.read.parquet(zones.model(name))
+        assert dim.select(key).distinct().count() == dim.count() == dim.agg(F.max(key)).first()[0]
+        assert fact.filter(F.col(key).isNotNull()).join(dim, key, "left_anti").count() == 0
+
+
+RULES = DEFAULT_RULES
+
+
+def feed_of(delay):
+    return quality.StreamFeed(CLAIMS, RULES.claims, CLAIM_KEY, "service_date", CLAIMS_REASON, RULES.code_columns, delay)
+
+
+def target_at(path):
+    return quality.StreamTarget(str(path / "good"), str(path / "quarantine"), str(path / "checkpoint"))
+
+
+def claim(claim_id, day, paid=1.0, member="m"):
+    return claim_id, member, "p", day and date.fromisoformat(day), paid, 1.0, "x", "y"
+
+
+def test_three_drops_end_as_the_batch_does(spark, tmp_path):
+    claims = views.feed_claims(spark, FOLDER)
+    number = F.col("claim_id").cast("long") % 3
+    feed, target = feed_of(100_000), target_at(tmp_path)
+    for i in range(3):
+        claims.filter(number == i).write.mode("append").parquet(str(tmp_path / "feed"))
+        quality.run_stream(spark, str(tmp_path / "feed"), feed, target)
+    clean, quarantine = stages.curate_claims(claims)
+    assert bag(quality.good_rows(spark, feed, target)) == bag(clean)
+    assert bag(quality.rejected_rows(spark, target)) == bag(quarantine)
+
+
+def test_a_repeated_batch_doubles_nothing(spark, tmp_path):
+    """The commit of the last batch is lost, as after a crash: it runs again and leaves the same rows."""
+    feed, target = feed_of(30), target_at(tmp_path)
+    drops = [[claim("1", "2020-03-01"), claim("2", None)], [claim("1", "2020-03-01", 5.0), claim("3", "2019-01-01"), claim("4", "2020-02-20")]]
+    for i, rows in enumerate(drops):
+        spark.createDataFrame(rows, CLAIMS).coalesce(1).write.mode("append").parquet(str(tmp_path / "feed"))
+        quality.run_stream(spark, str(tmp_path / "feed"), feed, target)
+    before = bag(spark.read.parquet(target.good)), bag(spark.read.parquet(target.quarantine))
+    commits = sorted(p for p in Path(target.checkpoint, "commits").iterdir() if p.name.isdigit())
+    for path in (commits[-1], commits[-1].with_name(f".{commits[-1].name}.crc")):
+        path.unlink(missing_ok=True)
+    shutil.rmtree(Path(target.good, "batch=1"))  # half of it had been written
+    quality.run_stream(spark, str(tmp_path / "feed"), feed, target)
+    assert (bag(spark.read.parquet(target.good)), bag(spark.read.parquet(target.quarantine))) == before
+    kept = {(r["claim_id"], r["paid_amount"]) for r in quality.good_rows(spark, feed, target).collect()}
+    assert kept == {("1", 5.0), ("4", 1.0)}
+    reasons = {r["claim_id"]: r["reasons"] for r in quality.rejected_rows(spark, target).collect()}
+    assert reasons == {"2": ["not_null_service_date"], "3": ["late"]}
+
+
+def test_rows_sent_again_are_not_kept_twice(spark, tmp_path):
+    feed, target = feed_of(30), target_at(tmp_path)
+    for _ in range(3):
+        spark.createDataFrame([claim("1", "2020-03-01"), claim("1", "2020-03-01"), claim("5", "2020-03-02")], CLAIMS).write.mode("append").parquet(str(tmp_path / "feed"))
+        quality.run_stream(spark, str(tmp_path / "feed"), feed, target)
+    assert spark.read.parquet(target.good).count() == 2
+
+
+def test_the_key_must_hold_the_day():
+    with pytest.raises(ValueError):
+        quality.StreamFeed(CLAIMS, RULES.claims, ["claim_id"], "service_date", CLAIMS_REASON)
+
+
+def test_episodes_go_on_from_drop_to_drop(spark, tmp_path):
+    source, out, checkpoint = (str(tmp_path / n) for n in ("feed", "out", "checkpoint"))
+    drops = [[("a", "2020-01-01"), ("b", "2020-01-02")], [("a", "2020-01-06"), ("a", "2020-01-06")], [("a", "2020-02-01"), (None, "2021-01-01")]]
+    for rows in drops:
+        spark.createDataFrame([(m, date.fromisoformat(d)) for m, d in rows], "m string, day date").write.mode("append").parquet(source)
+        episodes.run_episode_stream(spark, source, out, checkpoint, "m", "day", gap_days=5, delay_days=1)
+    got = Counter((r["m"], str(r["first_day"]), str(r["last_day"]), r["encounters"]) for r in spark.read.parquet(out).collect())
+    assert got == Counter([("a", "2020-01-01", "2020-01-06", 3), ("b", "2020-01-02", "2020-01-02", 1), ("a", "2020-02-01", "2020-02-01", 1)])
+
+
+def test_fact_by_month(spark, tmp_path):
+    rows = spark.range(4000).selectExpr("id % 97 member_sk", "concat('1995-', lpad(id % 12 + 1, 2, '0')) month", "cast(id as double) paid")
+    partitioned.write_by_month(rows, "fact_months", str(tmp_path / "fact"), "member_sk", 4)
+    members = spark.range(97).selectExpr("id member_sk", "concat('m', id) name")
+    partitioned.bucketed(members, "member_buckets", str(tmp_path / "members"), "member_sk", 4)
+    try:
+        fact = spark.table("fact_months")
+        text = plan(fact.filter("month = '1995-03'"))
+        assert "PartitionFilters: [isnotnull(month" in text and "1995-03" in text
+        joined = fact.hint("merge").join(spark.table("member_buckets"), "member_sk")
+        assert "Exchange" not in plan(joined) and joined.count() == 4000
+        folders = {p: {f.name for f in p.glob("*.parquet")} for p in (tmp_path / "fact").glob("month=*")}
+        assert all(len(files) <= 4 for files in folders.values()) and len(folders) == 12
+        again = rows.filter("month = '1995-03' and paid < 1000").withColumn("paid", F.lit(-1.0))
+        partitioned.replace_months(spark, "fact_months", again, "member_sk", 4)
+        changed = {p.name for p, files in folders.items() if {f.name for f in p.glob("*.parquet")} != files}
+        assert changed == {"month=1995-03"}
+        want = rows.filter("month <> '1995-03'").unionByName(again)
+        assert bag(spark.table("fact_months")) == bag(want)
+    finally:
+        for name in ("fact_months", "member_buckets"):
+            spark.sql(f"drop table if exists {name}")
+
+
+def test_side_by_side_gives_each_its_result():
+    assert side_by_side({"a": lambda: 1, "b": lambda: 2}) == {"a": 1, "b": 2}
+    with pytest.raises(ZeroDivisionError):
+        side_by_side({"a": lambda: 1 / 0})
+
+
+def test_the_fact_takes_few_jobs(spark):
+    """Jobs of the whole way from raw tables; adaptive execution counts every shuffle and broadcast as one."""
+    queries.fact_claims(spark, FOLDER)
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    queries.fact_claims(spark, FOLDER).write.format("noop").mode("overwrite").save()
+    assert len(tracker.getJobIdsForGroup(None)) - before <= 46

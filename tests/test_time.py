@@ -1,0 +1,155 @@
+"""As-of join, episodes and intervals against plain versions, hot members included."""
+
+from __future__ import annotations
+
+import random
+from collections import Counter, defaultdict
+from datetime import date, timedelta
+
+import pytest
+from conftest import bag, plan
+
+from pyspark.sql import functions as F
+
+from clinflow.operators import asof, episodes, integrate, intervals
+from clinflow.schemas import CLAIM_KEY
+
+DAY = date(2000, 1, 1)
+
+
+def days(n):
+    return None if n is None else DAY + timedelta(days=n)
+
+
+def drawn(seed, hot=300):
+    """Claims and encounters; one member has most of both, some rows lack a member or a day."""
+    draw = random.Random(seed)
+    member = lambda: draw.choice(["hot"] * 6 + ["a", "b", "c", None])
+    day = lambda: draw.choice([None, *range(0, 400, 3)])
+    left = [(f"c{i}", member(), days(day())) for i in range(hot)]
+    right = [(f"e{i:03}", member(), days(day()), draw.choice(["x", "y", None])) for i in range(hot)]
+    return left, right
+
+
+def nearest(claim, right, direction, tolerance):
+    _, member, day = claim
+    if member is None or day is None:
+        return None, None
+    found = []
+    for key, other, at, code in right:
+        if other != member or at is None:
+            continue
+        gap = (day - at).days
+        if (direction == "backward" and gap < 0) or (direction == "forward" and gap > 0):
+            continue
+        if tolerance is None or abs(gap) <= tolerance:
+            found.append((abs(gap), key, code))
+    return min(found, key=lambda x: x[:2])[1:] if found else (None, None)
+
+
+@pytest.mark.parametrize("direction", asof.DIRECTIONS)
+@pytest.mark.parametrize("tolerance, ranges", [(None, 1), (10, 7), (0, 64), (None, 40)])
+def test_as_of(spark, direction, tolerance, ranges):
+    left, right = drawn(hash(direction) % 100 + ranges)
+    claims = spark.createDataFrame(left, "claim_id string, m string, day date").repartition(3)
+    visits = spark.createDataFrame(right, "encounter_id string, m string, at date, code string").repartition(3)
+    got = asof.as_of(claims, visits, "m", ("day", "at"), ["encounter_id", "code"], direction, tolerance, ranges)
+    assert Counter(map(tuple, got.collect())) == Counter((*row, *nearest(row, right, direction, tolerance)) for row in left)
+
+
+def test_as_of_forms_no_pairs(spark):
+    """A member with all rows: the join's stages hold claims and encounters, and every range a share of them."""
+    claims = spark.range(3000).select(F.lit("m").alias("m"), F.date_add(F.lit(DAY), (F.col("id") % 900).cast("int")).alias("day"), "id")
+    visits = spark.range(3000).select(F.lit("m").alias("m"), F.date_add(F.lit(DAY), (F.col("id") * 7 % 900).cast("int")).alias("at"), F.col("id").alias("visit"))
+    got = asof.as_of(claims, visits, "m", ("day", "at"), ["visit"], "nearest", ranges=16)
+    text = plan(got)
+    assert "SortMergeJoin" not in text and "NestedLoop" not in text and text.count("BroadcastHashJoin LeftOuter") >= 1
+    keyed = claims.select(F.col("m").alias("__key"), F.col("day").alias("__day"), F.lit(False).alias("__right"), F.struct("id").alias("__row"))
+    offered = visits.groupBy(F.col("m").alias("__key"), F.col("at").alias("__day")).agg(F.min(F.struct("visit")).alias("__value"))
+    sizes = [r["count"] for r in asof._dealt(keyed, offered.withColumn("__right", F.lit(True)), 16).groupBy("__range").count().collect()]
+    assert sum(sizes) == 3900 and max(sizes) < 2 * 3900 / 16
+    assert got.count() == 3000
+
+
+def test_as_of_on_nothing(spark):
+    left, right = drawn(1)
+    claims = spark.createDataFrame(left, "claim_id string, m string, day date")
+    visits = spark.createDataFrame(right, "encounter_id string, m string, at date, code string")
+    none = asof.as_of(claims.limit(0), visits, "m", ("day", "at"), ["encounter_id"])
+    assert none.collect() == [] and none.columns == ["claim_id", "m", "day", "encounter_id"]
+    alone = asof.as_of(claims, visits.limit(0), "m", ("day", "at"), ["encounter_id"]).collect()
+    assert len(alone) == len(left) and all(r["encounter_id"] is None for r in alone)
+    with pytest.raises(ValueError):
+        asof.as_of(claims, visits, "m", ("day", "at"), ["encounter_id"], direction="sideways")
+
+
+def test_nearest_encounter_keeps_every_claim(spark):
+    left, right = drawn(5)
+    claims = spark.createDataFrame([(*row, "amount") for row in left], f"{CLAIM_KEY[0]} string, member_key string, {CLAIM_KEY[1]} date, paid string")
+    visits = spark.createDataFrame([(*row, "p") for row in right], "encounter_id string, member_key string, encounter_date date, diagnosis_code string, procedure_code string")
+    got = integrate.with_nearest_encounter(claims, visits).select("claim_id", "member_key", "service_date", "diagnosis_code")
+    assert Counter(map(tuple, got.collect())) == Counter((*row, nearest(row, right, "nearest", None)[1]) for row in left)
+
+
+def episodes_by_hand(right, gap):
+    counts = defaultdict(Counter)
+    for _, member, day, _ in right:
+        if member is not None and day is not None:
+            counts[member][day] += 1
+    out = []
+    for member, per_day in counts.items():
+        open_ = []
+        for day in sorted(per_day):
+            if open_ and (day - open_[-1]).days > gap:
+                out.append((member, open_[0], open_[-1], len(open_), sum(per_day[d] for d in open_)))
+                open_ = []
+            open_.append(day)
+        out.append((member, open_[0], open_[-1], len(open_), sum(per_day[d] for d in open_)))
+    return Counter(out)
+
+
+@pytest.mark.parametrize("gap", [0, 3, 6, 1000])
+@pytest.mark.parametrize("ranges", [1, 5, 60])
+def test_episodes(spark, gap, ranges):
+    _, right = drawn(gap + ranges)
+    visits = spark.createDataFrame(right, "encounter_id string, m string, at date, code string").repartition(4)
+    assert Counter(map(tuple, episodes.episodes(visits, "m", "at", gap, ranges).collect())) == episodes_by_hand(right, gap)
+
+
+def test_a_hot_member_is_cut(spark):
+    """All encounters are one member's: its days lie in all ranges, and only the parts at their ends meet again."""
+    visits = spark.range(20_000).select(F.lit("m").alias("m"), F.date_add(F.lit(DAY), (F.col("id") * 2).cast("int")).alias("at"))
+    assert [tuple(r)[3:] for r in episodes.episodes(visits, "m", "at", 2, 16).collect()] == [(20_000, 20_000)]
+    assert episodes.episodes(visits, "m", "at", 1, 16).count() == 20_000
+
+
+@pytest.mark.parametrize("width", [1, 7, 5000])
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_within(spark, width, how):
+    left, _ = drawn(width)
+    draw = random.Random(width)
+    periods = []
+    for i in range(60):
+        first = draw.choice([None, *range(0, 400, 5)])
+        last = None if first is None else first + draw.choice([-3, 0, 2, 30, 1500])
+        periods.append((draw.choice(["hot", "a", "b", None]), days(first), days(last), i))
+    points = spark.createDataFrame(left, "claim_id string, m string, day date")
+    spans = spark.createDataFrame(periods, "m string, first date, last date, n int")
+    got = intervals.within(points, spans, "m", "day", ("first", "last"), width, how)
+    want = Counter()
+    for row in left:
+        met = [p for p in periods if row[1] and row[2] and p[0] == row[1] and p[1] and p[1] <= row[2] <= p[2]]
+        for p in met or ([(None,) * 4] if how == "left" else []):
+            want[(*row, *p[1:])] += 1
+    assert Counter(map(tuple, got.collect())) == want
+    text = plan(got)
+    assert "NestedLoop" not in text and "Cartesian" not in text
+
+
+def test_rows_do_not_depend_on_partitions(spark):
+    left, right = drawn(9)
+    claims = spark.createDataFrame(left, "claim_id string, m string, day date")
+    visits = spark.createDataFrame(right, "encounter_id string, m string, at date, code string")
+    one = asof.as_of(claims, visits, "m", ("day", "at"), ["encounter_id", "code"], "nearest")
+    other = asof.as_of(claims.repartition(9), visits.repartition(5), "m", ("day", "at"), ["encounter_id", "code"], "nearest", ranges=33)
+    assert bag(one) == bag(other)
