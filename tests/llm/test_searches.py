@@ -88,13 +88,59 @@ def test_bounds_hold_and_prune():
     rows = np.concatenate([rng.integers(-20, 20, (300, 8)) + 200 * np.eye(8, dtype=int)[i % 8] for i in range(4)])
     tree = topk.BallTree(rows, 16)
     query = 200 * np.eye(8, dtype=int)[1]
-    bounds = tree.bounds(query)
+    asked = query[None, :].astype(float)
+    bounds = topk.upper_bounds(asked, np.linalg.norm(asked, axis=1), tree.centre, tree.radius)[0]
     for node, members in enumerate(tree.members):
         assert (rows[members] @ query).max() <= bounds[node]
     best = np.sort(rows @ query)[-5]
     assert (bounds < best).sum() > len(bounds) / 2
 
 
+def share_scored(rows, every):
+    queries, ids = rows[::every], np.arange(len(rows))
+    found = topk.Best(ids[::every], np.full(len(queries), -(2**63), np.int64), 5)
+    scored = topk.BallTree(rows, 64).search(rows, ids, found, queries)
+    scores = queries @ rows.T
+    scores[np.arange(len(queries)), ids[::every]] = -(2**62)
+    assert (np.sort(scores, axis=1)[:, :-6:-1] == found.scores).all()
+    return scored / (len(queries) * len(rows))
+
+
+def test_share_of_vectors_scored(spark):
+    """Vectors in groups: most are never scored. The given ones point everywhere alike: all are."""
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(32, 16)) * 2000
+    grouped = (centres[rng.integers(0, 32, 4000)] + rng.normal(size=(4000, 16)) * 40).astype(np.int64)
+    assert share_scored(grouped, 50) < 0.25
+    vectors = topk.quantised([r["embedding"] for r in given("/root/testdata/sf0.01", "embeddings")], 256)
+    assert share_scored(vectors, 50) > 0.9
+
+
+def test_near_vectors_share_a_shard_and_far_shards_are_not_searched(spark):
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(8, 6)) * 30
+    rows = [(i, (centres[i % 8] + rng.normal(size=6)).tolist()) for i in range(1600)]
+    settings = topk.SearchSettings(shard=100, block=7, leaf=8)
+    df = materialize(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "v").withColumn("width", F.size("embedding")).withColumn("number", F.col("vec_id"))
+    held, width, others = topk._dealt(df.withColumn("asks", F.col("vec_id") % 40 == 0), settings)
+    sizes = [r["count"] for r in held.groupBy("shard").count().collect()]
+    assert (width, others) == (6, 0) and 8 <= len(sizes) <= 40 and max(sizes) <= 400
+    balls = topk._balls(held, settings)
+    asked = held.filter("asks").select("vec_id", "embedding", "width", F.lit(2**40).alias("least"))
+    assert topk._sent(asked, balls, settings, False).count() == 0
+    got = topk.top_k(df, F.col("vec_id") % 40 == 0, settings)
+    assert set(map(tuple, got.collect())) == best_by_hand(rows, 40)
+
+
+def test_alike_vectors_do_not_fill_one_shard(spark):
+    rows = [(i, [1.0, 2.0, 3.0] if i % 3 else [float(i), 1.0, -float(i)]) for i in range(900)]
+    df = materialize(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "v").withColumn("width", F.size("embedding")).withColumn("number", F.col("vec_id"))
+    held, _, _ = topk._dealt(df, topk.SearchSettings(shard=50))
+    assert max(r["count"] for r in held.groupBy("shard").count().collect()) <= 150
+    got = topk.top_k(df, F.col("vec_id") % 50 == 0, topk.SearchSettings(shard=50, block=3, leaf=4))
+    assert set(map(tuple, got.collect())) == best_by_hand(rows, 50)
+
+
 # --- mixing ---
 
 
