@@ -8,7 +8,10 @@ block, and the ``neighbours`` nearest vote with weights that grow with the cosin
 documents, no shuffle of texts.
 
 Defined results: a NULL or empty text has no direction, so all labelled vectors vote alike and its score is their
-share of label 1; without any labelled row every score is 0.5. Repeated rows get the same score each.
+share of label 1; without any labelled row every score is 0.5. Repeated rows get the same score each, as do rows without doc_id,
+of which none is learnt from or held out. Of labelled rows that repeat a doc_id the sample takes one, the same in every run. Among
+labelled vectors equally near as the last neighbour any may vote. Texts of any length are counted whole. An empty table gives an empty
+result. Extra columns are not read.
 """
 
 from __future__ import annotations

@@ -14,7 +14,10 @@ probability.
 The model learns from a bounded sample of labelled rows; scoring is one narrow pass over all whole texts.
 
 Defined results: a NULL or empty text holds no segment and gets the score of no evidence; without labels of both
-kinds there is no evidence anywhere and no text is rejected. Repeated rows score alike.
+kinds there is no evidence anywhere and no text is rejected. Repeated rows score alike, and rows without doc_id like any other;
+none of those is learnt from or held out. Of a text that labels call both, toxic counts. Segments of equal sum rank by their place.
+Texts of any length are scanned whole. An empty table gives an empty result. Extra columns are not read; ``drop_toxic`` passes
+them through.
 """
 
 from __future__ import annotations
