@@ -83,13 +83,12 @@ def _write_feed(df: DataFrame, path: str) -> None:
     loud.write.csv(path, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
-RULES = {
-    "dq_rules": {
-        "claims": {"not_null": ["claim_id", "member_id", "provider_id", "service_date"], "non_negative": ["paid_amount"]},
-        "ehr": {"not_null": ["patient_id", "encounter_id", "encounter_date"]},
-    },
-    "standardization": {"uppercase_cols": ["icd10_code", "cpt_code", "diagnosis_code", "procedure_code"]},
-}
+# The default rules as a file, but for one: that the file is read shows by allowed amounts not being checked.
+RULES = r.RuleSet(
+    [rule for rule in r.DEFAULT_RULES.claims if rule.name != "non_negative_allowed_amount"],
+    r.DEFAULT_RULES.encounters,
+    r.DEFAULT_RULES.code_columns,
+).as_mapping()
 
 
 def _zones(spark: SparkSession, folder: str) -> Zones:

@@ -65,6 +65,18 @@ class RuleSet:
         codes = settings.get("standardization", {}).get("uppercase_cols", ())
         return cls(rules_for("claims"), rules_for("ehr"), tuple(codes))
 
+    def as_mapping(self) -> dict:
+        """What ``from_mapping`` reads."""
+
+        def lists(rules: list[Rule]) -> dict[str, list[str]]:
+            kinds = dict.fromkeys(rule.kind for rule in rules)
+            return {kind: [rule.column for rule in rules if rule.kind == kind] for kind in kinds}
+
+        return {
+            "dq_rules": {"claims": lists(self.claims), "ehr": lists(self.encounters)},
+            "standardization": {"uppercase_cols": list(self.code_columns)},
+        }
+
 
 def load_rules(spark: SparkSession, path: str) -> RuleSet:
     """Read a JSON rule file from any file system Spark can reach."""
