@@ -17,16 +17,20 @@ _JOB: ContextVar[str | None] = ContextVar("clinflow_job_folder", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder ``spark.checkpoint.dir`` names, else the session's checkpoint folder; on one machine else the warehouse.
+    """The folder ``spark.checkpoint.dir`` names, else the session's checkpoint folder, else the warehouse.
 
-    The first two are shared by driver and executors; the session is left as it is. A warehouse that nobody set is a folder of
-    the driver, so on a cluster it does not do.
+    All of them are shared by driver and executors; the session is left as it is. A warehouse that nobody set is a folder of the
+    driver's machine, so on a cluster that one is refused.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    master = spark.sparkContext.master
-    if not folder and not (master == "local" or master.startswith("local[")):
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    return folder or spark.conf.get("spark.sql.warehouse.dir")
+    if folder:
+        return folder
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    if "://" not in warehouse.removeprefix("file://"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return warehouse
 
 
 def new_path(spark: SparkSession, label: str) -> str:

@@ -108,6 +108,19 @@ def test_scratch_is_shared_whatever_is_set():
     assert scratch.shared_folder(session(warehouse_dir, None)) == "s3://w"
 
 
+def test_a_warehouse_of_one_machine_is_refused_on_a_cluster():
+    conf = SimpleNamespace(get=lambda name, default=None: {"spark.sql.warehouse.dir": "file:/tmp/warehouse"}.get(name, default))
+
+    def session(master):
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master=master))
+
+    assert scratch.shared_folder(session("local[8]")) == "file:/tmp/warehouse"
+    for master in ("yarn", "spark://host:7077", "local-cluster[3,2,1024]"):
+        with pytest.raises(ValueError):
+            scratch.shared_folder(session(master))
+
+
+
 def test_a_job_leaves_nothing_behind(spark):
     with scratch.job_folder(spark, "job") as folder:
         kept = scratch.materialize(spark.range(5), "five")
