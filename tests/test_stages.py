@@ -202,3 +202,61 @@ def test_sample_feed(spark, tmp_path):
         "round(sum(allowed_amount), 2)",
     ).first()
     assert tuple(sums) == (95, 4, 3, 0, 23442.76, 29879.98)
+
+
+OWN_FEED = {
+    "claims/claims.csv": """claim_id,member_id,provider_id,service_date,paid_amount,allowed_amount,icd10_code,cpt_code
+C1,M1,P1,2025-01-05,100.0,120.0,i10,99213
+C2,,P1,2025-01-06,50,60,I10,
+C3,M2,P2,2025-01-07,-10,20,,93000
+C4,M2,P2,2025-02-01,30.5,40,,
+C5,M3,P3,2025-02-02,20,25,UNKNOWN,36415
+C6,M9,P1,2025-02-03,10,15,E11.9,99213
+C1,M1,P1,2025-01-05,90.0,120.0,i10,99213
+C8,M1,P1,not a date,5,5,I10,99213
+C9,M1,P4,2025-03-01,7.25,8,,99213
+""",
+    "ehr/patients.csv": """patient_id,first_name,last_name,dob,zip,gender
+M1,Ann,One,1980-01-01,02139,F
+M2,Bob,Two,1981-02-02,10001,M
+M3,Cat,Three,1982-03-03,94105,F
+""",
+    "ehr/encounters.csv": """encounter_id,patient_id,provider_id,encounter_date,diagnosis_code,procedure_code
+E1,M1,P1,2025-01-04, j45 ,99213
+E2,M1,P2,2025-02-20,,G0439
+E3,M2,P2,2025-01-31,e11.9,
+E4,M2,P2,2025-03-01,I10,80053
+E5,,P1,2025-01-01,I10,99213
+""",
+}
+
+
+@pytest.mark.parametrize(
+    "grain, sums", [("encounter", (8, 1, 1, 1, 305.5, 376.0)), ("claim", (5, 1, 1, 1, 167.75, 208.0))]
+)
+def test_known_counts(spark, tmp_path, grain, sums):
+    """A feed with every kind of planted defect, counted by hand: missing and unknown members, negative and repeated claims, no dates."""
+    for name, text in OWN_FEED.items():
+        path = tmp_path / "raw" / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(text)
+    zones = Zones.under(str(tmp_path / "zones"))
+    stages.run_all(spark, str(tmp_path / "raw/claims"), str(tmp_path / "raw/ehr"), zones, salt="pepper", grain=grain)
+    table = lambda path: read_table(spark, path)
+    assert [table(zones.curated(n)).count() for n in ("claims", "patients", "encounters")] == [5, 3, 4]
+    assert {r.claim_id: r.reasons for r in table(zones.quarantine("claims")).collect()} == {
+        "C2": ["not_null_member_id"],
+        "C3": ["non_negative_paid_amount"],
+        "C8": ["not_null_service_date"],
+    }
+    assert [r.encounter_id for r in table(zones.quarantine("encounters")).collect()] == ["E5"]
+    assert [table(zones.model(n)).count() for n in ("dim_member", "dim_provider", "dim_diagnosis", "dim_date")] == [3, 4, 5, 5]
+    found = table(zones.model("fact_claims")).selectExpr(
+        "count(*)",
+        "count_if(diagnosis_sk is null)",
+        "count_if(final_procedure is null)",
+        "count_if(member_sk is null)",
+        "sum(paid_amount)",
+        "sum(allowed_amount)",
+    ).first()
+    assert tuple(found) == sums
