@@ -55,7 +55,8 @@ class StreamFeed:
 
 def kept_before(spark: SparkSession, good: str, batch: int) -> DataFrame | None:
     """What batches before this one kept, with the number of their batch."""
-    if not exists(spark, good):
+    # The first batch has none before it, whatever a failed attempt at it has left.
+    if batch == 0 or not exists(spark, good):
         return None
     table = spark.read.parquet(good)
     return table.filter(F.col(BATCH) < batch) if BATCH in table.columns else None

@@ -124,6 +124,15 @@ def test_a_repeated_batch_doubles_nothing(spark, tmp_path):
     assert reasons == {"2": ["not_null_service_date"], "3": ["late"]}
 
 
+def test_a_first_batch_that_failed_runs_again(spark, tmp_path):
+    """All that is there is what an unfinished write leaves."""
+    feed, target = feed_of(30), target_at(tmp_path)
+    Path(target.good, "batch=0", "_temporary").mkdir(parents=True)
+    spark.createDataFrame([claim("1", "2020-03-01")], CLAIMS).write.parquet(str(tmp_path / "feed"))
+    quality.run_stream(spark, str(tmp_path / "feed"), feed, target)
+    assert quality.good_rows(spark, feed, target).count() == 1
+
+
 def test_rows_sent_again_are_not_kept_twice(spark, tmp_path):
     feed, target = feed_of(30), target_at(tmp_path)
     for _ in range(3):
