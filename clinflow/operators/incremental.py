@@ -3,6 +3,9 @@
 A registry is a stored dimension. Natural keys it knows keep their number and attributes; new ones are numbered behind the
 greatest and appended. A load appends the rows whose key the target lacks. Both only look at what is stored when they
 start, and an append is one job that Spark commits as a whole, so a run that failed is simply run again.
+
+What is stored grows for years, a day's rows do not: the keys of a day are broadcast to the scan of the stored keys while they are small
+enough, so that of the stored keys only those that the day asks for leave their task.
 """
 
 from __future__ import annotations
@@ -11,12 +14,29 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clinflow.operators.joins import DEFAULT_LIMITS, JoinLimits, anti_join
+from clinflow.operators.joins import DEFAULT_LIMITS, JoinLimits, anti_join, measured_bytes
 from clinflow.operators.numbering import ROWS_PER_TASK, number_rows
 from clinflow.scratch import exists, materialize
 from clinflow.sources.feeds import read_table
 
 
+def lacking(rows: DataFrame, held: DataFrame, key: Sequence[str], limits: JoinLimits = DEFAULT_LIMITS) -> DataFrame:
+    """The ``rows`` whose ``key`` (NULL being a value) is in no row of ``held``, which may be very much larger.
+
+    Past the broadcast limit on the side of ``rows``, both sides meet by a shuffle.
+    """
+    names = list(key)
+    asked = materialize(rows.select(*names).distinct(), "asked-keys")
+    held = held.select(*names)
+    if measured_bytes(asked, limits.broadcast_bytes) <= limits.broadcast_bytes:
+        twin = asked.withColumnsRenamed({name: f"__asked_{name}" for name in names})
+        same = F.lit(True)
+        for name in names:
+            same = same & F.col(name).eqNullSafe(F.col(f"__asked_{name}"))
+        held = materialize(held.join(F.broadcast(twin), same, "left_semi").distinct(), "held-keys")
+    return anti_join(rows, held, names, limits, null_safe=True, spread_by=names)
+
+
 def new_keys(
     known: DataFrame | None,
     rows: DataFrame,
@@ -29,18 +49,24 @@ def new_keys(
     if known is None:
         return number_rows(rows, list(natural), key_name, rows_per_task)
     # Natural keys are unique on both sides, so none of them is hot.
-    fresh = anti_join(rows, known, list(natural), limits, null_safe=True, spread_by=list(natural))
+    fresh = lacking(rows, known, natural, limits)
     last = known.agg(F.max(key_name).alias("last")).first()["last"] or 0
     numbered = number_rows(fresh, list(natural), key_name, rows_per_task)
     return numbered.withColumn(key_name, F.col(key_name) + F.lit(last))
 
 
 def extend_registry(
-    spark: SparkSession, path: str, rows: DataFrame, natural: Sequence[str], key_name: str, rows_per_task: int = ROWS_PER_TASK
+    spark: SparkSession,
+    path: str,
+    rows: DataFrame,
+    natural: Sequence[str],
+    key_name: str,
+    rows_per_task: int = ROWS_PER_TASK,
+    limits: JoinLimits = DEFAULT_LIMITS,
 ) -> DataFrame:
     """The registry at ``path`` after the natural keys of ``rows`` that it lacked are added to it."""
     known = read_table(spark, path) if exists(spark, path) else None
-    fresh = new_keys(known, rows, natural, key_name, rows_per_task)
+    fresh = new_keys(known, rows, natural, key_name, rows_per_task, limits)
     # Stored before the append begins, which then reads no file of the table it adds to.
     materialize(fresh, f"new-{key_name}").write.mode("append").parquet(path)
     return read_table(spark, path)
@@ -50,7 +76,7 @@ def not_loaded(spark: SparkSession, path: str, rows: DataFrame, key: Sequence[st
     """The ``rows`` whose ``key`` is in no row of the table at ``path``; all of them if there is no table yet."""
     if not exists(spark, path):
         return rows
-    return anti_join(rows, read_table(spark, path).select(*key), list(key), limits, null_safe=True, spread_by=list(key))
+    return lacking(rows, read_table(spark, path), key, limits)
 
 
 def load_once(spark: SparkSession, path: str, rows: DataFrame, key: Sequence[str], limits: JoinLimits = DEFAULT_LIMITS) -> None:

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clinflow.operators.incremental import extend_registry
-from clinflow.operators.joins import DEFAULT_LIMITS, JoinLimits, anti_join
+from clinflow.operators.incremental import extend_registry, lacking
+from clinflow.operators.joins import DEFAULT_LIMITS, JoinLimits
 from clinflow.operators.masking import deidentify, key_mapping, replace_id
 from clinflow.operators.quality import apply_rules, normalize_dates, standardize_codes, text_columns, with_types
 from clinflow.operators.rows import keep_one
@@ -152,6 +152,22 @@ def run_model(
         write_table(fact, zones.model("fact_claims"))
 
 
+def _loaded_claims(spark: SparkSession, claims: DataFrame, zones: Zones) -> DataFrame:
+    """CLAIM_KEY of the fact's claims that share a day with ``claims``; days repeat, so both lists of days are small.
+
+    Numbers of days rise from run to run, so the range of those asked for lets the scan pass over files of other days.
+    """
+    fact = read_table(spark, zones.model("fact_claims")).select("claim_id", "date_sk")
+    days = claims.select(F.col("service_date").alias("date")).distinct()
+    # At most one row a day of the calendar.
+    dates = read_table(spark, zones.model("dim_date")).join(F.broadcast(days), "date", "left_semi")
+    dates = materialize(dates.select("date_sk", F.col("date").alias("service_date")), "days")
+    ends = dates.agg(F.min("date_sk").alias("least"), F.max("date_sk").alias("greatest")).first()
+    dated = fact.filter(F.col("date_sk").between(ends["least"], ends["greatest"])).join(F.broadcast(dates), "date_sk")
+    undated = fact.filter(F.col("date_sk").isNull()).withColumn("service_date", F.lit(None).cast("date"))
+    return dated.select(*CLAIM_KEY).unionByName(undated.select(*CLAIM_KEY))
+
+
 def run_daily(
     spark: SparkSession,
     claims: DataFrame,
@@ -172,14 +188,12 @@ def run_daily(
         claims = materialize(claims, "claims")
         fact_path = zones.model("fact_claims")
         if exists(spark, fact_path):
-            dates = read_table(spark, zones.model("dim_date"))
-            loaded = read_table(spark, fact_path).select("claim_id", "date_sk").distinct().join(dates, "date_sk")
-            loaded = loaded.select("claim_id", loaded["date"].alias("service_date"))
-            claims = materialize(anti_join(claims, loaded, list(CLAIM_KEY), limits, spread_by=CLAIM_KEY), "new-claims")
+            loaded = _loaded_claims(spark, claims, zones)
+            claims = materialize(lacking(claims, loaded, CLAIM_KEY, limits), "new-claims")
         visits = fold_visits(encounters)
 
         def registry(name: str, rows: DataFrame, natural: str, key: str) -> DataFrame:
-            return extend_registry(spark, zones.model(name), rows, [natural], key)
+            return extend_registry(spark, zones.model(name), rows, [natural], key, limits=limits)
 
         dims = {
             "dim_member": registry("dim_member", dim_rows(known_members(patients), ["member_key", "gender"]), "member_key", "member_sk"),

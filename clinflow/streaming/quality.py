@@ -2,8 +2,9 @@
 
 Every micro-batch owns one folder in the good and one in the quarantine zone and replaces it, so a batch that is run again
 after a failure leaves what one run leaves. The watermark of a batch is the greatest event day that earlier batches kept, less the
-delay; as it is read from their folders, a repeated batch sees the same one. Rows before it are late: they go to
-quarantine with a reason of their own. Of rows that repeat a key the greatest stays, as in the batch job: a batch compares its
+delay. Each batch notes that day, and which batches kept rows behind the watermark; it goes by the note of the batch
+before it, so a repeated batch sees the same one, and of all that was ever kept only open batches are read. Rows before
+the watermark are late: they go to quarantine with a reason of their own. Of rows that repeat a key the greatest stays, as in the batch job: a batch compares its
 rows with what earlier batches kept from the watermark on, and keeps what is new or greater. No kept row of a key can lie
 before the watermark while one behind it comes in, as long as the event day is part of the key.
 """
@@ -12,19 +13,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from clinflow.operators.quality import apply_rules, normalize_dates, standardize_codes, text_columns, with_types
 from clinflow.operators.rows import keep_one
 from clinflow.rules import Rule
-from clinflow.scratch import exists
 from clinflow.sinks.tables import write_table
 
 LATE = "late"
 BATCH = "batch"
 _TEXT = "_text"
+_NOTE = f"last date, open array<struct<{BATCH}:bigint,day:date>>"
 
 
 @dataclass(frozen=True)
@@ -35,6 +37,10 @@ class StreamTarget:
     quarantine: str
     checkpoint: str
 
+    @property
+    def notes(self) -> str:
+        return f"{self.checkpoint.rstrip('/')}-days"
+
 
 @dataclass(frozen=True)
 class StreamFeed:
@@ -53,13 +59,28 @@ class StreamFeed:
             raise ValueError(f"the key must hold the event day {self.event_day}")
 
 
-def kept_before(spark: SparkSession, good: str, batch: int) -> DataFrame | None:
-    """What batches before this one kept, with the number of their batch."""
-    # The first batch has none before it, whatever a failed attempt at it has left.
-    if batch == 0 or not exists(spark, good):
-        return None
-    table = spark.read.parquet(good)
-    return table.filter(F.col(BATCH) < batch) if BATCH in table.columns else None
+@dataclass(frozen=True)
+class Note:
+    """After a batch: the greatest day kept so far, and the greatest day of each batch that has one behind the watermark."""
+
+    last: date | None = None
+    open: tuple[tuple[int, date], ...] = ()
+
+    def after(self, batch: int, greatest: date | None, delay_days: int) -> Note:
+        """The note once ``batch`` has kept rows up to the day ``greatest``, if any."""
+        if greatest is None:
+            return self
+        last = max(greatest, self.last or greatest)
+        since = last - min(timedelta(delay_days), last - date.min)
+        return Note(last, tuple((b, day) for b, day in (*self.open, (batch, greatest)) if day >= since))
+
+
+def note_before(spark: SparkSession, target: StreamTarget, batch: int) -> Note:
+    """What the batch before this one noted; the first has none before it, whatever a failed attempt at it has left."""
+    if batch == 0:
+        return Note()
+    row = spark.read.schema(_NOTE).parquet(f"{target.notes}/{BATCH}={batch - 1}").first()
+    return Note(row["last"], tuple((each[BATCH], each["day"]) for each in row["open"]))
 
 
 def write_batch(rows: DataFrame, batch: int, feed: StreamFeed, target: StreamTarget) -> None:
@@ -68,20 +89,23 @@ def write_batch(rows: DataFrame, batch: int, feed: StreamFeed, target: StreamTar
     texts = [name + _TEXT for name in text_columns(rows, feed.schema)]
     tidy = standardize_codes(normalize_dates(with_types(rows, feed.schema, _TEXT), [feed.event_day]), feed.codes)
     good, bad = apply_rules(tidy, feed.rules, feed.reason)
-    before = kept_before(spark, target.good, batch)
-    last = before.agg(F.max(feed.event_day).alias("day")).first()["day"] if before is not None else None
-    if last is not None:
-        watermark = F.date_sub(F.lit(last), feed.delay_days)
+    before = note_before(spark, target, batch)
+    if before.last is not None:
+        watermark = F.date_sub(F.lit(before.last), feed.delay_days)
         # Days that cannot be read failed their rule; what is left has one.
         is_late = F.col(feed.event_day) < watermark
         late = good.filter(is_late).withColumns({"reason": F.lit(feed.reason), "reasons": F.array(F.lit(LATE))})
         good, bad = good.filter(~is_late), bad.unionByName(late)
     good = keep_one(good.drop(*texts), feed.key)
-    if last is not None:
-        recent = before.filter(F.col(feed.event_day) >= watermark)
+    if before.open:
+        paths = [f"{target.good}/{BATCH}={number}" for number, _ in before.open]
+        recent = spark.read.schema(good.schema).parquet(*paths).filter(F.col(feed.event_day) >= watermark)
         good = _greater(good, recent, feed.key)
-    write_table(good, f"{target.good}/{BATCH}={batch}")
+    kept = Observation()
+    write_table(good.observe(kept, F.max(feed.event_day).alias("day")), f"{target.good}/{BATCH}={batch}")
     write_table(bad, f"{target.quarantine}/{BATCH}={batch}")
+    note = before.after(batch, kept.get.get("day"), feed.delay_days)
+    write_table(spark.createDataFrame([(note.last, list(note.open))], _NOTE).coalesce(1), f"{target.notes}/{BATCH}={batch}")
 
 
 def _greater(new: DataFrame, kept: DataFrame, key: Sequence[str]) -> DataFrame:

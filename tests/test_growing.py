@@ -13,6 +13,7 @@ from conftest import bag, plan
 from pyspark.sql import functions as F
 
 from clinflow.operators import incremental
+from clinflow.operators.joins import JoinLimits
 from clinflow.plans import queries, stages
 from clinflow.rules import DEFAULT_RULES
 from clinflow.schemas import CLAIM_KEY, CLAIMS, CLAIMS_REASON
@@ -54,6 +55,26 @@ def test_a_second_load_adds_only_what_is_new(spark, tmp_path):
     assert Counter(map(tuple, spark.read.parquet(path).collect())) == Counter({("a", 1, 1): 2, (None, 2, 2): 1, ("b", None, 3): 1})
 
 
+@pytest.mark.parametrize("broadcast_bytes", [0, 1 << 20])
+def test_lacking(spark, broadcast_bytes):
+    """NULL is a value, rows that repeat stay as they are, and either route gives the same."""
+    schema = "k string, n int, v int"
+    rows = spark.createDataFrame([("a", 1, 1), ("a", 2, 1), ("a", 2, 1), (None, 1, 1), (None, None, 1), ("b", None, 1)], schema)
+    held = spark.createDataFrame([("a", 1, 0), ("a", 1, 0), (None, None, 0), ("z", 9, 0)], schema)
+    got = incremental.lacking(rows, held, ["k", "n"], JoinLimits(broadcast_bytes=broadcast_bytes))
+    assert bag(got) == bag(rows.filter("k = 'a' and n = 2 or k is null and n = 1 or k = 'b'"))
+
+
+def test_stored_keys_that_nobody_asks_for_stay(spark, tmp_path):
+    """Of a large table only the keys of the day travel, and the day meets them by a broadcast."""
+    path = str(tmp_path / "held")
+    spark.range(100_000).select(F.col("id").cast("string").alias("k")).write.parquet(path)
+    rows = spark.createDataFrame([("7",), ("x",)], "k string")
+    got = incremental.lacking(rows, spark.read.parquet(path), ["k"])
+    assert "SortMergeJoin" not in plan(got) and "ShuffledHashJoin" not in plan(got)
+    assert [tuple(r) for r in got.collect()] == [("x",)]
+
+
 @pytest.mark.parametrize("grain", ["claim", "encounter"])
 def test_daily_runs_grow_the_star(spark, tmp_path, grain):
     """Keys of the first day stay, every fact row refers to its dimensions, a repeated day adds nothing."""
@@ -124,6 +145,32 @@ def test_a_repeated_batch_doubles_nothing(spark, tmp_path):
     assert reasons == {"2": ["not_null_service_date"], "3": ["late"]}
 
 
+def test_a_batch_looks_back_no_further_than_the_delay(spark, tmp_path):
+    """Batches that lie wholly before the watermark are not read again: their folders may be gone."""
+    feed, target = feed_of(30), target_at(tmp_path)
+    days = ["2020-01-01", "2020-03-01", "2020-03-20", "2020-03-10"]
+    for i, day in enumerate(days):
+        rows = [claim(str(i), day), claim("late", "2019-06-01"), claim("again", "2020-03-01" if i else day, float(i))]
+        spark.createDataFrame(rows[: 1 if i == 0 else 3], CLAIMS).coalesce(1).write.mode("append").parquet(str(tmp_path / "feed"))
+        quality.run_stream(spark, str(tmp_path / "feed"), feed, target)
+        if i == 1:
+            shutil.rmtree(Path(target.good, "batch=0"))
+    note = quality.note_before(spark, target, 4)
+    assert note.last == date(2020, 3, 20) and [number for number, _ in note.open] == [1, 2, 3]
+    kept = {(r["claim_id"], r["paid_amount"]) for r in quality.good_rows(spark, feed, target).collect()}
+    assert kept == {("1", 1.0), ("2", 1.0), ("3", 1.0), ("again", 3.0)}
+    assert {r["claim_id"] for r in quality.rejected_rows(spark, target).collect()} == {"late"}
+
+
+def test_notes_of_batches():
+    note = quality.Note().after(0, None, 5)
+    assert note == quality.Note()
+    note = note.after(1, date(2020, 1, 1), 5).after(2, date(2019, 12, 28), 5).after(3, None, 5)
+    assert note == quality.Note(date(2020, 1, 1), ((1, date(2020, 1, 1)), (2, date(2019, 12, 28))))
+    assert note.after(4, date(2020, 1, 3), 5).open == ((1, date(2020, 1, 1)), (4, date(2020, 1, 3)))
+    assert note.after(4, date(2020, 1, 3), 10_000_000).open[0][0] == 1
+
+
 def test_a_first_batch_that_failed_runs_again(spark, tmp_path):
     """All that is there is what an unfinished write leaves."""
     feed, target = feed_of(30), target_at(tmp_path)
