@@ -20,7 +20,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import accumulate, islice
+from itertools import accumulate, islice, pairwise
 from zlib import crc32
 
 import numpy as np
@@ -35,8 +35,8 @@ from clinflow.scratch import materialize
 
 KEY = ["key_a", "key_b"]
 _WORD = re.compile(r"\S+")
-# What stands between two sentences, from a sentence end or line break on.
-_GAP = re.compile(r"(?<=[.!?])\s+|\n\s*")
+# A sentence end or line break with all the space behind it; a sentence end without any is none.
+_GAP = re.compile(r"[.!?\n]\s*(?<=\s)")
 
 
 @dataclass(frozen=True)
@@ -76,15 +76,24 @@ def sentences(text: str, longest: int) -> list[list[str]]:
     return [words for _, _, words in _cut(text, longest, False)]
 
 
+def count_sentences(text: str, longest: int) -> int:
+    found = (text[a:b].split() for a, b in pairwise([0, *_ends(text)]))
+    return sum(len(_turns(words, longest)) if len(words) > longest else bool(words) for words in found)
+
+
 def placed_sentences(text: str, longest: int) -> list[tuple[int, int, list[str]]]:
     """(start, end, words) of the sentences, which cover the text; the space after one belongs to it."""
     return list(_cut(text, longest, True))
 
 
+def _ends(text: str) -> list[int]:
+    """Where sentences end before long ones are cut."""
+    return [*(end for gap in _GAP.finditer(text) if (end := gap.end()) < len(text)), len(text)]
+
+
 def _cut(text: str, longest: int, placed: bool) -> Iterator[tuple[int, int, list[str]]]:
-    cuts = [*(gap.end() for gap in _GAP.finditer(text) if gap.end() < len(text)), len(text)]
     start = 0
-    for end in cuts:
+    for end in _ends(text):
         words = text[start:end].split()
         if not words:  # space before the first word
             continue
@@ -176,9 +185,8 @@ def drop_repeated_spans(docs: DataFrame, settings: SpanSettings = SpanSettings()
             for text, runs in zip(batch.column("text").to_pylist(), _listed(batch.column("spans"))):
                 lost = set(zip(*(runs[name].tolist() for name in ("first", *KEY)))) if len(runs) else set()
                 placed = placed_sentences(text or "", settings.longest) if lost else []
-                parts = [words for _, _, words in placed] if lost else sentences(text or "", settings.longest)
-                covered = _covered(parts, lost, settings)
-                counts.append(len(parts))
+                covered = _covered([words for _, _, words in placed], lost, settings)
+                counts.append(len(placed) if lost else count_sentences(text or "", settings.longest))
                 gone.append(len(covered))
                 ranges.append(",".join(f"{placed[i][0]}:{placed[i][1]}" for i in covered))
                 hidden = set(covered)

@@ -280,6 +280,22 @@ def test_sentences_cover_the_text(text):
     assert [words for _, _, words in placed] == spans.sentences(text, 8)
     assert [w for words in spans.sentences(text, 8) for w in words] == text.split()
     assert all(len(words) <= 8 for words in spans.sentences(text, 8))
+    assert spans.count_sentences(text, 8) == len(placed)
+
+
+def test_sentences_end_at_marks_and_line_breaks():
+    """Against the rule letter by letter: space behind a mark, or a line break with the space behind it."""
+    rng = random.Random(5)
+    for _ in range(500):
+        text = "".join(rng.choices(["a", "b ", ".", ". ", "!", "\n", " \n", "\t", "? \n"], k=rng.randrange(40)))
+        want, words = [], []
+        for part in re.split(r"(\s+)", text):
+            if not part.isspace():
+                words += [part] if part else []
+            elif words and (words[-1][-1] in ".!?" or "\n" in part):
+                want, words = [*want, words], []
+        want += [words] if words else []
+        assert spans.sentences(text, 99) == want and spans.count_sentences(text, 99) == len(want)
 
 
 def test_spans_find_a_passage_within_any_sentence(spark):
