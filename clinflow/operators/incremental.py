@@ -4,8 +4,8 @@ A registry is a stored dimension. Natural keys it knows keep their number and at
 greatest and appended. A load appends the rows whose key the target lacks. Both only look at what is stored when they
 start, and an append is one job that Spark commits as a whole, so a run that failed is simply run again.
 
-What is stored grows for years, a day's rows do not: the keys of a day are broadcast to the scan of the stored keys while they are small
-enough, so that of the stored keys only those that the day asks for leave their task.
+What is stored grows for years, a day's rows do not: once the stored keys are too many to broadcast, the keys of a day are broadcast to their
+scan, so that of the stored keys only those that the day asks for leave their task.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clinflow.operators.joins import DEFAULT_LIMITS, JoinLimits, anti_join, measured_bytes
+from clinflow.operators.joins import DEFAULT_LIMITS, JoinLimits, measured_bytes, spread_join
 from clinflow.operators.numbering import ROWS_PER_TASK, number_rows
 from clinflow.scratch import exists, materialize
 from clinflow.sources.feeds import read_table
@@ -23,18 +23,22 @@ from clinflow.sources.feeds import read_table
 def lacking(rows: DataFrame, held: DataFrame, key: Sequence[str], limits: JoinLimits = DEFAULT_LIMITS) -> DataFrame:
     """The ``rows`` whose ``key`` (NULL being a value) is in no row of ``held``, which may be very much larger.
 
-    Past the broadcast limit on the side of ``rows``, both sides meet by a shuffle.
+    Past the broadcast limit on both sides they meet by a shuffle.
     """
     names = list(key)
-    asked = materialize(rows.select(*names).distinct(), "asked-keys")
     held = held.select(*names)
-    if measured_bytes(asked, limits.broadcast_bytes) <= limits.broadcast_bytes:
-        twin = asked.withColumnsRenamed({name: f"__asked_{name}" for name in names})
-        same = F.lit(True)
-        for name in names:
-            same = same & F.col(name).eqNullSafe(F.col(f"__asked_{name}"))
-        held = materialize(held.join(F.broadcast(twin), same, "left_semi").distinct(), "held-keys")
-    return anti_join(rows, held, names, limits, null_safe=True, spread_by=names)
+    size = measured_bytes(held, limits.broadcast_bytes)
+    if size > limits.broadcast_bytes:
+        asked = materialize(rows.select(*names).distinct(), "asked-keys")
+        if measured_bytes(asked, limits.broadcast_bytes) <= limits.broadcast_bytes:
+            twin = asked.withColumnsRenamed({name: f"__asked_{name}" for name in names})
+            same = F.lit(True)
+            for name in names:
+                same = same & F.col(name).eqNullSafe(F.col(f"__asked_{name}"))
+            held = materialize(held.join(F.broadcast(twin), same, "left_semi").distinct(), "held-keys")
+            size = measured_bytes(held, limits.broadcast_bytes)
+    once = held.distinct()
+    return spread_join(rows, once, names, "left_anti", unique_right=True, null_safe=True, spread_by=names, right_bytes=size, limits=limits)
 
 
 def new_keys(

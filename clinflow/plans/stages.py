@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from clinflow.operators.incremental import extend_registry, lacking
 from clinflow.operators.joins import DEFAULT_LIMITS, JoinLimits
@@ -161,9 +161,11 @@ def _loaded_claims(spark: SparkSession, claims: DataFrame, zones: Zones) -> Data
     days = claims.select(F.col("service_date").alias("date")).distinct()
     # At most one row a day of the calendar.
     dates = read_table(spark, zones.model("dim_date")).join(F.broadcast(days), "date", "left_semi")
-    dates = materialize(dates.select("date_sk", F.col("date").alias("service_date")), "days")
-    ends = dates.agg(F.min("date_sk").alias("least"), F.max("date_sk").alias("greatest")).first()
-    dated = fact.filter(F.col("date_sk").between(ends["least"], ends["greatest"])).join(F.broadcast(dates), "date_sk")
+    ends = Observation()
+    seen = dates.observe(ends, F.min("date_sk").alias("least"), F.max("date_sk").alias("greatest"))
+    dates = materialize(seen.select("date_sk", F.col("date").alias("service_date")), "days")
+    asked = F.col("date_sk").between(ends.get.get("least"), ends.get.get("greatest"))
+    dated = fact.filter(asked).join(F.broadcast(dates), "date_sk")
     undated = fact.filter(F.col("date_sk").isNull()).withColumn("service_date", F.lit(None).cast("date"))
     return dated.select(*CLAIM_KEY).unionByName(undated.select(*CLAIM_KEY))
 

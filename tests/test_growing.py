@@ -55,7 +55,7 @@ def test_a_second_load_adds_only_what_is_new(spark, tmp_path):
     assert Counter(map(tuple, spark.read.parquet(path).collect())) == Counter({("a", 1, 1): 2, (None, 2, 2): 1, ("b", None, 3): 1})
 
 
-@pytest.mark.parametrize("broadcast_bytes", [0, 1 << 20])
+@pytest.mark.parametrize("broadcast_bytes", [0, 100, 1 << 20])
 def test_lacking(spark, broadcast_bytes):
     """NULL is a value, rows that repeat stay as they are, and either route gives the same."""
     schema = "k string, n int, v int"
@@ -70,8 +70,9 @@ def test_stored_keys_that_nobody_asks_for_stay(spark, tmp_path):
     path = str(tmp_path / "held")
     spark.range(100_000).select(F.col("id").cast("string").alias("k")).write.parquet(path)
     rows = spark.createDataFrame([("7",), ("x",)], "k string")
-    got = incremental.lacking(rows, spark.read.parquet(path), ["k"])
+    got = incremental.lacking(rows, spark.read.parquet(path), ["k"], JoinLimits(broadcast_bytes=1 << 16))
     assert "SortMergeJoin" not in plan(got) and "ShuffledHashJoin" not in plan(got)
+    assert path not in plan(got)  # what is left of the large table is its one key asked for
     assert [tuple(r) for r in got.collect()] == [("x",)]
 
 
