@@ -12,6 +12,7 @@ from conftest import bag, plan
 from pyspark.sql import functions as F
 
 from clinflow.operators import asof, episodes, integrate, intervals
+from clinflow.operators.joins import JoinLimits
 from clinflow.schemas import CLAIM_KEY
 
 DAY = date(2000, 1, 1)
@@ -146,6 +147,28 @@ def test_within(spark, width, how):
     assert "NestedLoop" not in text and "Cartesian" not in text
 
 
+def test_long_periods_are_in_few_bins(spark):
+    """A period of thousands of years too; nothing of that length is broadcast as if it were one row."""
+    ends = {"first": F.lit(days(0)), "last": F.when(F.col("id") % 2 == 0, F.lit("9999-12-31").cast("date")).otherwise(F.date_add(F.lit(days(0)), 2000))}
+    periods = spark.range(20_000).withColumns(ends).withColumnRenamed("id", "m")
+    cuts = intervals.cut_periods(periods, ("first", "last"), 7)
+    assert len(cuts) == 2 and all(cut.count() <= 10_000 * (intervals.RATIO + 1) for cut in cuts.values())
+    points = spark.range(0, 20_000, 100).select(F.col("id").alias("m"), F.date_add(F.lit(days(0)), (F.col("id") / 5).cast("int")).alias("day"))
+    got = intervals.within(points, periods, "m", "day", ("first", "last"), width=7, how="left", limits=JoinLimits(broadcast_bytes=1 << 18))
+    assert "BroadcastHashJoin" not in plan(got)
+    assert got.count() == 200
+    none = intervals.within(points.withColumn("m", F.col("m") + 1), periods, "m", "day", ("first", "last"), width=7, how="left")
+    assert none.filter("first IS NULL").count() == sum(m // 5 > 2000 for m in range(0, 20_000, 100))
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_no_periods(spark, how):
+    points = spark.createDataFrame([("a", days(3))], "m string, day date")
+    periods = spark.createDataFrame([("a", days(5), days(2)), (None, days(0), days(9))], "m string, first date, last date")
+    want = [("a", days(3), None, None)] if how == "left" else []
+    assert [tuple(r) for r in intervals.within(points, periods, "m", "day", ("first", "last"), how=how).collect()] == want
+
+
 def test_rows_do_not_depend_on_partitions(spark):
     left, right = drawn(9)
     claims = spark.createDataFrame(left, "claim_id string, m string, day date")
