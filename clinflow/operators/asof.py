@@ -66,8 +66,10 @@ def as_of(
     left_day, right_day = on
     ranges = ranges or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     can_meet = F.col(by).isNotNull() & F.col(left_day).isNotNull()
+    # Key and day travel once; a struct needs a column at least.
+    carried = [name for name in left.columns if name not in (by, left_day)] or [by]
     asking = left.filter(can_meet).select(
-        F.col(by).alias(_KEY), F.col(left_day).alias(_DAY), F.lit(False).alias(_RIGHT), F.struct(*left.columns).alias(_ROW)
+        F.col(by).alias(_KEY), F.col(left_day).alias(_DAY), F.lit(False).alias(_RIGHT), F.struct(*carried).alias(_ROW)
     )
     offered = right.filter(F.col(by).isNotNull() & F.col(right_day).isNotNull())
     offered = offered.groupBy(F.col(by).alias(_KEY), F.col(right_day).alias(_DAY)).agg(F.min(F.struct(*values)).alias(_VALUE))
@@ -95,7 +97,13 @@ def as_of(
 
     each = [candidate(side) for side in sides]
     best = F.least(*each) if len(each) > 1 else each[0]
-    met = found.withColumn("__best", best).select(f"{_ROW}.*", *[F.col(f"__best.value.{name}").alias(name) for name in values])
+
+    def own(name: str) -> Column:
+        column = F.col(f"{_ROW}.{name}") if name in carried else F.col(_KEY if name == by else _DAY)
+        return column.cast(left.schema[name].dataType).alias(name)
+
+    met = found.withColumn("__best", best)
+    met = met.select(*[own(name) for name in left.columns], *[F.col(f"__best.value.{name}").alias(name) for name in values])
     types = {name: right.schema[name].dataType for name in values}
     alone = left.filter(~can_meet).withColumns({name: F.lit(None).cast(types[name]) for name in values})
     return met.unionByName(alone)

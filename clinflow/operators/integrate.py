@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from clinflow.functions.columns import first_code
 from clinflow.operators.asof import as_of
-from clinflow.operators.joins import DEFAULT_LIMITS, JoinLimits, hot_keys, spread_join
+from clinflow.operators.joins import DEFAULT_LIMITS, JoinLimits, hot_keys, measured_bytes, part_hot, spread_join
 from clinflow.operators.rows import fold_copies, unfold_copies
 from clinflow.schemas import CLAIM_KEY, ENCOUNTER_KEY
+from clinflow.scratch import materialize
 
 # How many encounters a row stands for; expanded to that many rows at the very end.
 COPIES = "copies"
@@ -92,13 +93,41 @@ def integrate(
     return add_final_codes(linked.drop(*ENCOUNTER_KEY), missing_codes)
 
 
-def with_nearest_encounter(claims: DataFrame, encounters: DataFrame, ranges: int | None = None) -> DataFrame:
+def _sharing(claims: DataFrame, encounters: DataFrame, limits: JoinLimits) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(claims that can meet an encounter, all other claims, encounters that can meet a claim), as far as the members tell.
+
+    The members of either side are broadcast to the scan of the other, unless they are too many; the claims must be stored.
+    """
+
+    def members(df: DataFrame) -> DataFrame | None:
+        known = df.select("member_key").filter(F.col("member_key").isNotNull()).distinct()
+        kept = materialize(known, "members")
+        return kept if measured_bytes(kept, limits.broadcast_bytes) <= limits.broadcast_bytes else None
+
+    dated = claims.filter(F.col("service_date").isNotNull())
+    asked = members(dated)
+    if asked is not None:
+        encounters = encounters.join(F.broadcast(asked), "member_key", "left_semi")
+    offered = members(encounters.filter(F.col("encounter_date").isNotNull()))
+    undated = claims.filter(F.col("service_date").isNull())
+    if offered is None:
+        return dated, undated, encounters
+    asking, alone = part_hot(dated, ["member_key"], offered)
+    return asking, alone.union(undated), encounters
+
+
+def with_nearest_encounter(
+    claims: DataFrame, encounters: DataFrame, ranges: int | None = None, wanted: Column | None = None, limits: JoinLimits = DEFAULT_LIMITS
+) -> DataFrame:
     """Claims, each once, with the codes of the encounter of the member nearest in days, ties by id; NULLs if there is none.
 
-    Claims without a date meet no encounter, and encounters without one are met by none. Linear in both, see ``asof``.
+    Claims without a date meet no encounter, and encounters without one are met by none, nor do claims that are not ``wanted``, if
+    that is given. Linear in both, see ``asof``; only rows of members that both sides have are put in order.
     """
+    needed = F.lit(True) if wanted is None else F.coalesce(wanted, F.lit(False))
+    asking, alone, encounters = _sharing(claims.filter(needed), encounters, limits)
     found = as_of(
-        claims,
+        asking,
         encounters,
         by="member_key",
         on=("service_date", "encounter_date"),
@@ -106,4 +135,6 @@ def with_nearest_encounter(claims: DataFrame, encounters: DataFrame, ranges: int
         direction="nearest",
         ranges=ranges,
     )
-    return found.drop(*ENCOUNTER_KEY)
+    types = {name: encounters.schema[name].dataType for name in ENCOUNTER_CODES}
+    rest = alone.union(claims.filter(~needed)).withColumns({name: F.lit(None).cast(types[name]) for name in ENCOUNTER_CODES})
+    return found.drop(*ENCOUNTER_KEY).unionByName(rest)

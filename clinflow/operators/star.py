@@ -208,8 +208,12 @@ def build_fact_by_claim(
     null_safe: bool = False,
     limits: JoinLimits = DEFAULT_LIMITS,
 ) -> DataFrame:
-    """One row per claim: codes it lacks come from the nearest encounter of its member, if there is one."""
-    linked = with_nearest_encounter(claims, encounters)
+    """One row per claim: codes it lacks come from the nearest encounter of its member, if there is one.
+
+    Claims that lack none do not look for one.
+    """
+    lacks = [known_code(F.col(name), missing_codes).isNull() for name in ("icd10_code", "cpt_code")]
+    linked = with_nearest_encounter(claims, encounters, wanted=lacks[0] | lacks[1], limits=limits)
     linked = linked.withColumns({name: as_amount(F.col(name)) for name in ("paid_amount", "allowed_amount")})
     keyed = add_final_codes(linked, missing_codes)
     members = dims["dim_member"].filter(F.col("member_key").isNotNull())

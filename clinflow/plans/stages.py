@@ -33,7 +33,7 @@ from clinflow.schemas import (
     PATIENTS,
     TableContract,
 )
-from clinflow.scratch import exists, job_folder, materialize
+from clinflow.scratch import exists, job_folder, materialize, side_by_side
 from clinflow.sinks.tables import Zones, write_table
 from clinflow.sinks.warehouse import JdbcTarget, load_table
 from clinflow.sources.feeds import read_feed, read_table
@@ -192,19 +192,23 @@ def run_daily(
         if exists(spark, fact_path):
             loaded = _loaded_claims(spark, claims, zones)
             claims = materialize(lacking(claims, loaded, CLAIM_KEY, limits), "new-claims")
-        visits = fold_visits(encounters)
+        # One row per claim needs no folded encounters.
+        visits = encounters if grain == "claim" else fold_visits(encounters)
 
         def registry(name: str, rows: DataFrame, natural: str, key: str) -> DataFrame:
             return extend_registry(spark, zones.model(name), rows, [natural], key, limits=limits)
 
-        dims = {
-            "dim_member": registry("dim_member", dim_rows(known_members(patients), ["member_key", "gender"]), "member_key", "member_sk"),
-            "dim_provider": registry("dim_provider", dim_rows(claims, ["provider_id"]), "provider_id", "provider_sk"),
-            "dim_diagnosis": registry(
-                "dim_diagnosis", final_diagnoses(claims, visits, missing_codes).distinct(), "final_diagnosis", "diagnosis_sk"
-            ),
-            "dim_date": with_calendar(registry("dim_date", dates_of(claims, "service_date").distinct(), "date", "date_sk")),
-        }
+        members = dim_rows(known_members(patients), ["member_key", "gender"])
+        dims = side_by_side(
+            {
+                "dim_member": lambda: registry("dim_member", members, "member_key", "member_sk"),
+                "dim_provider": lambda: registry("dim_provider", dim_rows(claims, ["provider_id"]), "provider_id", "provider_sk"),
+                "dim_diagnosis": lambda: registry(
+                    "dim_diagnosis", final_diagnoses(claims, visits, missing_codes).distinct(), "final_diagnosis", "diagnosis_sk"
+                ),
+                "dim_date": lambda: with_calendar(registry("dim_date", dates_of(claims, "service_date").distinct(), "date", "date_sk")),
+            }
+        )
         if grain == "claim":
             fact = build_fact_by_claim(claims, encounters, dims, missing_codes, null_safe, limits)
         else:

@@ -92,6 +92,33 @@ def test_nearest_encounter_keeps_every_claim(spark):
     assert Counter(map(tuple, got.collect())) == Counter((*row, nearest(row, right, "nearest", None)[1]) for row in left)
 
 
+@pytest.mark.parametrize("broadcast_bytes", [-1, 20_000, 1 << 26])
+def test_only_shared_members_are_put_in_order(spark, monkeypatch, broadcast_bytes):
+    """Claims that want no encounter and members that one side alone has stay out of the ordered list; rows are the same."""
+    seen = []
+
+    def spied(left, right, **options):
+        seen.append((left.count(), right.count()))
+        return asof.as_of(left, right, **options)
+
+    monkeypatch.setattr(integrate, "as_of", spied)
+    left, right = drawn(8)
+    left += [(f"n{i}", f"only{i}", days(i)) for i in range(500)]
+    right += [(f"o{i}", f"other{i}", days(i), "x") for i in range(400)]
+    claims = spark.createDataFrame([(*row, i % 3) for i, row in enumerate(left)], "claim_id string, member_key string, service_date date, n int")
+    visits = spark.createDataFrame([(*row, "p") for row in right], "encounter_id string, member_key string, encounter_date date, diagnosis_code string, procedure_code string")
+    wanted = F.when(F.col("n") != 1, F.col("n") == 0)
+    limits = JoinLimits(broadcast_bytes=broadcast_bytes)
+    got = integrate.with_nearest_encounter(claims, visits, wanted=wanted, limits=limits)
+    assert got.columns == ["claim_id", "member_key", "service_date", "n", "diagnosis_code", "procedure_code"]
+    want = Counter((*row, nearest(row, right, "nearest", None)[1] if i % 3 == 0 else None) for i, row in enumerate(left))
+    assert Counter(map(tuple, got.drop("n", "procedure_code").collect())) == want
+    [(asking, offered)] = seen
+    assert asking <= (300 if broadcast_bytes == -1 else 110) and offered <= (700 if broadcast_bytes == -1 else 300)
+    none = integrate.with_nearest_encounter(claims.limit(0), visits, limits=limits)
+    assert none.count() == 0 and seen[-1] == (0, 700 if broadcast_bytes == -1 else 0)
+
+
 def episodes_by_hand(right, gap):
     counts = defaultdict(Counter)
     for _, member, day, _ in right:
